@@ -32,7 +32,8 @@ def left_join(
 
     Hot left keys are split by AQE in the plain form. AQE cannot split the right
     side of a left join, so `hot_right` joins the matches as an inner join, where
-    both sides are split, and adds the left rows without a match.
+    both sides are split, and adds the left rows without a match. That reads the left
+    side twice: materialise it first when it is dear to compute.
     """
     renamed, key = _renamed(right, right_key or left_key)
     match = F.col(left_key).eqNullSafe(F.col(key))

@@ -32,6 +32,10 @@ class _Marked:
         self.texts: list[str] = []
 
 
+class _Finished(Exception):
+    """Raised by a `wanted` test when the rest of the page cannot matter."""
+
+
 class _Reader(HTMLParser):
     """Collects the elements `wanted` accepts, with their text, in page order.
 
@@ -39,6 +43,9 @@ class _Reader(HTMLParser):
     there is none; elements left open end with the page.
     """
 
+    def updatepos(self, i, j):
+        return j  # line numbers are not used
+
     def __init__(self, wanted: Callable[[str, dict, list[_Marked]], bool]):
         super().__init__(convert_charrefs=True)
         self.wanted, self.found, self.path, self.marked = wanted, [], [], []
@@ -72,8 +79,11 @@ class _Reader(HTMLParser):
 
 def _read(html: str | None, wanted) -> list[_Marked]:
     reader = _Reader(wanted)
-    reader.feed(html or "")
-    reader.close()
+    try:
+        reader.feed(html or "")
+        reader.close()
+    except _Finished:
+        pass
     return reader.found
 
 
@@ -114,7 +124,9 @@ def table_rows(
                     seen.append(tag)
                     return True
                 return False
-            return tag == row and bool(open_elements)
+            if not open_elements:
+                raise _Finished
+            return tag == row
 
         found = _read(html, wanted)
         return [(i, "".join(e.texts)) for i, e in enumerate(found[1:])]

@@ -10,16 +10,19 @@ from pyspark.sql import functions as F
 from curatrix.functions.text import contains_term
 from curatrix.session import spread
 
-SENTENCE = r"[^.!?\n]+[.!?]"
+# Runs up to an end mark or line break, each read once: a pattern that demands the end
+# mark would rescan a long run without one from every position.
+_RUN = r"[^.!?\n]++[.!?]?"
 # Words share 65,536 hash buckets, so the corpus weights always fit one array.
 BUCKETS = 1 << 16
 CUE_BOOST = 20_000_000
 
 
 def sentences(text: Column) -> Column:
-    """Sentences in order, trimmed, without repeats of a position."""
-    found = F.regexp_extract_all(text, F.lit(SENTENCE), F.lit(0))
-    return F.transform(found, lambda s: F.trim(s))
+    """The runs of a text that end in an end mark, in order and trimmed."""
+    runs = F.regexp_extract_all(text, F.lit(_RUN), F.lit(0))
+    ended = F.filter(runs, lambda r: F.right(r, F.lit(1)).isin(".", "!", "?"))
+    return F.transform(ended, lambda r: F.trim(r))
 
 
 def word_bucket(word: Column) -> Column:
@@ -48,7 +51,7 @@ def bucket_weights(corpus: DataFrame, text: str) -> DataFrame:
     slots = corpus.sparkSession.range(-1, BUCKETS).select(F.col("id").cast("int").alias("bucket"))
     filled = slots.join(counts, "bucket", "left")
     ordered = filled.agg(
-        F.array_sort(F.collect_list(F.struct("bucket", F.coalesce("n", F.lit(0)).alias("n")))).alias("s")
+        F.sort_array(F.collect_list(F.struct("bucket", F.coalesce("n", F.lit(0)).alias("n")))).alias("s")
     )
     n_all = F.col("s")[0]["n"]
     return ordered.select(
@@ -72,9 +75,9 @@ def rarity_score(weights: Column, sentence: Column) -> Column:
 
 def _bullets(scored: Column, k: int, by_position: bool) -> Column:
     """Bullet lines from an array of `(minus_score, position, sentence)`."""
-    best = F.slice(F.array_sort(scored), 1, k)
+    best = F.slice(F.sort_array(scored), 1, k)
     if by_position:
-        best = F.array_sort(
+        best = F.sort_array(
             F.transform(best, lambda s: F.struct(s["position"].alias("p"), s["sentence"].alias("sentence")))
         )
     return F.transform(best, lambda s: F.concat(F.lit("•"), s["sentence"]))

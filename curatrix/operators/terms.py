@@ -1,16 +1,22 @@
 """Which dictionary names occur in a text, by plain substring of one of their terms.
 
-The dictionary is a long table `(name, term)`. Two exact ways give the same rows:
-
-* a small dictionary (measured) is tested inside one narrow pass over the texts;
-* a large one meets the texts in equi-joins on the term itself. Texts are cut into
-  overlapping pieces and windows; windows are kept if they start with the head of
-  some term; each is shortened to the lengths known for that head and joined to the
-  terms. Right sides are unique per key, so no key fans out to all pairs.
+The dictionary is a long table `(name, term)`. Three exact ways give the same rows; the
+measured size of the dictionary decides:
+
+* `scan`: a few terms are tested by one expression in a narrow pass over the texts;
+* `automaton`: up to a fixed size the terms go to the workers, which read each text
+  once, however many terms there are; the pass is still narrow;
+* `join`: a dictionary of any size meets the texts in equi-joins on the term itself.
+  Texts are cut into overlapping pieces and windows; windows are kept if they start
+  with the head of some term; each is shortened to the lengths known for that head and
+  joined to the terms. Right sides are unique per key, so no key fans out to all pairs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +24,14 @@ from curatrix.functions.arrays import empty_strings
 from curatrix.functions.text import contains_term
 from curatrix.session import broadcast_if_small, materialise, spread
 
-SMALL_DICTIONARY = 128
+try:
+    import ahocorasick
+except ImportError:  # the join way needs no extra module
+    ahocorasick = None
+
+SCAN_TERMS = 64
+AUTOMATON_TERMS = 100_000
+AUTOMATON_CHARS = 2 << 20
 HEAD = 4
 PIECE = 4096
 
@@ -51,6 +64,29 @@ def names_by_scan(texts: DataFrame, text: Column, rows: list, out: str) -> DataF
     return spread(texts).withColumn(out, _literal_names(rows, text))
 
 
+def names_by_automaton(texts: DataFrame, text: Column, rows: list, out: str) -> DataFrame:
+    """Sorted names per text from one reading of it in the workers."""
+    if not rows:
+        return names_by_scan(texts, text, rows, out)
+    names_of: dict[str, list[str]] = {}
+    for row in rows:
+        names_of.setdefault(row["_term"], []).append(row["_name"])
+    shipped = texts.sparkSession.sparkContext.broadcast(names_of)
+
+    @F.pandas_udf("array<string>")
+    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        automaton = ahocorasick.Automaton()
+        for term, names in shipped.value.items():
+            automaton.add_word(term, tuple(names))
+        automaton.make_automaton()
+        for batch in batches:
+            yield batch.map(
+                lambda t: sorted({n for _, names in automaton.iter(t) for n in names}) if t else []
+            )
+
+    return spread(texts).withColumn(out, found(text))
+
+
 def name_pairs(texts: DataFrame, key: str, text: Column, terms: DataFrame) -> DataFrame:
     """Distinct `(key, name)` for a dictionary of any size."""
     terms = materialise(terms, "terms")
@@ -115,6 +151,15 @@ def names_by_join(texts: DataFrame, key: str, text: Column, terms: DataFrame, ou
     )
 
 
+def choose_way(terms: DataFrame) -> str:
+    n, chars = terms.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("_term")), F.lit(0))).first()
+    if n <= SCAN_TERMS and chars <= AUTOMATON_CHARS:
+        return "scan"
+    if ahocorasick and n <= AUTOMATON_TERMS and chars <= AUTOMATON_CHARS:
+        return "automaton"
+    return "join"
+
+
 def add_names(
     texts: DataFrame,
     key: str,
@@ -124,19 +169,20 @@ def add_names(
     term: str,
     out: str,
     ignore_case: bool = False,
-    small: int = SMALL_DICTIONARY,
+    way: str | None = None,
 ) -> DataFrame:
     """Add the sorted array of names with at least one term in the text; `[]` if none.
 
-    `key` must be unique per text. At most `small + 1` dictionary rows reach the
-    driver, to choose between the two ways.
+    `key` must be unique per text. The dictionary reaches the driver only when it was
+    measured to be within the bounds of the first two ways.
     """
     terms = _terms(dictionary, name, term, ignore_case)
     body = F.lower(F.col(text)) if ignore_case else F.col(text)
-    rows = terms.limit(small + 1).collect()
-    if len(rows) <= small:
-        return names_by_scan(texts, body, rows, out)
-    return names_by_join(texts, key, body, terms, out)
+    way = way or choose_way(terms)
+    if way == "join":
+        return names_by_join(texts, key, body, terms, out)
+    narrow = {"scan": names_by_scan, "automaton": names_by_automaton}[way]
+    return narrow(texts, body, terms.collect(), out)
 
 
 def keyword_tags(text: Column, keywords: dict[str, list[str]]) -> Column:

@@ -11,6 +11,7 @@ from curatrix.operators.joins import left_join
 from curatrix.operators.pages import split_row, table_rows
 from curatrix.operators.terms import keyword_tags, without_tags
 from curatrix.schemas import CALENDAR_LINKS, EVENTS_RAW, conform
+from curatrix.session import materialise
 
 # Events that are left out of the curated table.
 EXCLUDED_EVENTS = {"NOT_INTERESTING": ["dividend", "Détachement"]}
@@ -29,8 +30,10 @@ def events_raw(pages: DataFrame, calendar_links: DataFrame, strict: bool = False
     rows that were left out.
     """
     companies = conform(calendar_links, CALENDAR_LINKS).distinct()
-    # Repeats of a row collapse before the join, which only multiplies them.
-    rows = dated_rows(pages, strict).distinct().withColumn("_day", parse_day_first(F.col("date")))
+    # Repeats of a row collapse before the join, which only multiplies them. The rows
+    # are written once, because the join reads them twice and parsing pages is dear.
+    rows = materialise(dated_rows(pages, strict).distinct(), "event-rows")
+    rows = rows.withColumn("_day", parse_day_first(F.col("date")))
     joined = left_join(
         rows.filter(F.col("_day").isNotNull()),
         companies,

@@ -7,11 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.operators.aggregates import keep_first
+from curatrix.operators.aggregates import keep_first, last_by_key
 from curatrix.operators.joins import unnest
 from curatrix.operators.pages import page_text, sections
-from curatrix.operators.terms import SMALL_DICTIONARY, add_names
+from curatrix.operators.terms import add_names
 from curatrix.schemas import COMPANY_ALIASES, conform
+from curatrix.sources.pages import fetched_pages
 
 
 def company_aliases(companies: DataFrame, sector: str) -> DataFrame:
@@ -29,12 +30,19 @@ def article_texts(
     drop_ids: Sequence[str] = (),
     drop_heading: str | None = None,
     heading_within: bool = False,
+    position: str | None = None,
 ) -> DataFrame:
-    """`(link, content)`, one row per link; repeated links collapse."""
+    """`(link, content)`, one row per link.
+
+    Of repeated links the one with the last `position` counts; without positions they
+    are taken to be copies of one page.
+    """
     linked = pages.withColumnRenamed("url", "link")
+    if position is not None:
+        linked = last_by_key(fetched_pages(linked), "link", position, "html").drop(position)
     read = sections(linked, "link", tag=tag, class_token=class_token)
     texts = page_text(read, drop_ids, drop_heading, heading_within)
-    return keep_first(texts, ["link"], ["content"])
+    return texts if position is not None else keep_first(texts, ["link"], ["content"])
 
 
 def mentions(
@@ -43,10 +51,10 @@ def mentions(
     sector: str = "bank",
     key: str = "link",
     text: str = "content",
-    small: int = SMALL_DICTIONARY,
+    way: str | None = None,
 ) -> DataFrame:
     """Add `banks_mentioned`, the companies with an alias in the text."""
     aliases = company_aliases(companies, sector)
     return add_names(
-        texts, key, text, aliases, "company", "possible_name", "banks_mentioned", small=small
+        texts, key, text, aliases, "company", "possible_name", "banks_mentioned", way=way
     )

@@ -16,15 +16,18 @@ def refresh_sources(
 ) -> DataFrame:
     """Outlets with the source id of their registered-domain label and a missing flag.
 
-    `sources` has one `source_uri` per `label`. `by_raw_domain` looks the raw domain
+    `sources` holds `label` and `source_uri`; of several ids for a label the smallest
+    counts, so the number of outlets never changes. `by_raw_domain` looks the raw domain
     up among the labels instead, which only finds bare labels. Labels and ids are
     found once per distinct domain, then joined back, so a domain with many outlets
     costs one lookup.
     """
     known = conform(outlets, OUTLETS).filter(F.col("domain_name").isNotNull())
     labelled = domain_labels(known, "domain_name", rules, "_label")
-    ids = sources.filter(F.col("source_uri") != "").select(
-        F.col("label").alias("_source_label"), "source_uri"
+    ids = (
+        sources.filter(F.col("source_uri") != "")
+        .groupBy(F.col("label").alias("_source_label"))
+        .agg(F.min("source_uri").alias("source_uri"))
     )
     if by_raw_domain:
         # Only labels some outlet was looked up by are in the map.

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from curatrix.operators.filters import without_key
 from curatrix.plans.counts import published_index
 from curatrix.registry import inputs as i
 from curatrix.registry.base import TABLE_NAMES, query
-from curatrix.schemas import ARTICLE_INPUT, struct
+from curatrix.schemas import ARTICLE_INPUT, TEXT, struct
 from curatrix.session import shared_dir
 from curatrix.sinks.export import export_tables
 from curatrix.sinks.tables import write_csv, write_table
@@ -17,7 +18,8 @@ from curatrix.sources.inventory import inventory
 from curatrix.sources.pages import fetched_pages
 from curatrix.sources.tables import scan_sql, scan_table
 
-PAPER_ROW = struct("company_name string, paper_url string, exclusion_reason string")
+ORDER_ROW = struct(o_custkey=T.LongType(), o_orderstatus=TEXT, cents=T.LongType())
+PAPER_ROW = struct(company_name=TEXT, paper_url=TEXT, exclusion_reason=TEXT)
 
 
 @query(
@@ -49,7 +51,7 @@ def csv_scan(t):
         shared_dir(t.spark, "orders-csv"),
     )
     rows = scan_csv(
-        t.spark, path, struct("o_custkey bigint, o_orderstatus string, cents bigint"), index_column=True
+        t.spark, path, ORDER_ROW, index_column=True
     )
     return rows.groupBy("o_custkey", "o_orderstatus").agg(
         F.count(F.lit(1)).alias("n"), F.sum("cents").alias("cents")

@@ -74,20 +74,26 @@ MENTIONS_SQL = f"""
     SELECT d.doc_id, coalesce(mentions, '') AS mentions FROM documents d LEFT JOIN hits h ON d.doc_id = h.doc_id"""
 
 
+def _mentions(t, way=None):
+    texts = t.documents.select("doc_id", "text")
+    found = mentions(texts, i.alias_companies(t), key="doc_id", text="text", way=way)
+    return found.select("doc_id", F.array_join("banks_mentioned", "|").alias("mentions"))
+
+
 @query("mentions", MENTIONS_SQL)
 def mentions_query(t):
-    """The way is chosen by the size of the dictionary."""
-    found = mentions(t.documents.select("doc_id", "text"), i.alias_companies(t), key="doc_id", text="text")
-    return found.select("doc_id", F.array_join("banks_mentioned", "|").alias("mentions"))
+    """The way is chosen by the measured size of the dictionary."""
+    return _mentions(t)
+
+
+@query("mentions_scanned", MENTIONS_SQL)
+def mentions_scanned(t):
+    return _mentions(t, "scan")
 
 
 @query("mentions_joined", MENTIONS_SQL)
 def mentions_joined(t):
-    """The way for large dictionaries, whatever the size."""
-    found = mentions(
-        t.documents.select("doc_id", "text"), i.alias_companies(t), key="doc_id", text="text", small=0
-    )
-    return found.select("doc_id", F.array_join("banks_mentioned", "|").alias("mentions"))
+    return _mentions(t, "join")
 
 
 TAGS_SQL = """

@@ -7,49 +7,73 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+TEXT, FLAG, WHOLE = T.StringType(), T.BooleanType(), T.IntegerType()
 
 
-CALENDAR_LINKS = struct("market_screener_link string, company_id string, name string")
-PAGES = struct("url string, status int, html string")
-EVENTS_RAW = struct("name string, date string, company_id string, event string")
-PAPERS_OLD = struct("paper_url string, company_name string")
-PAPERS_NEW = struct(
-    "paper_url string, paper_title string, paper_description string, company_name string"
-)
+def struct(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
+
+
+CALENDAR_LINKS = struct(market_screener_link=TEXT, company_id=TEXT, name=TEXT)
+PAGES = struct(url=TEXT, status=WHOLE, html=TEXT)
+EVENTS_RAW = struct(name=TEXT, date=TEXT, company_id=TEXT, event=TEXT)
+PAPERS_OLD = struct(paper_url=TEXT, company_name=TEXT)
+PAPERS_NEW = struct(paper_url=TEXT, paper_title=TEXT, paper_description=TEXT, company_name=TEXT)
 PAPERS_QA = struct(
-    "url string, authors string, title string, publication_date string, description string,"
-    "is_patent boolean, tags string, excluded_tags string, keyword_tags string,"
-    "has_publication_info boolean, author_name string"
+    url=TEXT,
+    authors=TEXT,
+    title=TEXT,
+    publication_date=TEXT,
+    description=TEXT,
+    is_patent=FLAG,
+    tags=TEXT,
+    excluded_tags=TEXT,
+    keyword_tags=TEXT,
+    has_publication_info=FLAG,
+    author_name=TEXT,
 )
-COMPANY_IDS = struct("id string, company string, sector string")
-PATENTS = struct("company_id string, url string")
+COMPANY_IDS = struct(id=TEXT, company=TEXT, sector=TEXT)
+PATENTS = struct(company_id=TEXT, url=TEXT)
 COMPANY_METADATA = struct(
-    "id string, name string, additional_names string, company_type string,"
-    "internal_classification string"
+    id=TEXT, name=TEXT, additional_names=TEXT, company_type=TEXT, internal_classification=TEXT
 )
-COMPANY_CONCEPTS = struct("id string, concept_url array<struct<url:string>>")
+COMPANY_CONCEPTS = struct(id=TEXT, concept_url=T.ArrayType(struct(url=TEXT)))
 COMPANY_ALIASES = struct(
-    "company string, sector string, linkedin_id array<struct<linkedin_organisation:string>>"
+    company=TEXT, sector=TEXT, linkedin_id=T.ArrayType(struct(linkedin_organisation=TEXT))
 )
 ARTICLES = struct(
-    "date date, lang string, data_type string, dateTimePub string, url string,"
-    "concepts array<struct<uri:string>>"
+    date=T.DateType(),
+    lang=TEXT,
+    data_type=TEXT,
+    dateTimePub=TEXT,
+    url=TEXT,
+    concepts=T.ArrayType(struct(uri=TEXT)),
 )
 OUTLETS = struct(
-    "domain_name_root string, domain_name string, is_top_tier boolean, is_blacklisted boolean,"
-    "ranking int, media_logo string, paywall boolean, partial_paywall boolean,"
-    "is_company_site boolean, is_index boolean, company_id string, company_name string,"
-    "sector string"
+    domain_name_root=TEXT,
+    domain_name=TEXT,
+    is_top_tier=FLAG,
+    is_blacklisted=FLAG,
+    ranking=WHOLE,
+    media_logo=TEXT,
+    paywall=FLAG,
+    partial_paywall=FLAG,
+    is_company_site=FLAG,
+    is_index=FLAG,
+    company_id=TEXT,
+    company_name=TEXT,
+    sector=TEXT,
 )
 ARTICLE_INPUT = struct(
-    "url string, title string, body string, source_name string, date_published string,"
-    "pillar string"
+    url=TEXT, title=TEXT, body=TEXT, source_name=TEXT, date_published=TEXT, pillar=TEXT
 )
 INVENTORY = struct(
-    "project string, dataset_id string, table_id string, table_type string,"
-    "created timestamp, modified timestamp"
+    project=TEXT,
+    dataset_id=TEXT,
+    table_id=TEXT,
+    table_type=TEXT,
+    created=T.TimestampType(),
+    modified=T.TimestampType(),
 )
 
 

@@ -84,10 +84,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 200_000, max_bytes: int =
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give a CPU-heavy step at least one partition per core.
+    """Give a CPU-heavy step over a small scan at least one partition per core.
 
-    Only inputs with fewer partitions than cores are redistributed, that is small
-    ones; a large scan already has more splits than cores and is left alone.
+    A large scan already has more splits than cores and is left alone. So is a frame
+    with a shuffle in its plan: Spark chose its partitions, and asking for their number
+    would run that shuffle.
     """
+    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+        return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -27,6 +27,7 @@ def scan_csv(
 ) -> DataFrame:
     """Typed CSV scan; a row that does not fit the schema fails the job.
 
+    An empty value is missing, quoted or not, as in a data-frame reader.
     `index_column` drops a leading row-index column that `schema` does not list.
     `multi_line` is needed where values or headers hold line breaks; such files
     cannot be split, so write them in parts of bounded size (see `write_csv`).
