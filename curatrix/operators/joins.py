@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curatrix.session import settle
+
 
 def _renamed(right: DataFrame, key: str) -> tuple[DataFrame, str]:
     # A private name keeps the condition unambiguous when both sides share the column.
@@ -32,9 +34,11 @@ def left_join(
 
     Hot left keys are split by AQE in the plain form. AQE cannot split the right
     side of a left join, so `hot_right` joins the matches as an inner join, where
-    both sides are split, and adds the left rows without a match. That reads the left
-    side twice: materialise it first when it is dear to compute.
+    both sides are split, and adds the left rows without a match. Either side is read
+    twice, so one that is dear to compute is written first.
     """
+    if hot_right:
+        left, right = settle(left, "left"), settle(right, "right")
     renamed, key = _renamed(right, right_key or left_key)
     match = F.col(left_key).eqNullSafe(F.col(key))
     if not hot_right:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curatrix.session import materialise
+from curatrix.session import materialise, settle
 
 
 def running_total(
@@ -63,6 +63,7 @@ def rank_in_group(df: DataFrame, group: str, value: str, name: str) -> DataFrame
 
 def index_ranks(df: DataFrame, group: str, entity: str, previous: str, current: str) -> DataFrame:
     """Ranks of two years, rank change, value change and the leader per indicator."""
+    df = settle(df, "indicators")
     ranked = rank_in_group(df, group, previous, "rank_previous")
     ranked = rank_in_group(ranked, group, current, "rank_current")
     leaders = (

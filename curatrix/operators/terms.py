@@ -22,14 +22,14 @@ from pyspark.sql import functions as F
 
 from curatrix.functions.arrays import empty_strings
 from curatrix.functions.text import contains_term
-from curatrix.session import broadcast_if_small, materialise, spread
+from curatrix.session import broadcast_if_small, materialise, settle, spread
 
 try:
     import ahocorasick
 except ImportError:  # the join way needs no extra module
     ahocorasick = None
 
-SCAN_TERMS = 64
+SCAN_TERMS = 32
 AUTOMATON_TERMS = 100_000
 AUTOMATON_CHARS = 2 << 20
 HEAD = 4
@@ -140,6 +140,7 @@ def name_pairs(texts: DataFrame, key: str, text: Column, terms: DataFrame) -> Da
 
 
 def names_by_join(texts: DataFrame, key: str, text: Column, terms: DataFrame, out: str) -> DataFrame:
+    texts = settle(texts, "texts")
     pairs = name_pairs(texts, key, text, terms)
     names = pairs.groupBy(F.col(key).alias("_key")).agg(
         F.array_sort(F.collect_list("_name")).alias("_names")

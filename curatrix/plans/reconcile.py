@@ -13,7 +13,6 @@ from curatrix.operators.aggregates import by_total, count_matrix, count_per, kee
 from curatrix.operators.filters import marker_to_null, without_key
 from curatrix.operators.joins import anti_join, left_join
 from curatrix.schemas import PAPERS_NEW, PAPERS_OLD, PAPERS_QA, conform, require
-from curatrix.session import materialise
 
 # Reason labels, in the order they are tested.
 REASONS = (
@@ -97,7 +96,6 @@ def added_in_new(old: DataFrame, new: DataFrame, qa: DataFrame, companies: Seque
     """
     chosen = conform(new, PAPERS_NEW).filter(F.col("company_name").isin(*companies))
     added = anti_join(chosen, old, "paper_url").select("paper_url", "paper_title", "paper_description")
-    added = materialise(added, "added")
     checks = conform(qa, PAPERS_QA).select(
         "url", "publication_date", "tags", "excluded_tags", "keyword_tags"
     )

@@ -83,6 +83,21 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 200_000, max_bytes: int =
     return F.broadcast(df) if n_rows <= max_rows and n_bytes <= max_bytes else df
 
 
+def _physical_plan(df: DataFrame) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def settle(df: DataFrame, tag: str) -> DataFrame:
+    """`df` for a caller that reads it more than once.
+
+    A frame that shuffles or runs Python is written once instead of being computed
+    again; a plain scan is returned as it is.
+    """
+    text = _physical_plan(df)
+    dear = any(node in text for node in ("Exchange", "MapInPandas", "ArrowEvalPython"))
+    return materialise(df, tag) if dear else df
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give a CPU-heavy step over a small scan at least one partition per core.
 
@@ -90,7 +105,7 @@ def spread(df: DataFrame) -> DataFrame:
     with a shuffle in its plan: Spark chose its partitions, and asking for their number
     would run that shuffle.
     """
-    if "Exchange" in df._jdf.queryExecution().executedPlan().toString():
+    if "Exchange" in _physical_plan(df):
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
