@@ -7,8 +7,9 @@ or its own rows, nothing is gathered across pages.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator, Sequence
-from html.parser import HTMLParser
+from html import unescape
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -21,13 +22,41 @@ from curatrix.sources.pages import fetched_pages
 _VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
-_UNREAD = frozenset(("script", "style", "template"))
+# A comment or declaration, a tag with its attributes, or text. A quote counts only
+# right after an equals sign; a tag with an unclosed one is text.
+_TOKEN = re.compile(
+    r"""<!--.*?(?:-->|\Z)|<[!?][^>]*+>"""
+    r"""|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=(?!\s*+["']))*+)>"""
+    r"""|([^<]++|<)""",
+    re.DOTALL,
+)
+_ATTRIBUTE = re.compile(r"""([^\s=/"'][^\s=/]*+)(?:\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s]++))?""")
+_CODE_END = {tag: re.compile(rf"</{tag}(?=[\s/>])", re.IGNORECASE) for tag in ("script", "style")}
+
+
+class _Attributes:
+    """Attributes of a tag, parsed when one is asked for; the last of a name counts."""
+
+    __slots__ = ("raw", "parsed")
+
+    def __init__(self, raw: str):
+        self.raw, self.parsed = raw, None
+
+    def get(self, name: str, default: str | None = None) -> str | None:
+        if self.parsed is None:
+            self.parsed = {
+                key.lower(): unescape(text[1:-1] if text[:1] in ('"', "'") else text)
+                for key, text in _ATTRIBUTE.findall(self.raw)
+            }
+        return self.parsed.get(name, default)
 
 
-class _Marked:
+class _Element:
     """One element of interest, those open around it, and the texts inside it."""
 
-    def __init__(self, tag: str, attrs: dict[str, str], depth: int, around: list):
+    __slots__ = ("tag", "attrs", "depth", "around", "texts")
+
+    def __init__(self, tag: str, attrs: _Attributes, depth: int, around: list):
         self.tag, self.attrs, self.depth, self.around = tag, attrs, depth, around
         self.texts: list[str] = []
 
@@ -36,55 +65,60 @@ class _Finished(Exception):
     """Raised by a `wanted` test when the rest of the page cannot matter."""
 
 
-class _Reader(HTMLParser):
-    """Collects the elements `wanted` accepts, with their text, in page order.
+def _walk(html: str, wanted: Callable, found: list[_Element]) -> None:
+    path: list[str] = []
+    marked: list[_Element] = []
+    at, end = 0, len(html)
+    while at < end:
+        token = _TOKEN.match(html, at)
+        at = token.end()
+        close, tag, raw, text = token.groups()
+        if text is not None:
+            if marked and "template" not in path:
+                for element in marked:
+                    element.texts.append(text)
+            continue
+        if tag is None:
+            continue
+        tag = tag.lower()
+        if not close:
+            attrs = _Attributes(raw)
+            alone = tag in _VOID or raw.endswith("/")
+            if wanted(tag, attrs, marked):
+                element = _Element(tag, attrs, len(path), list(marked))
+                found.append(element)
+                if not alone:
+                    marked.append(element)
+            if alone:
+                continue
+            path.append(tag)
+            if tag in _CODE_END:
+                stop = _CODE_END[tag].search(html, at)
+                at = stop.start() if stop else end
+        elif tag in path:
+            while path.pop() != tag:
+                pass
+            while marked and marked[-1].depth >= len(path):
+                marked.pop()
 
-    An end tag closes up to the nearest open element of its name and is ignored when
-    there is none; elements left open end with the page.
-    """
 
-    def updatepos(self, i, j):
-        return j  # line numbers are not used
-
-    def __init__(self, wanted: Callable[[str, dict, list[_Marked]], bool]):
-        super().__init__(convert_charrefs=True)
-        self.wanted, self.found, self.path, self.marked = wanted, [], [], []
-
-    def handle_starttag(self, tag, attrs):
-        attrs = {k: v or "" for k, v in reversed(attrs)}
-        if self.wanted(tag, attrs, self.marked):
-            element = _Marked(tag, attrs, len(self.path), list(self.marked))
-            self.found.append(element)
-            if tag not in _VOID:
-                self.marked.append(element)
-        if tag not in _VOID:
-            self.path.append(tag)
-
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-        self.handle_endtag(tag)
-
-    def handle_endtag(self, tag):
-        if tag in self.path:
-            while self.path.pop() != tag:
-                pass
-            while self.marked and self.marked[-1].depth >= len(self.path):
-                self.marked.pop()
+def _pieces(element: _Element) -> list[str]:
+    """The text between tags, piece by piece, with entities decoded."""
+    return [unescape(t) for t in element.texts]
 
-    def handle_data(self, data):
-        if not (self.path and self.path[-1] in _UNREAD):
-            for element in self.marked:
-                element.texts.append(data)
 
+def _read(html: str | None, wanted: Callable) -> list[_Element]:
+    """The elements `wanted(tag, attrs, open elements)` accepts, in page order.
 
-def _read(html: str | None, wanted) -> list[_Marked]:
-    reader = _Reader(wanted)
+    An end tag closes up to the nearest open element of its name and is ignored when
+    there is none; elements left open end with the page. Scripts and styles are no text.
+    """
+    found: list[_Element] = []
     try:
-        reader.feed(html or "")
-        reader.close()
+        _walk(html or "", wanted, found)
     except _Finished:
         pass
-    return reader.found
+    return found
 
 
 def _per_page(pages: DataFrame, key: str, schema: str, rows_of: Callable[[str], list[tuple]]) -> DataFrame:
@@ -129,7 +163,7 @@ def table_rows(
             return tag == row
 
         found = _read(html, wanted)
-        return [(i, "".join(e.texts)) for i, e in enumerate(found[1:])]
+        return [(i, "".join(_pieces(e))) for i, e in enumerate(found[1:])]
 
     pages = pages.filter(F.contains("html", F.lit(card_id or f"<{card_tag}")))
     return _per_page(pages, key, "pos int, row_text string", rows_of)
@@ -172,7 +206,7 @@ def links(pages: DataFrame, key: str, class_value: str | None = None) -> DataFra
             same = attrs.get("class", "").split() == class_value.split()
             return same and bool(attrs.get("href"))
 
-        return [(i, e.attrs["href"]) for i, e in enumerate(_read(html, wanted))]
+        return [(i, e.attrs.get("href")) for i, e in enumerate(_read(html, wanted))]
 
     if class_value is not None:
         pages = pages.filter(F.contains("html", F.lit(class_value.split()[0])))
@@ -201,14 +235,14 @@ def sections(
         for e in _read(html, wanted):
             if e.tag == "h2":
                 for outer in e.around:
-                    headings.setdefault(id(outer), "".join(e.texts).strip())
+                    headings.setdefault(id(outer), "".join(_pieces(e)).strip())
             if section(e.tag, e.attrs):
                 out.append(e)
         out = [
             {
                 "section_id": e.attrs.get("id"),
                 "heading": headings.get(id(e)),
-                "body": " ".join(t.strip() for t in e.texts if t.strip()),
+                "body": " ".join(filter(None, (t.strip() for t in _pieces(e)))),
             }
             for e in out
         ]

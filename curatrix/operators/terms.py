@@ -87,54 +87,43 @@ def names_by_automaton(texts: DataFrame, text: Column, rows: list, out: str) ->
     return spread(texts).withColumn(out, found(text))
 
 
+def _distinct_runs(pieces: DataFrame, key: str, shortest: int, longest: int, out: str) -> DataFrame:
+    """The distinct runs of up to `longest` characters that start in each piece."""
+    pattern = f"(?s)(?=(.{{{shortest},{longest}}}))"
+    runs = F.array_distinct(F.regexp_extract_all("_piece", F.lit(pattern), F.lit(1)))
+    return pieces.select(F.col(key), F.explode(runs).alias(out))
+
+
 def name_pairs(texts: DataFrame, key: str, text: Column, terms: DataFrame) -> DataFrame:
     """Distinct `(key, name)` for a dictionary of any size."""
     terms = materialise(terms, "terms")
     spellings = terms.select("_term").distinct()
-    head = F.left("_term", F.lit(HEAD))
-    heads = spellings.groupBy(head.alias("_head")).agg(
-        F.sort_array(F.collect_set(F.length("_term"))).alias("_lengths")
-    )
-    longest, shortest = (
-        spellings.agg(
-            F.coalesce(F.max(F.length("_term")), F.lit(1)),
-            F.coalesce(F.min(F.length("_term")), F.lit(1)),
-        ).first()
-    )
+    lengths = spellings.groupBy(F.length("_term").alias("n")).count().select("n")
+    # One row per length below the head, and one with the longest term of all.
+    known = lengths.groupBy(F.least("n", F.lit(HEAD)).alias("n")).agg(F.max("n").alias("longest"))
+    longest_of = {row["n"]: row["longest"] for row in known.collect()}
+    longest = max(longest_of.values(), default=1)
+    cut = f"(?s)(?=(.{{1,{PIECE + longest - 1}}})).{{1,{PIECE}}}"
     pieces = spread(texts).select(
-        F.col(key),
-        F.explode(
-            F.regexp_extract_all(
-                text, F.lit(f"(?s)(?=(.{{1,{PIECE + longest - 1}}})).{{1,{PIECE}}}"), F.lit(1)
-            )
-        ).alias("_piece"),
-    )
-    windows = pieces.select(
-        F.col(key),
-        F.explode(
-            F.array_distinct(
-                F.regexp_extract_all(
-                    "_piece", F.lit(f"(?s)(?=(.{{{shortest},{longest}}}))"), F.lit(1)
-                )
-            )
-        ).alias("_window"),
+        F.col(key), F.explode(F.regexp_extract_all(text, F.lit(cut), F.lit(1))).alias("_piece")
     )
-    # Terms shorter than the head are heads themselves, so shorter starts count too.
-    starts = [HEAD] if shortest >= HEAD else list(range(shortest, HEAD + 1))
-    headed = windows.withColumn(
-        "_head",
-        F.explode(
-            F.array_distinct(F.array(*[F.left("_window", F.lit(n)) for n in starts]))
-        )
-        if len(starts) > 1
-        else F.left("_window", F.lit(HEAD)),
+    heads = (
+        spellings.filter(F.length("_term") >= HEAD)
+        .groupBy(F.left("_term", F.lit(HEAD)).alias("_head"))
+        .agg(F.sort_array(F.collect_set(F.length("_term"))).alias("_lengths"))
     )
     candidates = (
-        headed.join(broadcast_if_small(heads), "_head")
+        _distinct_runs(pieces, key, HEAD, max(longest, HEAD), "_window")
+        .withColumn("_head", F.left("_window", F.lit(HEAD)))
+        .join(broadcast_if_small(heads), "_head")
         .select(key, "_window", F.explode("_lengths").alias("_length"))
         .filter(F.length("_window") >= F.col("_length"))
         .select(key, F.left("_window", F.col("_length")).alias("_term"))
     )
+    # Terms shorter than the head are found as they are; a text has few runs so short.
+    for n in sorted(longest_of):
+        if n < HEAD:
+            candidates = candidates.unionByName(_distinct_runs(pieces, key, n, n, "_term"))
     found = candidates.join(broadcast_if_small(spellings), "_term").distinct()
     return found.join(broadcast_if_small(terms), "_term").select(key, "_name").distinct()
 
