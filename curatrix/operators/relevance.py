@@ -6,12 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
+from pyspark.ml.feature import IDF, HashingTF, Tokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curatrix.functions.text import contains_term
+from curatrix.session import spread
 
 # The labels a relevance job may give.
 RELEVANCE = ("Yes", "No", "Unsure")
@@ -31,18 +32,18 @@ def label_by_rule(text: Column, terms: Sequence[str], yes_from: int = 2, unsure_
     return F.when(hits >= yes_from, "Yes").when(hits >= unsure_from, "Unsure").otherwise("No")
 
 
-def fit_relevance(labelled: DataFrame, text: str, label: str, features: int = 1 << 16) -> PipelineModel:
+def fit_relevance(labelled: DataFrame, text: str, label: str, features: int = 1 << 14) -> PipelineModel:
     """Hashed TF-IDF and logistic regression; `label` holds 0 or 1.
 
     The model has one weight per hash bucket, so its size does not grow with the
     texts. Judge it on rows that were held out.
     """
-    ready = labelled.select(
+    ready = spread(labelled).select(
         F.coalesce(text, F.lit("")).alias("_text"), F.col(label).cast("double").alias("_label")
     )
     return Pipeline(
         stages=[
-            RegexTokenizer(inputCol="_text", outputCol="_words", pattern=r"(?U)\W+"),
+            Tokenizer(inputCol="_text", outputCol="_words"),
             HashingTF(inputCol="_words", outputCol="_tf", numFeatures=features),
             IDF(inputCol="_tf", outputCol="_features"),
             LogisticRegression(
@@ -63,7 +64,7 @@ def label_by_model(
     yes_from: float = 0.6,
 ) -> DataFrame:
     """Two probability cuts; in between is `Unsure`."""
-    scored = model.transform(df.withColumn("_text", F.coalesce(text, F.lit(""))))
+    scored = model.transform(spread(df).withColumn("_text", F.coalesce(text, F.lit(""))))
     p = vector_to_array("_probability")[1]
     return scored.select(
         *df.columns, F.when(p >= yes_from, "Yes").when(p < no_below, "No").otherwise("Unsure").alias(name)

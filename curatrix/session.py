@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 import tempfile
 import uuid
 
@@ -83,6 +84,10 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 200_000, max_bytes: int =
     return F.broadcast(df) if n_rows <= max_rows and n_bytes <= max_bytes else df
 
 
+_SHUFFLE = re.compile(r"\bExchange (hash|range|RoundRobin|Single)")
+_PYTHON = re.compile(r"MapInPandas|ArrowEvalPython")
+
+
 def _physical_plan(df: DataFrame) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
@@ -93,9 +98,8 @@ def settle(df: DataFrame, tag: str) -> DataFrame:
     A frame that shuffles or runs Python is written once instead of being computed
     again; a plain scan is returned as it is.
     """
-    text = _physical_plan(df)
-    dear = any(node in text for node in ("Exchange", "MapInPandas", "ArrowEvalPython"))
-    return materialise(df, tag) if dear else df
+    plan = _physical_plan(df)
+    return materialise(df, tag) if _SHUFFLE.search(plan) or _PYTHON.search(plan) else df
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -105,7 +109,7 @@ def spread(df: DataFrame) -> DataFrame:
     with a shuffle in its plan: Spark chose its partitions, and asking for their number
     would run that shuffle.
     """
-    if "Exchange" in _physical_plan(df):
+    if _SHUFFLE.search(_physical_plan(df)):
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
