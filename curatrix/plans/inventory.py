@@ -5,15 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.functions.dates import elapsed_days
+from curatrix.functions.dates import clock_text, elapsed_days
 from curatrix.operators.filters import aged
 from curatrix.operators.naming import Conventions, naming_report
 from curatrix.sinks.export import export_tables
 from curatrix.sources.inventory import inventory as checked_inventory
 
 
-def naming_audit(inventory: DataFrame, rules: Conventions = Conventions()) -> DataFrame:
-    return naming_report(checked_inventory(inventory), rules)
+def naming_audit(
+    inventory: DataFrame, rules: Conventions = Conventions(), now: Column | None = None
+) -> DataFrame:
+    """The naming report, with the clock time of `now` on every line when it is given."""
+    report = naming_report(checked_inventory(inventory), rules)
+    return report if now is None else report.withColumn("time", clock_text(now))
 
 
 def table_ages(inventory: DataFrame, now: Column, dataset: str | None = None, min_days: int = 30) -> DataFrame:

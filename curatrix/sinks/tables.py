@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,6 +29,11 @@ def write_table(df: DataFrame, target: str, mode: str = "overwrite", fmt: str =
     return target
 
 
+def stamped_path(root: str, name: str, at: datetime) -> str:
+    """Output path with the run time in its name, such as `articles_feb01_1504`."""
+    return f"{root.rstrip('/')}/{name}_{at.strftime('%b%d_%H%M').lower()}"
+
+
 def write_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> str:
     """CSV folder with a header; array columns become JSON text.
 

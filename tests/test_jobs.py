@@ -12,7 +12,7 @@ from curatrix.operators.domains import suffix_rules
 from curatrix.operators.naming import Conventions
 from curatrix.plans import articles, concepts, counts, events, inventory, mentions, outlets, reconcile
 from curatrix.session import shared_dir
-from curatrix.sinks.tables import write_csv, write_table
+from curatrix.sinks.tables import stamped_path, write_csv, write_table
 from curatrix.sources.files import scan_csv
 from curatrix.sources.inventory import inventory_from_catalog
 from curatrix.sources.tables import from_records, scan_sql, scan_table
@@ -294,6 +294,12 @@ def test_naming_audit_with_and_without_whitelists(spark):
     assert [(r.level, r.line) for r in fine] == [("dataset", "none"), ("table", "All passing")]
 
 
+def test_audit_time_and_stamped_path(spark):
+    out = inventory.naming_audit(listed(spark, ("raw_x", "banking_x")), now=F.lit(NOW)).collect()
+    assert {r.time for r in out} == {"12:00 PM"}
+    assert stamped_path("/out/", "articles", dt.datetime(2024, 2, 1, 15, 4)) == "/out/articles_feb01_1504"
+
+
 def test_table_ages(spark):
     def at(name, created, modified):
         return ("p", "raw_x", name, "TABLE", created, modified)
