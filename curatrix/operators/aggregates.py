@@ -35,11 +35,17 @@ def by_total(df: DataFrame, key: str, total: str = "total") -> DataFrame:
     return df.orderBy(F.desc(total), F.asc(key))
 
 
+def digest(c: Column | str) -> Column:
+    """A key that stands for a long text; null stays null."""
+    return F.sha2(c, 256)
+
+
 def keep_first(df: DataFrame, keys: Sequence[str | Column], order: Sequence[str | Column]) -> DataFrame:
     """One row per key, the first in `order`, which must leave no ties that matter.
 
     Spark limits each group to one row per task before it shuffles, so copies of a
-    hot key never meet in one task.
+    hot key never meet in one task. For a long text as key pass its `digest`, so that
+    the shuffle carries 64 characters instead of the text.
     """
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_nth", F.row_number().over(w)).filter(F.col("_nth") == 1).drop("_nth")

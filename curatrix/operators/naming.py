@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curatrix.functions.text import starts_with_any
+from curatrix.session import settle
 
 # Conventions and exceptions of the audit.
 DATASET_PREFIXES = ("raw_", "curated_", "product_", "temporary")
@@ -68,7 +69,7 @@ def naming_report(inventory: DataFrame, rules: Conventions = Conventions()) -> D
 
     The report stays one row per line, so its length is not bound by a task.
     """
-    failures = naming_failures(inventory, rules)
+    failures = naming_failures(settle(inventory, "inventory"), rules)
     clean = inventory.sparkSession.createDataFrame(
         [("dataset", "none"), ("table", "All passing")], "level string, item string"
     ).join(failures.select("level").distinct(), "level", "left_anti")

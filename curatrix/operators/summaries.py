@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curatrix.functions.text import contains_term
-from curatrix.session import spread
+from curatrix.session import settle, spread
 
 # Runs up to an end mark or line break, each read once: a pattern that demands the end
 # mark would rescan a long run without one from every position.
@@ -98,6 +98,8 @@ def summarise(
     `length`. Sentences are ranked inside their own row: apart from the small table of
     weights nothing is shuffled.
     """
+    if score == "rarity":
+        articles = settle(articles, "articles")  # read for the weights and for the ranks
     spreaded = spread(articles)
     columns = [F.col(f"`{c}`") for c in articles.columns]
     if score == "rarity":

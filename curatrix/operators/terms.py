@@ -142,7 +142,8 @@ def names_by_join(texts: DataFrame, key: str, text: Column, terms: DataFrame, ou
 
 
 def choose_way(terms: DataFrame) -> str:
-    n, chars = terms.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.length("_term")), F.lit(0))).first()
+    width = F.length("_term") + F.length(F.col("_name").cast("string"))
+    n, chars = terms.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
     if n <= SCAN_TERMS and chars <= AUTOMATON_CHARS:
         return "scan"
     if ahocorasick and n <= AUTOMATON_TERMS and chars <= AUTOMATON_CHARS:

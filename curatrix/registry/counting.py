@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from curatrix.functions.arrays import labels_where
 from curatrix.operators.aggregates import (
-    by_total, count_matrix, count_per, count_present, keep_first, last_by_key, value_lists,
+    by_total, count_matrix, count_per, count_present, digest, keep_first, last_by_key, value_lists,
 )
 from curatrix.operators.filters import without_key
 from curatrix.operators.joins import left_join
@@ -117,8 +117,8 @@ def dedup_rows(t):
            PARTITION BY text ORDER BY doc_id) AS nth FROM documents) WHERE nth = 1""",
 )
 def keep_first_query(t):
-    rows = t.documents.select("doc_id", "source", "text")
-    return keep_first(rows, ["text"], ["doc_id"]).drop("text")
+    rows = t.documents.select("doc_id", "source", digest("text").alias("text_digest"))
+    return keep_first(rows, ["text_digest"], ["doc_id"]).drop("text_digest")
 
 
 @query(
