@@ -165,7 +165,9 @@ def table_rows(
         found = _read(html, wanted)
         return [(i, "".join(_pieces(e))) for i, e in enumerate(found[1:])]
 
-    pages = pages.filter(F.contains("html", F.lit(card_id or f"<{card_tag}")))
+    # Most pages without a card are left out before they reach Python.
+    hint = F.contains("html", F.lit(card_id)) if card_id else F.contains(F.lower("html"), F.lit(f"<{card_tag}"))
+    pages = pages.filter(hint)
     return _per_page(pages, key, "pos int, row_text string", rows_of)
 
 

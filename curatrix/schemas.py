@@ -15,7 +15,6 @@ def struct(**columns: T.DataType) -> T.StructType:
 
 
 CALENDAR_LINKS = struct(market_screener_link=TEXT, company_id=TEXT, name=TEXT)
-PAGES = struct(url=TEXT, status=WHOLE, html=TEXT)
 EVENTS_RAW = struct(name=TEXT, date=TEXT, company_id=TEXT, event=TEXT)
 PAPERS_OLD = struct(paper_url=TEXT, company_name=TEXT)
 PAPERS_NEW = struct(paper_url=TEXT, paper_title=TEXT, paper_description=TEXT, company_name=TEXT)

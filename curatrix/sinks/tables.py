@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import datetime
+from urllib.parse import urlsplit
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,9 +20,8 @@ def write_table(df: DataFrame, target: str, mode: str = "overwrite", fmt: str =
     refused.
     """
     if "/" in target:
-        goal = target.rstrip("/")
-        inputs = [f.removeprefix("file://").removeprefix("file:") for f in df.inputFiles()]
-        if mode == "overwrite" and any(f.startswith(goal + "/") for f in inputs):
+        goal = urlsplit(target).path.rstrip("/") + "/"
+        if mode == "overwrite" and any(urlsplit(f).path.startswith(goal) for f in df.inputFiles()):
             raise ValueError(f"{target} is an input of the frame written to it")
         df.write.mode(mode).format(fmt).save(target)
     else:

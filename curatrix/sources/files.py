@@ -28,7 +28,8 @@ def scan_csv(
     """Typed CSV scan; a row that does not fit the schema fails the job.
 
     An empty value is missing, quoted or not, as in a data-frame reader.
-    `index_column` drops a leading row-index column that `schema` does not list.
+    The header is checked against the schema. `index_column` drops a leading, usually
+    unnamed row-index column that `schema` does not list; the header is then not checked.
     `multi_line` is needed where values or headers hold line breaks; such files
     cannot be split, so write them in parts of bounded size (see `write_csv`).
     """
@@ -37,7 +38,12 @@ def scan_csv(
         declared = T.StructType([T.StructField("_row_index", T.StringType()), *schema.fields])
     df = (
         spark.read.schema(declared)
-        .options(**CSV_OPTIONS, mode="FAILFAST", multiLine=str(multi_line).lower())
+        .options(
+            **CSV_OPTIONS,
+            mode="FAILFAST",
+            multiLine=str(multi_line).lower(),
+            enforceSchema=str(index_column).lower(),
+        )
         .csv(path)
     )
     return df.drop("_row_index") if index_column else df

@@ -367,6 +367,9 @@ def test_index_column_and_bad_types(spark, tmp_path):
     (tmp_path / "a.csv").write_text(",k,n\n0,a,1\n1,b,2\n")
     kind = schemas.struct(k=schemas.TEXT, n=schemas.WHOLE)
     assert rows(scan_csv(spark, str(tmp_path / "a.csv"), kind, index_column=True)) == [("a", 1), ("b", 2)]
+    (tmp_path / "c.csv").write_text("k,other\na,1\n")
+    with pytest.raises(Exception, match="header"):
+        scan_csv(spark, str(tmp_path / "c.csv"), kind).collect()
     (tmp_path / "b.csv").write_text("k,n\na,one\n")
     with pytest.raises(Exception, match="MALFORMED|FAILFAST|malformed"):
         scan_csv(spark, str(tmp_path / "b.csv"), kind).collect()
