@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -21,17 +22,15 @@ CAPACITY = 2048
 # Words of these characters are classed alike by every Unicode version.
 _LATIN = re.compile(r"[\n -~¡-ɏ]*")
 _ONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
-_CACHED_WORDS = 400_000
 
 
-class WordIds:
-    """Token ids of texts as little-endian 32-bit bytes, word by word.
+class TextIds:
+    """Token ids of texts as little-endian 32-bit bytes.
 
-    A single space between two visible characters always starts a new word of the
-    byte-level vocabulary, so a text's ids are the ids of its words end to end. Words
-    repeat, and each is encoded once while the cache holds it. Words of Latin characters
-    go through the merge ranks of the same vocabulary, which is faster; all others, and
-    whatever may hold a special string, go through the tokenizer itself.
+    Runs of Latin characters go through the merge ranks of the same vocabulary, which
+    gives the same ids faster. Words with other characters, or with what may be a
+    special string, go through the tokenizer itself. A text is parted only at single
+    spaces between two visible characters, where a new word always starts.
     """
 
     def __init__(self, json_path: str, ranks_path: str | None) -> None:
@@ -53,44 +52,35 @@ class WordIds:
             with open(ranks_path, "rb") as lines:
                 ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
             self.ranks = tiktoken.Encoding(
-                "words", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
+                "latin", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}
             )
-        self.first: dict[str, bytes] = {}
-        self.later: dict[str, bytes] = {}
-
-    def _encode(self, words: list[str]) -> list[bytes]:
-        out: dict[int, bytes] = {}
-        others = []
-        for i, word in enumerate(words):
-            if self.ranks is not None and "<|" not in word and _LATIN.fullmatch(word):
-                out[i] = np.asarray(self.ranks.encode_ordinary(word), "<u4").tobytes()
-            else:
-                others.append(i)
-        if others:
-            encoded = self.model.encode_batch_fast([words[i] for i in others], add_special_tokens=False)
-            for i, e in zip(others, encoded, strict=True):
-                out[i] = np.asarray(e.ids, "<u4").tobytes()
-        return [out[i] for i in range(len(words))]
+
+    def _other(self, text: str) -> bytes:
+        ids = self.model.encode_batch_fast([text], add_special_tokens=False)[0].ids
+        return np.asarray(ids, "<u4").tobytes()
+
+    def _latin(self, text: str) -> bytes:
+        return np.asarray(self.ranks.encode_ordinary(text), "<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
         if not text:
             return b""
+        if self.ranks is None:
+            return self._other(text)
+        if "<|" not in text and _LATIN.fullmatch(text):
+            return self._latin(text)
+        out = []
         words = _ONE_SPACE.split(text)
-        head, *tail = words
-        if len(self.later) > _CACHED_WORDS:
-            self.later.clear()
-        if len(self.first) > _CACHED_WORDS // 8:
-            self.first.clear()
-        if missing := list(set(tail) - self.later.keys()):
-            self.later.update(zip(missing, self._encode([f" {w}" for w in missing]), strict=True))
-        if head not in self.first:
-            self.first[head] = self._encode([head])[0]
-        return self.first[head] + b"".join(map(self.later.__getitem__, tail))
+        words[1:] = [f" {w}" for w in words[1:]]
+        for latin, run in groupby(words, lambda w: "<|" not in w and bool(_LATIN.fullmatch(w))):
+            joined = "".join(run)
+            out.append(self._latin(joined) if latin else self._other(joined))
+        return b"".join(out)
 
 
 @lru_cache(maxsize=2)
-def _word_ids(json_path: str, ranks_path: str | None) -> WordIds:
-    return WordIds(json_path, ranks_path)
+def _text_ids(json_path: str, ranks_path: str | None) -> TextIds:
+    return TextIds(json_path, ranks_path)
 
 
 def pieces(
@@ -116,7 +106,7 @@ def pieces(
     schema += ", ids array<long>" * with_ids
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = _word_ids(json_path, ranks_path)
+        encode = _text_ids(json_path, ranks_path)
         task = TaskContext.get()
         number = task.partitionId() if task else 0
         seen: dict[int, int] = defaultdict(int)
