@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from curatrix.llm import packing, tokens, toxicity
+from curatrix.llm import packing, repeats, tokens, toxicity
 from curatrix.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,6 +30,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
 
 
+@query()
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
 @query()
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
