@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from curatrix.llm import packing, repeats, tokens, toxicity
+from curatrix.llm import jaccard, packing, repeats, tokens, toxicity
 from curatrix.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -48,3 +48,8 @@ def op7_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         public_tokenizers.path("byte_bpe_50k.json"),
         public_tokenizers.path("byte_bpe_50k.tiktoken"),
     )
+
+
+@query()
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_components(read_table(spark, sf_dir, "documents"))
