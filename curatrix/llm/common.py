@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from curatrix.session import materialise
 
 # An Arrow batch holds whole texts; these bounds keep a worker's batch small.
-BATCH_ROWS = 2_000
-BATCH_BYTES = 16 << 20
+BATCH_ROWS = 1_000
+BATCH_BYTES = 8 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:

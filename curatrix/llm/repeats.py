@@ -15,6 +15,7 @@ from curatrix.llm.sharing import SCHEMA, Blocks, cut, shared_keys, sizes, unpack
 from curatrix.llm.suffixes import LENGTH, SPAN, STEP, buckets26, buckets50, stretches
 
 _ENTRIES = "part int, settled boolean, ids binary, digests binary, owners binary, starts binary, counts binary, keys binary, bytes binary"
+_HELD = 1 << 19  # windows compared at once within a batch
 _MARKS = "id long, digest long, starts binary, ends binary"
 
 
@@ -118,7 +119,7 @@ def _entry_rows(
 
 
 def _refined(texts: DataFrame, shared: DataFrame, parts: int) -> DataFrame:
-    """Windows of shared buckets that no earlier document of their own batch has.
+    """Windows of shared buckets that no earlier document near them in their batch has.
 
     Those that one has are settled there: their spans pass through as marks.
     """
@@ -135,6 +136,7 @@ def _refined(texts: DataFrame, shared: DataFrame, parts: int) -> DataFrame:
                 continue
             wanted = np.unique(unpack_keys(b"".join(lists)))
             found: list[tuple[np.ndarray, ...]] = []
+            held = 0
             for part in stretches(data, offsets):
                 short = cut(part.key)
                 at = np.minimum(np.searchsorted(wanted, short), len(wanted) - 1)
@@ -142,19 +144,27 @@ def _refined(texts: DataFrame, shared: DataFrame, parts: int) -> DataFrame:
                 if len(chosen):
                     place, nth, window = part.windows(chosen)
                     found.append((part.owner[chosen][nth], part.key[chosen][nth], place, window))
-            if not found:
-                continue
-            owner, key, place, window = (np.concatenate(c) for c in zip(*found, strict=True))
-            known = _later(ids[owner], window, key)
-            rows = list(_entry_rows(ids, digests, data, owner[~known], key[~known], place[~known], offsets, parts))
-            if known.any():
-                marks = _mark_rows(ids, digests, owner[known], place[known] - offsets[owner[known]])
-                rows += [(i % parts, True, *m, b"", b"", b"") for i, m in enumerate(_as_columns(marks))]
-            types = [pa.int32(), pa.bool_(), *[pa.binary()] * 7]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)],
-                names=[f.split()[0] for f in _ENTRIES.split(", ")],
-            )
+                    held += len(place)
+                if held >= _HELD:
+                    yield from settle(ids, digests, data, offsets, found)
+                    found, held = [], 0
+            if found:
+                yield from settle(ids, digests, data, offsets, found)
+
+    def settle(
+        ids: np.ndarray, digests: np.ndarray, data: np.ndarray, offsets: np.ndarray, found: list[tuple[np.ndarray, ...]]
+    ) -> Iterator[pa.RecordBatch]:
+        owner, key, place, window = (np.concatenate(c) for c in zip(*found, strict=True))
+        known = _later(ids[owner], window, key)
+        rows = list(_entry_rows(ids, digests, data, owner[~known], key[~known], place[~known], offsets, parts))
+        if known.any():
+            marks = _mark_rows(ids, digests, owner[known], place[known] - offsets[owner[known]])
+            rows += [(i % parts, True, *m, b"", b"", b"") for i, m in enumerate(_as_columns(marks))]
+        types = [pa.int32(), pa.bool_(), *[pa.binary()] * 7]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)],
+            names=[f.split()[0] for f in _ENTRIES.split(", ")],
+        )
 
     return joined.mapInArrow(refine_windows, _ENTRIES)
 

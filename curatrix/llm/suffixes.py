@@ -16,7 +16,7 @@ import numpy as np
 LENGTH = 50  # of the strings looked for
 GRAM = 26  # of the grams that name a window's bucket
 SPAN = LENGTH - GRAM + 1  # grams in a window
-STEP = 1 << 18  # windows worked on at once
+STEP = 1 << 17  # windows worked on at once
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _S = np.uint64(32)
 
