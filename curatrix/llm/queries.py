@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from curatrix.llm import jaccard, packing, repeats, tokens, toxicity
+from curatrix.llm import decontamination, jaccard, packing, repeats, tokens, toxicity
 from curatrix.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,12 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(read_table(spark, sf_dir, "documents"))
 
 
+@query()
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark")
+    return decontamination.contaminations(docs, items)
+
+
 @query()
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
