@@ -5,10 +5,30 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from curatrix.llm import packing
+from curatrix.llm import decontamination, jaccard, packing, repeats, toxicity
 from curatrix.llm.common import read_table, written
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that the classifier finds toxic."""
+    return toxicity.without_toxic(docs, read_table(spark, sf_dir, "labels"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the smallest id of each component of similar ones."""
+    return jaccard.one_of_each(docs)
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Cuts out every 50-byte string that also starts in a document of a smaller id."""
+    return repeats.cut_repeats(docs)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a benchmark item, also with a few edits."""
+    return decontamination.without_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs every document that is left; one row per piece."""
     return packing.pack(
@@ -18,8 +38,15 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     )
 
 
-STAGES = [("pack", pack)]
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("repeated_passages", cut_repeated_passages),
+    ("benchmark_leaks", drop_contaminated),
+    ("packing", pack),
+]
 
+# The classifier, the joins on shingles and the tokenizer have no SQL form.
 ORACLE_SQL = None
 
 

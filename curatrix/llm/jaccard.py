@@ -7,11 +7,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curatrix.llm.common import bounded_batches, utf8, written
 from curatrix.llm.graph import components
+from curatrix.llm.idmap import choose, is_wanted, wanted_map
 from curatrix.llm.sharing import SCHEMA, Blocks, shared_keys, sizes
 from curatrix.llm.shingles import shingle_sets
 from curatrix.llm.suffixes import refine
@@ -21,7 +22,6 @@ from curatrix.llm.suffixes import refine
 _SHARE, _OF = 80, 100
 _ALONE = 3  # sets of at most so many tokens are only similar to their equals
 _TOKENS = 1 << 20  # worked on at once
-_BITS = 26  # of the map of ids that are wanted
 
 
 @lru_cache(maxsize=1)
@@ -157,46 +157,12 @@ def set_table(docs: DataFrame) -> DataFrame:
     return docs.select("id", "text").mapInArrow(measure, "id long, n long, one long, two long")
 
 
-def wanted_map(spark: SparkSession, ids: DataFrame):
-    """A broadcast map of the ids that are wanted: 2^26 bits, whatever their number.
-
-    It may let others through (all, if there are very many ids) but stops none.
-    """
-    place = F.pmod(F.col("id"), F.lit(1 << _BITS))
-    rows = (
-        ids.select(place.alias("p"))
-        .groupBy(F.expr("bitmap_bucket_number(p)").alias("bucket"))
-        .agg(F.expr("bitmap_construct_agg(bitmap_bit_position(p))").alias("bits"))
-        .collect()  # at most 2^26 / 32768 + 1 rows of 4 KB
-    )
-    bits = np.zeros(((1 << _BITS) >> 15) + 2, dtype="V4096").view(np.uint8).reshape(-1, 4096)
-    for row in rows:
-        bits[row["bucket"]] = np.frombuffer(row["bits"], np.uint8)
-    return spark.sparkContext.broadcast(bits.reshape(-1).copy())
-
-
-def _is_wanted(bits: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    place = ids % (1 << _BITS)
-    # Bucket 0 holds place 0 only where numbering starts at 1: buckets are 1 + (p - 1) / 32768.
-    bucket = np.where(place > 0, 1 + (place - 1) // 32768, 0)
-    position = np.where(place > 0, (place - 1) % 32768, 0)
-    return (bits[bucket * 4096 + position // 8] >> (position % 8).astype(np.uint8)) & 1 == 1
-
-
-def _only_wanted(docs: DataFrame, wanted) -> DataFrame:
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield batch.filter(pa.array(_is_wanted(wanted.value, batch.column(0).to_numpy(zero_copy_only=False))))
-
-    return docs.select("id", "text").mapInArrow(choose, "id long, text string")
-
-
 def candidate_keys(docs: DataFrame, wanted, parts: int, partitions: int) -> DataFrame:
     """`id`, `key` of every wanted set for the keys that several sets have."""
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = Blocks(parts)
         for batch in batches:
-            batch = batch.filter(pa.array(_is_wanted(wanted.value, batch.column(0).to_numpy(zero_copy_only=False))))
+            batch = batch.filter(pa.array(is_wanted(wanted, batch.column(0))))
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             owner, token, count = _sets_in(batch, 1)
             bounds = np.concatenate([[0], np.cumsum(count)])
@@ -218,10 +184,9 @@ def verified(docs: DataFrame, pairs: DataFrame, tag: str) -> DataFrame:
     Texts travel only for ids in a pair. The partners of a much-wanted `a` are dealt over
     groups of some hundred, and its text is sent once to each group.
     """
-    spark = docs.sparkSession
     pairs = written(pairs, f"{tag}-pairs")
     ids = pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct()
-    texts = _only_wanted(docs, wanted_map(spark, ids))
+    texts = choose(docs, wanted_map(ids), "id")
     groups = pairs.groupBy("a").agg(F.count(F.lit(1)).alias("n"))
     dealt = pairs.join(groups, "a").select(
         "a", "b", F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / 256)).alias("deal")
@@ -266,8 +231,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
     4. Keys whose nodes are still apart are compared across the components, every pair
        that is not joined yet, so that no link between components is missed.
     """
-    spark = docs.sparkSession
-    bounded_batches(spark)
+    bounded_batches(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     known = rows.where("id is not null")
@@ -277,7 +241,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
     )
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts, partitions = sizes(total)
-    wanted = wanted_map(spark, keepers.where(f"n > {_ALONE}").select(F.col("keeper").alias("id")))
+    wanted = wanted_map(keepers.where(f"n > {_ALONE}").select("keeper"))
     keys = written(candidate_keys(known, wanted, parts, partitions), "keys")
     heads = keys.groupBy("key").agg(F.min("id").alias("a"))
     near = keys.join(heads, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct()
@@ -321,3 +285,18 @@ def _fitting(pairs: DataFrame, size: DataFrame) -> DataFrame:
         .where(f"{_OF} * most_a >= {_SHARE} * least_b and {_OF} * most_b >= {_SHARE} * least_a")
         .select("a", "b")
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of `docs`, all columns, without near duplicates: one document of each component.
+
+    The document with the smallest id stays, once. Rows without an id stay. Only texts
+    that may have to go are shuffled.
+    """
+    labels = written(similar_components(docs), "components")
+    gone = labels.where("doc_id <> component_id").select("doc_id").distinct()
+    repeated = labels.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    looked_at = wanted_map(gone.union(repeated.select("doc_id")))
+    kept = choose(docs, looked_at, inside=False)
+    rest = choose(docs, looked_at).join(gone, "doc_id", "left_anti")
+    return kept.unionByName(rest.dropDuplicates(["doc_id", "text"]))

@@ -6,11 +6,13 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import bounded_batches, utf8
+from curatrix.llm.common import bounded_batches, utf8, written
+from curatrix.llm.idmap import choose, wanted_map
 from curatrix.llm.sharing import SCHEMA, Blocks, cut, shared_keys, sizes, unpack_ids, unpack_keys
 from curatrix.llm.suffixes import LENGTH, SPAN, STEP, buckets26, buckets50, stretches
 
@@ -332,3 +334,38 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
     if with_text:
         columns += [F.when(copy, F.lit(b"")).otherwise(F.col("kept")).alias("kept"), "digest"]
     return out.select(*columns)
+
+
+def cut_repeats(docs: DataFrame) -> DataFrame:
+    """The rows of `docs`, all columns, with their repeated passages cut out of `text`.
+
+    `n_chars`, if there, follows the text. What is left of a character that was cut is
+    dropped. A row of which nothing is left goes; rows that were empty stay. Only texts
+    with something cut out are shuffled again.
+    """
+    found = written(
+        remove_repeats(docs, with_text=True)
+        .where("n_removed > 0")
+        .select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "kept")
+        .dropDuplicates(["_id", "_digest"]),
+        "cut",
+    )
+    changed = wanted_map(found.select("_id"))
+    same = choose(docs, changed, inside=False)
+    rest = choose(docs, changed).join(
+        found, (F.col("doc_id") == F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_digest")), "left"
+    )
+    text = F.when(F.col("_id").isNull(), F.col("text")).otherwise(_valid_text("kept"))
+    cut_ = rest.withColumn("text", text).where(F.col("_id").isNull() | (F.length("text") > 0))
+    if "n_chars" in docs.columns:
+        size = F.length("text").cast(docs.schema["n_chars"].dataType)
+        cut_ = cut_.withColumn("n_chars", F.when(F.col("_id").isNull(), F.col("n_chars")).otherwise(size))
+    return same.unionByName(cut_.select(docs.columns))
+
+
+def _valid_text(column: str) -> F.Column:
+    @F.pandas_udf("string")
+    def decode(values: pd.Series) -> pd.Series:
+        return values.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
+
+    return decode(F.col(column))

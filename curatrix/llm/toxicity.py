@@ -245,6 +245,18 @@ def _features(rows: DataFrame, model: Model, key_field: str) -> DataFrame:
     return rows.mapInArrow(measure, f"{key_field}, best double, three double, size double")
 
 
+def _probabilities(model: Model, windows: Windows | None, texts: pa.Array) -> np.ndarray:
+    if windows is None:
+        return np.full(len(texts), model.base_rate)
+    raw = np.asarray([windows.features(t) for t in strings(texts)]).reshape(-1, 3)
+    z = np.column_stack([_expand(raw), np.ones(len(raw))]) @ np.asarray(model.weights)
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def _windows(model: Model) -> Windows | None:
+    return Windows(model.toxic, model.ordinary, model.key) if model.weights else None
+
+
 def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     """`doc_id`, `score` (0 to 1) and `predicted` (1 from `threshold`) of every whole text.
 
@@ -254,17 +266,11 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     """
     bounded_batches(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
-    weights = np.asarray(model.weights)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows = Windows(model.toxic, model.ordinary, model.key) if len(weights) else None
+        windows = _windows(model)
         for batch in batches:
-            if windows:
-                raw = np.asarray([windows.features(t) for t in strings(batch.column(1))]).reshape(-1, 3)
-                z = np.column_stack([_expand(raw), np.ones(len(raw))]) @ weights
-                p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-            else:
-                p = np.full(batch.num_rows, model.base_rate)
+            p = _probabilities(model, windows, batch.column(1))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(p), pa.array((p >= threshold).astype(np.int32))],
                 names=["doc_id", "score", "predicted"],
@@ -283,3 +289,17 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **fit_o
     model = fit(docs, labels, **fit_options)
     scored = score(docs, model, threshold)
     return scored.select("doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **fit_options) -> DataFrame:
+    """The rows of `docs`, with all their columns, that score below `threshold`."""
+    bounded_batches(docs.sparkSession)
+    model = fit(docs, labels, **fit_options)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        windows = _windows(model)
+        for batch in batches:
+            p = _probabilities(model, windows, batch.column(batch.schema.get_field_index("text")))
+            yield batch.filter(pa.array(p < threshold))
+
+    return docs.mapInArrow(keep, docs.schema)
