@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from curatrix.llm import decontamination, jaccard, packing, repeats, tokens, toxicity
+from curatrix.llm import decontamination, jaccard, packing, repeats, tokens, topk, toxicity, urls
 from curatrix.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,30 @@ def op7_pattern_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.similar_components(read_table(spark, sf_dir, "documents"))
+
+
+@query(
+    """
+    WITH v AS (
+        SELECT vec_id AS id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+        FROM embeddings
+        WHERE embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), s AS (
+        SELECT q.id AS query_id, c.id AS vec_id,
+               CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+        FROM v q JOIN v c ON q.id % 50 = 0 AND q.id <> c.id
+    ), r AS (
+        SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+    )
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """
+)
+def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = topk.scaled(read_table(spark, sf_dir, "embeddings"))
+    return topk.top_k(table, table.where("id % 50 = 0"), k=5)
+
+
+@query()
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(read_table(spark, sf_dir, "pages"))

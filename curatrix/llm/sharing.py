@@ -159,8 +159,7 @@ def _out(ids: np.ndarray, keys: np.ndarray, grouped: bool) -> Iterator[pa.Record
 def sizes(n_bytes: int) -> tuple[int, int]:
     """Parts of the key space, and partitions that hold them, for so many bytes of text.
 
-    A part gets the keys of about 8 MB of text, so that a task's arrays stay small; there
-    are more parts than partitions, so that partitions are alike.
+    A part gets the keys of about 2 MB of text, so that the arrays a task works on stay
+    small; a partition holds the parts of about 32 MB one after another.
     """
-    parts = max(64, n_bytes >> 23)
-    return parts, max(16, parts // 4)
+    return max(64, n_bytes >> 21), max(16, n_bytes >> 25)
