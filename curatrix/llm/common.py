@@ -46,3 +46,18 @@ def strings(column: pa.Array) -> Iterator[str]:
     """Texts of an Arrow column one at a time; null counts as empty."""
     for value in column:
         yield value.as_py() or ""
+
+
+def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
+    """Weights of a logistic regression, Newton steps, the constant last."""
+    x = np.column_stack([x, np.ones(len(x))])
+    w = np.zeros(x.shape[1])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        gradient = x.T @ (p - y) + ridge * w
+        hessian = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
+        step = np.linalg.solve(hessian, gradient)
+        w -= step
+        if np.abs(step).max() < 1e-8:
+            break
+    return w

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from curatrix.llm import decontamination, jaccard, packing, repeats, tokens, topk, toxicity, urls
+from curatrix.llm import decontamination, jaccard, licences, packing, quality, repeats, tokens, topk, toxicity, urls
 from curatrix.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -86,3 +86,15 @@ def op8_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(read_table(spark, sf_dir, "pages"))
+
+
+@query()
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source stands for the host, its language for the path."""
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    return quality.classify(docs, labels, host="source", path="lang")
+
+
+@query(licences.oracle())
+def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(read_table(spark, sf_dir, "documents"))

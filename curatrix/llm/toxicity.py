@@ -13,7 +13,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import bounded_batches, strings
+from curatrix.llm.common import bounded_batches, logistic, strings
 
 _WORD = re.compile(r"\w+")
 _REPEATS = 3  # a window below zstandard's smallest gain would not be compressed at all
@@ -151,21 +151,6 @@ def hash_of(text: str) -> int:
     return zlib.crc32(text.encode())
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> np.ndarray:
-    """Weights of a logistic regression, Newton steps, the constant last."""
-    x = np.column_stack([x, np.ones(len(x))])
-    w = np.zeros(x.shape[1])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        gradient = x.T @ (p - y) + ridge * w
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + ridge * np.eye(len(w))
-        step = np.linalg.solve(hessian, gradient)
-        w -= step
-        if np.abs(step).max() < 1e-8:
-            break
-    return w
-
-
 def _expand(raw: np.ndarray) -> np.ndarray:
     """Calibration features: steps of the best gain and of the sum of the three best."""
     best, three, size = raw[:, 0], raw[:, 1], raw[:, 2]
@@ -227,7 +212,7 @@ def fit(
     rows.unpersist()
     x = _expand(np.asarray([[r["best"], r["three"], r["size"]] for r in sample]))
     y = np.asarray([r["toxic"] for r in sample], float)
-    weights = _logistic(x, y, ridge=1.0)
+    weights = logistic(x, y, ridge=1.0)
     return Model(toxic_dictionary, ordinary_dictionary, tuple(weights.tolist()), base, key)
 
 
