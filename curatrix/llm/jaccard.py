@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import lru_cache
 
 import numpy as np
@@ -79,6 +80,47 @@ def allocation(band: int) -> tuple[int, int]:
     return (best[1], best[2]) if best else (limit + 12 + limit // 4, limit + 12 + limit // 4)
 
 
+@dataclass
+class _Segments:
+    """Non-empty segments of sets of sorted tokens, in one band each."""
+
+    token_owner: np.ndarray
+    weight: np.ndarray  # of each token, sorted by segment
+    owner: np.ndarray  # of each segment
+    name: np.ndarray
+    sums: np.ndarray
+    counts: np.ndarray
+    near: np.ndarray  # whether one-deletion neighbours are indexed
+    spare: np.ndarray  # of each set: units beyond the most different similar set
+
+
+def _segments(owner: np.ndarray, token: np.ndarray, sizes_: np.ndarray, alive: np.ndarray, step: int, seed: int) -> _Segments:
+    chosen = alive[owner]
+    who, what = owner[chosen], token[chosen]
+    band = np.searchsorted(band_tops(), sizes_) + step
+    total, near = np.ones(len(sizes_), np.int64), np.zeros(len(sizes_), np.int64)
+    for b in np.unique(band[alive]):
+        total[band == b], near[band == b] = allocation(int(b))
+    mixed = refine(what, np.full(1, seed * 1_000_003 + 17, np.uint64))
+    segment = ((mixed >> np.uint64(33)) % total[who].astype(np.uint64)).astype(np.int64)
+    place = who * (int(total.max()) + 1) + segment
+    order = np.argsort(place, kind="stable")
+    place, who, segment = place[order], who[order], segment[order]
+    weight = refine(what[order], np.full(1, 99, np.uint64))
+    heads = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+    counts = np.diff(np.append(heads, len(place)))
+    head_owner, head_segment = who[heads], segment[heads]
+    name = (
+        (band[head_owner].astype(np.uint64) << np.uint64(40))
+        | (head_segment.astype(np.uint64) << np.uint64(8))
+        | np.uint64(seed & 255)
+    )
+    several = (head_segment < near[head_owner]) & (counts > 1)
+    units = np.bincount(head_owner, 1 + several, minlength=len(sizes_)).astype(np.int64)
+    spare = units - most_different(sizes_, band_tops()[band])
+    return _Segments(who, weight, head_owner, name, np.add.reduceat(weight, heads), counts, several, spare)
+
+
 def signatures(owner: np.ndarray, token: np.ndarray, sizes_: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Owners and keys by which similar sets are sure to share one.
 
@@ -88,43 +130,34 @@ def signatures(owner: np.ndarray, token: np.ndarray, sizes_: np.ndarray) -> Iter
     hashed again with another seed; a pair is found with the first seed that serves
     either of its sets.
     """
-    bands = np.searchsorted(band_tops(), sizes_)
     for step in (0, 1):
-        alive = sizes_ > _ALONE
-        seed = 0
+        alive, seed = sizes_ > _ALONE, 0
         while alive.any():
-            chosen = alive[owner]
-            who, what = owner[chosen], token[chosen]
-            band = bands + step
-            used = np.unique(band[alive])
-            total, near = np.ones(len(sizes_), np.int64), np.zeros(len(sizes_), np.int64)
-            for b in used:
-                total[band == b], near[band == b] = allocation(int(b))
-            mixed = refine(what, np.full(1, seed * 1_000_003 + 17, np.uint64))
-            segment = ((mixed >> np.uint64(33)) % total[who].astype(np.uint64)).astype(np.int64)
-            place = who * (int(total.max()) + 1) + segment
-            order = np.argsort(place, kind="stable")
-            place, who, segment = place[order], who[order], segment[order]
-            weight = refine(what[order], np.full(1, 99, np.uint64))
-            heads = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
-            sums = np.add.reduceat(weight, heads)
-            counts = np.diff(np.append(heads, len(place)))
-            head_owner, head_segment = who[heads], segment[heads]
-            name = (band[head_owner].astype(np.uint64) << np.uint64(40)) | (
-                head_segment.astype(np.uint64) << np.uint64(8)
-            ) | np.uint64(seed & 255)
-            yield head_owner, refine(sums, name)
-            with_near = head_segment < near[head_owner]
-            several = with_near & (counts > 1)
-            inside = np.repeat(several, counts)
+            s = _segments(owner, token, sizes_, alive, step, seed)
+            yield s.owner, refine(s.sums, s.name)
+            inside = np.repeat(s.near, s.counts)
             if inside.any():
-                yield who[inside], refine(np.repeat(sums, counts)[inside] - weight[inside], np.repeat(name, counts)[inside])
-            units = np.bincount(head_owner, 1 + several, minlength=len(sizes_))
-            needed = most_different(sizes_, band_tops()[np.minimum(band, len(band_tops()) - 1)]) + 1
-            alive = alive & (units < needed)
+                less = np.repeat(s.sums, s.counts)[inside] - s.weight[inside]
+                yield s.token_owner[inside], refine(less, np.repeat(s.name, s.counts)[inside])
+            alive = alive & (s.spare < 1)
             seed += 1
 
 
+def fewest_shared(owner: np.ndarray, token: np.ndarray, sizes_: np.ndarray) -> np.ndarray:
+    """Keys that each set shares with every similar set, at least.
+
+    Each token in which two sets differ spoils one unit of the first seed's segments.
+    """
+    out = np.full(len(sizes_), np.iinfo(np.int64).max)
+    alive = sizes_ > _ALONE
+    if alive.any():
+        for step in (0, 1):
+            s = _segments(owner, token, sizes_, alive, step, 0)
+            # A segment with neighbours counts two units but one key.
+            out = np.minimum(out, -(-s.spare // 2) if s.near.any() else s.spare)
+    return np.where(alive, np.maximum(1, out), 1)
+
+
 def _sets_in(batch: pa.RecordBatch, column: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     data, offsets = utf8(batch.column(column))
     owner, token = shingle_sets(data, offsets)
@@ -145,16 +178,30 @@ def _digests(owner: np.ndarray, token: np.ndarray, count: int) -> tuple[np.ndarr
 
 
 def set_table(docs: DataFrame) -> DataFrame:
-    """`id`, size and digests of the shingle set of every text."""
+    """`id`, size, digests and fewest shared keys of the shingle set of every text."""
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             owner, token, count = _sets_in(batch, 1)
             one, two = _digests(owner, token, batch.num_rows)
+            shared = np.concatenate([fewest_shared(*part) for _, part in _portions(owner, token, count)])
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(count), pa.array(one), pa.array(two)], names=["id", "n", "one", "two"]
+                [batch.column(0), *map(pa.array, (count, one, two, shared))], names=["id", "n", "one", "two", "shared"]
             )
 
-    return docs.select("id", "text").mapInArrow(measure, "id long, n long, one long, two long")
+    return docs.select("id", "text").mapInArrow(measure, "id long, n long, one long, two long, shared long")
+
+
+def _portions(
+    owner: np.ndarray, token: np.ndarray, count: np.ndarray
+) -> Iterator[tuple[int, tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+    """First row, owners, tokens and sizes of runs of sets with a bounded number of tokens."""
+    bounds = np.concatenate([[0], np.cumsum(count)])
+    row = 0
+    while row < len(count):
+        last = max(row + 1, int(np.searchsorted(bounds, bounds[row] + _TOKENS, side="right")) - 1)
+        a, b = bounds[row], bounds[last]
+        yield row, (owner[a:b] - row, token[a:b], count[row:last])
+        row = last
 
 
 def candidate_keys(docs: DataFrame, wanted, parts: int, partitions: int) -> DataFrame:
@@ -165,14 +212,9 @@ def candidate_keys(docs: DataFrame, wanted, parts: int, partitions: int) -> Data
             batch = batch.filter(pa.array(is_wanted(wanted, batch.column(0))))
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             owner, token, count = _sets_in(batch, 1)
-            bounds = np.concatenate([[0], np.cumsum(count)])
-            row = 0
-            while row < len(count):
-                last = max(row + 1, int(np.searchsorted(bounds, bounds[row] + _TOKENS, side="right")) - 1)
-                a, b = bounds[row], bounds[last]
-                for who, key in signatures(owner[a:b] - row, token[a:b], count[row:last]):
+            for row, part in _portions(owner, token, count):
+                for who, key in signatures(*part):
                     yield from blocks.add(ids[row + who], key)
-                row = last
         yield from blocks.flush()
 
     return shared_keys(docs.select("id", "text").mapInArrow(index, SCHEMA), partitions, grouped=False)
@@ -228,8 +270,9 @@ def similar_components(docs: DataFrame) -> DataFrame:
     1. Equal sets are one node, named by its smallest id.
     2. Nodes that share a key (`signatures`) are candidates; no similar pair is missed.
     3. Each key's nodes are compared with the smallest of them, and linked nodes joined.
-    4. Keys whose nodes are still apart are compared across the components, every pair
-       that is not joined yet, so that no link between components is missed.
+    4. Keys whose nodes are still apart are compared across the components: every pair that
+       is not joined yet and shares enough keys, so that no link between components is
+       missed.
     """
     bounded_batches(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType
@@ -244,21 +287,26 @@ def similar_components(docs: DataFrame) -> DataFrame:
     wanted = wanted_map(keepers.where(f"n > {_ALONE}").select("keeper"))
     keys = written(candidate_keys(known, wanted, parts, partitions), "keys")
     heads = keys.groupBy("key").agg(F.min("id").alias("a"))
-    near = keys.join(heads, "key").where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    size = table.where("id is not null").groupBy("id").agg(F.min("n").alias("least"), F.max("n").alias("most"))
-    links = written(verified(known, _fitting(near, size), "near"), "links")
+    near = (
+        keys.join(heads, "key").where("id <> a").groupBy("a", F.col("id").alias("b")).agg(F.count(F.lit(1)).alias("keys"))
+    )
+    size = table.where("id is not null").groupBy("id").agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.min("shared").alias("shared")
+    )
+    tried = written(_fitting(near, size), "near")
+    links = written(verified(known, tried, "near"), "links")
     labels = components(links)
     named = keys.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     apart = named.groupBy("key").agg(F.min("component").alias("main"), F.max("component").alias("other")).where("main <> other")
     open_keys = written(named.join(apart.select("key", "main"), "key"), "open")
     others = open_keys.where("component <> main").select("key", F.col("id").alias("x"), F.col("component").alias("cx"))
+    members = open_keys.select("key", F.col("id").alias("y"), F.col("component").alias("cy"), "main")
     across = (
-        others.join(open_keys.select("key", F.col("id").alias("y"), F.col("component").alias("cy")), "key")
-        .where("cx <> cy")
-        .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .distinct()
+        others.join(members, "key")
+        .where("cx <> cy and (cy = main or x < y)")  # each pair once for a key
+        .groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+        .agg(F.count(F.lit(1)).alias("keys"))
     )
-    tried = near.select("a", "b")
     rest = _fitting(across, size).join(tried, ["a", "b"], "left_anti")
     more = written(verified(known, rest, "across"), "links")
     if not more.isEmpty():
@@ -276,13 +324,13 @@ def similar_components(docs: DataFrame) -> DataFrame:
 
 
 def _fitting(pairs: DataFrame, size: DataFrame) -> DataFrame:
-    """Pairs whose sizes allow the similarity."""
-    one = size.select(F.col("id").alias("a"), F.col("least").alias("least_a"), F.col("most").alias("most_a"))
-    two = size.select(F.col("id").alias("b"), F.col("least").alias("least_b"), F.col("most").alias("most_b"))
+    """Pairs whose sizes and number of shared keys allow the similarity."""
+    one, two = (size.select(F.col("id").alias(e), *(F.col(c).alias(f"{c}_{e}") for c in ("least", "most", "shared"))) for e in "ab")
     return (
         pairs.join(one, "a")
         .join(two, "b")
         .where(f"{_OF} * most_a >= {_SHARE} * least_b and {_OF} * most_b >= {_SHARE} * least_a")
+        .where("keys >= shared_a and keys >= shared_b")
         .select("a", "b")
     )
 
