@@ -14,10 +14,10 @@ from pyspark.sql import functions as F
 from curatrix.llm.common import bounded_batches, utf8, written
 from curatrix.llm.idmap import choose, wanted_map
 from curatrix.llm.sharing import SCHEMA, Blocks, cut, shared_keys, sizes, unpack_ids, unpack_keys
-from curatrix.llm.suffixes import LENGTH, SPAN, STEP, buckets26, buckets50, stretches
+from curatrix.llm.suffixes import LENGTH, SPAN, STEP, buckets26, buckets50, refine, stretches
 
 _ENTRIES = "part int, settled boolean, ids binary, digests binary, owners binary, starts binary, counts binary, keys binary, bytes binary"
-_HELD = 1 << 19  # windows compared at once within a batch
+_HELD = 1 << 18  # windows compared at once within a batch
 _MARKS = "id long, digest long, starts binary, ends binary"
 
 
@@ -50,11 +50,13 @@ def _later(ids: np.ndarray, window: np.ndarray, key: np.ndarray) -> np.ndarray:
     Buckets are sorted by the identifiers of their windows' later offsets; the smallest
     id of each refined bucket keeps its bytes.
     """
-    order = np.lexsort((ids, key, window))
-    heads = _groups(window[order], key[order])
-    least = np.repeat(ids[order][heads], np.diff(np.append(heads, len(order))))
+    bucket = refine(window, key)
+    order = np.argsort(bucket)
+    bucket, sorted_ids = bucket[order], ids[order]
+    heads = _groups(bucket)
+    least = np.minimum.reduceat(sorted_ids, heads) if len(heads) else sorted_ids
     out = np.empty(len(ids), bool)
-    out[order] = ids[order] > least
+    out[order] = sorted_ids > np.repeat(least, np.diff(np.append(heads, len(order))))
     return out
 
 
@@ -215,8 +217,8 @@ def _compare_part(rows: list[tuple]) -> Iterator[tuple]:
         data.append(np.frombuffer(text, np.uint8))
     ids, digests, start, count, key, data = map(np.concatenate, (ids, digests, start, count, key, data))
     offsets = np.concatenate([[0], np.cumsum(count + LENGTH - 1)])
-    nth = np.repeat(np.arange(len(count)), count)
-    step = np.arange(len(nth)) - np.repeat(np.cumsum(count) - count, count)
+    nth = np.repeat(np.arange(len(count), dtype=np.int32), count)
+    step = (np.arange(len(nth)) - np.repeat(np.cumsum(count) - count, count)).astype(np.int32)
     place = offsets[nth] + step
     window = np.empty(len(place), np.uint64)
     for a in range(0, len(place), STEP):

@@ -160,6 +160,6 @@ def sizes(n_bytes: int) -> tuple[int, int]:
     """Parts of the key space, and partitions that hold them, for so many bytes of text.
 
     A part gets the keys of about 2 MB of text, so that the arrays a task works on stay
-    small; a partition holds the parts of about 32 MB one after another.
+    small; a partition holds the parts of about 16 MB one after another.
     """
-    return max(64, n_bytes >> 21), max(16, n_bytes >> 25)
+    return max(64, n_bytes >> 21), max(16, n_bytes >> 24)
