@@ -18,6 +18,7 @@ from curatrix.llm.suffixes import LENGTH, SPAN, STEP, buckets26, buckets50, refi
 
 _ENTRIES = "part int, settled boolean, ids binary, digests binary, owners binary, starts binary, counts binary, keys binary, bytes binary"
 _HELD = 1 << 18  # windows compared at once within a batch
+_SHARE = 1 << 19  # windows of a part compared at once
 _MARKS = "id long, digest long, starts binary, ends binary"
 
 
@@ -44,13 +45,12 @@ def _groups(*columns: np.ndarray) -> np.ndarray:
     return np.flatnonzero(new)
 
 
-def _later(ids: np.ndarray, window: np.ndarray, key: np.ndarray) -> np.ndarray:
+def _later(ids: np.ndarray, bucket: np.ndarray) -> np.ndarray:
     """Whether a document with a smaller id has the same window.
 
     Buckets are sorted by the identifiers of their windows' later offsets; the smallest
     id of each refined bucket keeps its bytes.
     """
-    bucket = refine(window, key)
     order = np.argsort(bucket)
     bucket, sorted_ids = bucket[order], ids[order]
     heads = _groups(bucket)
@@ -159,7 +159,7 @@ def _refined(texts: DataFrame, shared: DataFrame, parts: int) -> DataFrame:
         ids: np.ndarray, digests: np.ndarray, data: np.ndarray, offsets: np.ndarray, found: list[tuple[np.ndarray, ...]]
     ) -> Iterator[pa.RecordBatch]:
         owner, key, place, window = (np.concatenate(c) for c in zip(*found, strict=True))
-        known = _later(ids[owner], window, key)
+        known = _later(ids[owner], refine(window, key))
         rows = list(_entry_rows(ids, digests, data, owner[~known], key[~known], place[~known], offsets, parts))
         if known.any():
             marks = _mark_rows(ids, digests, owner[known], place[known] - offsets[owner[known]])
@@ -216,19 +216,32 @@ def _compare_part(rows: list[tuple]) -> Iterator[tuple]:
         key.append(unpack_keys(keys))
         data.append(np.frombuffer(text, np.uint8))
     ids, digests, start, count, key, data = map(np.concatenate, (ids, digests, start, count, key, data))
-    offsets = np.concatenate([[0], np.cumsum(count + LENGTH - 1)])
-    nth = np.repeat(np.arange(len(count), dtype=np.int32), count)
-    step = (np.arange(len(nth)) - np.repeat(np.cumsum(count) - count, count)).astype(np.int32)
-    place = offsets[nth] + step
-    window = np.empty(len(place), np.uint64)
-    for a in range(0, len(place), STEP):
-        b = min(a + STEP, len(place))
-        low, high = place[a], place[b - 1] + LENGTH
-        window[a:b] = buckets50(buckets26(data[low:high]))[place[a:b] - low]
-    later = _later(ids[nth], window, key[nth])
     # One number for each text: its id and digest together.
     texts, owner = np.unique(np.column_stack([ids, digests]), axis=0, return_inverse=True)
-    yield from _mark_rows(texts[:, 0], texts[:, 1], owner.ravel()[nth[later]], (start[nth] + step)[later])
+    owner = owner.ravel()
+    offsets = np.cumsum(count + LENGTH - 1) - (count + LENGTH - 1)
+    before = np.cumsum(count) - count
+    total = int(count.sum())
+
+    def stretch(index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        nth = np.searchsorted(before, index, side="right") - 1
+        return nth, index - before[nth]
+
+    bucket = np.empty(total, np.uint64)
+    for a in range(0, total, STEP):
+        index = np.arange(a, min(a + STEP, total))
+        nth, step = stretch(index)
+        place = offsets[nth] + step
+        low = place[0]
+        deep = buckets26(data[low : place[-1] + LENGTH])
+        bucket[index] = refine(buckets50(deep)[place - low], key[nth])
+    # A part that many windows share, as of one word repeated, is compared by shares.
+    shares = total // _SHARE + 1
+    for share in range(shares):
+        index = np.flatnonzero(bucket % np.uint64(shares) == share) if shares > 1 else np.arange(total)
+        nth, step = stretch(index)
+        later = _later(ids[nth], bucket[index])
+        yield from _mark_rows(texts[:, 0], texts[:, 1], owner[nth[later]], (start[nth] + step)[later])
 
 
 def _apply(texts: DataFrame, marks: DataFrame, with_text: bool) -> DataFrame:
