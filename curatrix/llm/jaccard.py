@@ -23,6 +23,7 @@ from curatrix.llm.suffixes import refine
 _SHARE, _OF = 80, 100
 _ALONE = 3  # sets of at most so many tokens are only similar to their equals
 _TOKENS = 1 << 20  # worked on at once
+_SHAPE = ("band", "own", "own_per_key", "next", "next_per_key")
 
 
 @lru_cache(maxsize=1)
@@ -91,6 +92,7 @@ class _Segments:
     sums: np.ndarray
     counts: np.ndarray
     near: np.ndarray  # whether one-deletion neighbours are indexed
+    units: np.ndarray  # of each set
     spare: np.ndarray  # of each set: units beyond the most different similar set
 
 
@@ -118,7 +120,7 @@ def _segments(owner: np.ndarray, token: np.ndarray, sizes_: np.ndarray, alive: n
     several = (head_segment < near[head_owner]) & (counts > 1)
     units = np.bincount(head_owner, 1 + several, minlength=len(sizes_)).astype(np.int64)
     spare = units - most_different(sizes_, band_tops()[band])
-    return _Segments(who, weight, head_owner, name, np.add.reduceat(weight, heads), counts, several, spare)
+    return _Segments(who, weight, head_owner, name, np.add.reduceat(weight, heads), counts, several, units, spare)
 
 
 def signatures(owner: np.ndarray, token: np.ndarray, sizes_: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -143,19 +145,40 @@ def signatures(owner: np.ndarray, token: np.ndarray, sizes_: np.ndarray) -> Iter
             seed += 1
 
 
-def fewest_shared(owner: np.ndarray, token: np.ndarray, sizes_: np.ndarray) -> np.ndarray:
-    """Keys that each set shares with every similar set, at least.
+def index_shape(owner: np.ndarray, token: np.ndarray, sizes_: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Band of each set, and for its own and the next band its units and how many share a key.
 
-    Each token in which two sets differ spoils one unit of the first seed's segments.
+    Each token in which two sets differ spoils one unit of the first seed's segments, and
+    what is left is keys that they share: one key for each unit, or for two where
+    segments are indexed with neighbours. So a pair that shares fewer is not similar.
     """
-    out = np.full(len(sizes_), np.iinfo(np.int64).max)
     alive = sizes_ > _ALONE
-    if alive.any():
-        for step in (0, 1):
+    out = [np.searchsorted(band_tops(), sizes_)]
+    for step in (0, 1):
+        units, per_key = np.zeros(len(sizes_), np.int64), np.ones(len(sizes_), np.int64)
+        if alive.any():
             s = _segments(owner, token, sizes_, alive, step, 0)
-            # A segment with neighbours counts two units but one key.
-            out = np.minimum(out, -(-s.spare // 2) if s.near.any() else s.spare)
-    return np.where(alive, np.maximum(1, out), 1)
+            units = s.units
+            per_key[np.unique(s.owner[s.near])] = 2
+        out += [units, per_key]
+    return tuple(out)
+
+
+def fewest_shared(band_a, units_a, band_b, units_b, differ):
+    """Keys that two similar sets share at least, given the tokens in which they may differ.
+
+    Bands, units and results may be numbers or columns; `units_*` has own units, own
+    units for a key, next units, next units for a key. Sets of one band meet in two
+    bands, others where the lower one's next is the upper one's own.
+    """
+    def left(units, per_key):
+        return F.greatest(F.ceil((units - differ) / per_key), F.lit(0))
+
+    same = F.greatest(*(left(u[0], u[1]) + left(u[2], u[3]) for u in (units_a, units_b)))
+    below = F.greatest(left(units_a[2], units_a[3]), left(units_b[0], units_b[1]))
+    above = F.greatest(left(units_b[2], units_b[3]), left(units_a[0], units_a[1]))
+    needed = F.when(band_a == band_b, same).when(band_a < band_b, below).otherwise(above)
+    return F.greatest(needed, F.lit(1))
 
 
 def _sets_in(batch: pa.RecordBatch, column: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -178,17 +201,19 @@ def _digests(owner: np.ndarray, token: np.ndarray, count: int) -> tuple[np.ndarr
 
 
 def set_table(docs: DataFrame) -> DataFrame:
-    """`id`, size, digests and fewest shared keys of the shingle set of every text."""
+    """`id`, size, digests and index shape of the shingle set of every text."""
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             owner, token, count = _sets_in(batch, 1)
             one, two = _digests(owner, token, batch.num_rows)
-            shared = np.concatenate([fewest_shared(*part) for _, part in _portions(owner, token, count)])
+            shapes = [index_shape(*part) for _, part in _portions(owner, token, count)]
+            shape = [np.concatenate(c) for c in zip(*shapes, strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *map(pa.array, (count, one, two, shared))], names=["id", "n", "one", "two", "shared"]
+                [batch.column(0), *map(pa.array, (count, one, two, *shape))], names=["id", "n", "one", "two", *_SHAPE]
             )
 
-    return docs.select("id", "text").mapInArrow(measure, "id long, n long, one long, two long, shared long")
+    fields = ", ".join(f"{c} long" for c in ("id", "n", "one", "two", *_SHAPE))
+    return docs.select("id", "text").mapInArrow(measure, fields)
 
 
 def _portions(
@@ -290,9 +315,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
     near = (
         keys.join(heads, "key").where("id <> a").groupBy("a", F.col("id").alias("b")).agg(F.count(F.lit(1)).alias("keys"))
     )
-    size = table.where("id is not null").groupBy("id").agg(
-        F.min("n").alias("least"), F.max("n").alias("most"), F.min("shared").alias("shared")
-    )
+    size = table.where("id is not null and n > 0")
     tried = written(_fitting(near, size), "near")
     links = written(verified(known, tried, "near"), "links")
     labels = components(links)
@@ -323,15 +346,21 @@ def similar_components(docs: DataFrame) -> DataFrame:
     )
 
 
-def _fitting(pairs: DataFrame, size: DataFrame) -> DataFrame:
-    """Pairs whose sizes and number of shared keys allow the similarity."""
-    one, two = (size.select(F.col("id").alias(e), *(F.col(c).alias(f"{c}_{e}") for c in ("least", "most", "shared"))) for e in "ab")
+def _fitting(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs whose sizes and number of shared keys allow the similarity.
+
+    Where an id names several texts, a pair stays if any of them allow it.
+    """
+    one, two = (sets.select(F.col("id").alias(e), *(F.col(c).alias(f"{c}_{e}") for c in ("n", *_SHAPE))) for e in "ab")
+    units_a, units_b = ([F.col(f"{c}_{e}") for c in _SHAPE[1:]] for e in "ab")
+    differ = F.floor((F.col("n_a") + F.col("n_b")) / 9)
     return (
         pairs.join(one, "a")
         .join(two, "b")
-        .where(f"{_OF} * most_a >= {_SHARE} * least_b and {_OF} * most_b >= {_SHARE} * least_a")
-        .where("keys >= shared_a and keys >= shared_b")
+        .where(f"{_OF} * n_a >= {_SHARE} * n_b and {_OF} * n_b >= {_SHARE} * n_a")
+        .where(F.col("keys") >= fewest_shared(F.col("band_a"), units_a, F.col("band_b"), units_b, differ))
         .select("a", "b")
+        .distinct()
     )
 
 

@@ -173,8 +173,9 @@ def test_small_sets_and_chains(spark):
     assert got == sorted(brute.jaccard(rows), key=repr)
 
 
-def test_similar_sets_share_enough_keys():
+def test_similar_sets_share_enough_keys(spark):
     rng = np.random.default_rng(4)
+    rows = []
     for size in [4, 5, 7, 9, 12, 20, 45, 100, 400]:
         for _ in range(60):
             a = rng.integers(0, 1 << 63, size, dtype=np.uint64)
@@ -190,7 +191,13 @@ def test_similar_sets_share_enough_keys():
             for who, key in jaccard.signatures(owner, token, sizes):
                 for w, k in zip(who, key, strict=True):
                     keys[w].add(int(k))
-            assert len(keys[0] & keys[1]) >= jaccard.fewest_shared(owner, token, sizes).max()
+            shape = np.stack(jaccard.index_shape(owner, token, sizes))
+            rows.append((*map(int, shape[:, 0]), *map(int, shape[:, 1]), int(sizes.sum()) // 9, len(keys[0] & keys[1])))
+    fields = [f"{c}_{e}" for e in "ab" for c in ("band", "u0", "k0", "u1", "k1")] + ["differ", "shared"]
+    frame = spark.createDataFrame(rows, ", ".join(f"{c} long" for c in fields))
+    units = ([F.col(f"{c}_{e}") for c in ("u0", "k0", "u1", "k1")] for e in "ab")
+    needed = jaccard.fewest_shared(F.col("band_a"), next(units), F.col("band_b"), next(units), F.col("differ"))
+    assert frame.where(F.col("shared") < needed).count() == 0 and frame.where(needed > 5).count() > 0
 
 
 def test_shingles_equal_brute_force(messy):
