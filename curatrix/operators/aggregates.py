@@ -22,12 +22,16 @@ def count_matrix(
 ) -> DataFrame:
     """Counts of `column` values per `row` key, 0 where none, with the row total.
 
-    One conditional count per value gives the matrix in a single shuffle. The total
-    counts every row, also those of values that are not listed.
+    One conditional count per value gives the matrix in a single shuffle. A value that
+    is not listed ends the job, because it would be in the total and in no column.
     """
     kept = df.na.drop(subset=[row, column])
     cells = [F.count_if(F.col(column) == F.lit(v)).alias(v) for v in values]
-    return kept.groupBy(row).agg(*cells, F.count(F.lit(1)).alias(total))
+    stray = F.max(F.when(~F.col(column).isin(*values), F.col(column)))
+    listed = F.when(stray.isNull(), F.count(F.lit(1))).otherwise(
+        F.raise_error(F.concat(F.lit(f"value of {column} without a column: "), stray.cast("string")))
+    )
+    return kept.groupBy(row).agg(*cells, listed.cast("long").alias(total))
 
 
 def by_total(df: DataFrame, key: str, total: str = "total") -> DataFrame:

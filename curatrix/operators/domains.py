@@ -24,9 +24,23 @@ def suffix_rules(spark: SparkSession, extra: tuple[str, ...] = ()) -> DataFrame:
     return spark.createDataFrame([(r,) for r in (*SUFFIX_RULES, *extra)], "rule string")
 
 
+def read_suffix_rules(spark: SparkSession, path: str, with_private: bool = True) -> DataFrame:
+    """Rules of the public suffix list's own file: comments and blank lines left out.
+
+    A rule is the first word of its line. `with_private` keeps the part of the list that
+    companies add; without it the file must be one split, which a list of its size is.
+    """
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("at", "line"))
+    if not with_private:
+        begin = lines.filter(F.contains("line", F.lit("===BEGIN PRIVATE DOMAINS==="))).agg(F.min("at").alias("at")).scalar()
+        lines = lines.filter(begin.isNull() | (F.col("at") < begin))
+    rule = F.regexp_extract("line", r"^\s*(\S+)", 1)
+    return lines.select(rule.alias("rule")).filter((F.col("rule") != "") & ~F.startswith("rule", F.lit("//"))).distinct()
+
+
 def host_of(url: Column) -> Column:
-    """Host of a url, also without scheme, with user or port."""
-    return F.regexp_extract(url, _HOST, 1)
+    """Host of a url, also without scheme, with user or port, or with a final dot."""
+    return F.regexp_replace(F.regexp_extract(url, _HOST, 1), r"\.+$", "")
 
 
 def domain_labels(domains: DataFrame, column: str, rules: DataFrame, out: str) -> DataFrame:

@@ -8,6 +8,7 @@ or its own rows, nothing is gathered across pages.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Callable, Iterator, Sequence
 from html import unescape
 
@@ -54,11 +55,24 @@ class _Attributes:
 class _Element:
     """One element of interest, those open around it, and the texts inside it."""
 
-    __slots__ = ("tag", "attrs", "depth", "around", "texts")
+    __slots__ = ("tag", "attrs", "depth", "around", "texts", "start", "end")
 
-    def __init__(self, tag: str, attrs: _Attributes, depth: int, around: list):
+    def __init__(self, tag: str, attrs: _Attributes, depth: int, around: list, texts: list[str]):
         self.tag, self.attrs, self.depth, self.around = tag, attrs, depth, around
-        self.texts: list[str] = []
+        # The texts of the whole page; the element's own run from `start` to `end`.
+        self.texts, self.start = texts, len(texts)
+        self.end: int | None = None
+
+
+# Start tags that end an element left open before them.
+_IMPLIED_ENDS = {
+    "tr": ("tr", "td", "th"),
+    "td": ("td", "th"),
+    "th": ("td", "th"),
+    "li": ("li",),
+    "option": ("option",),
+    "p": ("p",),
+}
 
 
 class _Finished(Exception):
@@ -67,16 +81,25 @@ class _Finished(Exception):
 
 def _walk(html: str, wanted: Callable, found: list[_Element]) -> None:
     path: list[str] = []
+    is_open: Counter[str] = Counter()
     marked: list[_Element] = []
+    texts: list[str] = []
     at, end = 0, len(html)
+
+    def close_last() -> str:
+        last = path.pop()
+        is_open[last] -= 1
+        while marked and marked[-1].depth >= len(path):
+            marked.pop().end = len(texts)
+        return last
+
     while at < end:
         token = _TOKEN.match(html, at)
         at = token.end()
         close, tag, raw, text = token.groups()
         if text is not None:
-            if marked and "template" not in path:
-                for element in marked:
-                    element.texts.append(text)
+            if marked and not is_open["template"]:
+                texts.append(text)
             continue
         if tag is None:
             continue
@@ -84,27 +107,30 @@ def _walk(html: str, wanted: Callable, found: list[_Element]) -> None:
         if not close:
             attrs = _Attributes(raw)
             alone = tag in _VOID or raw.endswith("/")
+            while path and path[-1] in _IMPLIED_ENDS.get(tag, ()):
+                close_last()
             if wanted(tag, attrs, marked):
-                element = _Element(tag, attrs, len(path), list(marked))
+                element = _Element(tag, attrs, len(path), list(marked), texts)
                 found.append(element)
-                if not alone:
+                if alone:
+                    element.end = element.start
+                else:
                     marked.append(element)
             if alone:
                 continue
             path.append(tag)
+            is_open[tag] += 1
             if tag in _CODE_END:
                 stop = _CODE_END[tag].search(html, at)
                 at = stop.start() if stop else end
-        elif tag in path:
-            while path.pop() != tag:
+        elif is_open[tag]:
+            while close_last() != tag:
                 pass
-            while marked and marked[-1].depth >= len(path):
-                marked.pop()
 
 
 def _pieces(element: _Element) -> list[str]:
     """The text between tags, piece by piece, with entities decoded."""
-    return [unescape(t) for t in element.texts]
+    return [unescape(t) for t in element.texts[element.start : element.end]]
 
 
 def _read(html: str | None, wanted: Callable) -> list[_Element]:
@@ -165,9 +191,9 @@ def table_rows(
         found = _read(html, wanted)
         return [(i, "".join(_pieces(e))) for i, e in enumerate(found[1:])]
 
-    # Most pages without a card are left out before they reach Python.
-    hint = F.contains("html", F.lit(card_id)) if card_id else F.contains(F.lower("html"), F.lit(f"<{card_tag}"))
-    pages = pages.filter(hint)
+    # Pages without the card's tag are left out before they reach Python; a tag's name is
+    # always written as it is, while an id may be written with entities.
+    pages = pages.filter(F.contains(F.lower("html"), F.lit(f"<{card_tag.lower()}")))
     return _per_page(pages, key, "pos int, row_text string", rows_of)
 
 
@@ -210,8 +236,6 @@ def links(pages: DataFrame, key: str, class_value: str | None = None) -> DataFra
 
         return [(i, e.attrs.get("href")) for i, e in enumerate(_read(html, wanted))]
 
-    if class_value is not None:
-        pages = pages.filter(F.contains("html", F.lit(class_value.split()[0])))
     return _per_page(pages, key, "pos int, link string", rows_of)
 
 

@@ -7,70 +7,53 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curatrix.functions.arrays import empty_strings
 from curatrix.functions.text import contains_term
-from curatrix.session import settle, spread
+from curatrix.session import materialise, spread
 
-# Runs up to an end mark or line break, each read once: a pattern that demands the end
-# mark would rescan a long run without one from every position.
-_RUN = r"[^.!?\n]++[.!?]?"
-# Words share 65,536 hash buckets, so the corpus weights always fit one array.
-BUCKETS = 1 << 16
+# An end mark ends a sentence before white space, with the quotes that close it, and not
+# after a single letter, so decimals and initials stay whole.
+_END = r"""([A-Za-zÀ-ÿ]{2}|[^A-Za-zÀ-ÿ\s])([.!?]+["')\]]*)[ \t]+"""
 CUE_BOOST = 20_000_000
 
 
 def sentences(text: Column) -> Column:
-    """The runs of a text that end in an end mark, in order and trimmed."""
-    runs = F.regexp_extract_all(text, F.lit(_RUN), F.lit(0))
-    ended = F.filter(runs, lambda r: F.right(r, F.lit(1)).isin(".", "!", "?"))
-    return F.transform(ended, lambda r: F.trim(r))
-
-
-def word_bucket(word: Column) -> Column:
-    return F.conv(F.left(F.md5(word), F.lit(4)), 16, 10).cast("int")
+    """The sentences of a text in order and trimmed; each line ends one, also without a mark."""
+    lines = F.split(F.regexp_replace(text, F.lit(_END), F.lit("$1$2\n")), "\n")
+    return F.filter(F.transform(lines, lambda s: F.trim(s)), lambda s: s != "")
 
 
 def words(text: Column) -> Column:
     return F.split(F.lower(text), " ")
 
 
-def bucket_weights(corpus: DataFrame, text: str) -> DataFrame:
-    """One row with an array of inverse document frequencies per bucket, in millionths.
-
-    Integers add up to the same score in any order. The count under -1 is the number
-    of texts, taken in the same pass; partial counts keep hot words small.
-    """
-    marks = F.concat(
-        F.array(F.lit(-1)), F.array_distinct(F.transform(words(F.col(text)), word_bucket))
-    )
-    counts = (
-        corpus.filter(F.col(text).isNotNull())
-        .select(F.explode(marks).alias("bucket"))
-        .groupBy("bucket")
+def word_weights(texts: DataFrame, text: str) -> DataFrame:
+    """Inverse document frequency of every word, in millionths, so sums do not depend on order."""
+    n_texts = texts.agg(F.count(text).alias("n")).scalar()
+    return (
+        texts.filter(F.col(text).isNotNull())
+        .select(F.explode(F.array_distinct(words(F.col(text)))).alias("word"))
+        .groupBy("word")
         .agg(F.count(F.lit(1)).alias("n"))
+        .select("word", F.round(F.ln(n_texts / F.col("n")) * 1_000_000).cast("long").alias("weight"))
     )
-    slots = corpus.sparkSession.range(-1, BUCKETS).select(F.col("id").cast("int").alias("bucket"))
-    filled = slots.join(counts, "bucket", "left")
-    ordered = filled.agg(
-        F.sort_array(F.collect_list(F.struct("bucket", F.coalesce("n", F.lit(0)).alias("n")))).alias("s")
-    )
-    n_all = F.col("s")[0]["n"]
-    return ordered.select(
-        F.transform(
-            F.slice("s", 2, BUCKETS),
-            lambda b: F.when(
-                b["n"] > 0, F.round(F.ln(n_all / b["n"]) * 1_000_000).cast("long")
-            ).otherwise(F.lit(0).cast("long")),
-        ).alias("weights")
-    )
 
 
-def rarity_score(weights: Column, sentence: Column) -> Column:
-    """Summed weight of the words of a sentence, repeats included."""
-    return F.aggregate(
-        words(sentence),
-        F.lit(0).cast("long"),
-        lambda total, w: total + F.element_at(weights, word_bucket(w) + 1),
+def rarity_scores(numbered: DataFrame, text: str) -> DataFrame:
+    """`_row`, `position`, `sentence` and `score`: summed weight of a sentence's words, repeats included.
+
+    Hot words are added up per sentence before they meet their weights, and a join
+    partition that stays hot is split.
+    """
+    found = numbered.select("_row", F.posexplode(sentences(F.col(text))).alias("position", "sentence"))
+    used = (
+        found.select("_row", "position", F.explode(words(F.col("sentence"))).alias("word"))
+        .groupBy("_row", "position", "word")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
+    weighed = used.join(word_weights(numbered, text), "word", "left")
+    totals = weighed.groupBy("_row", "position").agg(F.sum(F.col("n") * F.coalesce("weight", F.lit(0))).alias("score"))
+    return found.join(totals, ["_row", "position"])
 
 
 def _bullets(scored: Column, k: int, by_position: bool) -> Column:
@@ -94,38 +77,40 @@ def summarise(
 ) -> DataFrame:
     """Add the `k` best sentences, best first or in text order; null without sentences.
 
-    `score` is `rarity` (corpus weights plus a boost for sentences with a cue term) or
-    `length`. Sentences are ranked inside their own row: apart from the small table of
-    weights nothing is shuffled.
+    `score` is `rarity` (corpus weights of the words plus a boost for sentences with a cue
+    term) or `length`. By length, sentences are ranked inside their own row and nothing
+    is shuffled.
     """
-    if score == "rarity":
-        articles = settle(articles, "articles")  # read for the weights and for the ranks
-    spreaded = spread(articles)
     columns = [F.col(f"`{c}`") for c in articles.columns]
-    if score == "rarity":
-        weights = bucket_weights(spread(articles.select(text)), text).scalar()
-        spreaded = spreaded.withColumn("_weights", weights)
-    elif score != "length":
-        raise ValueError(f"unknown score {score!r}")
 
-    def value(sentence: Column) -> Column:
-        base = (
-            rarity_score(F.col("_weights"), sentence)
-            if score == "rarity"
-            else F.length(sentence).cast("long")
-        )
+    def boosted(base: Column, sentence: Column) -> Column:
         for cue in cues:
             boost = contains_term(F.lower(sentence), F.lower(F.lit(cue)))
             base = base + F.when(boost, F.lit(CUE_BOOST)).otherwise(F.lit(0))
         return base
 
-    scored = F.transform(
-        sentences(F.col(text)),
-        lambda s, i: F.struct(
-            (-value(s)).alias("minus_score"), i.alias("position"), s.alias("sentence")
-        ),
-    )
-    # Two steps, so the lines are computed once although they are used twice.
-    listed = spreaded.select(*columns, _bullets(scored, k, by_position).alias("_lines"))
-    joined = F.when(F.size("_lines") > 0, F.array_join("_lines", "\n"))
-    return listed.select(*columns, joined.alias(name))
+    if score == "rarity":
+        numbered = materialise(articles.withColumn("_row", F.monotonically_increasing_id()), "articles")
+        scored = rarity_scores(numbered, text).select(
+            F.col("_row").alias("_of"),
+            F.struct(
+                (-boosted(F.col("score"), F.col("sentence"))).alias("minus_score"), "position", "sentence"
+            ).alias("_scored"),
+        )
+        lists = scored.groupBy("_of").agg(F.collect_list("_scored").alias("_scored"))  # one text's sentences
+        lines = lists.select("_of", _bullets(F.col("_scored"), k, by_position).alias("_lines"))
+        joined = numbered.join(lines, F.col("_row") == F.col("_of"), "left")
+        listed = joined.select(*columns, F.coalesce("_lines", empty_strings()).alias("_lines"))
+    elif score == "length":
+        scored = F.transform(
+            sentences(F.col(text)),
+            lambda s, i: F.struct(
+                (-boosted(F.length(s).cast("long"), s)).alias("minus_score"), i.alias("position"), s.alias("sentence")
+            ),
+        )
+        # Two steps, so the lines are computed once although they are used twice.
+        listed = spread(articles).select(*columns, _bullets(scored, k, by_position).alias("_lines"))
+    else:
+        raise ValueError(f"unknown score {score!r}")
+    summary = F.when(F.size("_lines") > 0, F.array_join("_lines", "\n"))
+    return listed.select(*columns, summary.alias(name))

@@ -1,15 +1,15 @@
 """Which dictionary names occur in a text, by plain substring of one of their terms.
 
-The dictionary is a long table `(name, term)`. Three exact ways give the same rows; the
-measured size of the dictionary decides:
-
-* `scan`: a few terms are tested by one expression in a narrow pass over the texts;
-* `automaton`: up to a fixed size the terms go to the workers, which read each text
-  once, however many terms there are; the pass is still narrow;
-* `join`: a dictionary of any size meets the texts in equi-joins on the term itself.
-  Texts are cut into overlapping pieces and windows; windows are kept if they start
-  with the head of some term; each is shortened to the lengths known for that head and
-  joined to the terms. Right sides are unique per key, so no key fans out to all pairs.
+The dictionary is a long table `(name, term)`. It meets the texts in equi-joins on the
+term itself, so it may have any size: texts are cut into overlapping pieces, only the
+places where some term may start are looked at, each is shortened to the lengths known
+for its head and joined to the terms. Right sides are unique per key, so no key fans out
+to all pairs. Each text row is told apart by a number it gets when it is written, never
+by its own columns, so rows with null or equal keys have their own names.
+
+Two narrower ways give the same rows and are taken only on request, for a dictionary
+within their bounds: `scan` tests a few terms by one expression, `automaton` sends the
+terms to the workers, which read each text once.
 """
 
 from __future__ import annotations
@@ -22,18 +22,19 @@ from pyspark.sql import functions as F
 
 from curatrix.functions.arrays import empty_strings
 from curatrix.functions.text import contains_term
-from curatrix.session import broadcast_if_small, materialise, settle, spread
+from curatrix.session import broadcast_if_small, materialise, spread
 
 try:
     import ahocorasick
 except ImportError:  # the join way needs no extra module
     ahocorasick = None
 
-SCAN_TERMS = 32
+SCAN_TERMS = 128
 AUTOMATON_TERMS = 100_000
 AUTOMATON_CHARS = 2 << 20
 HEAD = 4
 PIECE = 4096
+MAP_BITS = 1 << 16
 
 
 def _terms(dictionary: DataFrame, name: str, term: str, ignore_case: bool) -> DataFrame:
@@ -87,15 +88,30 @@ def names_by_automaton(texts: DataFrame, text: Column, rows: list, out: str) ->
     return spread(texts).withColumn(out, found(text))
 
 
-def _distinct_runs(pieces: DataFrame, key: str, shortest: int, longest: int, out: str) -> DataFrame:
-    """The distinct runs of up to `longest` characters that start in each piece."""
-    pattern = f"(?s)(?=(.{{{shortest},{longest}}}))"
-    runs = F.array_distinct(F.regexp_extract_all("_piece", F.lit(pattern), F.lit(1)))
-    return pieces.select(F.col(key), F.explode(runs).alias(out))
+def _distinct_runs(pieces: DataFrame, n: int, out: str) -> DataFrame:
+    """The distinct runs of `n` characters that start in each piece."""
+    runs = F.array_distinct(F.regexp_extract_all("_piece", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)))
+    return pieces.select("_row", F.explode(runs).alias(out))
 
 
-def name_pairs(texts: DataFrame, key: str, text: Column, terms: DataFrame) -> DataFrame:
-    """Distinct `(key, name)` for a dictionary of any size."""
+def _slot(head: Column) -> Column:
+    return F.pmod(F.xxhash64(head), F.lit(MAP_BITS))
+
+
+def _head_map(heads: DataFrame) -> Column:
+    """A map of fixed size of the heads' digests, as an array of 64-bit words."""
+    words = (
+        heads.select(_slot(F.col("_head")).alias("slot"))
+        .groupBy(F.floor(F.col("slot") / 64).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits"))
+        .collect()  # at most MAP_BITS / 64 rows
+    )
+    bits = dict.fromkeys(range(MAP_BITS // 64), 0) | {row["word"]: row["bits"] for row in words}
+    return F.from_json(F.lit(str([bits[w] for w in range(MAP_BITS // 64)])), "array<bigint>")
+
+
+def name_pairs(texts: DataFrame, text: Column, terms: DataFrame) -> DataFrame:
+    """Distinct `(_row, _name)` for a dictionary of any size."""
     terms = materialise(terms, "terms")
     spellings = terms.select("_term").distinct()
     lengths = spellings.groupBy(F.length("_term").alias("n")).count().select("n")
@@ -104,76 +120,101 @@ def name_pairs(texts: DataFrame, key: str, text: Column, terms: DataFrame) -> Da
     longest_of = {row["n"]: row["longest"] for row in known.collect()}
     longest = max(longest_of.values(), default=1)
     cut = f"(?s)(?=(.{{1,{PIECE + longest - 1}}})).{{1,{PIECE}}}"
-    pieces = spread(texts).select(
-        F.col(key), F.explode(F.regexp_extract_all(text, F.lit(cut), F.lit(1))).alias("_piece")
-    )
+    pieces = spread(texts).select("_row", F.explode(F.regexp_extract_all(text, F.lit(cut), F.lit(1))).alias("_piece"))
     heads = (
         spellings.filter(F.length("_term") >= HEAD)
         .groupBy(F.left("_term", F.lit(HEAD)).alias("_head"))
         .agg(F.sort_array(F.collect_set(F.length("_term"))).alias("_lengths"))
     )
+    maybe = _head_map(heads)
+    # Each match takes one whole character, so a gram's index is its place in characters.
+    grams = F.regexp_extract_all("_piece", F.lit(f"(?s)(?=(.{{{HEAD}}}))."), F.lit(1))
+    marked = F.transform(
+        grams,
+        lambda g, i: F.struct(
+            g.alias("_head"),
+            i.alias("at"),
+            F.getbit(F.element_at(maybe, F.floor(_slot(g) / 64).cast("int") + 1), (_slot(g) % 64).cast("int")).alias("may"),
+        ),
+    )
+    # Only where a term may start is more of the text carried on.
+    starts = F.transform(
+        F.filter(marked, lambda m: m["may"] == 1),
+        lambda m: F.struct(
+            m["_head"].alias("_head"), F.substring(F.col("_piece"), m["at"] + 1, F.lit(longest)).alias("_window")
+        ),
+    )
     candidates = (
-        _distinct_runs(pieces, key, HEAD, max(longest, HEAD), "_window")
-        .withColumn("_head", F.left("_window", F.lit(HEAD)))
+        pieces.select("_row", F.explode(F.array_distinct(starts)).alias("_start"))
+        .select("_row", "_start.*")
         .join(broadcast_if_small(heads), "_head")
-        .select(key, "_window", F.explode("_lengths").alias("_length"))
+        .select("_row", "_window", F.explode("_lengths").alias("_length"))
         .filter(F.length("_window") >= F.col("_length"))
-        .select(key, F.left("_window", F.col("_length")).alias("_term"))
+        .select("_row", F.left("_window", F.col("_length")).alias("_term"))
     )
     # Terms shorter than the head are found as they are; a text has few runs so short.
     for n in sorted(longest_of):
         if n < HEAD:
-            candidates = candidates.unionByName(_distinct_runs(pieces, key, n, n, "_term"))
+            candidates = candidates.unionByName(_distinct_runs(pieces, n, "_term"))
     found = candidates.join(broadcast_if_small(spellings), "_term").distinct()
-    return found.join(broadcast_if_small(terms), "_term").select(key, "_name").distinct()
+    return found.join(broadcast_if_small(terms), "_term").select("_row", "_name").distinct()
 
 
-def names_by_join(texts: DataFrame, key: str, text: Column, terms: DataFrame, out: str) -> DataFrame:
-    texts = settle(texts, "texts")
-    pairs = name_pairs(texts, key, text, terms)
-    names = pairs.groupBy(F.col(key).alias("_key")).agg(
-        F.array_sort(F.collect_list("_name")).alias("_names")
+def names_by_join(texts: DataFrame, text: Column, terms: DataFrame, out: str) -> DataFrame:
+    """Sorted names per text row, for a dictionary of any size."""
+    numbered = materialise(texts.withColumn("_row", F.monotonically_increasing_id()), "texts")
+    names = (
+        name_pairs(numbered, text, terms)
+        .groupBy(F.col("_row").alias("_found"))
+        .agg(F.array_sort(F.collect_list("_name")).alias("_names"))
     )
     return (
-        texts.join(names, F.col(key) == F.col("_key"), "left")
+        numbered.join(names, F.col("_row") == F.col("_found"), "left")
         .withColumn(out, F.coalesce("_names", empty_strings()))
-        .drop("_key", "_names")
+        .drop("_row", "_found", "_names")
     )
 
 
-def choose_way(terms: DataFrame) -> str:
+def _bounded(terms: DataFrame, way: str) -> list:
+    """The dictionary's rows, measured before they come to the driver."""
+    most = {"scan": SCAN_TERMS, "automaton": AUTOMATON_TERMS}[way]
     width = F.length("_term") + F.length(F.col("_name").cast("string"))
     n, chars = terms.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
-    if n <= SCAN_TERMS and chars <= AUTOMATON_CHARS:
-        return "scan"
-    if ahocorasick and n <= AUTOMATON_TERMS and chars <= AUTOMATON_CHARS:
-        return "automaton"
-    return "join"
+    if n > most or chars > AUTOMATON_CHARS:
+        raise ValueError(f"{n} terms of {chars} characters are too many for the way {way!r}")
+    if way == "automaton" and ahocorasick is None:
+        raise ValueError("the way 'automaton' needs the module pyahocorasick")
+    return terms.collect()
 
 
 def add_names(
     texts: DataFrame,
-    key: str,
     text: str,
     dictionary: DataFrame,
     name: str,
     term: str,
     out: str,
     ignore_case: bool = False,
-    way: str | None = None,
+    way: str = "join",
 ) -> DataFrame:
     """Add the sorted array of names with at least one term in the text; `[]` if none.
 
-    `key` must be unique per text. The dictionary reaches the driver only when it was
-    measured to be within the bounds of the first two ways.
+    Rows may repeat and hold nulls; each has the names of its own text. The dictionary
+    may have any size; the ways `scan` and `automaton` refuse one beyond their bounds.
     """
     terms = _terms(dictionary, name, term, ignore_case)
     body = F.lower(F.col(text)) if ignore_case else F.col(text)
-    way = way or choose_way(terms)
     if way == "join":
-        return names_by_join(texts, key, body, terms, out)
+        return names_by_join(texts, body, terms, out)
     narrow = {"scan": names_by_scan, "automaton": names_by_automaton}[way]
-    return narrow(texts, body, terms.collect(), out)
+    return narrow(texts, body, _bounded(terms, way), out)
+
+
+def add_keyword_tags(
+    texts: DataFrame, text: str, keywords: DataFrame, tag: str, keyword: str, out: str = "tags"
+) -> DataFrame:
+    """Tags with at least one keyword of the table `keywords` in the text, ignoring case."""
+    return add_names(texts, text, keywords, tag, keyword, out, ignore_case=True)
 
 
 def keyword_tags(text: Column, keywords: dict[str, list[str]]) -> Column:

@@ -49,12 +49,11 @@ def mentions(
     texts: DataFrame,
     companies: DataFrame,
     sector: str = "bank",
-    key: str = "link",
     text: str = "content",
-    way: str | None = None,
+    way: str = "join",
 ) -> DataFrame:
     """Add `banks_mentioned`, the companies with an alias in the text."""
     aliases = company_aliases(companies, sector)
     return add_names(
-        texts, key, text, aliases, "company", "possible_name", "banks_mentioned", way=way
+        texts, text, aliases, "company", "possible_name", "banks_mentioned", way=way
     )

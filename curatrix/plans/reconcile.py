@@ -38,6 +38,9 @@ def exclusion_reasons() -> Column:
     return labels_where(tuple(zip(REASONS, conditions, strict=True)))
 
 
+NO_REASON = "none"  # a combination of no reasons
+
+
 def _keyed(df: DataFrame, column: str) -> DataFrame:
     # Two plain columns that equal each other exactly when the keys are null-safe
     # equal, so dedup, anti-join and join share one hash partitioning.
@@ -60,7 +63,8 @@ def missing_from_new(
 
     Urls are unique in the result, so `old`, `qa` and the urls of `new` are reduced to
     one row per url before they meet; this drops the same rows as a dedup after the
-    join, and no url can be hot in it. The orders decide which row stays.
+    join, and no url can be hot in it. The orders decide which row stays; all further
+    columns that are read follow them, so equal rows only are left to chance.
     """
     for frame, order in ((old, old_order), (qa, qa_order)):
         absent = set(order) - set(frame.columns)
@@ -68,6 +72,8 @@ def missing_from_new(
             raise ValueError(f"order columns {sorted(absent)} are missing")
     require(old, PAPERS_OLD)
     require(qa, PAPERS_QA)
+    old_order = [*old_order, *(c for c in PAPERS_OLD.names if c not in old_order)]
+    qa_order = [*qa_order, *(c for c in PAPERS_QA.names if c not in qa_order)]
     first_old = keep_first(_keyed(old, "paper_url"), _KEY, old_order).select(
         "company_name", "paper_url", *_KEY
     )
@@ -106,12 +112,13 @@ def reason_rows(missing: DataFrame, per_combination: bool = False) -> DataFrame:
     """`(company_name, exclusion_reason)`, one row per reason or per combination.
 
     Reasons may be an array or its text. Per combination the joined reasons are one
-    value, also the empty one; per reason a row without reasons vanishes.
+    value, `none` where there are none; per reason a row without reasons vanishes.
     """
     reasons = F.col("exclusion_reason")
     if dict(missing.dtypes)["exclusion_reason"] == "string":
         reasons = parse_list_text(reasons)
-    value = F.array_join(reasons, "|") if per_combination else F.explode(reasons)
+    joined = F.when(F.size(reasons) == 0, NO_REASON).otherwise(F.array_join(reasons, "|"))
+    value = joined if per_combination else F.explode(reasons)
     return missing.select("company_name", value.alias("exclusion_reason"))
 
 
@@ -122,7 +129,7 @@ def reason_counts(missing: DataFrame, per_combination: bool = False) -> DataFram
 def all_combinations(reasons: Sequence[str] = REASONS) -> list[str]:
     """Every joined combination the rules can give, in rule order."""
     return [
-        "|".join(c) for size in range(len(reasons) + 1) for c in combinations(reasons, size)
+        "|".join(c) or NO_REASON for size in range(len(reasons) + 1) for c in combinations(reasons, size)
     ]
 
 

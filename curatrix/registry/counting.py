@@ -107,8 +107,8 @@ def distinct_values(t):
 
 @query("dedup_rows", "SELECT md5(text) AS text_md5, lang FROM (SELECT DISTINCT text, lang FROM documents)")
 def dedup_rows(t):
-    rows = t.documents.select("text", "lang").dropDuplicates()
-    return rows.select(F.md5("text").alias("text_md5"), "lang")
+    # The digest stands for the text, so the shuffle carries no whole texts.
+    return t.documents.select(F.md5("text").alias("text_md5"), "lang").dropDuplicates()
 
 
 @query(

@@ -101,7 +101,8 @@ def job_exclusion_matrix(t):
 @query(
     "job_exclusion_combinations",
     f"""WITH {i.MISSING_SQL}
-        SELECT company_name, array_to_string(reasons, '|') AS exclusion_reason, count(*) AS count
+        SELECT company_name, coalesce(nullif(array_to_string(reasons, '|'), ''), 'none') AS exclusion_reason,
+               count(*) AS count
         FROM missing GROUP BY 1, 2""",
 )
 def job_exclusion_combinations(t):
@@ -113,6 +114,19 @@ def job_exclusion_combinations(t):
     return reconcile.reason_counts(scan_csv(t.spark, path, PAPER_ROW), per_combination=True)
 
 
+def _combination_sql() -> str:
+    cells = ", ".join(f"count_if(reason = '{c}') AS \"{c}\"" for c in reconcile.all_combinations())
+    return f"""WITH {i.MISSING_SQL},
+        rows AS (SELECT company_name, coalesce(nullif(array_to_string(reasons, '|'), ''), 'none') AS reason FROM missing)
+        SELECT company_name, {cells}, count(*) AS total FROM rows
+        WHERE company_name IS NOT NULL AND company_name <> 'src7' GROUP BY company_name"""
+
+
+@query("job_exclusion_matrix_combinations", _combination_sql())
+def job_exclusion_matrix_combinations(t):
+    return reconcile.exclusion_matrix(missing_papers(t), per_combination=True, drop_company="src7")
+
+
 @query(
     "job_relevance",
     f"""WITH {i.PAPERS_SQL}

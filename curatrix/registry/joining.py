@@ -16,18 +16,17 @@ from curatrix.registry.base import query
 
 @query(
     "left_join",
-    """SELECT c_custkey, s_suppkey
-       FROM (SELECT c_custkey, CASE WHEN c_acctbal >= 0 THEN c_nationkey END AS k FROM customer) c
-       LEFT JOIN (SELECT s_suppkey, CASE WHEN s_acctbal >= 1000 THEN s_nationkey END AS k FROM supplier
-                  WHERE s_nationkey <> 7) s
-       ON c.k IS NOT DISTINCT FROM s.k""",
+    """SELECT o_orderkey, c_name
+       FROM (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS k FROM orders) o
+       LEFT JOIN (SELECT c_name, c_custkey AS k FROM customer UNION ALL SELECT 'nobody', NULL) c
+       ON o.k IS NOT DISTINCT FROM c.k""",
 )
 def left_join_query(t):
-    left = t.customer.select("c_custkey", F.when(F.col("c_acctbal") >= 0, F.col("c_nationkey")).alias("k"))
-    right = t.supplier.filter("s_nationkey <> 7").select(
-        "s_suppkey", F.when(F.col("s_acctbal") >= 1000, F.col("s_nationkey")).alias("rk")
-    )
-    return left_join(left, right, "k", "rk", hot_right=True).select("c_custkey", "s_suppkey")
+    """A null key of an order meets the one null key of the right side."""
+    left = t.orders.select("o_orderkey", F.when(F.col("o_orderstatus") != "P", F.col("o_custkey")).alias("k"))
+    nobody = t.spark.createDataFrame([("nobody", None)], "c_name string, rk long")
+    right = t.customer.select("c_name", F.col("c_custkey").alias("rk")).unionByName(nobody)
+    return left_join(left, right, "k", "rk").select("o_orderkey", "c_name")
 
 
 @query(
@@ -36,7 +35,7 @@ def left_join_query(t):
        FROM (SELECT n_name AS nation, count(*) AS n_customers FROM customer
              JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name) c
        LEFT JOIN (SELECT n_name AS nation, count(*) AS n_suppliers FROM supplier
-                  JOIN nation ON s_nationkey = n_nationkey WHERE s_acctbal > 5000 GROUP BY n_name) s
+                  JOIN nation ON s_nationkey = n_nationkey GROUP BY n_name) s
        ON c.nation = s.nation""",
 )
 def count_change(t):
@@ -46,7 +45,7 @@ def count_change(t):
         return named.select(F.col("n_name").alias("nation"), name)
 
     customers = per_nation(t.customer, "c_nationkey", "n_customers")
-    suppliers = per_nation(t.supplier.filter("s_acctbal > 5000"), "s_nationkey", "n_suppliers")
+    suppliers = per_nation(t.supplier, "s_nationkey", "n_suppliers")
     return difference(
         left_join(customers, suppliers, "nation"), "n_customers", "n_suppliers", "change"
     )

@@ -48,5 +48,5 @@ def export_tables(
             n_rows = spark.read.format(fmt).load(path).count()
             manifest.append((name, relative, n_rows, "done", None))
         except Exception as failure:  # noqa: BLE001 - recorded per table
-            manifest.append((name, relative, None, "failed", str(failure)[:500]))
+            manifest.append((name, relative, None, "failed", str(failure)))
     return spark.createDataFrame(manifest, MANIFEST)

@@ -144,7 +144,7 @@ def test_exclusion_matrix_from_text_and_arrays(frame):
     combined = reconcile.exclusion_matrix(missing, per_combination=True, drop_company="absent")
     got = {r.company_name: r.asDict() for r in combined.collect()}
     assert got["A"]["is_patent|no_tags"] == 1 and got["A"]["total"] == 2
-    assert got["B"][""] == 2 and set(got) == {"A", "B", "J"}
+    assert got["B"]["none"] == 2 and set(got) == {"A", "B", "J"}
     counted = reconcile.reason_counts(missing)
     exploded = reconcile.reason_rows(missing).filter("company_name is not null").count()
     assert counted.agg(F.sum("count")).first()[0] == exploded
@@ -152,7 +152,7 @@ def test_exclusion_matrix_from_text_and_arrays(frame):
 
 def test_all_combinations_are_in_rule_order():
     combos = reconcile.all_combinations()
-    assert len(combos) == 64 and "" in combos and "is_patent|no_tags" in combos
+    assert len(combos) == 64 and "none" in combos and "is_patent|no_tags" in combos
 
 
 # --- counts ----------------------------------------------------------------------------
@@ -235,6 +235,22 @@ def test_concept_articles_keep_article_columns(spark):
     assert {r.article_id for r in again.collect()} == {r.article_id for r in got}
 
 
+def test_concept_articles_tell_rows_of_one_url_apart(spark):
+    day, topic = dt.date(2024, 1, 2), concepts.TOPIC_CONCEPTS[0]
+    made = from_records(
+        spark,
+        [
+            (day, "eng", "news", "p1", "u1", [(topic,), ("a",)]),
+            (day, "eng", "news", "p2", "u1", [(topic,)]),
+            (day, "eng", "news", "p3", None, [(topic,), ("a",)]),
+        ],
+        schemas.ARTICLES,
+    )
+    companies = spark.createDataFrame([("A", ["a"])], "id string, url_list array<string>")
+    got = concepts.concept_articles(made, companies, day, day, "Payments", F.lit(dt.datetime(2024, 2, 1))).collect()
+    assert {(r.dateTimePub, r.url) for r in got} == {("p1", "u1"), ("p3", None)} and len(got[0].concepts) == 2
+
+
 def test_mentions(spark):
     companies = from_records(
         spark,

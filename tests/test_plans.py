@@ -12,7 +12,7 @@ from curatrix.operators import joins
 from curatrix.registry import QUERIES
 
 PYTHON_QUERIES = {
-    "page_rows", "page_links", "page_text", "article_text", "mentions", "job_mentions", "relevance_ml",
+    "page_rows", "page_links", "page_text", "article_text", "mentions_scanned", "job_mentions", "relevance_ml",
 }
 
 

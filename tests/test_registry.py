@@ -10,7 +10,7 @@ import __spark_entry__ as entry_module
 from curatrix.registry import ORACLE, QUERIES
 from curatrix.session import prepare
 
-ROWS_ONLY = {"relevance_ml"}
+ROWS_ONLY: set[str] = set()
 
 
 @pytest.fixture(scope="module")

@@ -86,10 +86,12 @@ def test_counts_drop_null_keys(frame):
     assert rows(agg.count_per(df, ["c", "reason"])) == [("a", "r", 2)]
 
 
-def test_matrix_totals_count_unlisted_values(frame):
+def test_matrix_refuses_unlisted_values(frame):
     df = frame([("a", "x"), ("a", "y"), ("b", "z"), ("b", "x"), ("b", "x")], "c string, r string")
-    out = agg.by_total(agg.count_matrix(df, "c", "r", ["x", "y"]), "c").collect()
-    assert [tuple(r) for r in out] == [("b", 2, 0, 3), ("a", 1, 1, 2)]
+    out = agg.by_total(agg.count_matrix(df, "c", "r", ["x", "y", "z"]), "c").collect()
+    assert [tuple(r) for r in out] == [("b", 2, 0, 1, 3), ("a", 1, 1, 0, 2)]
+    with pytest.raises(Exception, match="value of r without a column: z"):
+        agg.count_matrix(df, "c", "r", ["x", "y"]).collect()
 
 
 @pytest.mark.parametrize("part_size", [1, 3, 1000])

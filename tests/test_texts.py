@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from curatrix.operators import pages, terms
 from curatrix.operators.domains import domain_labels, host_of, suffix_rules
-from curatrix.operators.summaries import summarise
+from curatrix.operators.summaries import sentences, summarise
 
 WAYS = ["scan", "join"] + (["automaton"] if terms.ahocorasick else [])
 
@@ -33,7 +33,7 @@ def test_ways_agree_with_brute_force(spark, way, ignore_case):
     dictionary = [(f"n{draw.randrange(12)}", word(draw.randrange(0, 7))) for _ in range(60)]
     dictionary += [("border", "across the border"), ("tail", "yend"), (None, "x"), ("null", None), ("blank", "")]
     found = terms.add_names(
-        spark.createDataFrame(texts, "k int, body string"), "k", "body",
+        spark.createDataFrame(texts, "k int, body string"), "body",
         spark.createDataFrame(dictionary, "name string, term string"), "name", "term", "names",
         ignore_case=ignore_case, way=way,
     )
@@ -46,19 +46,27 @@ def test_terms_of_one_length_and_an_empty_dictionary(spark):
     for words, names in ((["bank"], [["B"], []]), ([], [[], []])):
         dictionary = spark.createDataFrame([("B", w) for w in words], "name string, term string")
         for way in WAYS:
-            out = terms.add_names(texts, "k", "body", dictionary, "name", "term", "names", way=way)
+            out = terms.add_names(texts, "body", dictionary, "name", "term", "names", way=way)
             assert [r.names for r in out.orderBy("k").collect()] == names
 
 
-def test_way_follows_the_measured_dictionary(spark):
-    def way(n, width=5):
-        made = spark.range(n).select(F.lit("n").alias("name"), F.lpad(F.col("id"), width, "0").alias("term"))
-        return terms.choose_way(terms._terms(made, "name", "term", False))
+@pytest.mark.parametrize("way", WAYS)
+def test_each_row_has_its_own_names(spark, way):
+    rows = [("k", "Alpha here"), ("k", "Beta here"), (None, "Alpha again"), (None, "Alpha again"), ("k", None)]
+    texts = spark.createDataFrame(rows, "k string, body string")
+    dictionary = spark.createDataFrame([("A", "Alpha"), ("B", "Beta")], "name string, term string")
+    out = terms.add_names(texts, "body", dictionary, "name", "term", "names", way=way).collect()
+    assert sorted(((r.k, r.body, r.names) for r in out), key=repr) == sorted(
+        [("k", "Alpha here", ["A"]), ("k", "Beta here", ["B"]), (None, "Alpha again", ["A"]), (None, "Alpha again", ["A"]), ("k", None, [])],
+        key=repr,
+    )
 
-    assert way(terms.SCAN_TERMS) == "scan"
-    assert way(terms.SCAN_TERMS + 1) == ("automaton" if terms.ahocorasick else "join")
-    assert way(terms.AUTOMATON_TERMS + 1, 9) == "join"
-    assert way(10, terms.AUTOMATON_CHARS) == "join"
+
+def test_narrow_ways_refuse_a_dictionary_beyond_their_bounds(spark):
+    texts = spark.createDataFrame([("a",)], "body string")
+    many = spark.range(terms.SCAN_TERMS + 1).select(F.lit("n").alias("name"), F.col("id").cast("string").alias("term"))
+    with pytest.raises(ValueError, match="too many"):
+        terms.add_names(texts, "body", many, "name", "term", "names", way="scan")
 
 
 @pytest.mark.parametrize(
@@ -169,7 +177,7 @@ def test_summaries_rank_and_nulls(spark):
     data = [(1, "Short. The longest sentence of them all! Mid size one? no end"), (2, "nothing here"), (3, None)]
     given = spark.createDataFrame(data, "k int, body string")
     best = {r.k: r.summary for r in summarise(given, "body", k=2, score="length").collect()}
-    assert best == {1: "•The longest sentence of them all!\n•Mid size one?", 2: None, 3: None}
+    assert best == {1: "•The longest sentence of them all!\n•Mid size one?", 2: "•nothing here", 3: None}
     cued = summarise(given, "body", k=1, cues=["short"]).filter("k = 1").first().summary
     assert cued == "•Short."
     with pytest.raises(ValueError):
@@ -178,4 +186,39 @@ def test_summaries_rank_and_nulls(spark):
 
 def test_long_line_without_end_mark_is_read_once(spark):
     given = spark.createDataFrame([(1, "a" * 400_000 + "\nDone.")], "k int, body string")
-    assert summarise(given, "body", score="length").first().summary == "•Done."
+    assert summarise(given, "body", score="length").first().summary == "•" + "a" * 400_000 + "\n•Done."
+
+
+def test_unclosed_rows_are_read_in_one_pass(spark):
+    rows = "".join(f"<tr><td>{i}<td>x" for i in range(50_000))
+    given = page(spark, f'<div id="card"><table>{rows}</table></div>')
+    found = pages.table_rows(given, "url", card=("div", "card"), row="tr")
+    assert found.count() == 50_000 and found.filter("pos = 7").first().row_text == "7x"
+
+
+def test_attributes_with_entities_are_found(spark):
+    given = page(spark, '<a class="text&#45;black x" href="/a">t</a><div id="ca&#114;d"><p>r</p></div>')
+    assert [r.link for r in pages.links(given, "url", "text-black x").collect()] == ["/a"]
+    assert [r.row_text for r in pages.table_rows(given, "url", card=("div", "card"), row="p").collect()] == ["r"]
+
+
+def test_suffix_file(spark, tmp_path):
+    from curatrix.operators.domains import domain_labels, read_suffix_rules
+
+    listed = "// ===BEGIN ICANN DOMAINS===\n\nse\n*.ck extra words\n!www.ck\nco.uk\n// ===BEGIN PRIVATE DOMAINS===\nshop.se\n"
+    (tmp_path / "list").write_text(listed)
+    rules = read_suffix_rules(spark, str(tmp_path / "list"))
+    assert {r.rule for r in rules.collect()} == {"se", "*.ck", "!www.ck", "co.uk", "shop.se"}
+    assert read_suffix_rules(spark, str(tmp_path / "list"), with_private=False).count() == 4
+    hosts = spark.createDataFrame([("news.dn.se",), ("bbc.co.uk.",), ("a.shop.se",)], "url string")
+    assert {r.url: r.label for r in domain_labels(hosts, "url", rules, "label").collect()} == {
+        "news.dn.se": "dn", "bbc.co.uk.": "bbc", "a.shop.se": "a",
+    }
+
+
+def test_sentences_are_whole(spark):
+    text = 'Revenue rose 3.5% to $1.5bn in the U.S. market. It said "no!" Then?  Ok.\nA heading\n\nand an open end'
+    given = spark.createDataFrame([(text,)], "body string")
+    assert given.select(sentences(F.col("body")).alias("s")).first().s == [
+        "Revenue rose 3.5% to $1.5bn in the U.S. market.", 'It said "no!"', "Then?", "Ok.", "A heading", "and an open end",
+    ]
