@@ -8,13 +8,13 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from curatrix.llm.common import bounded_batches, utf8, written
 from curatrix.llm.graph import components
 from curatrix.llm.idmap import choose, is_wanted, wanted_map
-from curatrix.llm.sharing import SCHEMA, Blocks, shared_keys, sizes
+from curatrix.llm.sharing import KEY_BITS, SCHEMA, Blocks, shared_keys, sizes
 from curatrix.llm.shingles import shingle_sets
 from curatrix.llm.suffixes import refine
 
@@ -23,7 +23,7 @@ from curatrix.llm.suffixes import refine
 _SHARE, _OF = 80, 100
 _ALONE = 3  # sets of at most so many tokens are only similar to their equals
 _TOKENS = 1 << 20  # worked on at once
-_SHAPE = ("band", "own", "own_per_key", "next", "next_per_key")
+_SHAPE = ("band", "own", "own_per_key", "own_skip", "next", "next_per_key", "next_skip")
 
 
 @lru_cache(maxsize=1)
@@ -49,14 +49,15 @@ def allocation(band: int) -> tuple[int, int]:
     The cheapest allocation is taken: signatures sent, plus a charge for signatures of a
     single token, which unrelated sets share most. Segments that come out empty find
     nothing, so some are added until sets of the band's sizes have enough almost surely;
-    for those that still have not, see `signatures`.
+    for those that still have not, see `signatures`. A tenth more lets a set do without
+    its dearest keys, see `without_dearest`.
     """
     tops = band_tops()
     top = int(tops[band])
     low = int(tops[band - 2]) + 1 if band >= 2 else _ALONE + 1
     best = None
     limit = int(most_different(top, top))
-    for total in range(1, limit + 12 + limit // 4):
+    for total in range(1, 2 * limit + 12):
         for near in {0, total // 2, total}:
             if total + near < limit + 1:
                 continue
@@ -68,7 +69,7 @@ def allocation(band: int) -> tuple[int, int]:
                 spread = (total * empty + near * (empty + one)) ** 0.5
                 if total == 1:
                     units, spread = 1 + near, 0
-                enough &= units - 3 * spread >= most_different(size, top) + 1
+                enough &= units - 3 * spread >= 1.1 * most_different(size, top) + 1
             if not enough:
                 continue
             mean = top / total
@@ -78,7 +79,7 @@ def allocation(band: int) -> tuple[int, int]:
                 best = (cost, total, near)
         if best and total > 2 * best[1] + 8:
             break
-    return (best[1], best[2]) if best else (limit + 12 + limit // 4, limit + 12 + limit // 4)
+    return (best[1], best[2]) if best else (2 * limit + 12, 2 * limit + 12)
 
 
 @dataclass
@@ -123,6 +124,14 @@ def _segments(owner: np.ndarray, token: np.ndarray, sizes_: np.ndarray, alive: n
     return _Segments(who, weight, head_owner, name, np.add.reduceat(weight, heads), counts, several, units, spare)
 
 
+def _key(sums: np.ndarray, name: np.ndarray) -> np.ndarray:
+    """Key of a segment; its two lowest bits that travel tell odd bands and later seeds."""
+    low = np.uint64(64 - KEY_BITS)
+    odd, later = name >> np.uint64(40) & np.uint64(1), (name & np.uint64(255) > 0).astype(np.uint64)
+    plain = refine(sums, name) & ~(np.uint64(3) << low)
+    return plain | odd << low | later << (low + np.uint64(1))
+
+
 def signatures(owner: np.ndarray, token: np.ndarray, sizes_: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Owners and keys by which similar sets are sure to share one.
 
@@ -136,48 +145,78 @@ def signatures(owner: np.ndarray, token: np.ndarray, sizes_: np.ndarray) -> Iter
         alive, seed = sizes_ > _ALONE, 0
         while alive.any():
             s = _segments(owner, token, sizes_, alive, step, seed)
-            yield s.owner, refine(s.sums, s.name)
+            yield s.owner, _key(s.sums, s.name)
             inside = np.repeat(s.near, s.counts)
             if inside.any():
                 less = np.repeat(s.sums, s.counts)[inside] - s.weight[inside]
-                yield s.token_owner[inside], refine(less, np.repeat(s.name, s.counts)[inside])
+                yield s.token_owner[inside], _key(less, np.repeat(s.name, s.counts)[inside])
             alive = alive & (s.spare < 1)
             seed += 1
 
 
 def index_shape(owner: np.ndarray, token: np.ndarray, sizes_: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Band of each set, and for its own and the next band its units and how many share a key.
+    """Band of each set, and for its own and the next band its units, units for a key, and skip.
 
     Each token in which two sets differ spoils one unit of the first seed's segments, and
     what is left is keys that they share: one key for each unit, or for two where
-    segments are indexed with neighbours. So a pair that shares fewer is not similar.
+    segments are indexed with neighbours. So a pair that shares fewer is not similar, and
+    a set can skip all but one of the keys that it must share with any similar set.
     """
     alive = sizes_ > _ALONE
     out = [np.searchsorted(band_tops(), sizes_)]
     for step in (0, 1):
-        units, per_key = np.zeros(len(sizes_), np.int64), np.ones(len(sizes_), np.int64)
+        units, skip = np.zeros(len(sizes_), np.int64), np.zeros(len(sizes_), np.int64)
+        per_key = np.ones(len(sizes_), np.int64)
         if alive.any():
             s = _segments(owner, token, sizes_, alive, step, 0)
             units = s.units
             per_key[np.unique(s.owner[s.near])] = 2
-        out += [units, per_key]
+            skip = np.where(alive, np.maximum(0, -(-s.spare // per_key) - 1), 0)
+        out += [units, per_key, skip]
     return tuple(out)
 
 
+def without_dearest(keys: DataFrame, sets: DataFrame) -> DataFrame:
+    """`id`, `key` without the keys that most sets have, as far as each set can skip them.
+
+    Two similar sets share more keys of a band than either skips, so the one of them that
+    the fewest sets have is kept by both. Keys of later seeds are all kept.
+    """
+    counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n_sets"))
+    shape = sets.groupBy("id").agg(
+        F.min("band").alias("band"), F.max("band").alias("other"),
+        F.min("own_skip").alias("own_skip"), F.min("next_skip").alias("next_skip"),
+    )
+    odd, later = F.col("key").bitwiseAND(1), F.col("key").bitwiseAND(2) > 0
+    skip = F.when(odd == F.col("band").bitwiseAND(1), F.col("own_skip")).otherwise(F.col("next_skip"))
+    dearest = Window.partitionBy("id", "odd", "later").orderBy(F.desc("n_sets"), "key")
+    return (
+        keys.join(counts, "key")
+        .join(shape, "id")
+        .withColumns({"odd": odd, "later": later, "skip": F.when(F.col("band") == F.col("other"), skip).otherwise(0)})
+        .withColumn("nth", F.row_number().over(dearest))
+        .where("later or nth > skip")
+        .select("id", "key")
+    )
+
+
 def fewest_shared(band_a, units_a, band_b, units_b, differ):
     """Keys that two similar sets share at least, given the tokens in which they may differ.
 
-    Bands, units and results may be numbers or columns; `units_*` has own units, own
-    units for a key, next units, next units for a key. Sets of one band meet in two
-    bands, others where the lower one's next is the upper one's own.
+    `units_*` has units, units for a key and skipped keys of the own band, then of the
+    next. Sets of one band meet in two bands, others where the lower one's next is the
+    upper one's own. Keys that either set skips may be missing from what they share.
     """
-    def left(units, per_key):
-        return F.greatest(F.ceil((units - differ) / per_key), F.lit(0))
-
-    same = F.greatest(*(left(u[0], u[1]) + left(u[2], u[3]) for u in (units_a, units_b)))
-    below = F.greatest(left(units_a[2], units_a[3]), left(units_b[0], units_b[1]))
-    above = F.greatest(left(units_b[2], units_b[3]), left(units_a[0], units_a[1]))
-    needed = F.when(band_a == band_b, same).when(band_a < band_b, below).otherwise(above)
+    def left(one, two):
+        most = F.greatest(*(F.ceil((u[0] - differ) / u[1]) for u in (one, two)))
+        return F.greatest(most - one[2] - two[2], F.lit(0))
+
+    own_a, next_a, own_b, next_b = units_a[:3], units_a[3:], units_b[:3], units_b[3:]
+    needed = (
+        F.when(band_a == band_b, left(own_a, own_b) + left(next_a, next_b))
+        .when(band_a < band_b, left(next_a, own_b))
+        .otherwise(left(own_a, next_b))
+    )
     return F.greatest(needed, F.lit(1))
 
 
@@ -310,12 +349,13 @@ def similar_components(docs: DataFrame) -> DataFrame:
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts, partitions = sizes(total)
     wanted = wanted_map(keepers.where(f"n > {_ALONE}").select("keeper"))
+    size = table.where("id is not null and n > 0")
     keys = written(candidate_keys(known, wanted, parts, partitions), "keys")
+    keys = written(without_dearest(keys, size), "keys")
     heads = keys.groupBy("key").agg(F.min("id").alias("a"))
     near = (
         keys.join(heads, "key").where("id <> a").groupBy("a", F.col("id").alias("b")).agg(F.count(F.lit(1)).alias("keys"))
     )
-    size = table.where("id is not null and n > 0")
     tried = written(_fitting(near, size), "near")
     links = written(verified(known, tried, "near"), "links")
     labels = components(links)

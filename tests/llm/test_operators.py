@@ -193,11 +193,19 @@ def test_similar_sets_share_enough_keys(spark):
                     keys[w].add(int(k))
             shape = np.stack(jaccard.index_shape(owner, token, sizes))
             rows.append((*map(int, shape[:, 0]), *map(int, shape[:, 1]), int(sizes.sum()) // 9, len(keys[0] & keys[1])))
-    fields = [f"{c}_{e}" for e in "ab" for c in ("band", "u0", "k0", "u1", "k1")] + ["differ", "shared"]
+    names = ("band", "u0", "k0", "s0", "u1", "k1", "s1")
+    fields = [f"{c}_{e}" for e in "ab" for c in names] + ["differ", "shared"]
     frame = spark.createDataFrame(rows, ", ".join(f"{c} long" for c in fields))
-    units = ([F.col(f"{c}_{e}") for c in ("u0", "k0", "u1", "k1")] for e in "ab")
-    needed = jaccard.fewest_shared(F.col("band_a"), next(units), F.col("band_b"), next(units), F.col("differ"))
-    assert frame.where(F.col("shared") < needed).count() == 0 and frame.where(needed > 5).count() > 0
+    units = ([F.col(f"{c}_{e}") if skips or c[0] != "s" else F.lit(0) for c in names[1:]] for skips in (0, 1) for e in "ab")
+    for _ in range(2):  # no key skipped, then as many as allowed
+        needed = jaccard.fewest_shared(F.col("band_a"), next(units), F.col("band_b"), next(units), F.col("differ"))
+        assert frame.where(F.col("shared") < needed).count() == 0 and frame.where(needed >= 1).count() == len(rows)
+    most = (
+        F.when(F.col("band_a") == F.col("band_b"), F.greatest("s0_a", "s0_b") + F.greatest("s1_a", "s1_b") + 1)
+        .when(F.col("band_a") < F.col("band_b"), F.greatest("s1_a", "s0_b"))
+        .otherwise(F.greatest("s0_a", "s1_b"))
+    )
+    assert frame.where(F.col("shared") <= most).count() == 0 and frame.where(most > 3).count() > 0
 
 
 def test_shingles_equal_brute_force(messy):
