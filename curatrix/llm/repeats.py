@@ -19,7 +19,7 @@ from curatrix.llm.suffixes import LENGTH, SPAN, STEP, buckets26, buckets50, refi
 _ENTRIES = "part int, settled boolean, ids binary, digests binary, owners binary, starts binary, counts binary, keys binary, bytes binary"
 _HELD = 1 << 18  # windows compared at once within a batch
 _SHARE = 1 << 19  # windows of a part compared at once
-_MARKS = "id long, digest long, starts binary, ends binary"
+_MARKS = "id long, digest long, spans binary"
 
 
 def _first_buckets(texts: DataFrame, parts: int) -> DataFrame:
@@ -74,13 +74,28 @@ def _merge(owner: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.nd
     return owner[heads], start[heads], reach[last]
 
 
+def _pack_spans(start: np.ndarray, end: np.ndarray) -> bytes:
+    """Starts and lengths in as few bytes as they need, after the two widths."""
+    length = end - start
+    wide_start, wide_length = 8 if int(start.max()) >> 31 else 4, 8 if int(length.max()) >> 16 else 2
+    first = start.astype(f"<i{wide_start}").tobytes()
+    return bytes([wide_start, wide_length]) + first + length.astype("<u2" if wide_length == 2 else "<i8").tobytes()
+
+
+def _unpack_spans(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = (len(data) - 2) // (data[0] + data[1])
+    start = np.frombuffer(data, f"<i{data[0]}", n, 2).astype(np.int64)
+    length = np.frombuffer(data, "<u2" if data[1] == 2 else "<i8", n, 2 + n * data[0]).astype(np.int64)
+    return start, start + length
+
+
 def _mark_rows(ids: np.ndarray, digests: np.ndarray, owner: np.ndarray, start: np.ndarray) -> Iterator[tuple]:
     """Per text: id, digest and the merged spans of the windows that start at `start`."""
     owner, start, end = _merge(owner.astype(np.int64), start.astype(np.int64), start.astype(np.int64) + LENGTH)
     heads = _groups(owner) if len(owner) else []
     for a, b in zip(heads, [*heads[1:], len(owner)], strict=True):
         who = owner[a]
-        yield int(ids[who]), int(digests[who]), start[a:b].astype("<i8").tobytes(), end[a:b].astype("<i8").tobytes()
+        yield int(ids[who]), int(digests[who]), _pack_spans(start[a:b], end[a:b])
 
 
 def _entry_rows(
@@ -163,7 +178,7 @@ def _refined(texts: DataFrame, shared: DataFrame, parts: int) -> DataFrame:
         rows = list(_entry_rows(ids, digests, data, owner[~known], key[~known], place[~known], offsets, parts))
         if known.any():
             marks = _mark_rows(ids, digests, owner[known], place[known] - offsets[owner[known]])
-            rows += [(i % parts, True, *m, b"", b"", b"") for i, m in enumerate(_as_columns(marks))]
+            rows += [(i % parts, True, *m, b"", b"", b"", b"") for i, m in enumerate(_as_columns(marks))]
         types = [pa.int32(), pa.bool_(), *[pa.binary()] * 7]
         yield pa.RecordBatch.from_arrays(
             [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)],
@@ -173,10 +188,10 @@ def _refined(texts: DataFrame, shared: DataFrame, parts: int) -> DataFrame:
     return joined.mapInArrow(refine_windows, _ENTRIES)
 
 
-def _as_columns(marks: Iterator[tuple]) -> Iterator[tuple[bytes, bytes, bytes, bytes]]:
+def _as_columns(marks: Iterator[tuple]) -> Iterator[tuple[bytes, bytes, bytes]]:
     """Settled marks in the columns of an entry row."""
-    for who, digest, starts, ends in marks:
-        yield np.int64(who).tobytes(), np.int64(digest).tobytes(), starts, ends
+    for who, digest, spans in marks:
+        yield np.int64(who).tobytes(), np.int64(digest).tobytes(), spans
 
 
 def _marks(entries: DataFrame, partitions: int) -> DataFrame:
@@ -187,7 +202,7 @@ def _marks(entries: DataFrame, partitions: int) -> DataFrame:
             out = []
             for row in zip(*(batch.column(i).to_pylist() for i in range(9)), strict=True):
                 if row[1]:
-                    out.append((int(np.frombuffer(row[2], "<i8")[0]), int(np.frombuffer(row[3], "<i8")[0]), row[4], row[5]))
+                    out.append((int(np.frombuffer(row[2], "<i8")[0]), int(np.frombuffer(row[3], "<i8")[0]), row[4]))
                 else:
                     held.setdefault(row[0], []).append(row[2:])
             yield from _mark_batch(out)
@@ -199,9 +214,9 @@ def _marks(entries: DataFrame, partitions: int) -> DataFrame:
 
 def _mark_batch(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
     if rows:
-        types = [pa.int64(), pa.int64(), pa.binary(), pa.binary()]
+        types = [pa.int64(), pa.int64(), pa.binary()]
         yield pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["id", "digest", "starts", "ends"]
+            [pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["id", "digest", "spans"]
         )
 
 
@@ -246,7 +261,7 @@ def _compare_part(rows: list[tuple]) -> Iterator[tuple]:
 
 def _apply(texts: DataFrame, marks: DataFrame, with_text: bool) -> DataFrame:
     """What is left of each text with a mark."""
-    by_id = marks.groupBy("id").agg(F.collect_list(F.struct("digest", "starts", "ends")).alias("spans"))
+    by_id = marks.groupBy("id").agg(F.collect_list(F.struct("digest", "spans")).alias("spans"))
     joined = texts.join(by_id.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left")
     schema = "id long, digest long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
 
@@ -259,8 +274,7 @@ def _apply(texts: DataFrame, marks: DataFrame, with_text: bool) -> DataFrame:
                 own = [s for s in spans.as_py() or () if s["digest"] == digest]
                 if not own:
                     continue
-                start = np.frombuffer(b"".join(s["starts"] for s in own), "<i8")
-                end = np.frombuffer(b"".join(s["ends"] for s in own), "<i8")
+                start, end = map(np.concatenate, zip(*(_unpack_spans(s["spans"]) for s in own), strict=True))
                 _, start, end = _merge(np.zeros(len(start), np.int64), start, end)
                 text = texts_[i].as_py().encode()
                 left, at = [], 0

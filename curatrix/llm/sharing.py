@@ -28,10 +28,23 @@ def _row(part: int, settled: bool, ids: np.ndarray, keys: np.ndarray) -> tuple:
     table, owners = np.unique(ids, return_inverse=True)
     small = owners.astype("<u2" if len(table) <= 1 << 16 else "<u4")
     packed = keys.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-    return part, settled, table.astype("<i8").tobytes(), small.tobytes(), packed.tobytes()
+    return part, settled, _pack_sorted(table), small.tobytes(), packed.tobytes()
 
 
-def unpack_ids(ids: bytes, owners: bytes) -> np.ndarray:
+def _pack_sorted(table: np.ndarray) -> bytes:
+    """Ascending ids as the first one and the steps to the next, in as few bytes as they need."""
+    steps = np.diff(table)
+    most = int(steps.max(initial=0))
+    width = 2 if 0 <= most < 1 << 16 else 8  # a step may overflow, and then comes back the same way
+    return np.int64(table[0]).tobytes() + bytes([width]) + steps.astype(f"<i{width}" if width == 8 else "<u2").tobytes()
+
+
+def _unpack_sorted(data: bytes) -> np.ndarray:
+    steps = np.frombuffer(data, "<i8" if data[8] == 8 else "<u2", offset=9).astype(np.int64)
+    return np.concatenate([np.frombuffer(data, "<i8", 1), steps]).cumsum()
+
+
+def unpack_ids(ids: bytes | np.ndarray, owners: bytes) -> np.ndarray:
     table = np.frombuffer(ids, "<i8")
     return table[np.frombuffer(owners, "<u2" if len(table) <= 1 << 16 else "<u4")]
 
@@ -121,24 +134,33 @@ def shared_keys(blocks: DataFrame, partitions: int, grouped: bool) -> DataFrame:
     """
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
+        found: list[tuple[np.ndarray, np.ndarray]] = []
         for batch in batches:
             columns = [batch.column(i).to_pylist() for i in range(5)]
             for part, settled, ids, owners, keys in zip(*columns, strict=True):
-                pair = unpack_ids(ids, owners), unpack_keys(keys)
+                pair = unpack_ids(_unpack_sorted(ids), owners), unpack_keys(keys)
                 if settled:
-                    yield from _out(pair[0], pair[1] >> np.uint64(1), grouped)
+                    found.append((pair[0], pair[1] >> np.uint64(1)))
+                    if sum(len(f[0]) for f in found) > BLOCK_KEYS:
+                        yield from _out(found, grouped)
+                        found = []
                 else:
                     held.setdefault(part, []).append(pair)
         for part in list(held):
-            yield from _out(*_shared_of_part(held.pop(part)), grouped)
+            found.append(_shared_of_part(held.pop(part)))
+            if sum(len(f[0]) for f in found) > BLOCK_KEYS:
+                yield from _out(found, grouped)
+                found = []
+        yield from _out(found, grouped)
 
     schema = "id long, keys binary" if grouped else "id long, key long"
     return blocks.repartition(partitions, "part").mapInArrow(find, schema)
 
 
-def _out(ids: np.ndarray, keys: np.ndarray, grouped: bool) -> Iterator[pa.RecordBatch]:
-    if not len(ids):
+def _out(found: list[tuple[np.ndarray, np.ndarray]], grouped: bool) -> Iterator[pa.RecordBatch]:
+    if not sum(len(f[0]) for f in found):
         return
+    ids, keys = (np.concatenate(c) for c in zip(*found, strict=True))
     if not grouped:
         for i in range(0, len(ids), 1 << 18):
             yield pa.RecordBatch.from_arrays(

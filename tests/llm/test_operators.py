@@ -498,3 +498,32 @@ def test_quality_shrinks_sparse_sites(spark):
     assert by_id[0]["host_rate"] < by_id[1000]["path_rate"] < by_id[1]["host_rate"]  # one document: near the overall rate
     assert quality.classify(docs.limit(0), labels, "host", "path").count() == 0
     assert {r["p_text"] for r in quality.classify(docs, labels.limit(0), "host", "path").collect()} == {0.5}
+
+
+# -- shared keys ----------------------------------------------------------------------
+
+
+def test_shared_keys_of_odd_ids(spark):
+    from curatrix.llm import sharing
+
+    rng = np.random.default_rng(1)
+    ids = np.asarray([-(1 << 63), -5, 0, 7, 70_000, 1 << 40, (1 << 63) - 1])
+    keys = [set(rng.choice(40, 12, replace=False).tolist()) for _ in ids]
+
+    def gather(batches):
+        import pyarrow as pa
+
+        blocks = sharing.Blocks(8)
+        for batch in batches:
+            for i in batch.column(0).to_pylist():
+                own = np.asarray(sorted(keys[i]), np.uint64) << np.uint64(64 - sharing.KEY_BITS)
+                yield from blocks.add(np.full(len(own), ids[i]), own)
+        assert isinstance(pa.__version__, str)
+        yield from blocks.flush()
+
+    rows = spark.range(len(ids)).repartition(3).mapInArrow(gather, sharing.SCHEMA)
+    got = {(r["id"], r["key"]) for r in sharing.shared_keys(rows, 4, grouped=False).collect()}
+    want = {
+        (int(ids[i]), k) for i in range(len(ids)) for k in keys[i] if any(k in keys[j] for j in range(len(ids)) if j != i)
+    }
+    assert got == want
