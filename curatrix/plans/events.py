@@ -23,15 +23,16 @@ def dated_rows(pages: DataFrame, strict: bool = False) -> DataFrame:
     return split_row(rows, F.col("row_text"), "url" if strict else None).select("url", "date", "event")
 
 
-def events_raw(pages: DataFrame, calendar_links: DataFrame, strict: bool = False) -> DataFrame:
-    """Events with company and date; rows with an unreadable date are left out.
+def events_and_rejects(
+    pages: DataFrame, calendar_links: DataFrame, strict: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """Events with company and date, and the rows whose date cannot be read.
 
-    Several companies may share a page, and each gets its rows. `bad_dates` has the
-    rows that were left out.
+    Several companies may share a page, and each gets its rows. Pages are parsed and
+    written once; both results come from that table.
     """
     companies = conform(calendar_links, CALENDAR_LINKS).distinct()
-    # Repeats of a row collapse before the join, which only multiplies them. The rows
-    # are written once, because the join reads them twice and parsing pages is dear.
+    # Repeats of a row collapse before the join, which only multiplies them.
     rows = materialise(dated_rows(pages, strict).distinct(), "event-rows")
     rows = rows.withColumn("_day", parse_day_first(F.col("date")))
     joined = left_join(
@@ -41,9 +42,15 @@ def events_raw(pages: DataFrame, calendar_links: DataFrame, strict: bool = False
         "market_screener_link",
         hot_right=True,
     )
-    return joined.select(
+    events = joined.select(
         "name", slashed(F.col("_day")).alias("date"), "company_id", "event"
     ).dropDuplicates()
+    return events, rows.filter(F.col("_day").isNull()).drop("_day")
+
+
+def events_raw(pages: DataFrame, calendar_links: DataFrame, strict: bool = False) -> DataFrame:
+    """The events of `events_and_rejects` alone."""
+    return events_and_rejects(pages, calendar_links, strict)[0]
 
 
 def bad_dates(pages: DataFrame) -> DataFrame:

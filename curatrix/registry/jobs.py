@@ -26,6 +26,18 @@ def job_events_raw(t):
     return events.events_raw(i.calendar_pages(t), i.calendar_links(t))
 
 
+@query(
+    "job_events_rejects",
+    """SELECT 'https://cal.example/' || o_custkey || '/' || o_orderkey AS url, 'Q1 2025' AS date,
+              CASE o_orderstatus WHEN 'F' THEN 'Pre-market Q1 Release (Projected)'
+                   WHEN 'P' THEN 'Annual DIVIDEND payment'
+                   ELSE 'Meeting ' || o_orderpriority END AS event
+       FROM orders WHERE o_totalprice < 5000 AND o_orderpriority <> '5-LOW'""",
+)
+def job_events_rejects(t):
+    return events.events_and_rejects(i.calendar_pages(t), i.calendar_links(t))[1]
+
+
 @query(
     "job_events_curated",
     f"""WITH {i.EVENTS_RAW_SQL}
