@@ -8,7 +8,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from curatrix.llm.common import bounded_batches, utf8, written
@@ -23,7 +23,8 @@ from curatrix.llm.suffixes import refine
 _SHARE, _OF = 80, 100
 _ALONE = 3  # sets of at most so many tokens are only similar to their equals
 _TOKENS = 1 << 20  # worked on at once
-_SHAPE = ("band", "own", "own_per_key", "own_skip", "next", "next_per_key", "next_skip")
+_SHAPE = ("band", "own_skip", "next_skip")
+_SKETCH = 64  # buckets of a set's sketch
 
 
 @lru_cache(maxsize=1)
@@ -155,27 +156,42 @@ def signatures(owner: np.ndarray, token: np.ndarray, sizes_: np.ndarray) -> Iter
 
 
 def index_shape(owner: np.ndarray, token: np.ndarray, sizes_: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Band of each set, and for its own and the next band its units, units for a key, and skip.
+    """Band of each set, and the keys that it can skip of its own and of the next band.
 
     Each token in which two sets differ spoils one unit of the first seed's segments, and
     what is left is keys that they share: one key for each unit, or for two where
-    segments are indexed with neighbours. So a pair that shares fewer is not similar, and
-    a set can skip all but one of the keys that it must share with any similar set.
+    segments are indexed with neighbours. All but one of the keys that a set must share
+    with any similar set can be skipped.
     """
     alive = sizes_ > _ALONE
     out = [np.searchsorted(band_tops(), sizes_)]
     for step in (0, 1):
-        units, skip = np.zeros(len(sizes_), np.int64), np.zeros(len(sizes_), np.int64)
-        per_key = np.ones(len(sizes_), np.int64)
+        skip = np.zeros(len(sizes_), np.int64)
         if alive.any():
             s = _segments(owner, token, sizes_, alive, step, 0)
-            units = s.units
+            per_key = np.ones(len(sizes_), np.int64)
             per_key[np.unique(s.owner[s.near])] = 2
             skip = np.where(alive, np.maximum(0, -(-s.spare // per_key) - 1), 0)
-        out += [units, per_key, skip]
+        out.append(skip)
     return tuple(out)
 
 
+def sketches(owner: np.ndarray, token: np.ndarray, count: int) -> np.ndarray:
+    """Tokens of each set by bucket. Two sets differ in at least as many tokens as their sketches."""
+    place = owner * _SKETCH + (token >> np.uint64(58)).astype(np.int64)
+    counts = np.bincount(place, minlength=count * _SKETCH).reshape(count, _SKETCH)
+    return np.minimum(counts, np.iinfo(np.int16).max).astype(np.int16)
+
+
+def may_be_similar(a: str, b: str) -> Column:
+    """Whether sizes and sketches of two columns `n` and `sketch` allow the similarity."""
+    n_a, n_b = F.col(f"n_{a}"), F.col(f"n_{b}")
+    apart = F.aggregate(
+        F.zip_with(f"sketch_{a}", f"sketch_{b}", lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda t, d: t + d
+    )
+    return (_OF * n_a >= _SHARE * n_b) & (_OF * n_b >= _SHARE * n_a) & (9 * apart <= n_a + n_b)
+
+
 def without_dearest(keys: DataFrame, sets: DataFrame) -> DataFrame:
     """`id`, `key` without the keys that most sets have, as far as each set can skip them.
 
@@ -200,26 +216,6 @@ def without_dearest(keys: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def fewest_shared(band_a, units_a, band_b, units_b, differ):
-    """Keys that two similar sets share at least, given the tokens in which they may differ.
-
-    `units_*` has units, units for a key and skipped keys of the own band, then of the
-    next. Sets of one band meet in two bands, others where the lower one's next is the
-    upper one's own. Keys that either set skips may be missing from what they share.
-    """
-    def left(one, two):
-        most = F.greatest(*(F.ceil((u[0] - differ) / u[1]) for u in (one, two)))
-        return F.greatest(most - one[2] - two[2], F.lit(0))
-
-    own_a, next_a, own_b, next_b = units_a[:3], units_a[3:], units_b[:3], units_b[3:]
-    needed = (
-        F.when(band_a == band_b, left(own_a, own_b) + left(next_a, next_b))
-        .when(band_a < band_b, left(next_a, own_b))
-        .otherwise(left(own_a, next_b))
-    )
-    return F.greatest(needed, F.lit(1))
-
-
 def _sets_in(batch: pa.RecordBatch, column: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     data, offsets = utf8(batch.column(column))
     owner, token = shingle_sets(data, offsets)
@@ -247,11 +243,14 @@ def set_table(docs: DataFrame) -> DataFrame:
             one, two = _digests(owner, token, batch.num_rows)
             shapes = [index_shape(*part) for _, part in _portions(owner, token, count)]
             shape = [np.concatenate(c) for c in zip(*shapes, strict=True)]
+            flat = pa.array(sketches(owner, token, batch.num_rows).ravel())
+            sketch = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * _SKETCH, pa.int32()), flat)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *map(pa.array, (count, one, two, *shape))], names=["id", "n", "one", "two", *_SHAPE]
+                [batch.column(0), *map(pa.array, (count, one, two, *shape)), sketch],
+                names=["id", "n", "one", "two", *_SHAPE, "sketch"],
             )
 
-    fields = ", ".join(f"{c} long" for c in ("id", "n", "one", "two", *_SHAPE))
+    fields = ", ".join(f"{c} long" for c in ("id", "n", "one", "two", *_SHAPE)) + ", sketch array<smallint>"
     return docs.select("id", "text").mapInArrow(measure, fields)
 
 
@@ -333,10 +332,13 @@ def similar_components(docs: DataFrame) -> DataFrame:
 
     1. Equal sets are one node, named by its smallest id.
     2. Nodes that share a key (`signatures`) are candidates; no similar pair is missed.
-    3. Each key's nodes are compared with the smallest of them, and linked nodes joined.
+    3. The smallest node of each key is its head. Each node is compared with the head of
+       most of its keys, and linked nodes are joined.
     4. Keys whose nodes are still apart are compared across the components: every pair that
-       is not joined yet and shares enough keys, so that no link between components is
-       missed.
+       is not joined yet, so that no link between components is missed.
+
+    Sizes and sketches, which bound the difference of two sets from below, keep most pairs
+    of unlike nodes from being made at all.
     """
     bounded_batches(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType
@@ -352,25 +354,34 @@ def similar_components(docs: DataFrame) -> DataFrame:
     size = table.where("id is not null and n > 0")
     keys = written(candidate_keys(known, wanted, parts, partitions), "keys")
     keys = written(without_dearest(keys, size), "keys")
+    about = size.select(F.col("id").alias("_id"), "n", "sketch").distinct()  # an id may name several texts
     heads = keys.groupBy("key").agg(F.min("id").alias("a"))
-    near = (
-        keys.join(heads, "key").where("id <> a").groupBy("a", F.col("id").alias("b")).agg(F.count(F.lit(1)).alias("keys"))
-    )
-    tried = written(_fitting(near, size), "near")
+    common = keys.join(heads, "key").where("id <> a").groupBy(F.col("id").alias("b"), "a").agg(F.count(F.lit(1)).alias("keys"))
+    closest = common.groupBy("b").agg(F.max_by("a", F.struct("keys", -F.col("a"))).alias("a"))
+    tried = written(closest.select("a", "b"), "near")
     links = written(verified(known, tried, "near"), "links")
     labels = components(links)
     named = keys.join(labels, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
     apart = named.groupBy("key").agg(F.min("component").alias("main"), F.max("component").alias("other")).where("main <> other")
-    open_keys = written(named.join(apart.select("key", "main"), "key"), "open")
-    others = open_keys.where("component <> main").select("key", F.col("id").alias("x"), F.col("component").alias("cx"))
-    members = open_keys.select("key", F.col("id").alias("y"), F.col("component").alias("cy"), "main")
-    across = (
-        others.join(members, "key")
-        .where("cx <> cy and (cy = main or x < y)")  # each pair once for a key
-        .groupBy(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
-        .agg(F.count(F.lit(1)).alias("keys"))
+    open_keys = named.join(apart.select("key", "main"), "key").join(about, F.col("id") == F.col("_id")).drop("_id")
+    open_keys = written(open_keys, "open")
+    others, members = (
+        open_keys.select(
+            F.col("key").alias(f"key_{e}"), F.col("main").alias(f"main_{e}"), F.col("id").alias(e),
+            F.col("component").alias(f"c{e}"), F.col("n").alias(f"n_{e}"), F.col("sketch").alias(f"sketch_{e}"),
+        )
+        for e in "xy"
+    )
+    others = others.where("cx <> main_x")
+    across = others.join(
+        members,
+        # Each pair once for a key: with one of the main component, or in the order of ids.
+        (F.col("key_x") == F.col("key_y"))
+        & F.expr("cx <> cy and (cy = main_y or x < y)")
+        & may_be_similar("x", "y"),
     )
-    rest = _fitting(across, size).join(tried, ["a", "b"], "left_anti")
+    across = across.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    rest = across.join(tried, ["a", "b"], "left_anti")
     more = written(verified(known, rest, "across"), "links")
     if not more.isEmpty():
         labels = components(links.union(more))
@@ -386,24 +397,6 @@ def similar_components(docs: DataFrame) -> DataFrame:
     )
 
 
-def _fitting(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs whose sizes and number of shared keys allow the similarity.
-
-    Where an id names several texts, a pair stays if any of them allow it.
-    """
-    one, two = (sets.select(F.col("id").alias(e), *(F.col(c).alias(f"{c}_{e}") for c in ("n", *_SHAPE))) for e in "ab")
-    units_a, units_b = ([F.col(f"{c}_{e}") for c in _SHAPE[1:]] for e in "ab")
-    differ = F.floor((F.col("n_a") + F.col("n_b")) / 9)
-    return (
-        pairs.join(one, "a")
-        .join(two, "b")
-        .where(f"{_OF} * n_a >= {_SHARE} * n_b and {_OF} * n_b >= {_SHARE} * n_a")
-        .where(F.col("keys") >= fewest_shared(F.col("band_a"), units_a, F.col("band_b"), units_b, differ))
-        .select("a", "b")
-        .distinct()
-    )
-
-
 def one_of_each(docs: DataFrame) -> DataFrame:
     """The rows of `docs`, all columns, without near duplicates: one document of each component.
 
