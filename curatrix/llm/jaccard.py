@@ -280,7 +280,7 @@ def candidate_keys(docs: DataFrame, wanted, parts: int, partitions: int) -> Data
                     yield from blocks.add(ids[row + who], key)
         yield from blocks.flush()
 
-    return shared_keys(docs.select("id", "text").mapInArrow(index, SCHEMA), partitions, grouped=False)
+    return shared_keys(docs.select("id", "text").mapInArrow(index, SCHEMA), partitions)
 
 
 def verified(docs: DataFrame, pairs: DataFrame, tag: str) -> DataFrame:

@@ -142,7 +142,7 @@ def _refined(texts: DataFrame, shared: DataFrame, parts: int) -> DataFrame:
 
     Those that one has are settled there: their spans pass through as marks.
     """
-    kept = shared.groupBy("id").agg(F.collect_list("keys").alias("keys")).withColumnRenamed("id", "_id")
+    kept = shared.groupBy("id").agg(F.collect_list("key").alias("keys")).withColumnRenamed("id", "_id")
     joined = texts.join(kept, F.col("id") == F.col("_id"), "left").select("id", "digest", "text", "keys")
 
     def refine_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -150,10 +150,9 @@ def _refined(texts: DataFrame, shared: DataFrame, parts: int) -> DataFrame:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             digests = batch.column(1).to_numpy(zero_copy_only=False)
             data, offsets = utf8(batch.column(2))
-            lists = [k for keys in batch.column(3).to_pylist() for k in keys or ()]
-            if not lists:
+            wanted = np.unique(batch.column(3).flatten().to_numpy(zero_copy_only=False)).astype(np.uint64)
+            if not len(wanted):
                 continue
-            wanted = np.unique(unpack_keys(b"".join(lists)))
             found: list[tuple[np.ndarray, ...]] = []
             held = 0
             for part in stretches(data, offsets):
@@ -341,7 +340,7 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
         keepers.select("keeper", F.col("digest").alias("own")).hint("shuffle_merge"),
         (F.col("id") == F.col("keeper")) & (F.xxhash64("text").bitwiseXOR(F.col("own")) == 0),
     ).select("id", F.col("own").alias("digest"), "text")
-    shared = shared_keys(_first_buckets(texts, parts), partitions, grouped=True)
+    shared = shared_keys(_first_buckets(texts, parts), partitions)
     marks = _marks(_refined(texts, shared, parts), partitions)
     found = _apply(texts, marks, with_text).dropDuplicates(["id", "digest"])
     out = (

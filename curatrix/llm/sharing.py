@@ -127,11 +127,8 @@ def _shared_of_part(blocks: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.nda
     return ids[keep], keys[keep]
 
 
-def shared_keys(blocks: DataFrame, partitions: int, grouped: bool) -> DataFrame:
-    """The (document, key) pairs whose key several documents have, each at least once.
-
-    `grouped` gives rows of `id` and packed `keys`, otherwise rows of `id` and `key`.
-    """
+def shared_keys(blocks: DataFrame, partitions: int) -> DataFrame:
+    """`id`, `key` of the keys that several documents have, each pair at least once."""
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         found: list[tuple[np.ndarray, np.ndarray]] = []
@@ -142,40 +139,28 @@ def shared_keys(blocks: DataFrame, partitions: int, grouped: bool) -> DataFrame:
                 if settled:
                     found.append((pair[0], pair[1] >> np.uint64(1)))
                     if sum(len(f[0]) for f in found) > BLOCK_KEYS:
-                        yield from _out(found, grouped)
+                        yield from _out(found)
                         found = []
                 else:
                     held.setdefault(part, []).append(pair)
         for part in list(held):
             found.append(_shared_of_part(held.pop(part)))
             if sum(len(f[0]) for f in found) > BLOCK_KEYS:
-                yield from _out(found, grouped)
+                yield from _out(found)
                 found = []
-        yield from _out(found, grouped)
+        yield from _out(found)
 
-    schema = "id long, keys binary" if grouped else "id long, key long"
-    return blocks.repartition(partitions, "part").mapInArrow(find, schema)
+    return blocks.repartition(partitions, "part").mapInArrow(find, "id long, key long")
 
 
-def _out(found: list[tuple[np.ndarray, np.ndarray]], grouped: bool) -> Iterator[pa.RecordBatch]:
-    if not sum(len(f[0]) for f in found):
-        return
-    ids, keys = (np.concatenate(c) for c in zip(*found, strict=True))
-    if not grouped:
-        for i in range(0, len(ids), 1 << 18):
+def _out(found: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    for ids, keys in found:
+        order = np.argsort(ids, kind="stable")  # neighbours of one id pack well
+        for i in range(0, len(ids), 1 << 17):
+            part = order[i : i + (1 << 17)]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[i : i + (1 << 18)]), pa.array(keys[i : i + (1 << 18)].astype(np.int64))],
-                names=["id", "key"],
+                [pa.array(ids[part]), pa.array(keys[part].astype(np.int64))], names=["id", "key"]
             )
-        return
-    order = np.argsort(ids, kind="stable")
-    ids, packed = ids[order], np.ascontiguousarray(keys[order].astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
-    heads = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-    offsets = (np.append(heads, len(ids)) * 6).astype(np.int32)
-    column = pa.Array.from_buffers(
-        pa.binary(), len(heads), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(packed.tobytes())]
-    )
-    yield pa.RecordBatch.from_arrays([pa.array(ids[heads]), column], names=["id", "keys"])
 
 
 def sizes(n_bytes: int) -> tuple[int, int]:

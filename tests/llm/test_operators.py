@@ -518,7 +518,7 @@ def test_shared_keys_of_odd_ids(spark):
         yield from blocks.flush()
 
     rows = spark.range(len(ids)).repartition(3).mapInArrow(gather, sharing.SCHEMA)
-    got = {(r["id"], r["key"]) for r in sharing.shared_keys(rows, 4, grouped=False).collect()}
+    got = {(r["id"], r["key"]) for r in sharing.shared_keys(rows, 4).collect()}
     want = {
         (int(ids[i]), k) for i in range(len(ids)) for k in keys[i] if any(k in keys[j] for j in range(len(ids)) if j != i)
     }
