@@ -91,7 +91,17 @@ def _unpack_spans(data: bytes) -> tuple[np.ndarray, np.ndarray]:
 
 def _mark_rows(ids: np.ndarray, digests: np.ndarray, owner: np.ndarray, start: np.ndarray) -> Iterator[tuple]:
     """Per text: id, digest and the merged spans of the windows that start at `start`."""
-    owner, start, end = _merge(owner.astype(np.int64), start.astype(np.int64), start.astype(np.int64) + LENGTH)
+    yield from _span_rows(ids, digests, *_window_spans(owner, start))
+
+
+def _window_spans(owner: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    start = start.astype(np.int64)
+    return _merge(owner.astype(np.int64), start, start + LENGTH)
+
+
+def _span_rows(
+    ids: np.ndarray, digests: np.ndarray, owner: np.ndarray, start: np.ndarray, end: np.ndarray
+) -> Iterator[tuple]:
     heads = _groups(owner) if len(owner) else []
     for a, b in zip(heads, [*heads[1:], len(owner)], strict=True):
         who = owner[a]
@@ -251,11 +261,14 @@ def _compare_part(rows: list[tuple]) -> Iterator[tuple]:
         bucket[index] = refine(buckets50(deep)[place - low], key[nth])
     # A part that many windows share, as of one word repeated, is compared by shares.
     shares = total // _SHARE + 1
+    spans = []
     for share in range(shares):
         index = np.flatnonzero(bucket % np.uint64(shares) == share) if shares > 1 else np.arange(total)
         nth, step = stretch(index)
         later = _later(ids[nth], bucket[index])
-        yield from _mark_rows(texts[:, 0], texts[:, 1], owner[nth[later]], (start[nth] + step)[later])
+        spans.append(_window_spans(owner[nth[later]], (start[nth] + step)[later]))
+    merged = _merge(*(np.concatenate(c) for c in zip(*spans, strict=True)))
+    yield from _span_rows(texts[:, 0], texts[:, 1], *merged)
 
 
 def _apply(texts: DataFrame, marks: DataFrame, with_text: bool) -> DataFrame:
