@@ -193,7 +193,7 @@ def render_template(t):
 
 SENTENCES_SQL = """
     found AS (SELECT doc_id, list_filter(list_transform(regexp_split_to_array(
-                  regexp_replace(text, '([A-Za-zÀ-ÿ]{2}|[^A-Za-zÀ-ÿ\s])([.!?]+["'')\\]]*)[ \t]+', '\\1\\2' || chr(10), 'g'),
+                  regexp_replace(text, '([A-Za-zÀ-ÿ]{2}|[^A-Za-zÀ-ÿ\\s])([.!?]+["'')\\]]*)[ \t]+', '\\1\\2' || chr(10), 'g'),
                   '\n'), lambda x: trim(x)), lambda x: x <> '') AS s FROM documents),
     sentences AS (SELECT doc_id, pos, s[pos] AS sentence
                   FROM (SELECT doc_id, s, unnest(range(1, len(s) + 1)) AS pos FROM found))"""
