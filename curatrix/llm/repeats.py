@@ -61,7 +61,9 @@ def _later(ids: np.ndarray, bucket: np.ndarray) -> np.ndarray:
 
 
 def _merge(owner: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Union of the spans of each owner; spans that touch become one."""
+    """Union of the spans of each owner; spans that touch become one. No spans give none."""
+    if not len(owner):
+        return owner, start, end
     order = np.lexsort((start, owner))
     owner, start, end = owner[order], start[order], end[order]
     # Ends grow within an owner after this, also where one span lies inside another.
@@ -102,8 +104,8 @@ def _window_spans(owner: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.
 def _span_rows(
     ids: np.ndarray, digests: np.ndarray, owner: np.ndarray, start: np.ndarray, end: np.ndarray
 ) -> Iterator[tuple]:
-    heads = _groups(owner) if len(owner) else []
-    for a, b in zip(heads, [*heads[1:], len(owner)], strict=True):
+    heads = _groups(owner)
+    for a, b in zip(heads, [*heads, len(owner)][1:], strict=True):
         who = owner[a]
         yield int(ids[who]), int(digests[who]), _pack_spans(start[a:b], end[a:b])
 

@@ -115,6 +115,22 @@ def test_repeats_equal_brute_force(frames, messy):
     assert repeats.remove_repeats(none).count() == 0
 
 
+@pytest.mark.parametrize(
+    "rows",
+    [
+        [(1, "a" * 525_000), (2, "b" + "a" * 60)],
+        [(1, "chbhfhdfcbdcLicence: see the file COPYING.cchdcbcbgfbg"), (2, "dhfchhghbhhgLicence: see the file COPYING.fbdhdhccgfcb")],
+        [(3, "u" + "0123456789" * 6 + "vw"), (45, "x" + "0123456789" * 6 + "yz")],  # dealt to one task by their ids
+    ],
+    ids=["one character over two shares", "thirty bytes", "settled in one batch"],
+)
+def test_parts_without_a_later_window(spark, rows):
+    """Parts and shares of a part in which no window has to go."""
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    assert sorted_rows(repeats.remove_repeats(docs), *columns) == sorted(brute.repeats(rows), key=repr)
+
+
 def test_window_keys_depend_on_the_window_only():
     rng = np.random.default_rng(1)
     window = rng.integers(97, 101, 50, dtype=np.uint8)
