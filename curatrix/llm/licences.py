@@ -60,6 +60,22 @@ TEMPLATES = (
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
 
+# How whole licence files begin, looked for as passages only.
+OPENINGS = (
+    (
+        "Apache-2.0",
+        "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/ TERMS AND CONDITIONS FOR USE, "
+        "REPRODUCTION, AND DISTRIBUTION",
+    ),
+    (
+        "GPL-3.0",
+        "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007 Copyright (C) 2007 Free Software Foundation, Inc. "
+        "<https://fsf.org/> Everyone is permitted to copy and distribute verbatim copies of this license document, "
+        "but changing it is not allowed.",
+    ),
+    ("MPL-2.0", "Mozilla Public License Version 2.0 1. Definitions"),
+)
+
 THRESHOLD = 0.7
 
 
@@ -103,14 +119,51 @@ def bigrams_of(words: Column) -> Column:
     return F.array_distinct(F.filter(pairs, lambda p: p.isNotNull()))
 
 
-def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def _passages(docs: DataFrame, templates, threshold: float) -> DataFrame:
+    """Passages anywhere in a text that name a licence: `doc_id`, `licence`, `unit`, `dice`.
+
+    A passage is as many words as the template has; line breaks do not count. Where as
+    many bigrams repeat as in the template, the share of the template's bigrams found in
+    it is their Dice coefficient. Hits of a text are grouped by two neighbouring blocks
+    of the template's length, so a group stays small and every passage lies in one.
+    """
+    spark = docs.sparkSession
+    rows = [
+        (n, licence, bigram, len(template_bigrams(text)), len(template_words(text)) - 1)
+        for n, (licence, text) in enumerate(templates) for bigram in template_bigrams(text)
+    ]
+    wanted = spark.createDataFrame(rows, "t int, licence string, bigram string, size int, span int")
+    words = docs.select("doc_id", F.xxhash64("text").alias("unit"), words_of(F.col("text")).alias("w"))
+    pairs = F.zip_with("w", F.slice("w", 2, F.greatest(F.size("w"), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))
+    known = sorted({row[2] for row in rows})
+    # Only bigrams of templates become rows.
+    found = F.transform(pairs, lambda b, n: F.when(b.isin(known), F.struct(n.alias("at"), b.alias("bigram"))))
+    hits = words.select("doc_id", "unit", F.inline(F.filter(found, lambda x: x.isNotNull()))).join(F.broadcast(wanted), "bigram")
+    block = F.floor(F.col("at") / F.col("span"))
+    groups = (
+        hits.withColumn("block", F.explode(F.array(block, block - 1)))
+        .groupBy("doc_id", "unit", "t", "licence", "size", "span", "block")
+        .agg(F.collect_set(F.struct("at", "bigram")).alias("h"))
+        .where(F.size(F.array_distinct("h.bigram")) >= threshold * F.col("size"))
+    )
+    held = F.transform("h", lambda x: F.size(F.array_distinct(F.transform(
+        F.filter("h", lambda y: (y["at"] >= x["at"]) & (y["at"] < x["at"] + F.col("span"))), lambda y: y["bigram"]
+    ))))
+    return groups.select("doc_id", "licence", "unit", (F.array_max(held) / F.col("size")).alias("dice")).where(
+        F.col("dice") >= threshold
+    )
+
+
+def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, openings=OPENINGS) -> DataFrame:
     """Licences that a document names: `doc_id`, `licence`, `dice` and `n_units`.
 
-    A text's units are its lines and the whole text, so both a notice on its own line and
-    a licence file are found. A unit names the licence of a template if the Dice
+    A text's units are its lines and the whole text. A unit names the licence of a template if the Dice
     coefficient of their distinct word bigrams is at least `threshold`; only templates
     whose size can reach it are compared. One row for each id and licence, with the best
-    coefficient and the number of different units that name it. Null and empty texts
+    coefficient and the number of different units that name it. A licence that no unit
+    names may be named by a passage, at any word of the text (`_passages`), as of a wrapped
+    licence file, a header or a notice inside a line; its best coefficient and the number
+    of different texts with one are given then. Null and empty texts
     name none; repeated rows and rows that share an id are one document; a null id is an
     id of its own; other columns are not read; an empty table gives an empty result.
 
@@ -125,7 +178,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) ->
             for name, text in templates
         )
     )
-    words = markers(templates, threshold)
+    words = markers((*templates, *openings), threshold)
 
     def may_match(text: Column) -> Column:
         found = F.lit(False)
@@ -153,16 +206,22 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) ->
         ),
     )
     found = units.select("doc_id", "unit", F.explode(F.filter(compared, lambda c: c["dice"] >= threshold)).alias("m"))
+    named = found.select("doc_id", F.col("m.licence").alias("licence"), "unit", F.col("m.dice").alias("dice"))
+    passages = _passages(docs.where(may_match(F.lower("text"))), (*templates, *openings), threshold)
+    both = named.withColumn("own", F.lit(True)).unionByName(passages.withColumn("own", F.lit(False)))
+    own = F.when(F.col("own"), F.col("dice"))
     return (
-        found.select("doc_id", F.col("m.licence").alias("licence"), F.col("m.dice").alias("dice"), "unit")
-        .groupBy("doc_id", "licence", "unit").agg(F.max("dice").alias("dice"))
+        both.groupBy("doc_id", "licence", "unit", "own").agg(F.max("dice").alias("dice"))
         .groupBy("doc_id", "licence")
-        .agg(F.round(F.max("dice"), 6).alias("dice"), F.count(F.lit(1)).alias("n_units"))
+        .agg(
+            F.round(F.coalesce(F.max(own), F.max("dice")), 6).alias("dice"),
+            F.when(F.count(own) > 0, F.count(own)).otherwise(F.count(F.lit(1))).alias("n_units"),
+        )
     )
 
 
 def oracle(templates=TEMPLATES, threshold: float = THRESHOLD) -> str:
-    """The same scan as SQL, without the word test before it."""
+    """The scan of lines and whole texts as SQL, without passages and the word test before it."""
     def quoted(text: str) -> str:
         return "'" + text.replace("'", "''") + "'"
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import sys
+import textwrap
 import zlib
 from pathlib import Path
 
@@ -305,6 +306,24 @@ def test_licence_units(spark):
     assert licences.scan(docs.limit(0)).count() == 0
 
 
+def test_licence_passages(spark):
+    """A wrapped licence file, a header atop a source file and a notice inside a longer line."""
+    mit = licences.TEMPLATES[2][1]
+    rest = "THE SOFTWARE IS PROVIDED AS IS WITHOUT WARRANTY OF ANY KIND EXPRESS OR IMPLIED " + words(random.Random(1), 100)
+    gpl = next(text for name, text in licences.TEMPLATES if name == "GPL-3.0" and "any later" in text)
+    code = "\n".join(f"def f{n}(x):\n    return x + {n}" for n in range(200))
+    rows = [
+        (1, f"MIT License\n\nCopyright (c) 2020 A. Person\n\n{textwrap.fill(mit, 76)}\n\n{textwrap.fill(rest, 76)}\n"),
+        (2, "# Tool\n#\n" + textwrap.indent(textwrap.fill(gpl, 70), "# ") + "\n\n" + code),
+        (3, f"{words(random.Random(2), 45)} Released under the MIT License. {words(random.Random(3), 300)}"),
+        (4, f"the software to any person and of the license {words(random.Random(4), 300)}"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r["doc_id"], r["licence"]): (r["dice"], r["n_units"]) for r in licences.scan(docs).collect()}
+    assert got[1, "MIT"] == got[2, "GPL-3.0"] == got[3, "MIT"] == (1.0, 1)
+    assert {who for who, _ in got} == {1, 2, 3}
+
+
 def test_markers_lose_no_match():
     chosen = set(licences.markers())
     for _, text in licences.TEMPLATES:
