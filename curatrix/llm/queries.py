@@ -7,7 +7,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from curatrix.llm import decontamination, jaccard, licences, packing, quality, repeats, tokens, topk, toxicity, urls
+from curatrix.llm import (
+    centroids,
+    decontamination,
+    fingerprints,
+    jaccard,
+    licences,
+    packing,
+    quality,
+    repeats,
+    tokens,
+    topk,
+    toxicity,
+    urls,
+    variants,
+)
 from curatrix.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -98,3 +112,19 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(licences.oracle())
 def op5_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(read_table(spark, sf_dir, "documents"))
+
+
+@query(centroids.oracle())
+def op11_simplex_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(read_table(spark, sf_dir, "embeddings"), k=8, rounds=10)
+
+
+@query()
+def op12_multiset_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compare_edited(read_table(spark, sf_dir, "documents"))
+
+
+@query()
+def op13_permuterm_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = variants.word_counts(read_table(spark, sf_dir, "documents"), slip_every=97)
+    return variants.spelling_variants(words, ratio=2)

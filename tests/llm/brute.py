@@ -74,3 +74,83 @@ def edit_distance_in(pattern: bytes, text: bytes) -> int:
             new.append(min(row[j - 1] + (p != t), row[j] + 1, new[-1] + 1))
         row = new
     return min(row)
+
+
+def clusters(rows, k=8, rounds=10, width=64, scale=1024, seed="3"):
+    """(id, cluster, distance, inertia of it, inertia, digest) of each usable (id, vector)."""
+    import math
+
+    kept = [
+        (who, [math.floor(scale * x) for x in v])
+        for who, v in rows
+        if v is not None and len(v) == width and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    def start(row):
+        return (row[0] is None, hashlib.sha256(f"{seed}:{row[0]}".encode()).hexdigest() if row[0] is not None else "", row[1])
+
+    centres = [v for _, v in sorted(kept, key=start)[:k]]
+
+    def nearest(v):
+        return min((sum((a - b) ** 2 for a, b in zip(v, c, strict=True)), j) for j, c in enumerate(centres))
+
+    for _ in range(rounds):
+        mine = [nearest(v)[1] for _, v in kept]
+        for j in range(len(centres)):
+            own = [v for (_, v), c in zip(kept, mine, strict=True) if c == j]
+            if own:
+                centres[j] = [sum(column) // len(own) for column in zip(*own, strict=True)]
+    found = [(who, *nearest(v)[::-1]) for who, v in kept]
+    total = sum(d for _, _, d in found)
+    of = [sum(d for _, c, d in found if c == j) for j in range(len(centres))]
+    names = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centres]
+    return [(who, c, d, of[c], total, names[c]) for who, c, d in found]
+
+
+def word_counts(rows, every=97, least_length=5, least_count=3):
+    import zlib
+    from collections import Counter
+
+    counts = Counter()
+    for who, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(_LOWER)
+            h = zlib.crc32(f"{'' if who is None else who}:{run}".encode())
+            if every and h % every == 0:
+                run = run[: h % len(run)] + run[h % len(run) + 1 :]
+            counts[run] += 1
+    return {w: n for w, n in counts.items() if len(w) >= least_length and n >= least_count}
+
+
+def one_apart(a: str, b: str) -> bool:
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
+
+
+def variants(counts, ratio=2):
+    """(word, form, root, n, n_near, form_n) of each word."""
+    near = {w: [v for v in counts if one_apart(w, v)] for w in counts}
+    forms = {}
+    for w, others in near.items():
+        best = min(others, key=lambda v: (-counts[v], v), default=None)
+        forms[w] = best if best is not None and counts[best] >= ratio * counts[w] else None
+    out = []
+    for w, n in counts.items():
+        root = w
+        while forms[root] is not None:
+            root = forms[root]
+        out.append((w, forms[w], root, n, len(near[w]), counts.get(forms[w])))
+    return out
+
+
+def edited(rows):
+    """(id, code points, digest of the edited text) of each (id, text)."""
+    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
+    out = []
+    for (who, text), (_, follower) in zip(order, order[1:] + order[:1], strict=True):
+        text, follower = text or "", follower or ""
+        half = len(text) // 2
+        new = text[: len(text) - half] + follower[:half]
+        out.append((who, len(text), hashlib.sha256(new.encode()).hexdigest(), text, new, follower))
+    return out
