@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+from bisect import bisect_right
+from dataclasses import dataclass
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curatrix.session import broadcast_if_small
-
 # A short extract of the public suffix rules, in the list's own
 # notation (`*.` any label, `!` exception). Pass the full list as a table for real use.
 SUFFIX_RULES = (
@@ -16,8 +19,12 @@ SUFFIX_RULES = (
     "cn", "com.cn", "za", "co.za", "nz", "co.nz", "*.ck", "!www.ck",
 )
 
-_HOST = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*://)?(?:[^/?#@]*@)?([^/?#:]+)"
-_IPV4 = r"^\d{1,3}(\.\d{1,3}){3}$"
+_HOST = r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*://)?+(?:[^/?#@]*@)?+(\[[^\]]*\]|[^/?#:]+)"
+_NUMERIC = re.compile(r"\[.*|\d{1,3}(\.\d{1,3}){3}")
+
+# Bounds of a list that every task holds; the public one has some 10,000 rules.
+MOST_RULES = 200_000
+MOST_CHARS = 8 << 20
 
 
 def suffix_rules(spark: SparkSession, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -43,54 +50,115 @@ def host_of(url: Column) -> Column:
     return F.regexp_replace(F.regexp_extract(url, _HOST, 1), r"\.+$", "")
 
 
-def domain_labels(domains: DataFrame, column: str, rules: DataFrame, out: str) -> DataFrame:
-    """Distinct domains with the label left of their longest public suffix.
+@dataclass(frozen=True)
+class SuffixTrie:
+    """Suffix rules as a sorted array of keys: labels from the right, each ended by a dot.
 
-    No rule: the last label. An IPv4 address: itself. A host that is a suffix: the
-    raw value. Each host has as many candidate suffixes as labels, so the join to the
-    rules grows with the distinct hosts only.
+    A rule holds for a host if its key is a prefix of the host's. The longest such key is
+    the host's predecessor in the array or one of that key's own prefixes, to which
+    `parents` leads; so one binary search finds it.
     """
-    rule = F.lower("rule")
-    kinds = broadcast_if_small(
-        rules.select(
-            F.regexp_replace(rule, r"^(\*\.|!)", "").alias("_candidate"),
-            F.when(F.startswith(rule, F.lit("*.")), 1)
-            .when(F.startswith(rule, F.lit("!")), -1)
-            .otherwise(0)
-            .alias("_shift"),
-        ).distinct()
-    )
-    hosts = (
-        domains.select(column)
-        .filter(F.col(column).isNotNull())
-        .distinct()
-        .withColumn("_labels", F.split(host_of(F.col(column)), r"\."))
-        .withColumn("_n", F.size("_labels"))
-    )
-    # A suffix of k labels; a wildcard rule takes one more label, an exception one less.
-    found = (
-        hosts.select(column, "_labels", "_n", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_k"))
-        .withColumn(
-            "_candidate",
-            F.lower(F.array_join(F.slice("_labels", F.col("_n") - F.col("_k") + 1, F.col("_k")), ".")),
-        )
-        .join(kinds, "_candidate")
-        .withColumn("_suffix", F.col("_k") + F.col("_shift"))
-        .filter(F.col("_suffix") <= F.col("_n"))
-        .groupBy(F.col(column).alias("_domain"))
-        .agg(
-            F.max(F.when(F.col("_shift") == -1, F.col("_suffix"))).alias("_exception"),
-            F.max("_suffix").alias("_longest"),
-        )
-        .select("_domain", F.coalesce("_exception", "_longest").alias("_length"))
+
+    keys: list[str]
+    parents: list[int]
+    kinds: list[frozenset[str]]  # "", "*" (any label more), "!" (a label less)
+
+    @classmethod
+    def of(cls, rules: list[str]) -> SuffixTrie:
+        kinds: dict[str, set[str]] = {}
+        for rule in rules:
+            bare = rule.lower().strip(".")
+            kind = "*" if bare.startswith("*.") else "!" if bare.startswith("!") else ""
+            bare = bare.removeprefix("*.").removeprefix("!")
+            if bare:
+                kinds.setdefault(_key(bare.split(".")), set()).add(kind)
+        keys, parents, open_keys = sorted(kinds), [], []
+        for i, key in enumerate(keys):
+            while open_keys and not key.startswith(keys[open_keys[-1]]):
+                open_keys.pop()
+            parents.append(open_keys[-1] if open_keys else -1)
+            open_keys.append(i)
+        return cls(keys, parents, [frozenset(kinds[k]) for k in keys])
+
+    def suffix_size(self, labels: list[str]) -> int:
+        """Number of labels of the public suffix; 0 if no rule holds."""
+        key = _key([label.lower() for label in labels])
+        at = bisect_right(self.keys, key) - 1
+        while at >= 0:
+            if key.startswith(self.keys[at]):
+                size, kinds = self.keys[at].count("."), self.kinds[at]
+                if "!" in kinds:
+                    return size - 1
+                if "*" in kinds and len(labels) > size:
+                    return size + 1
+                if "" in kinds:
+                    return size
+            at = self.parents[at]
+        return 0
+
+
+def _key(labels: list[str]) -> str:
+    return "".join(f"{label}." for label in reversed(labels))
+
+
+def suffix_trie(rules: DataFrame) -> SuffixTrie:
+    """The rules of the column `rule`, measured before they come to the driver."""
+    n, chars = rules.agg(F.count("rule"), F.coalesce(F.sum(F.length("rule")), F.lit(0))).first()
+    if n > MOST_RULES or chars > MOST_CHARS:
+        raise ValueError(f"{n} suffix rules of {chars} characters are too many")
+    return SuffixTrie.of([r["rule"] for r in rules.where("rule is not null").collect()])
+
+
+def with_domains(
+    df: DataFrame, column: str, rules: DataFrame, label: str, suffix: str | None = None, guess: bool = True
+) -> DataFrame:
+    """Add the label left of the longest public suffix, and on request the suffix.
+
+    Rows stay where they are: every task holds the rules, and each distinct host of a batch
+    is looked up once. An address in numbers is its own label. `suffix` is null where no
+    rule holds, and for addresses. With `guess` a host without a rule has its last label
+    and one that is a suffix, or empty, its raw value; without it both have null. A null
+    url has nulls.
+    """
+    trie = df.sparkSession.sparkContext.broadcast(suffix_trie(rules))
+
+    @F.arrow_udf("struct<label:string,suffix:string>")
+    def split(hosts: pa.Array) -> pa.Array:
+        coded = hosts.dictionary_encode()
+        found = [_split(host, trie.value, guess) for host in coded.dictionary.to_pylist()]
+        labels, suffixes = (pa.array([f[i] for f in found], pa.string()).take(coded.indices) for i in (0, 1))
+        return pa.StructArray.from_arrays([labels, suffixes], names=["label", "suffix"])
+
+    parts = df.withColumn("_parts", split(host_of(F.col(column))))
+    raw = F.when(F.col(column).isNotNull(), F.coalesce("_parts.label", F.col(column) if guess else F.lit(None)))
+    if suffix is not None:
+        parts = parts.withColumn(suffix, F.col("_parts.suffix"))
+    return parts.withColumn(label, raw).drop("_parts")
+
+
+def _split(host: str, trie: SuffixTrie, guess: bool) -> tuple[str | None, str | None]:
+    if _NUMERIC.fullmatch(host):
+        return host, None
+    labels = host.split(".")
+    size = trie.suffix_size(labels)
+    suffix = ".".join(labels[len(labels) - size :]) if size else None
+    if size >= len(labels) or (not size and not guess):
+        return None, suffix
+    return labels[len(labels) - size - 1] or None, suffix
+
+
+def unruled_hosts(df: DataFrame, column: str, rules: DataFrame) -> DataFrame:
+    """`host`, `reason` and `n` rows of the hosts whose label is not known for certain.
+
+    The reason is `no host`, `no rule` or `is a suffix`. Null urls are left out.
+    """
+    known = with_domains(df.where(F.col(column).isNotNull()).select(column), column, rules, "_label", "_suffix", False)
+    host = host_of(F.col(column))
+    reason = (
+        F.when(host == "", "no host").when(F.col("_suffix").isNull(), "no rule").otherwise("is a suffix")
     )
-    length = F.coalesce(F.col("_length"), F.lit(0))
-    label = F.get("_labels", F.col("_n") - length - 1)
-    host = F.array_join("_labels", ".")
-    return hosts.join(found, F.col(column) == F.col("_domain"), "left").select(
-        column,
-        F.when(F.regexp_like(host, F.lit(_IPV4)), host)
-        .when(F.coalesce(label, F.lit("")) != "", label)
-        .otherwise(F.col(column))
-        .alias(out),
+    return (
+        known.where(F.col("_label").isNull())
+        .groupBy(F.lower(host).alias("host"), reason.alias("reason"))
+        .agg(F.count(F.lit(1)).alias("n"))
     )

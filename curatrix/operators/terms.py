@@ -1,40 +1,32 @@
 """Which dictionary names occur in a text, by plain substring of one of their terms.
 
-The dictionary is a long table `(name, term)`. It meets the texts in equi-joins on the
-term itself, so it may have any size: texts are cut into overlapping pieces, only the
-places where some term may start are looked at, each is shortened to the lengths known
-for its head and joined to the terms. Right sides are unique per key, so no key fans out
-to all pairs. Each text row is told apart by a number it gets when it is written, never
-by its own columns, so rows with null or equal keys have their own names.
+The dictionary is a long table `(name, term)` of any size. Rolling hashes (see `rolling`)
+find the places where a term may be, in one reading of each text against two filters of
+fixed size; only these candidates become rows, and an equi-join on the bytes of the term
+keeps the real ones. Each text row is told apart by a number it gets when it is written,
+never by its own columns, so rows with null or equal keys have their own names.
 
 Two narrower ways give the same rows and are taken only on request, for a dictionary
-within their bounds: `scan` tests a few terms by one expression, `automaton` sends the
-terms to the workers, which read each text once.
+within their bounds: `scan` tests a few terms by one expression, `shipped` sends the names
+to the workers, which look candidates up without a join.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curatrix.functions.arrays import empty_strings
 from curatrix.functions.text import contains_term
+from curatrix.operators.rolling import spelled, term_map, utf8
 from curatrix.session import broadcast_if_small, materialise, spread
 
-try:
-    import ahocorasick
-except ImportError:  # the join way needs no extra module
-    ahocorasick = None
-
 SCAN_TERMS = 128
-AUTOMATON_TERMS = 100_000
-AUTOMATON_CHARS = 2 << 20
-HEAD = 4
-PIECE = 4096
-MAP_BITS = 1 << 16
+SHIPPED_TERMS = 100_000
+SHIPPED_CHARS = 2 << 20
 
 
 def _terms(dictionary: DataFrame, name: str, term: str, ignore_case: bool) -> DataFrame:
@@ -65,104 +57,49 @@ def names_by_scan(texts: DataFrame, text: Column, rows: list, out: str) -> DataF
     return spread(texts).withColumn(out, _literal_names(rows, text))
 
 
-def names_by_automaton(texts: DataFrame, text: Column, rows: list, out: str) -> DataFrame:
-    """Sorted names per text from one reading of it in the workers."""
+def names_by_shipping(texts: DataFrame, text: Column, terms: DataFrame, rows: list, out: str) -> DataFrame:
+    """Sorted names per text; the workers hold the dictionary."""
     if not rows:
         return names_by_scan(texts, text, rows, out)
-    names_of: dict[str, list[str]] = {}
+    names_of: dict[bytes, list[str]] = {}
     for row in rows:
-        names_of.setdefault(row["_term"], []).append(row["_name"])
-    shipped = texts.sparkSession.sparkContext.broadcast(names_of)
-
-    @F.pandas_udf("array<string>")
-    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        automaton = ahocorasick.Automaton()
-        for term, names in shipped.value.items():
-            automaton.add_word(term, tuple(names))
-        automaton.make_automaton()
-        for batch in batches:
-            yield batch.map(
-                lambda t: sorted({n for _, names in automaton.iter(t) for n in names}) if t else []
-            )
+        names_of.setdefault(row["_term"].encode(), []).append(row["_name"])
+    spark = texts.sparkSession
+    shipped = spark.sparkContext.broadcast((term_map(terms.select("_term").distinct()), names_of))
+
+    @F.arrow_udf("array<string>")
+    def found(column: pa.Array) -> pa.Array:
+        known, names = shipped.value
+        data, offsets = utf8(column)
+        lists: list[set[str]] = [set() for _ in range(len(column))]
+        for at, term in spelled(data, offsets, known):
+            lists[at].update(names.get(term, ()))
+        return pa.array([sorted(x) for x in lists], pa.list_(pa.string()))
 
     return spread(texts).withColumn(out, found(text))
 
 
-def _distinct_runs(pieces: DataFrame, n: int, out: str) -> DataFrame:
-    """The distinct runs of `n` characters that start in each piece."""
-    runs = F.array_distinct(F.regexp_extract_all("_piece", F.lit(f"(?s)(?=(.{{{n}}}))"), F.lit(1)))
-    return pieces.select("_row", F.explode(runs).alias(out))
-
-
-def _slot(head: Column) -> Column:
-    return F.pmod(F.xxhash64(head), F.lit(MAP_BITS))
-
-
-def _head_map(heads: DataFrame) -> Column:
-    """A map of fixed size of the heads' digests, as an array of 64-bit words."""
-    words = (
-        heads.select(_slot(F.col("_head")).alias("slot"))
-        .groupBy(F.floor(F.col("slot") / 64).alias("word"))
-        .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot % 64 as int))")).alias("bits"))
-        .collect()  # at most MAP_BITS / 64 rows
-    )
-    bits = dict.fromkeys(range(MAP_BITS // 64), 0) | {row["word"]: row["bits"] for row in words}
-    return F.from_json(F.lit(str([bits[w] for w in range(MAP_BITS // 64)])), "array<bigint>")
-
-
 def name_pairs(texts: DataFrame, text: Column, terms: DataFrame) -> DataFrame:
     """Distinct `(_row, _name)` for a dictionary of any size."""
     terms = materialise(terms, "terms")
     spellings = terms.select("_term").distinct()
-    lengths = spellings.groupBy(F.length("_term").alias("n")).count().select("n")
-    # One row per length below the head, and one with the longest term of all.
-    known = lengths.groupBy(F.least("n", F.lit(HEAD)).alias("n")).agg(F.max("n").alias("longest"))
-    longest_of = {row["n"]: row["longest"] for row in known.collect()}
-    longest = max(longest_of.values(), default=1)
-    cut = f"(?s)(?=(.{{1,{PIECE + longest - 1}}})).{{1,{PIECE}}}"
-    pieces = spread(texts).select("_row", F.explode(F.regexp_extract_all(text, F.lit(cut), F.lit(1))).alias("_piece"))
-    heads = (
-        spellings.filter(F.length("_term") >= HEAD)
-        .groupBy(F.left("_term", F.lit(HEAD)).alias("_head"))
-        .agg(F.sort_array(F.collect_set(F.length("_term"))).alias("_lengths"))
-    )
-    maybe = _head_map(heads)
-    # Each match takes one whole character, so a gram's index is its place in characters.
-    grams = F.regexp_extract_all("_piece", F.lit(f"(?s)(?=(.{{{HEAD}}}))."), F.lit(1))
-    marked = F.transform(
-        grams,
-        lambda g, i: F.struct(
-            g.alias("_head"),
-            i.alias("at"),
-            F.getbit(F.element_at(maybe, F.floor(_slot(g) / 64).cast("int") + 1), (_slot(g) % 64).cast("int")).alias("may"),
-        ),
-    )
-    # Only where a term may start is more of the text carried on.
-    starts = F.transform(
-        F.filter(marked, lambda m: m["may"] == 1),
-        lambda m: F.struct(
-            m["_head"].alias("_head"), F.substring(F.col("_piece"), m["at"] + 1, F.lit(longest)).alias("_window")
-        ),
-    )
-    candidates = (
-        pieces.select("_row", F.explode(F.array_distinct(starts)).alias("_start"))
-        .select("_row", "_start.*")
-        .join(broadcast_if_small(heads), "_head")
-        .select("_row", "_window", F.explode("_lengths").alias("_length"))
-        .filter(F.length("_window") >= F.col("_length"))
-        .select("_row", F.left("_window", F.col("_length")).alias("_term"))
-    )
-    # Terms shorter than the head are found as they are; a text has few runs so short.
-    for n in sorted(longest_of):
-        if n < HEAD:
-            candidates = candidates.unionByName(_distinct_runs(pieces, n, "_term"))
-    found = candidates.join(broadcast_if_small(spellings), "_term").distinct()
-    return found.join(broadcast_if_small(terms), "_term").select("_row", "_name").distinct()
+    shipped = texts.sparkSession.sparkContext.broadcast(term_map(spellings))
+
+    def hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = utf8(batch.column(1))
+            found = list(spelled(data, offsets, shipped.value))
+            rows = batch.column(0).take(pa.array([at for at, _ in found], pa.int64()))
+            yield pa.RecordBatch.from_arrays([rows, pa.array([b for _, b in found], pa.binary())], names=["_row", "_spelled"])
+
+    candidates = texts.select("_row", text.alias("_text")).mapInArrow(hits, "_row long, _spelled binary")
+    known = terms.select(F.encode("_term", "UTF-8").alias("_spelled"), "_name")
+    return candidates.join(broadcast_if_small(known), "_spelled").select("_row", "_name").distinct()
 
 
 def names_by_join(texts: DataFrame, text: Column, terms: DataFrame, out: str) -> DataFrame:
     """Sorted names per text row, for a dictionary of any size."""
-    numbered = materialise(texts.withColumn("_row", F.monotonically_increasing_id()), "texts")
+    numbered = materialise(spread(texts).withColumn("_row", F.monotonically_increasing_id()), "texts")
     names = (
         name_pairs(numbered, text, terms)
         .groupBy(F.col("_row").alias("_found"))
@@ -177,13 +114,11 @@ def names_by_join(texts: DataFrame, text: Column, terms: DataFrame, out: str) ->
 
 def _bounded(terms: DataFrame, way: str) -> list:
     """The dictionary's rows, measured before they come to the driver."""
-    most = {"scan": SCAN_TERMS, "automaton": AUTOMATON_TERMS}[way]
+    most = {"scan": SCAN_TERMS, "shipped": SHIPPED_TERMS}[way]
     width = F.length("_term") + F.length(F.col("_name").cast("string"))
     n, chars = terms.agg(F.count(F.lit(1)), F.coalesce(F.sum(width), F.lit(0))).first()
-    if n > most or chars > AUTOMATON_CHARS:
+    if n > most or chars > SHIPPED_CHARS:
         raise ValueError(f"{n} terms of {chars} characters are too many for the way {way!r}")
-    if way == "automaton" and ahocorasick is None:
-        raise ValueError("the way 'automaton' needs the module pyahocorasick")
     return terms.collect()
 
 
@@ -200,14 +135,14 @@ def add_names(
     """Add the sorted array of names with at least one term in the text; `[]` if none.
 
     Rows may repeat and hold nulls; each has the names of its own text. The dictionary
-    may have any size; the ways `scan` and `automaton` refuse one beyond their bounds.
+    may have any size; the ways `scan` and `shipped` refuse one beyond their bounds.
     """
     terms = _terms(dictionary, name, term, ignore_case)
     body = F.lower(F.col(text)) if ignore_case else F.col(text)
     if way == "join":
         return names_by_join(texts, body, terms, out)
-    narrow = {"scan": names_by_scan, "automaton": names_by_automaton}[way]
-    return narrow(texts, body, _bounded(terms, way), out)
+    rows = _bounded(terms, way)
+    return names_by_scan(texts, body, rows, out) if way == "scan" else names_by_shipping(texts, body, terms, rows, out)
 
 
 def add_keyword_tags(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.operators.domains import domain_labels
+from curatrix.operators.domains import with_domains
 from curatrix.operators.filters import flag_and_fill
 from curatrix.schemas import OUTLETS, conform
 from curatrix.session import broadcast_if_small
@@ -18,24 +18,23 @@ def refresh_sources(
 
     `sources` holds `label` and `source_uri`; of several ids for a label the smallest
     counts, so the number of outlets never changes. `by_raw_domain` looks the raw domain
-    up among the labels instead, which only finds bare labels. Labels and ids are
-    found once per distinct domain, then joined back, so a domain with many outlets
-    costs one lookup.
+    up among the labels instead, which only finds bare labels. The rules travel to the
+    outlets, so outlets are only moved to meet the ids, and a map of them that is small
+    not even for that.
     """
     known = conform(outlets, OUTLETS).filter(F.col("domain_name").isNotNull())
-    labelled = domain_labels(known, "domain_name", rules, "_label")
+    labelled = with_domains(known, "domain_name", rules, "_label")
     ids = (
         sources.filter(F.col("source_uri") != "")
         .groupBy(F.col("label").alias("_source_label"))
-        .agg(F.min("source_uri").alias("source_uri"))
+        .agg(F.min("source_uri").alias("eventregistry_sourceuri"))
     )
     if by_raw_domain:
         # Only labels some outlet was looked up by are in the map.
         used = labelled.select(F.col("_label").alias("_source_label")).distinct()
         ids = ids.join(used, "_source_label", "left_semi")
     probe = "domain_name" if by_raw_domain else "_label"
-    found = labelled.join(
-        broadcast_if_small(ids), F.col(probe) == F.col("_source_label"), "inner"
-    ).select(F.col("domain_name").alias("_domain"), F.col("source_uri").alias("eventregistry_sourceuri"))
-    joined = known.join(found, F.col("domain_name") == F.col("_domain"), "left").drop("_domain")
+    joined = labelled.join(broadcast_if_small(ids), F.col(probe) == F.col("_source_label"), "left").drop(
+        "_source_label", "_label"
+    )
     return flag_and_fill(joined, "eventregistry_sourceuri", "flag_missing_uri")

@@ -59,10 +59,11 @@ def new_papers(t: Tables) -> DataFrame:
 
 
 def qa_papers(t: Tables) -> DataFrame:
-    return t.documents.filter("lang <> 'de'").select(
-        F.md5("text").alias("url"),
+    # Papers in one language were checked under another address, so their urls are missing.
+    return t.documents.select(
+        F.md5(F.when(F.col("lang") == "de", F.concat(F.lit("de/"), "text")).otherwise(F.col("text"))).alias("url"),
         F.when(F.col("lang") == "fr", "[]").otherwise(F.col("source")).alias("authors"),
-        F.left("text", F.lit(40)).alias("title"),
+        first_line_of("text").alias("title"),
         F.when(~F.col("source").isin("src1", "src5"), "2024-01-01").alias("publication_date"),
         F.md5(F.reverse("text")).alias("description"),
         (F.col("n_chars") < 400).alias("is_patent"),
@@ -83,15 +84,16 @@ PAPERS_SQL = """
         FROM documents WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)
     ),
     qa AS (
-        SELECT md5(text) AS url, CASE WHEN lang = 'fr' THEN NULL ELSE source END AS authors,
-               substring(text, 1, 40) AS title,
+        SELECT md5(CASE WHEN lang = 'de' THEN 'de/' || text ELSE text END) AS url,
+               CASE WHEN lang = 'fr' THEN NULL ELSE source END AS authors,
+               split_part(text, chr(10), 1) AS title,
                CASE WHEN source NOT IN ('src1', 'src5') THEN '2024-01-01' END AS publication_date,
                md5(reverse(text)) AS description, n_chars < 400 AS is_patent,
                CASE WHEN contains(text, 'the') THEN '["ai"]' END AS tags,
                CASE WHEN contains(text, 'http') THEN '["web"]' END AS excluded_tags,
                lang AS keyword_tags,
                CASE WHEN lang <> 'es' THEN source END AS author_name, doc_id
-        FROM documents WHERE lang <> 'de'
+        FROM documents
     )"""
 
 MISSING_SQL = PAPERS_SQL + """,
@@ -132,11 +134,11 @@ PATENTS_SQL = """
         FROM orders
     ),
     published AS (
-        SELECT c_name AS company, c_mktsegment AS indicator,
+        SELECT CASE WHEN c_acctbal > 0 THEN c_name ELSE 'Former ' || c_name END AS company,
+               c_mktsegment AS indicator,
                count(*) FILTER (o_orderstatus = 'F') AS v2023,
                count(*) FILTER (o_orderstatus = 'O') AS v2024
-        FROM customer JOIN orders ON c_custkey = o_custkey
-        WHERE c_acctbal > 0 GROUP BY c_name, c_mktsegment
+        FROM customer JOIN orders ON c_custkey = o_custkey GROUP BY ALL
     )"""
 
 
@@ -154,17 +156,19 @@ def patents(t: Tables) -> DataFrame:
 
 
 def published_file(t: Tables) -> str:
-    """A published index as a CSV folder, with line breaks in two headers."""
+    """A published index as a CSV folder, with line breaks in two headers.
+
+    Companies without a positive balance are published under another name.
+    """
     status = F.col("o_orderstatus")
     counts = t.orders.groupBy("o_custkey").agg(
         F.count_if(status == "F").alias("Raw Value\n2023"),
         F.count_if(status == "O").alias("Raw Value\n2024"),
     )
     rows = (
-        t.customer.filter("c_acctbal > 0")
-        .join(counts, F.col("c_custkey") == F.col("o_custkey"))
+        t.customer.join(counts, F.col("c_custkey") == F.col("o_custkey"))
         .select(
-            F.col("c_name").alias("Company"),
+            F.when(F.col("c_acctbal") > 0, F.col("c_name")).otherwise(F.concat(F.lit("Former "), "c_name")).alias("Company"),
             F.lit("Patents").alias("Indicator Group"),
             F.col("c_mktsegment").alias("Indicator Code"),
             "`Raw Value\n2023`",
@@ -275,9 +279,11 @@ ARTICLE_TEXT_SQL = f"""
 
 
 def alias_companies(t: Tables) -> DataFrame:
-    """A company per benchmark item; its aliases are its opening and two of its words."""
+    """A company per benchmark item; its aliases are its first line and all its pairs of words."""
     word = F.split("text", " ")
-    aliases = F.array(F.left("text", F.lit(24)), F.get(word, F.lit(1)), F.get(word, F.lit(3)), F.lit(None))
+    pairs = F.zip_with(word, F.slice(word, F.lit(2), F.size(word)), lambda a, b: F.concat(a, F.lit(" "), b))
+    # The last word has no partner: a null alias, as a stored dictionary may have it.
+    aliases = F.array_append(pairs, first_line_of("text"))
     return t.benchmark.select(
         F.concat(F.lit("item-"), F.col("item_id")).alias("company"),
         F.when(F.col("item_id") >= 0, "bank").alias("sector"),
@@ -287,9 +293,9 @@ def alias_companies(t: Tables) -> DataFrame:
 
 ALIASES_SQL = """
     aliases AS (
-        SELECT DISTINCT 'item-' || item_id AS company, unnest([
-            substring(text, 1, 24), string_split(text, ' ')[2], string_split(text, ' ')[4]
-        ]) AS alias FROM benchmark
+        SELECT DISTINCT 'item-' || item_id AS company, unnest(list_append(
+            list_transform(range(1, len(w)), lambda k: w[k] || ' ' || w[k + 1]), split_part(text, chr(10), 1)
+        )) AS alias FROM (SELECT item_id, text, string_split(text, ' ') AS w FROM benchmark)
     )"""
 
 
@@ -364,19 +370,14 @@ CONCEPT_ARTICLES_SQL = """
 
 
 def word_companies(t: Tables) -> DataFrame:
-    """A company per benchmark item with the item's longer words as concept urls."""
-    longer = F.filter(F.split("text", " "), lambda w: F.length(w) >= 9)
+    """A company per benchmark item with the item's words as concept urls."""
     return t.benchmark.select(
-        F.concat(F.lit("item-"), F.col("item_id")).alias("id"), longer.alias("url_list")
+        F.concat(F.lit("item-"), F.col("item_id")).alias("id"), F.split("text", " ").alias("url_list")
     )
 
 
 WORD_COMPANIES_SQL = """
-    companies AS (
-        SELECT 'item-' || item_id AS company_id,
-               list_filter(string_split(text, ' '), lambda w: length(w) >= 9) AS urls
-        FROM benchmark
-    )"""
+    companies AS (SELECT 'item-' || item_id AS company_id, string_split(text, ' ') AS urls FROM benchmark)"""
 
 
 # --- outlets ---------------------------------------------------------------------------
@@ -416,6 +417,45 @@ def test_suffix_rules(t: Tables) -> DataFrame:
     return suffix_rules(t.spark, TEST_SUFFIXES)
 
 
+# A list file as its keepers write it: comments, a note after a rule, two parts.
+SUFFIX_LIST = """// A short list
+// ===BEGIN ICANN DOMAINS===
+com
+net
+org
+
+*.example.com  any label
+!blog.example.com
+// ===END ICANN DOMAINS===
+// ===BEGIN PRIVATE DOMAINS===
+example.org
+// ===END PRIVATE DOMAINS===
+"""
+
+
+def suffix_list_file(t: Tables) -> str:
+    path = shared_dir(t.spark, "suffixes")
+    t.spark.createDataFrame([(SUFFIX_LIST,)], "value string").coalesce(1).write.text(path)
+    return path
+
+
+def suffix_cases(t: Tables) -> DataFrame:
+    """Page urls whose hosts meet each kind of rule, none, or are a suffix themselves."""
+    from curatrix.operators.domains import host_of
+
+    host, case = host_of(F.col("url")), F.col("page_id") % 7
+    changed = (
+        F.when(case == 1, F.upper(host))
+        .when(case == 2, F.replace(host, F.lit("example.com"), F.lit("blog.example.com")))
+        .when(case == 3, F.regexp_replace(host, "[a-z]+$", "zz"))
+        .when(case == 4, F.concat(F.lit("a.b."), host))
+        .when(case == 5, F.regexp_extract(host, "example.*", 0))
+        .when(case == 6, F.concat(host, F.lit(".")))
+        .otherwise(host)
+    )
+    return t.pages.select("page_id", F.concat(F.lit("https://user@"), changed, F.lit(":80/x?y")).alias("url"))
+
+
 # --- inventory -------------------------------------------------------------------------
 
 def order_inventory(t: Tables) -> DataFrame:

@@ -89,10 +89,15 @@ def job_reconcile_missing(t):
                q.keyword_tags
         FROM fresh f LEFT JOIN qa q ON f.paper_url = q.url
         WHERE f.company_name IN ('src1', 'src2', 'src3')
-          AND f.paper_url NOT IN (SELECT paper_url FROM old WHERE company_name IN ('src4', 'src5'))""",
+          AND f.paper_url NOT IN (SELECT CASE WHEN company_name IN ('src4', 'src5') THEN paper_url
+                                              ELSE 'moved/' || paper_url END FROM old)""",
 )
 def job_reconcile_added(t):
-    old = i.old_papers(t).filter("company_name IN ('src4', 'src5')")
+    # Papers of other companies are known by an address that has changed since.
+    moved = F.when(F.col("company_name").isin("src4", "src5"), F.col("paper_url")).otherwise(
+        F.concat(F.lit("moved/"), "paper_url")
+    )
+    old = i.old_papers(t).withColumn("paper_url", moved)
     rows = reconcile.added_in_new(old, i.new_papers(t), i.qa_papers(t), ("src1", "src2", "src3"))
     return rows.withColumn("description_md5", F.md5("paper_description")).drop("paper_description")
 
@@ -165,7 +170,12 @@ def job_count_change(t):
     return changed.toDF("company", "new_count", "index_count", "change")
 
 
-@query("job_index_ranks", INDEX_RANK_SQL.replace("GROUP BY c_mktsegment, c_name", "WHERE c_acctbal > 0 GROUP BY c_mktsegment, c_name"))
+@query(
+    "job_index_ranks",
+    INDEX_RANK_SQL.replace(
+        "c_name AS company", "CASE WHEN c_acctbal > 0 THEN c_name ELSE 'Former ' || c_name END AS company"
+    ).replace("GROUP BY c_mktsegment, c_name", "GROUP BY ALL"),
+)
 def job_index_ranks(t):
     ranked = counts.published_ranks(counts.published_index(t.spark, i.published_file(t)))
     return ranked.withColumnsRenamed(

@@ -114,16 +114,16 @@ def alias_explode(t):
 @query(
     "concept_overlap",
     f"""WITH {i.WORD_COMPANIES_SQL},
-        docs AS (SELECT doc_id, unnest(string_split(text, ' ')) AS uri FROM documents WHERE lang = 'en'
-                 AND list_has_any(string_split(text, ' '), ['the', 'of'])),
+        docs AS (SELECT doc_id, unnest(string_split(text, ' ')) AS uri FROM documents
+                 WHERE list_has_any(string_split(text, ' '), ['the', 'of', 'und', 'la', 'el'])),
         wanted AS (SELECT company_id, unnest(urls) AS uri FROM companies)
         SELECT DISTINCT doc_id, company_id FROM docs JOIN wanted USING (uri)""",
 )
 def concept_overlap(t):
     companies = i.word_companies(t).withColumnRenamed("id", "company_id")
     return shared_concepts(
-        t.documents.filter("lang = 'en'"), companies, ["doc_id"], F.split("text", " "), "company_id",
-        "url_list", topics=F.array(F.lit("the"), F.lit("of")),
+        t.documents, companies, ["doc_id"], F.split("text", " "), "company_id", "url_list",
+        topics=F.array(*map(F.lit, ("the", "of", "und", "la", "el"))),
     )
 
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from curatrix.operators.domains import domain_labels
+from curatrix.operators.domains import read_suffix_rules, unruled_hosts, with_domains
 from curatrix.operators.pages import links, page_text, sections, table_rows
 from curatrix.operators.relevance import fit_relevance, label_by_model, label_by_rule
 from curatrix.operators.summaries import summarise
-from curatrix.operators.terms import ahocorasick, keyword_tags, without_tags
+from curatrix.operators.terms import keyword_tags, without_tags
 from curatrix.plans.articles import with_prompt
 from curatrix.plans.mentions import mentions
 from curatrix.registry import inputs as i
@@ -63,8 +63,47 @@ def article_text(t):
     """SELECT page_id, regexp_extract(url, '([^./]+)\\.example\\.(com|net|org)', 1) AS label FROM pages""",
 )
 def registered_domain(t):
-    labels = domain_labels(t.pages, "url", i.test_suffix_rules(t), "label")
-    return t.pages.select("page_id", "url").join(labels, "url", "left").select("page_id", "label")
+    return with_domains(t.pages, "url", i.test_suffix_rules(t), "label").select("page_id", "label")
+
+
+SUFFIX_CASES_SQL = """
+    hosts AS (SELECT page_id, regexp_extract(url, '^https?://([^/?#:]+)', 1) AS h FROM pages),
+    cases AS (
+        SELECT page_id, CASE page_id % 7 WHEN 1 THEN upper(h) WHEN 2 THEN replace(h, 'example.com', 'blog.example.com')
+            WHEN 3 THEN regexp_replace(h, '[a-z]+$', 'zz') WHEN 4 THEN 'a.b.' || h
+            WHEN 5 THEN regexp_extract(h, 'example.*') ELSE h END AS host FROM hosts
+    ),
+    rules(base, kind) AS (VALUES ('com', 0), ('net', 0), ('org', 0), ('example.com', 1), ('blog.example.com', -1), ('example.org', 0)),
+    split AS (SELECT page_id, host, string_split(host, '.') AS l FROM cases),
+    held AS (
+        SELECT page_id, coalesce(max(k - 1) FILTER (kind = -1), max(k + kind)) AS k FROM (
+            SELECT page_id, kind, len(string_split(base, '.')) AS k, len(l) AS n
+            FROM split JOIN rules ON lower(host) = base OR ends_with(lower(host), '.' || base)
+        ) WHERE k + kind <= n GROUP BY page_id
+    ),
+    parted AS (
+        SELECT s.page_id, lower(host) AS host, CASE WHEN k < len(l) THEN l[len(l) - k] END AS label,
+               CASE WHEN k IS NOT NULL THEN array_to_string(l[len(l) - k + 1:], '.') END AS suffix
+        FROM split s LEFT JOIN held h ON s.page_id = h.page_id
+    )"""
+
+
+@query("domain_suffixes", f"WITH {SUFFIX_CASES_SQL} SELECT page_id, label, suffix FROM parted")
+def domain_suffixes(t):
+    """Labels and suffixes by a list file with wildcard, exception and private rules."""
+    rules = read_suffix_rules(t.spark, i.suffix_list_file(t))
+    found = with_domains(i.suffix_cases(t), "url", rules, "label", "suffix", guess=False)
+    return found.select("page_id", "label", "suffix")
+
+
+@query(
+    "unruled_hosts",
+    f"""WITH {SUFFIX_CASES_SQL}
+        SELECT host, CASE WHEN suffix IS NULL THEN 'no rule' ELSE 'is a suffix' END AS reason, count(*) AS n
+        FROM parted WHERE label IS NULL GROUP BY ALL""",
+)
+def unruled_hosts_query(t):
+    return unruled_hosts(i.suffix_cases(t), "url", read_suffix_rules(t.spark, i.suffix_list_file(t)))
 
 
 MENTIONS_SQL = f"""
@@ -87,7 +126,7 @@ def mentions_query(t):
 
 @query("mentions_scanned", MENTIONS_SQL)
 def mentions_scanned(t):
-    return _mentions(t, "automaton" if ahocorasick else "join")
+    return _mentions(t, "shipped")
 
 
 @query(

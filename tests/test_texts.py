@@ -7,11 +7,11 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from curatrix.operators import pages, terms
-from curatrix.operators.domains import domain_labels, host_of, suffix_rules
+from curatrix.operators import pages, rolling, terms
+from curatrix.operators.domains import SuffixTrie, host_of, suffix_rules, unruled_hosts, with_domains
 from curatrix.operators.summaries import sentences, summarise
 
-WAYS = ["scan", "join"] + (["automaton"] if terms.ahocorasick else [])
+WAYS = ["scan", "join", "shipped"]
 
 
 def brute_force(texts, dictionary, fold=lambda s: s):
@@ -28,7 +28,7 @@ def test_ways_agree_with_brute_force(spark, way, ignore_case):
     word = lambda n: "".join(draw.choices("abAé😀 \n.", k=n))
     texts = [(i, word(draw.randrange(0, 60))) for i in range(60)]
     # One text that spans several pieces, with a term across a piece border.
-    long = "x" * (terms.PIECE - 3) + "across the border" + "y" * (2 * terms.PIECE) + "end"
+    long = "x" * (rolling._PIECE - 3) + "across the border" + "y" * (2 * rolling._PIECE) + "end"
     texts += [(100, long), (101, None), (102, "")]
     dictionary = [(f"n{draw.randrange(12)}", word(draw.randrange(0, 7))) for _ in range(60)]
     dictionary += [("border", "across the border"), ("tail", "yend"), (None, "x"), ("null", None), ("blank", "")]
@@ -90,8 +90,56 @@ def test_narrow_ways_refuse_a_dictionary_beyond_their_bounds(spark):
 )
 def test_registered_domains(spark, domain, label):
     given = spark.createDataFrame([(domain,), (None,)], "d string")
-    out = domain_labels(given, "d", suffix_rules(spark), "label").collect()
-    assert [tuple(r) for r in out] == [(domain, label)]
+    out = with_domains(given, "d", suffix_rules(spark), "label").collect()
+    assert sorted(map(tuple, out), key=repr) == sorted([(domain, label), (None, None)], key=repr)
+
+
+def longest_rule(labels, rules):
+    """Labels of the suffix, rule by rule."""
+    found, exception = 0, None
+    for rule in rules:
+        bare = rule.removeprefix("*.").removeprefix("!").split(".")
+        if labels[-len(bare):] != bare:
+            continue
+        if rule.startswith("!"):
+            exception = max(exception or 0, len(bare) - 1)
+        elif not rule.startswith("*."):
+            found = max(found, len(bare))
+        elif len(labels) > len(bare):
+            found = max(found, len(bare) + 1)
+    return found if exception is None else exception
+
+
+def test_trie_equals_reading_all_rules():
+    draw = random.Random(6)
+    name = lambda n: ".".join(draw.choice(["a", "b", "ab", "a-b", "c0"]) for _ in range(n))
+    for _ in range(200):
+        bases = {name(draw.randrange(1, 4)) for _ in range(draw.randrange(0, 12))}
+        rules = [r for b in bases for r in draw.choice([[b], [f"*.{b}"], [b, f"*.{b}"], [f"*.{b}", f"!x.{b}"]])]
+        trie = SuffixTrie.of(rules)
+        for _ in range(40):
+            labels = name(draw.randrange(1, 6)).split(".")
+            labels = ["x", *labels] if draw.random() < 0.3 else labels
+            assert trie.suffix_size(labels) == longest_rule(labels, rules), (labels, rules)
+
+
+def test_hosts_without_a_rule_are_reported(spark):
+    urls = ["http://bbc.zz/a", "https://BBC.zz", "co.uk", "x.co.uk", "10.0.0.1", "[::1]:80", "http://", None]
+    given = spark.createDataFrame([(u,) for u in urls], "d string")
+    out = unruled_hosts(given, "d", suffix_rules(spark)).collect()
+    assert sorted(map(tuple, out)) == [("", "no host", 1), ("bbc.zz", "no rule", 2), ("co.uk", "is a suffix", 1)]
+    plain = with_domains(given, "d", suffix_rules(spark), "label", "suffix", guess=False)
+    found = {r.d: (r.label, r.suffix) for r in plain.collect()}
+    assert found["10.0.0.1"] == ("10.0.0.1", None) and found["[::1]:80"] == ("[::1]", None)
+    assert found["co.uk"] == (None, "co.uk") and found["x.co.uk"] == ("x", "co.uk") and found[None] == (None, None)
+
+
+def test_too_many_rules_are_refused(spark, monkeypatch):
+    from curatrix.operators import domains
+
+    monkeypatch.setattr(domains, "MOST_RULES", 3)
+    with pytest.raises(ValueError, match="too many"):
+        with_domains(spark.createDataFrame([("a.com",)], "d string"), "d", suffix_rules(spark), "label")
 
 
 def test_host(value):
@@ -203,7 +251,7 @@ def test_attributes_with_entities_are_found(spark):
 
 
 def test_suffix_file(spark, tmp_path):
-    from curatrix.operators.domains import domain_labels, read_suffix_rules
+    from curatrix.operators.domains import read_suffix_rules
 
     listed = "// ===BEGIN ICANN DOMAINS===\n\nse\n*.ck extra words\n!www.ck\nco.uk\n// ===BEGIN PRIVATE DOMAINS===\nshop.se\n"
     (tmp_path / "list").write_text(listed)
@@ -211,7 +259,7 @@ def test_suffix_file(spark, tmp_path):
     assert {r.rule for r in rules.collect()} == {"se", "*.ck", "!www.ck", "co.uk", "shop.se"}
     assert read_suffix_rules(spark, str(tmp_path / "list"), with_private=False).count() == 4
     hosts = spark.createDataFrame([("news.dn.se",), ("bbc.co.uk.",), ("a.shop.se",)], "url string")
-    assert {r.url: r.label for r in domain_labels(hosts, "url", rules, "label").collect()} == {
+    assert {r.url: r.label for r in with_domains(hosts, "url", rules, "label").collect()} == {
         "news.dn.se": "dn", "bbc.co.uk.": "bbc", "a.shop.se": "a",
     }
 
