@@ -64,6 +64,8 @@ class Model:
     weights: tuple[float, ...]
     base_rate: float
     key: str
+    quiet_rate: float = 0.0  # share of toxic texts among those without a gain
+    sizes: tuple[float, float] = (0.0, 0.0)  # log sizes between which the calibration was seen
 
 
 class Windows:
@@ -151,9 +153,12 @@ def hash_of(text: str) -> int:
     return zlib.crc32(text.encode())
 
 
-def _expand(raw: np.ndarray) -> np.ndarray:
-    """Calibration features: steps of the best gain and of the sum of the three best."""
-    best, three, size = raw[:, 0], raw[:, 1], raw[:, 2]
+def _expand(raw: np.ndarray, sizes: tuple[float, float]) -> np.ndarray:
+    """Calibration features: steps of the best gain and of the sum of the three best.
+
+    Sizes outside those the calibration has seen count as the nearest one it has.
+    """
+    best, three, size = raw[:, 0], raw[:, 1], np.clip(raw[:, 2], *sizes)
     steps = [np.clip(best, a, a + 1) - a for a in range(8)]
     steps += [np.clip(three, a, a + 3) - a for a in range(0, 24, 3)]
     return np.column_stack([*steps, size, size * np.clip(best, 0, 8)])
@@ -210,10 +215,13 @@ def fit(
     model = Model(toxic_dictionary, ordinary_dictionary, (), base, key)
     sample = _features(rows.select("toxic", "text"), model, "toxic int").collect()
     rows.unpersist()
-    x = _expand(np.asarray([[r["best"], r["three"], r["size"]] for r in sample]))
+    raw = np.asarray([[r["best"], r["three"], r["size"]] for r in sample])
     y = np.asarray([r["toxic"] for r in sample], float)
-    weights = logistic(x, y, ridge=1.0)
-    return Model(toxic_dictionary, ordinary_dictionary, tuple(weights.tolist()), base, key)
+    low, high = np.quantile(raw[:, 2], [0.05, 0.95]).tolist()
+    weights = logistic(_expand(raw, (low, high)), y, ridge=1.0)
+    quiet = raw[:, 0] < 1
+    quiet_rate = min(base, (y[quiet].sum() + 1) / (quiet.sum() + 2))
+    return Model(toxic_dictionary, ordinary_dictionary, tuple(weights.tolist()), base, key, quiet_rate, (low, high))
 
 
 def _features(rows: DataFrame, model: Model, key_field: str) -> DataFrame:
@@ -234,8 +242,9 @@ def _probabilities(model: Model, windows: Windows | None, texts: pa.Array) -> np
     if windows is None:
         return np.full(len(texts), model.base_rate)
     raw = np.asarray([windows.features(t) for t in strings(texts)]).reshape(-1, 3)
-    z = np.column_stack([_expand(raw), np.ones(len(raw))]) @ np.asarray(model.weights)
-    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    z = np.column_stack([_expand(raw, model.sizes), np.ones(len(raw))]) @ np.asarray(model.weights)
+    # A text without a window is no evidence of anything.
+    return np.where(raw[:, 2] > 0, 1 / (1 + np.exp(-np.clip(z, -30, 30))), model.quiet_rate)
 
 
 def _windows(model: Model) -> Windows | None:
@@ -245,7 +254,8 @@ def _windows(model: Model) -> Windows | None:
 def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     """`doc_id`, `score` (0 to 1) and `predicted` (1 from `threshold`) of every whole text.
 
-    Null and empty texts have no window and get the score of a text without any gain.
+    Null and empty texts, and those without a word, have no window; their score is the
+    share of toxic texts among the labelled ones without a gain, at most the base rate.
     Repeated rows are scored each; a null id is kept; other columns are not read.
     Nothing is shuffled.
     """

@@ -367,6 +367,19 @@ def test_toxicity_on_held_out_rows(labelled):
     assert by_id[2000]["predicted"] == by_id[2001]["predicted"] == 0 and not by_id[None]["held_out"]
 
 
+def test_toxicity_without_evidence(spark):
+    """On the given tables: texts without words, or with one plain word, are not toxic."""
+    folder = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    model = toxicity.fit(docs, labels)
+    plain = spark.createDataFrame([(1, None), (2, ""), (3, "!!! ... 12"), (4, "hello"), (5, "the of")], "doc_id long, text string")
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score(plain, model).collect()}
+    assert all(s < 0.3 for s in scores.values()), scores
+    assert scores[1] == scores[2] <= model.base_rate
+    kept = toxicity.without_toxic(docs.select("doc_id", "text").union(plain), labels)
+    assert {r["doc_id"] for r in kept.where("doc_id <= 5").collect()} >= {1, 2, 3, 4, 5}
+
+
 def test_toxicity_does_not_read_held_out_labels(labelled):
     docs, labels = labelled
     turned = labels.withColumn("toxic", F.when(toxicity.held_out("doc_id"), 1 - F.col("toxic")).otherwise(F.col("toxic")))
