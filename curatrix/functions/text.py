@@ -38,6 +38,17 @@ def first_line(c: Column) -> Column:
     return F.substring_index(c, "\n", 1)
 
 
+def escape_lines(c: Column) -> Column:
+    """Line breaks as backslash escapes, so that a value stays on one line."""
+    return replace_chain(c, (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")))
+
+
+def unescape_lines(c: Column) -> Column:
+    """What `escape_lines` was given; doubled backslashes are read first, from the left."""
+    parts = F.split(c, r"\\\\", -1)
+    return F.array_join(F.transform(parts, lambda p: replace_chain(p, (("\\n", "\n"), ("\\r", "\r")))), "\\")
+
+
 def text_block(c: Column, index: int) -> Column:
     """The block at `index` between blank lines; null when there is none."""
     return F.get(F.split(c, "\n\n", -1), F.lit(index))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from curatrix.functions.text import render
-from curatrix.operators.relevance import label_by_model, label_by_rule
+from curatrix.operators.relevance import OddsScorer, label_by_model, label_by_rule
 from curatrix.operators.summaries import summarise
 from curatrix.schemas import ARTICLE_INPUT, conform
 
@@ -21,12 +21,14 @@ def relevance(
     papers: DataFrame,
     companies: Sequence[str],
     terms: Sequence[str] = (),
-    model: PipelineModel | None = None,
+    model: PipelineModel | OddsScorer | None = None,
     text: str = "description",
     key: str = "paper_url",
 ) -> DataFrame:
     """`(key, body, relevance)` for the papers of some companies."""
     chosen = papers.filter(F.col("company_name").isin(*companies)).select(key, F.col(text).alias("body"))
+    if isinstance(model, OddsScorer):
+        return model.label(chosen, "body")
     if model is not None:
         return label_by_model(chosen, "body", model)
     return chosen.withColumn("relevance", label_by_rule(F.col("body"), terms))

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from curatrix.functions.arrays import has_non_null_field, non_null_field
 from curatrix.functions.dates import iso_text
 from curatrix.functions.text import equals_ignore_case, short_article_id, stable_id
-from curatrix.operators.aggregates import digest
-from curatrix.operators.joins import left_join, shared_concepts
+from curatrix.operators.joins import left_join, companies_by_concept
 from curatrix.schemas import ARTICLES, COMPANY_CONCEPTS, COMPANY_METADATA, conform, require
 
 # Topic concepts an article must carry one of.
@@ -81,24 +80,20 @@ def concept_articles(
     """Stamped articles per company of `companies` (as from `company_concepts`).
 
     All companies are searched at once: articles in the date range, language and
-    types that carry a topic are joined to the companies by shared concept. Only a digest
-    of the whole article and company ids pass through that join; the articles, with all
-    their columns, are joined to the pairs afterwards. Urls may be null or repeat.
+    types that carry a topic get one row for each company that shares a concept. Urls may
+    be null or repeat.
     """
     checked = require(articles, ARTICLES).filter(
         F.col("date").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
         & (F.col("lang") == lang)
         & F.col("data_type").isin(*data_types)
     )
-    whole = F.to_json(F.struct(*[F.col(f"`{c}`") for c in checked.columns]))
-    checked = checked.withColumn("_article", digest(whole))
-    pairs = shared_concepts(
+    paired = companies_by_concept(
         checked,
         companies.select(F.col("id").alias("company_id"), "url_list"),
-        ["_article"],
         F.col("concepts.uri"),
         "company_id",
         "url_list",
         topics=F.array(*map(F.lit, topics)),
     )
-    return stamp(checked.join(pairs, "_article").drop("_article"), sector, run_at)
+    return stamp(paired, sector, run_at)

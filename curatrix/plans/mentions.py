@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 
 from curatrix.operators.aggregates import keep_first, last_by_key
 from curatrix.operators.joins import unnest
-from curatrix.operators.pages import page_text, sections
+from curatrix.operators.pages import links, page_text, sections
 from curatrix.operators.terms import add_names
 from curatrix.schemas import COMPANY_ALIASES, conform
+from curatrix.session import materialise
 from curatrix.sources.pages import fetched_pages
 
 
@@ -45,6 +46,45 @@ def article_texts(
     return texts if position is not None else keep_first(texts, ["link"], ["content"])
 
 
+def index_links(index_pages: DataFrame, class_value: str, base_url: str = "") -> DataFrame:
+    """`link`, absolute, of the elements of `class_value` in the index pages, each once.
+
+    A target is resolved against `base_url`: one with a scheme stays, one that starts
+    with two slashes takes the scheme, one with a slash the host, any other the folder.
+    """
+    target = F.col("link")
+    scheme = F.regexp_extract(F.lit(base_url), "^[a-zA-Z][a-zA-Z0-9+.-]*:", 0)
+    host = F.regexp_extract(F.lit(base_url), "^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*", 0)
+    folder = F.regexp_replace(F.lit(base_url), "(?<=[^/])/[^/]*$", "/")
+    absolute = (
+        F.when(F.regexp_like(target, F.lit("^[a-zA-Z][a-zA-Z0-9+.-]*:")), target)
+        .when(F.startswith(target, F.lit("//")), F.concat(scheme, target))
+        .when(F.startswith(target, F.lit("/")), F.concat(host, target))
+        .otherwise(F.concat(folder, target))
+    )
+    return links(index_pages, "url", class_value).select(absolute.alias("link")).distinct()
+
+
+def linked_articles(
+    index_pages: DataFrame,
+    stored: DataFrame,
+    class_value: str,
+    base_url: str = "",
+    position: str | None = None,
+    **reading,
+) -> DataFrame:
+    """`(link, content)` of the pages that the index pages link to.
+
+    Links are those of `class_value` (see `index_links`). Of a page stored more than once
+    the last `position` counts; only linked pages are read. A link whose page is not
+    stored has null content. `reading` are the options of `article_texts`.
+    """
+    wanted = materialise(index_links(index_pages, class_value, base_url), "links")
+    pages = stored.join(wanted.withColumnRenamed("link", "url"), "url", "left_semi")
+    texts = article_texts(pages, position=position, **reading)
+    return wanted.join(texts, "link", "left").select("link", "content")
+
+
 def mentions(
     texts: DataFrame,
     companies: DataFrame,

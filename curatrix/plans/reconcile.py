@@ -13,6 +13,7 @@ from curatrix.operators.aggregates import by_total, count_matrix, count_per, kee
 from curatrix.operators.filters import marker_to_null, without_key
 from curatrix.operators.joins import anti_join, left_join
 from curatrix.schemas import PAPERS_NEW, PAPERS_OLD, PAPERS_QA, conform, require
+from curatrix.session import settle
 
 # Reason labels, in the order they are tested.
 REASONS = (
@@ -52,19 +53,52 @@ def _keyed(df: DataFrame, column: str) -> DataFrame:
 _KEY = ["_key", "_no_key"]
 
 
+SIDES = ("old", "new", "both")
+
+
+def compare_versions(old: DataFrame, new: DataFrame, key: str, new_key: str | None = None) -> DataFrame:
+    """Each key of either version once: rows on each side, and which `side` has it.
+
+    The set differences both ways, the intersection and the counts come from one pass:
+    both versions are laid end to end with a flag for their side, and one grouping by key
+    joins the flags. A key that fills a third of a version is added up in each task
+    first. Null is a key as any other.
+    """
+    sides = old.select(F.col(key).alias(key), F.lit(1).alias("_side")).unionByName(
+        new.select(F.col(new_key or key).alias(key), F.lit(2).alias("_side"))
+    )
+    return (
+        sides.groupBy(key)
+        .agg(
+            F.count_if(F.col("_side") == 1).alias("n_old"),
+            F.count_if(F.col("_side") == 2).alias("n_new"),
+            F.bit_or("_side").alias("_flags"),
+        )
+        .withColumn("side", F.element_at(F.array(*map(F.lit, SIDES)), F.col("_flags")))
+        .drop("_flags")
+    )
+
+
+def _keys_on(compared: DataFrame, side: str) -> DataFrame:
+    keys = compared.filter(F.col("side") == side)
+    return _keyed(keys.select(F.col(compared.columns[0]).alias("_url")), "_url").select(*_KEY)
+
+
 def missing_from_new(
     old: DataFrame,
     new: DataFrame,
     qa: DataFrame,
     old_order: Sequence[str] = ("company_name",),
     qa_order: Sequence[str] = ("title", "authors", "description"),
+    compared: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of `old` whose url is not in `new`, with their exclusion reasons.
 
     Urls are unique in the result, so `old`, `qa` and the urls of `new` are reduced to
     one row per url before they meet; this drops the same rows as a dedup after the
     join, and no url can be hot in it. The orders decide which row stays; all further
-    columns that are read follow them, so equal rows only are left to chance.
+    columns that are read follow them, so equal rows only are left to chance. With
+    `compared`, the urls of both versions as from `compare_versions`, `new` is not read.
     """
     for frame, order in ((old, old_order), (qa, qa_order)):
         absent = set(order) - set(frame.columns)
@@ -77,8 +111,11 @@ def missing_from_new(
     first_old = keep_first(_keyed(old, "paper_url"), _KEY, old_order).select(
         "company_name", "paper_url", *_KEY
     )
-    seen = _keyed(new.select("paper_url"), "paper_url").select(*_KEY).distinct()
-    missing = first_old.join(seen, _KEY, "left_anti")
+    if compared is None:
+        seen = _keyed(new.select("paper_url"), "paper_url").select(*_KEY).distinct()
+        missing = first_old.join(seen, _KEY, "left_anti")
+    else:
+        missing = first_old.join(_keys_on(compared, "old"), _KEY, "left_semi")
     first_qa = keep_first(_keyed(qa, "url"), _KEY, qa_order).select(
         *_KEY, *[f.name for f in PAPERS_QA.fields if f.name != "url"]
     )
@@ -95,19 +132,40 @@ def missing_from_new(
     )
 
 
-def added_in_new(old: DataFrame, new: DataFrame, qa: DataFrame, companies: Sequence[str]) -> DataFrame:
+def added_in_new(
+    old: DataFrame, new: DataFrame, qa: DataFrame, companies: Sequence[str], compared: DataFrame | None = None
+) -> DataFrame:
     """Rows of `new` for some companies whose url is not in `old`, with their QA rows.
 
-    Nothing is deduplicated: several QA rows for a url give several rows.
+    Nothing is deduplicated: several QA rows for a url give several rows. With `compared`
+    (see `compare_versions`) `old` is not read.
     """
     chosen = conform(new, PAPERS_NEW).filter(F.col("company_name").isin(*companies))
-    added = anti_join(chosen, old, "paper_url").select("paper_url", "paper_title", "paper_description")
+    if compared is None:
+        added = anti_join(chosen, old, "paper_url")
+    else:
+        added = _keyed(chosen, "paper_url").join(_keys_on(compared, "new"), _KEY, "left_semi")
+    added = added.select("paper_url", "paper_title", "paper_description")
     checks = conform(qa, PAPERS_QA).select(
         "url", "publication_date", "tags", "excluded_tags", "keyword_tags"
     )
     return left_join(added, checks, "paper_url", "url", hot_right=True)
 
 
+def reconcile(
+    old: DataFrame,
+    new: DataFrame,
+    qa: DataFrame,
+    companies: Sequence[str],
+    old_order: Sequence[str] = ("company_name",),
+    qa_order: Sequence[str] = ("title", "authors", "description"),
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The compared urls, what is missing from `new` and what `companies` added, from one comparison."""
+    compared = settle(compare_versions(old, new, "paper_url"), "compared")
+    missing = missing_from_new(old, new, qa, old_order, qa_order, compared)
+    return compared, missing, added_in_new(old, new, qa, companies, compared)
+
+
 def reason_rows(missing: DataFrame, per_combination: bool = False) -> DataFrame:
     """`(company_name, exclusion_reason)`, one row per reason or per combination.
 

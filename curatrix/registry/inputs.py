@@ -65,7 +65,7 @@ def qa_papers(t: Tables) -> DataFrame:
         F.when(F.col("lang") == "fr", "[]").otherwise(F.col("source")).alias("authors"),
         first_line_of("text").alias("title"),
         F.when(~F.col("source").isin("src1", "src5"), "2024-01-01").alias("publication_date"),
-        F.md5(F.reverse("text")).alias("description"),
+        F.col("text").alias("description"),
         (F.col("n_chars") < 400).alias("is_patent"),
         F.when(F.contains("text", F.lit("the")), '["ai"]').otherwise("[]").alias("tags"),
         F.when(F.contains("text", F.lit("http")), '["web"]').otherwise("[]").alias("excluded_tags"),
@@ -88,7 +88,7 @@ PAPERS_SQL = """
                CASE WHEN lang = 'fr' THEN NULL ELSE source END AS authors,
                split_part(text, chr(10), 1) AS title,
                CASE WHEN source NOT IN ('src1', 'src5') THEN '2024-01-01' END AS publication_date,
-               md5(reverse(text)) AS description, n_chars < 400 AS is_patent,
+               text AS description, n_chars < 400 AS is_patent,
                CASE WHEN contains(text, 'the') THEN '["ai"]' END AS tags,
                CASE WHEN contains(text, 'http') THEN '["web"]' END AS excluded_tags,
                lang AS keyword_tags,
@@ -270,11 +270,46 @@ def article_pages(t: Tables) -> DataFrame:
     return t.documents.select(F.concat(F.lit("/a/"), F.col("doc_id")).alias("url"), html.alias("html"))
 
 
-_SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(133) || chr(160)"
+ARTICLE_CLASS = "text-black no-underline"
+ARTICLE_BASE = "https://brief.example/all/index.html"
+
+
+def index_pages(t: Tables) -> DataFrame:
+    """Index pages of up to twenty articles each; those in one language carry another class."""
+    kind = F.when(F.col("lang") == "es", "no-underline").when(F.col("lang") == "de", " text-black\n  no-underline").otherwise(
+        F.lit(ARTICLE_CLASS)
+    )
+    target = (
+        F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("/all/"), F.col("doc_id")))
+        .when(F.col("doc_id") % 3 == 1, F.concat(F.lit("https://brief.example/all/"), F.col("doc_id")))
+        .otherwise(F.col("doc_id").cast("string"))
+    )
+    entry = F.concat(F.lit('<li><a class="'), kind, F.lit('" href="'), target, F.lit('">'), F.lit("x</a></li>"))
+    return (
+        t.documents.groupBy(F.floor(F.col("doc_id") / 20).alias("n"))
+        .agg(F.array_join(F.sort_array(F.collect_list(entry)), "").alias("list"))
+        .select(
+            F.concat(F.lit("https://brief.example/index/"), "n").alias("url"),
+            F.concat(F.lit('<ul><li><a class="other" href="/all/0">no</a></li>'), "list", "list", F.lit("</ul>")).alias("html"),
+        )
+    )
+
+
+def stored_articles(t: Tables) -> DataFrame:
+    """Two fetches of each article page, the later one whole; a tenth moved to another address."""
+    moved = F.when(F.endswith("url", F.lit("7")), "/moved/").otherwise("/all/")
+    stored = article_pages(t).withColumn(
+        "url", F.concat(F.lit("https://brief.example"), moved, F.substring_index("url", "/", -1))
+    )
+    early = stored.select("url", F.lit('<div class="nws-container">draft</div>').alias("html"), F.lit(1).alias("fetched"))
+    return stored.select("url", "html", F.lit(2).alias("fetched")).unionByName(early)
+
+
+SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13) || chr(133) || chr(160)"
 ARTICLE_TEXT_SQL = f"""
     SELECT '/a/' || doc_id AS link,
-           concat_ws(' ', nullif(trim(split_part(text, chr(10), 1), {_SPACES}), ''),
-                     nullif(trim(text, {_SPACES}), ''), 'More at ' || source) AS content
+           concat_ws(' ', nullif(trim(split_part(text, chr(10), 1), {SPACES}), ''),
+                     nullif(trim(text, {SPACES}), ''), 'More at ' || source) AS content
     FROM documents"""
 
 

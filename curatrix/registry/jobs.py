@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta, timezone
+
 from pyspark.sql import functions as F
 
 from curatrix.plans import counts, events, inventory, outlets, reconcile
 from curatrix.plans.articles import relevance, summaries
 from curatrix.plans.concepts import company_concepts, concept_articles
-from curatrix.plans.mentions import article_texts, mentions
+from curatrix.plans.mentions import article_texts, linked_articles, mentions
 from curatrix.registry import inputs as i
 from curatrix.registry.base import query
 from curatrix.registry.counting import INDEX_RANK_SQL, NAMING_SQL
-from curatrix.registry.reading import EXPORT_SQL, given_tables_inventory
-from curatrix.registry.texts import CUES, HITS_SQL, RARITY_SQL, RULE_SQL, RULE_TERMS
+from curatrix.registry.reading import EXPORT_SQL, LIVE_SQL, given_tables_inventory, live_inventory
+from curatrix.registry.texts import (
+    CUES, HITS_SQL, ODDS_SQL, RARITY_SQL, RULE_SQL, RULE_TERMS, odds_scorer,
+)
 from curatrix.session import shared_dir
 from curatrix.sinks.tables import write_csv
 from curatrix.sources.files import scan_csv
@@ -65,6 +69,22 @@ def job_mentions(t):
     )
 
 
+@query(
+    "job_article_links",
+    f"""WITH texts AS ({i.ARTICLE_TEXT_SQL})
+        SELECT replace(t.link, '/a/', 'https://brief.example/all/') AS link,
+               CASE WHEN NOT ends_with(t.link, '7') THEN md5(content) END AS content_md5
+        FROM texts t JOIN documents d ON t.link = '/a/' || d.doc_id WHERE lang <> 'es'""",
+)
+def job_article_links(t):
+    """From index pages over their links to the texts of the stored articles."""
+    read = linked_articles(
+        i.index_pages(t), i.stored_articles(t), i.ARTICLE_CLASS, i.ARTICLE_BASE, position="fetched",
+        drop_ids=("about-us",), drop_heading="OUR TEAM",
+    )
+    return read.select("link", F.md5("content").alias("content_md5"))
+
+
 def missing_papers(t):
     return reconcile.missing_from_new(
         i.old_papers(t), i.new_papers(t), i.qa_papers(t), old_order=["doc_id"], qa_order=["doc_id"]
@@ -73,11 +93,12 @@ def missing_papers(t):
 
 @query(
     "job_reconcile_missing",
-    f"""WITH {i.MISSING_SQL} SELECT company_name, paper_url, authors, title, description, excluded_tags,
+    f"""WITH {i.MISSING_SQL} SELECT company_name, paper_url, authors, title, md5(description) AS description, excluded_tags,
         author_name, array_to_string(reasons, '|') AS exclusion_reason FROM missing""",
 )
 def job_reconcile_missing(t):
-    return missing_papers(t).withColumn("exclusion_reason", F.array_join("exclusion_reason", "|"))
+    rows = missing_papers(t).withColumn("description", F.md5("description"))
+    return rows.withColumn("exclusion_reason", F.array_join("exclusion_reason", "|"))
 
 
 @query(
@@ -102,6 +123,30 @@ def job_reconcile_added(t):
     return rows.withColumn("description_md5", F.md5("paper_description")).drop("paper_description")
 
 
+@query(
+    "job_reconcile_both",
+    f"""WITH {i.MISSING_SQL},
+        added AS (SELECT f.paper_url, q.keyword_tags FROM fresh f LEFT JOIN qa q ON f.paper_url = q.url
+                  WHERE f.company_name IN ('src1', 'src2', 'src3') AND f.paper_url NOT IN (SELECT paper_url FROM old))
+        SELECT 'missing' AS direction, paper_url, array_to_string(reasons, '|') AS detail FROM missing
+        UNION ALL SELECT 'added', paper_url, keyword_tags FROM added""".replace(
+        "old AS (SELECT md5(text)", "old AS (SELECT CASE WHEN source = 'src3' THEN 'gone/' ELSE '' END || md5(text)"
+    ),
+)
+def job_reconcile_both(t):
+    """Both directions from one comparison of the urls; one company's old urls have all changed."""
+    old = i.old_papers(t)
+    gone = F.when(F.col("company_name") == "src3", "gone/").otherwise("")
+    old = old.withColumn("paper_url", F.concat(gone, "paper_url"))
+    _, missing, added = reconcile.reconcile(
+        old, i.new_papers(t), i.qa_papers(t), ("src1", "src2", "src3"), old_order=["doc_id"], qa_order=["doc_id"]
+    )
+    found = missing.select(
+        F.lit("missing").alias("direction"), "paper_url", F.array_join("exclusion_reason", "|").alias("detail")
+    )
+    return found.unionByName(added.select(F.lit("added").alias("direction"), "paper_url", F.col("keyword_tags").alias("detail")))
+
+
 def _matrix_sql(source: str) -> str:
     cells = ", ".join(f"count(*) FILTER (reason = '{r}') AS {r}" for r in reconcile.REASONS)
     return f"""WITH {i.MISSING_SQL}
@@ -146,13 +191,27 @@ def job_exclusion_matrix_combinations(t):
 
 @query(
     "job_relevance",
-    f"""WITH {i.PAPERS_SQL}
-        SELECT paper_url, md5(paper_description) AS body_md5, {RULE_SQL} AS relevance
-        FROM (SELECT *, {HITS_SQL.format('paper_description')} AS hits FROM fresh
+    f"""WITH {i.MISSING_SQL}
+        SELECT paper_url, md5(description) AS body_md5, {RULE_SQL} AS relevance
+        FROM (SELECT *, {HITS_SQL.format("coalesce(description, '')")} AS hits FROM missing
               WHERE company_name IN ('src1', 'src2'))""",
 )
 def job_relevance(t):
-    labelled = relevance(i.new_papers(t), ("src1", "src2"), RULE_TERMS, text="paper_description")
+    """Labels by rule of the papers that two companies lack in the new version."""
+    labelled = relevance(missing_papers(t), ("src1", "src2"), RULE_TERMS)
+    return labelled.select("paper_url", F.md5("body").alias("body_md5"), "relevance")
+
+
+@query(
+    "job_relevance_fitted",
+    f"""WITH {i.MISSING_SQL}, {ODDS_SQL}
+        SELECT DISTINCT m.paper_url, md5(m.description) AS body_md5, coalesce(l.relevance, 'Unsure') AS relevance
+        FROM missing m LEFT JOIN documents d ON m.description = d.text LEFT JOIN labelled l ON d.doc_id = l.doc_id
+        WHERE m.company_name IN ('src1', 'src2')""",
+)
+def job_relevance_fitted(t):
+    """The same papers by the fitted scorer; what it cannot tell within its error rate is `Unsure`."""
+    labelled = relevance(missing_papers(t), ("src1", "src2"), model=odds_scorer(t))
     return labelled.select("paper_url", F.md5("body").alias("body_md5"), "relevance")
 
 
@@ -282,6 +341,19 @@ def job_table_age(t):
     return inventory.table_ages(i.order_inventory(t), F.expr("timestamp'2000-01-01 00:00:00'"))
 
 
+@query(
+    "job_table_age_live",
+    f"""SELECT table_id, true AS aged, table_id || ' was created 39 days ago and last modified ' AS message
+        FROM ({LIVE_SQL})""",
+)
+def job_table_age_live(t):
+    """Ages of the live catalog's tables, forty days less a minute from now."""
+    later = F.lit(datetime.now(timezone.utc) + timedelta(days=40, minutes=-1))
+    ages = inventory.table_ages(live_inventory(t), later, "given")
+    aged = (F.col("days_since_created") == 39) & (F.col("days_since_modified") >= 39)
+    return ages.select("table_id", aged.alias("aged"), F.regexp_extract("message", r"^.* modified ", 0).alias("message"))
+
+
 @query(
     "job_export",
     EXPORT_SQL.replace("given", "all").replace("'done' AS status", "'done' AS status, NULL AS error")

@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from curatrix.operators.aggregates import list_totals
 from curatrix.operators.joins import (
-    anti_join, count_matches, difference, left_join, shared_concepts, unnest,
+    anti_join, companies_by_concept, count_matches, difference, left_join, shared_concepts, unnest,
 )
 from curatrix.plans.concepts import company_concepts
 from curatrix.plans.outlets import refresh_sources
+from curatrix.plans.reconcile import compare_versions
 from curatrix.registry import inputs as i
 from curatrix.registry.base import query
 
@@ -121,10 +122,23 @@ def alias_explode(t):
 )
 def concept_overlap(t):
     companies = i.word_companies(t).withColumnRenamed("id", "company_id")
-    return shared_concepts(
-        t.documents, companies, ["doc_id"], F.split("text", " "), "company_id", "url_list",
-        topics=F.array(*map(F.lit, ("the", "of", "und", "la", "el"))),
-    )
+    articles = t.documents.select("doc_id", F.split("text", " ").alias("uris"))
+    topics = F.array(*map(F.lit, ("the", "of", "und", "la", "el")))
+    pairs = companies_by_concept(articles, companies, F.col("uris"), "company_id", "url_list", topics)
+    return pairs.select("doc_id", "company_id")
+
+
+@query(
+    "concept_languages",
+    f"""WITH {i.WORD_COMPANIES_SQL},
+        docs AS (SELECT lang, unnest(string_split(text, ' ')) AS uri FROM documents),
+        wanted AS (SELECT company_id, unnest(urls) AS uri FROM companies)
+        SELECT DISTINCT lang, company_id FROM docs JOIN wanted USING (uri)""",
+)
+def concept_languages(t):
+    """The same by language: many articles make one pair."""
+    companies = i.word_companies(t).withColumnRenamed("id", "company_id")
+    return shared_concepts(t.documents, companies, ["lang"], F.split("text", " "), "company_id", "url_list")
 
 
 @query(
@@ -156,3 +170,27 @@ def union_all(t):
     short = t.documents.filter("n_chars < 1000").select("doc_id", "lang")
     long = t.documents.filter("n_chars >= 500").select("lang", "doc_id")
     return short.unionByName(long)
+
+
+SIDES_SQL = """
+    versions AS (
+        SELECT CASE source WHEN 'src3' THEN NULL WHEN 'src5' THEN 'old/' || md5(text) ELSE md5(text) END AS k, 1 AS side
+        FROM documents
+        UNION ALL SELECT CASE lang WHEN 'es' THEN NULL WHEN 'de' THEN 'new/' || md5(text) ELSE md5(text) END, 2
+        FROM documents
+    )"""
+
+
+@query(
+    "reconcile_both_ways",
+    f"""WITH {SIDES_SQL}
+        SELECT k, count(*) FILTER (side = 1) AS n_old, count(*) FILTER (side = 2) AS n_new,
+               CASE bit_or(side) WHEN 1 THEN 'old' WHEN 2 THEN 'new' ELSE 'both' END AS side
+        FROM versions GROUP BY k""",
+)
+def reconcile_both_ways(t):
+    """Two overlapping versions with null and repeated keys, in one pass."""
+    digest = F.md5("text")
+    old = F.when(F.col("source") == "src5", F.concat(F.lit("old/"), digest)).when(F.col("source") != "src3", digest)
+    new = F.when(F.col("lang") == "de", F.concat(F.lit("new/"), digest)).when(F.col("lang") != "es", digest)
+    return compare_versions(t.documents.select(old.alias("k")), t.documents.select(new.alias("k")), "k")

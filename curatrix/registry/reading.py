@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+from datetime import datetime
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,11 +15,11 @@ from curatrix.registry.base import TABLE_NAMES, query
 from curatrix.schemas import ARTICLE_INPUT, TEXT, struct
 from curatrix.session import shared_dir
 from curatrix.sinks.export import export_tables
-from curatrix.sinks.tables import write_csv, write_table
+from curatrix.sinks.tables import write_csv, write_stamped, write_table
 from curatrix.sources.files import scan_csv
-from curatrix.sources.inventory import inventory
+from curatrix.sources.inventory import inventory, inventory_from_catalog
 from curatrix.sources.pages import fetched_pages
-from curatrix.sources.tables import scan_sql, scan_table
+from curatrix.sources.tables import from_records, scan_sql, scan_table
 
 ORDER_ROW = struct(o_custkey=T.LongType(), o_orderstatus=TEXT, cents=T.LongType())
 PAPER_ROW = struct(company_name=TEXT, paper_url=TEXT, exclusion_reason=TEXT)
@@ -100,6 +103,79 @@ def overwrite_sink(t):
     return scan_table(t.spark, path)
 
 
+@query(
+    "overwrite_self",
+    "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderstatus <> 'P'",
+)
+def overwrite_self(t):
+    """A stored table replaced by a part of itself."""
+    path = write_table(t.orders.select("o_orderkey", "o_orderstatus"), shared_dir(t.spark, "replaced"))
+    write_table(without_key(scan_table(t.spark, path), "o_orderstatus", "P"), path)
+    return scan_table(t.spark, path)
+
+
+@query(
+    "stamped_output",
+    "SELECT doc_id, lang, 'articles_feb01_1504' AS folder FROM documents",
+)
+def stamped_output(t):
+    """Rows that went through a path with the run's time in its name."""
+    path = write_stamped(t.documents.select("doc_id", "lang"), shared_dir(t.spark, "stamped"), "articles", datetime(2024, 2, 1, 15, 4))
+    return scan_table(t.spark, path).withColumn("folder", F.lit(path.rsplit("/", 1)[1]))
+
+
+@query(
+    "param_table_scan",
+    "SELECT lang AS k, count(*) AS n, sum(n_chars)::BIGINT AS chars FROM documents GROUP BY lang",
+)
+def param_table_scan(t):
+    """The names of table and column as parameters."""
+    t.documents.createOrReplaceTempView("given_documents")
+    return scan_sql(
+        t.spark,
+        "SELECT IDENTIFIER(:column) AS k, count(*) AS n, sum(n_chars) AS chars FROM IDENTIFIER(:table) GROUP BY ALL",
+        args={"column": "lang", "table": "given_documents"},
+    )
+
+
+PART_BYTES = 1 << 20
+
+
+@query(
+    "csv_bounded",
+    """SELECT CAST(doc_id AS VARCHAR) AS id, md5(text) AS text_md5, true AS bounded FROM documents
+       UNION ALL SELECT 'all ' || count(*), md5(repeat('long text' || chr(10), 70000)), true FROM documents""",
+)
+def csv_bounded(t):
+    """Texts and a very long one, each on one line, that went through files of at most a bound."""
+    rows = t.documents.select(F.col("doc_id").cast("string").alias("id"), "text")
+    longest = t.documents.agg(F.count(F.lit(1)).alias("n")).select(
+        F.concat(F.lit("all "), F.col("n")).alias("id"), F.repeat(F.lit("long text\n"), F.lit(70_000)).alias("text")
+    )
+    path = write_csv(rows.unionByName(longest), shared_dir(t.spark, "bounded"), max_bytes=PART_BYTES, one_line=True)
+    parts = t.spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    header = len("id,text\n")
+    largest = parts.agg(F.max("length")).first()[0]
+    back = scan_csv(t.spark, path, struct(id=TEXT, text=TEXT), one_line=True)
+    return back.select("id", F.md5("text").alias("text_md5"), F.lit(largest <= PART_BYTES + header).alias("bounded"))
+
+
+@query(
+    "records_join",
+    """SELECT n_name AS nation, r_name AS region, count(c_custkey) AS n_customers
+       FROM nation JOIN region ON n_regionkey = r_regionkey LEFT JOIN customer ON c_nationkey = n_nationkey
+       GROUP BY n_name, r_name""",
+)
+def records_join(t):
+    """A dictionary held in memory, with its declared schema, beside a stored table."""
+    kind = struct(key=T.LongType(), nation=TEXT, region=TEXT)
+    named = t.nation.join(t.region, F.col("n_regionkey") == F.col("r_regionkey"))
+    nations = from_records(t.spark, [tuple(r) for r in named.select("n_nationkey", "n_name", "r_name").collect()], kind)
+    counts = t.customer.groupBy("c_nationkey").agg(F.count("c_custkey").alias("n_customers"))
+    joined = nations.join(counts, F.col("key") == F.col("c_nationkey"), "left")
+    return joined.select("nation", "region", F.coalesce("n_customers", F.lit(0)).alias("n_customers"))
+
+
 @query("run_suffix", "SELECT event_id, lower(strftime(ts, '%b%d_%H%M')) AS suffix FROM events")
 def run_suffix_query(t):
     from curatrix.functions.dates import run_suffix
@@ -137,6 +213,37 @@ def inventory_scan(t):
     )
 
 
+def live_inventory(t):
+    """The catalog's inventory while the given tables are registered in it, and a view."""
+    name = f"curatrix_{uuid.uuid4().hex[:12]}"
+    t.spark.sql(f"CREATE DATABASE {name}")
+    try:
+        for table in TABLE_NAMES:
+            path = f"{t.folder}/{table}.parquet"
+            t.spark.catalog.createTable(f"{name}.{table}", path, source="parquet")
+        t.spark.sql(f"CREATE VIEW {name}.late_orders AS SELECT * FROM {name}.orders WHERE o_orderstatus = 'P'")
+        listed = inventory_from_catalog(t.spark, "test").filter(F.col("dataset_id") == name)
+        return listed.withColumn("dataset_id", F.lit("given"))
+    finally:
+        # The tables are external, so their files stay.
+        t.spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+LIVE_SQL = " UNION ALL ".join(f"SELECT '{n}' AS table_id, 'TABLE' AS table_type" for n in TABLE_NAMES) + (
+    " UNION ALL SELECT 'late_orders', 'VIEW'"
+)
+
+
+@query(
+    "catalog_inventory",
+    f"SELECT 'test' AS project, 'given' AS dataset_id, table_id, table_type, true AS dated FROM ({LIVE_SQL})",
+)
+def catalog_inventory(t):
+    """Tables of the live catalog, each with the times of its creation and last change."""
+    dated = F.col("created").isNotNull() & F.col("modified").isNotNull()
+    return live_inventory(t).select("project", "dataset_id", "table_id", "table_type", dated.alias("dated"))
+
+
 def given_tables_inventory(t, dataset: str):
     """Inventory rows of the given tables, plus a view that an export skips."""
     rows = t.spark.createDataFrame(

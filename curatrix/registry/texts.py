@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from curatrix.operators.domains import read_suffix_rules, unruled_hosts, with_domains
 from curatrix.operators.pages import links, page_text, sections, table_rows
-from curatrix.operators.relevance import fit_relevance, label_by_model, label_by_rule
+from curatrix.operators.relevance import fit_odds, label_by_rule
 from curatrix.operators.summaries import summarise
 from curatrix.operators.terms import keyword_tags, without_tags
 from curatrix.plans.articles import with_prompt
@@ -44,11 +44,26 @@ def page_links(t):
 
 @query(
     "page_text",
-    """SELECT page_id, trim(replace(replace(regexp_extract(html, '<div class="ad">([^<]*)</div>', 1),
-                  '&amp;', '&'), '&quot;', '"')) AS content FROM pages""",
+    f"""WITH bodies AS (SELECT page_id, regexp_replace(regexp_replace(regexp_replace(html, '^.*?<body>', '', 's'),
+                           '</body>.*$', '', 's'), '<!--.*?-->', '', 'gs') AS body FROM pages),
+        pieces AS (SELECT page_id, list_transform(regexp_split_to_array(body, '<[^>]*>'), lambda x: trim(
+                       replace(replace(replace(replace(x, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&amp;', '&'),
+                       {i.SPACES})) AS found FROM bodies)
+        SELECT page_id, array_to_string(list_filter(found, lambda x: x <> ''), ' ') AS content FROM pieces""",
 )
 def page_text_query(t):
-    return page_text(sections(t.pages, "page_id", class_token="ad"))
+    return page_text(sections(t.pages, "page_id", tag="body"))
+
+
+@query(
+    "page_links_class",
+    f"""SELECT DISTINCT '{i.ARTICLE_BASE.removesuffix("index.html")}' || doc_id AS link FROM documents WHERE lang <> 'es'""",
+)
+def page_links_class(t):
+    """Links of one class, relative and absolute, found on index pages."""
+    from curatrix.plans.mentions import index_links
+
+    return index_links(i.index_pages(t), i.ARTICLE_CLASS, i.ARTICLE_BASE)
 
 
 @query("article_text", i.ARTICLE_TEXT_SQL)
@@ -194,27 +209,47 @@ def relevance_rule(t):
     return t.documents.select("doc_id", label_by_rule(F.col("text"), RULE_TERMS).alias("relevance"))
 
 
-# Least share of right answers among the texts that the fitted scorer decides.
-LEAST_RIGHT = 0.75
-
-
-@query(
-    "relevance_ml",
-    """SELECT doc_id, true AS allowed, true AS good_enough
-       FROM documents JOIN labels USING (doc_id) WHERE substring(md5(text), 1, 1) < '4'""",
-)
+ERROR_RATE = 0.1
+
+# Words weigh by the labels of one part of the texts, are calibrated on another, and
+# label all. The isotonic share of a bin is the largest, over the bins up to it, of the
+# smallest mean from there to a bin at or above it.
+ODDS_SQL = """
+    parted AS (SELECT doc_id, text, quality, substring(md5(text), 1, 1) < '8' AS held
+               FROM documents LEFT JOIN labels USING (doc_id)),
+    said AS (SELECT doc_id, quality, held, unnest(list_distinct(regexp_split_to_array(lower(text), '\\s+'))) AS word
+             FROM parted),
+    size AS (SELECT count(*) FILTER (quality = 1) AS ones, count(*) FILTER (quality = 0) AS zeros
+             FROM parted WHERE NOT held),
+    odds AS (SELECT word, CAST(round((ln((count(*) FILTER (quality = 1) + 1) / (any_value(ones) + 2))
+                                      - ln((count(*) FILTER (quality = 0) + 1) / (any_value(zeros) + 2))) * 1000000) AS BIGINT) AS weight
+             FROM said, size WHERE NOT held AND quality IN (0, 1) GROUP BY word),
+    binned AS (SELECT doc_id, greatest(least(CAST(floor(sum(weight) / (count(*) * 20000)) AS INTEGER), 100), -100) AS bin
+               FROM said JOIN odds USING (word) GROUP BY doc_id),
+    bins AS (SELECT bin, count(*) AS n, sum(quality) AS hits FROM binned JOIN parted USING (doc_id)
+             WHERE held AND quality IN (0, 1) GROUP BY bin),
+    spans AS (SELECT a.bin AS low, b.bin AS high, sum(c.hits) / sum(c.n) AS mean
+              FROM bins a JOIN bins b ON a.bin <= b.bin JOIN bins c ON c.bin BETWEEN a.bin AND b.bin GROUP BY ALL),
+    shares AS (SELECT bin, CAST(round(max(least_mean) * 1000000) AS BIGINT) AS share FROM (
+                   SELECT t.bin, low, min(mean) AS least_mean FROM bins t JOIN spans ON low <= t.bin AND high >= t.bin
+                   GROUP BY t.bin, low) GROUP BY bin),
+    known AS (SELECT doc_id, max(s.bin) AS bin FROM binned b JOIN shares s
+              ON s.bin <= greatest(b.bin, (SELECT min(bin) FROM shares)) GROUP BY doc_id),
+    shared AS (SELECT p.doc_id, share FROM parted p LEFT JOIN known USING (doc_id) LEFT JOIN shares USING (bin)),
+    labelled AS (SELECT doc_id, share, CASE WHEN share >= 900000 THEN 'Yes' WHEN share <= 100000 THEN 'No' ELSE 'Unsure' END
+                 AS relevance FROM shared)"""
+
+
+def odds_scorer(t):
+    rows = t.documents.join(t.labels, "doc_id").select("text", "quality")
+    return fit_odds(rows, "text", "quality", ERROR_RATE, calibrated=F.substring(F.md5("text"), 1, 1) < "8")
+
+
+@query("relevance_ml", f"WITH {ODDS_SQL} SELECT doc_id, share, relevance FROM labelled")
 def relevance_ml(t):
-    """Labels of held-out texts: each is an allowed one, and most that are decided are right."""
-    rows = t.documents.join(t.labels, "doc_id").select("doc_id", "text", "quality")
-    # Held out by a digest of the text, so copies of a text stay on one side.
-    held_out = F.substring(F.md5("text"), 1, 1) < "4"
-    model = fit_relevance(rows.filter(~held_out), "text", "quality")
-    labelled = label_by_model(rows.filter(held_out), "text", model)
-    decided = F.when(F.col("relevance") != "Unsure", ((F.col("relevance") == "Yes") == (F.col("quality") == 1)).cast("double"))
-    right = labelled.agg(F.avg(decided).alias("right")).scalar()
-    return labelled.select(
-        "doc_id", F.col("relevance").isin("Yes", "No", "Unsure").alias("allowed"), (right >= LEAST_RIGHT).alias("good_enough")
-    )
+    """Labels of all texts by a fitted scorer, and the calibrated share behind them."""
+    found = odds_scorer(t).label(t.documents.select("doc_id", "text"), "text", share="share")
+    return found.select("doc_id", "share", "relevance")
 
 
 @query(
@@ -276,3 +311,28 @@ RARITY_SQL = f"""
 )
 def summarise_rarity(t):
     return summarise(t.documents.select("doc_id", "text"), "text", cues=CUES).select("doc_id", "summary")
+
+
+MMR_SQL = f"""
+    WITH {SENTENCES_SQL},
+    rated AS (SELECT doc_id, pos, sentence, length(sentence) AS score,
+                     list_distinct(string_split(lower(sentence), ' ')) AS w FROM sentences),
+    r1 AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, pos) AS nth FROM rated),
+    one AS (SELECT doc_id, pos AS p1, sentence AS s1, w AS w1 FROM r1 WHERE nth = 1),
+    r2 AS (SELECT r.*, p1, s1, w1, row_number() OVER (PARTITION BY r.doc_id ORDER BY
+               floor(score * (len(w) - len(list_intersect(w, w1))) / len(w)) DESC, pos) AS nth
+           FROM rated r JOIN one USING (doc_id) WHERE pos <> p1),
+    two AS (SELECT doc_id, pos AS p2, sentence AS s2, list_distinct(list_concat(w1, w)) AS w2 FROM r2 WHERE nth = 1),
+    r3 AS (SELECT r.*, w2, row_number() OVER (PARTITION BY r.doc_id ORDER BY
+               floor(score * (len(w) - len(list_intersect(w, w2))) / len(w)) DESC, pos) AS nth
+           FROM rated r JOIN one USING (doc_id) JOIN two USING (doc_id) WHERE pos NOT IN (p1, p2)),
+    three AS (SELECT doc_id, sentence AS s3 FROM r3 WHERE nth = 1)
+    SELECT d.doc_id, CASE WHEN s1 IS NOT NULL THEN concat_ws(chr(10), '•' || s1, '•' || s2, '•' || s3) END AS summary
+    FROM documents d LEFT JOIN one USING (doc_id) LEFT JOIN two USING (doc_id) LEFT JOIN three USING (doc_id)"""
+
+
+@query("summarise_mmr", MMR_SQL)
+def summarise_mmr(t):
+    """Three bullets of which none repeats another."""
+    rows = summarise(t.documents.select("doc_id", "text"), "text", score="length", diverse=True)
+    return rows.select("doc_id", "summary")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
 import os
-import re
+import shutil
 import tempfile
 import uuid
 
@@ -19,6 +20,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # An Arrow batch holds whole texts; these bounds keep a worker's batch small.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "1000",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
 }
 
 
@@ -41,7 +45,9 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 @functools.cache
 def _local_root() -> str:
-    return tempfile.mkdtemp(prefix="curatrix-")
+    root = tempfile.mkdtemp(prefix="curatrix-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
 
 
 def shared_dir(spark: SparkSession, tag: str) -> str:
@@ -62,11 +68,22 @@ def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write `df` to the shared folder and read it back.
 
     Later stages then restart from the written table when an executor is lost,
-    and every reader sees the same rows in the same slices.
+    and every reader sees the same rows in the same slices. See `forget`.
     """
     path = shared_dir(df.sparkSession, tag)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._stored_at = path
+    return stored
+
+
+def forget(stored: DataFrame) -> None:
+    """Remove what `materialise` wrote for this frame, once nothing reads it any more."""
+    path = getattr(stored, "_stored_at", None)
+    if path is not None:
+        spark = stored.sparkSession
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 32 << 20) -> DataFrame:
@@ -84,32 +101,36 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 200_000, max_bytes: int =
     return F.broadcast(df) if n_rows <= max_rows and n_bytes <= max_bytes else df
 
 
-_SHUFFLE = re.compile(r"\bExchange (hash|range|RoundRobin|Single)")
-_PYTHON = re.compile(r"MapInPandas|ArrowEvalPython")
-
-
-def _physical_plan(df: DataFrame) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()
-
-
 def settle(df: DataFrame, tag: str) -> DataFrame:
     """`df` for a caller that reads it more than once.
 
-    A frame that shuffles or runs Python is written once instead of being computed
-    again; a plain scan is returned as it is.
+    A frame that comes straight from storage is returned as it is; any other is written
+    once instead of being computed again.
     """
-    plan = _physical_plan(df)
-    return materialise(df, tag) if _SHUFFLE.search(plan) or _PYTHON.search(plan) else df
+    return df if _is_scan(df) else materialise(df, tag)
 
 
 def spread(df: DataFrame) -> DataFrame:
     """Give a CPU-heavy step over a small scan at least one partition per core.
 
-    A large scan already has more splits than cores and is left alone. So is a frame
-    with a shuffle in its plan: Spark chose its partitions, and asking for their number
-    would run that shuffle.
+    Only frames that come straight from storage are looked at: how their files will be
+    split follows from sizes that are known before anything runs. A large scan has more
+    splits than cores and is left alone.
     """
-    if _SHUFFLE.search(_physical_plan(df)):
+    if not _is_scan(df):
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    split = df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return df.repartition(cores) if size < cores * split else df
+
+
+def _is_scan(df: DataFrame) -> bool:
+    """Whether the logical plan is a stored table under nothing but plain projections and filters."""
+    node = df._jdf.queryExecution().analyzed()
+    python = df.sparkSession._jvm.org.apache.spark.sql.catalyst.trees.TreePattern.PYTHON_UDF()
+    if node.containsPattern(python):
+        return False
+    while node.nodeName() in ("Project", "Filter", "SubqueryAlias", "View"):
+        node = node.children().head()
+    return node.nodeName() in ("LogicalRelation", "DataSourceV2Relation")

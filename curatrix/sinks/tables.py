@@ -2,50 +2,122 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
-from urllib.parse import urlsplit
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curatrix.functions.arrays import list_text
+from curatrix.functions.text import escape_lines
+from curatrix.session import forget, materialise
 from curatrix.sources.files import CSV_OPTIONS
 
 
 def write_table(df: DataFrame, target: str, mode: str = "overwrite", fmt: str = "parquet") -> str:
     """Replace (or extend) a table, or a folder when `target` holds a slash.
 
-    Reading a path and overwriting it in one plan would lose the data, so that is
-    refused.
+    A replacement is written beside the old rows and takes their place when it is
+    complete, so a frame may read the target that it replaces, and a job that fails
+    leaves the old rows as they were. A folder is moved into place; a table is filled from
+    the complete copy. A frame that was made from the old rows must be read anew.
     """
-    if "/" in target:
-        goal = urlsplit(target).path.rstrip("/") + "/"
-        if mode == "overwrite" and any(urlsplit(f).path.startswith(goal) for f in df.inputFiles()):
-            raise ValueError(f"{target} is an input of the frame written to it")
-        df.write.mode(mode).format(fmt).save(target)
+    if mode != "overwrite":
+        writer = df.write.mode(mode).format(fmt)
+        writer.save(target) if "/" in target else writer.saveAsTable(target)
+    elif "/" in target:
+        _replace_folder(df, target, fmt)
     else:
-        df.write.mode(mode).format(fmt).saveAsTable(target)
+        copy = materialise(df, "replacement")
+        copy.write.mode("overwrite").format(fmt).saveAsTable(target)
+        forget(copy)
     return target
 
 
+def _replace_folder(df: DataFrame, target: str, fmt: str) -> None:
+    spark = df.sparkSession
+    beside = f"{target.rstrip('/')}.{uuid.uuid4().hex[:12]}"
+    df.write.mode("error").format(fmt).save(f"{beside}.new")
+    jvm = spark._jvm
+    new, old, goal = (jvm.org.apache.hadoop.fs.Path(p) for p in (f"{beside}.new", f"{beside}.old", target.rstrip("/")))
+    files = goal.getFileSystem(spark._jsc.hadoopConfiguration())
+    replaced = files.exists(goal)
+    if replaced and not files.rename(goal, old):
+        raise OSError(f"{target} cannot be moved aside; the new rows are in {beside}.new")
+    if not files.rename(new, goal):
+        raise OSError(f"{target} cannot be put in place; the new rows are in {beside}.new, the old in {beside}.old")
+    if replaced:
+        files.delete(old, True)
+
+
 def stamped_path(root: str, name: str, at: datetime) -> str:
     """Output path with the run time in its name, such as `articles_feb01_1504`."""
     return f"{root.rstrip('/')}/{name}_{at.strftime('%b%d_%H%M').lower()}"
 
 
-def write_csv(df: DataFrame, path: str, rows_per_file: int = 1_000_000) -> str:
-    """CSV folder with a header; array columns become JSON text.
+def write_stamped(df: DataFrame, root: str, name: str, at: datetime, fmt: str = "parquet") -> str:
+    """Write a frame below its stamped path, which the run's time sets apart; returns it."""
+    return write_table(df, stamped_path(root, name, at), fmt=fmt)
+
+
+def _text_row(df: DataFrame, one_line: bool) -> DataFrame:
+    columns = []
+    for field in df.schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.ArrayType):
+            column = list_text(column)
+        if one_line and isinstance(field.dataType, (T.ArrayType, T.StringType)):
+            column = escape_lines(column)
+        columns.append(column.alias(field.name))
+    return df.select(*columns)
 
-    Files are bounded because CSV with line breaks is read one file per task.
+
+def write_csv(df: DataFrame, path: str, max_bytes: int = 128 << 20, one_line: bool = False) -> str:
+    """CSV folder with a header, in files of at most `max_bytes`; array columns become JSON text.
+
+    Lines are measured as they will be written. Where a task's rows stay within the bound
+    they make one file. Else they are dealt to files by their running size, and a line of
+    more than half the bound gets a file of its own; only a single line can be longer
+    than the bound. `one_line` escapes line breaks in values, so that
+    readers can split a file (see `scan_csv`).
     """
-    flat = df.select(
-        *[
-            list_text(F.col(f"`{f.name}`")).alias(f.name)
-            if isinstance(f.dataType, T.ArrayType)
-            else F.col(f"`{f.name}`")
-            for f in df.schema.fields
-        ]
+    flat = _text_row(df, one_line)
+    names = [F.col(f"`{c}`") for c in flat.columns]
+    # The JVM's own writer measures the line; two bytes for its end.
+    options = {k: v for k, v in CSV_OPTIONS.items() if k != "header"}
+    size = (F.octet_length(F.to_csv(F.struct(*[c.cast("string") for c in names]), options)) + 2).cast("long")
+    measured = materialise(
+        flat.withColumn("_size", size)
+        .withColumn("_task", F.spark_partition_id())
+        .withColumn("_at", F.monotonically_increasing_id()),
+        "csv-rows",
+    )
+    half = max(1, max_bytes // 2)
+    large = F.col("_size") > half
+    sums = measured.groupBy("_task").agg(
+        F.sum("_size").alias("all"),
+        F.coalesce(F.sum(F.when(~large, F.col("_size"))), F.lit(0)).alias("small"),
+        F.count_if(large).alias("n_large"),
+    )
+    files, first = [], 0
+    for t in sums.orderBy("_task").collect():  # three numbers for each task that wrote rows
+        whole = t["all"] <= max_bytes
+        n_small = 1 if whole else t["small"] // half + 1
+        files.append((t["_task"], first, first + n_small, whole))
+        first += n_small + (0 if whole else t["n_large"])
+    numbers = df.sparkSession.createDataFrame(files, "_task int, _first int, _first_large int, _whole boolean")
+    alone = large & ~F.col("_whole")
+    before = Window.partitionBy("_task").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+    running = F.coalesce(F.sum(F.when(~alone, F.col("_size")).otherwise(0)).over(before), F.lit(0))
+    n_before = F.coalesce(F.sum(alone.cast("int")).over(before), F.lit(0))
+    number = (
+        F.when(F.col("_whole"), F.col("_first"))
+        .when(large, F.col("_first_large") + n_before)
+        .otherwise(F.col("_first") + F.floor(running / half))
     )
-    flat.write.mode("overwrite").options(**CSV_OPTIONS, maxRecordsPerFile=rows_per_file).csv(path)
+    dealt = measured.join(F.broadcast(numbers), "_task").withColumn("_file", number.cast("int"))
+    rows = dealt.repartitionById(max(1, first), "_file").sortWithinPartitions("_at")
+    rows.select(*names).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    forget(measured)
     return path

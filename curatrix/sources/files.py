@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from curatrix.functions.text import unescape_lines
+
 # Quotes inside a quoted value are doubled, as spreadsheet tools write them.
 CSV_OPTIONS = {
     "header": "true",
@@ -24,6 +26,7 @@ def scan_csv(
     schema: T.StructType,
     index_column: bool = False,
     multi_line: bool = False,
+    one_line: bool = False,
 ) -> DataFrame:
     """Typed CSV scan; a row that does not fit the schema fails the job.
 
@@ -31,7 +34,8 @@ def scan_csv(
     The header is checked against the schema. `index_column` drops a leading, usually
     unnamed row-index column that `schema` does not list; the header is then not checked.
     `multi_line` is needed where values or headers hold line breaks; such files
-    cannot be split, so write them in parts of bounded size (see `write_csv`).
+    cannot be split, so write them in parts of bounded size (see `write_csv`). `one_line`
+    reads values whose line breaks were escaped, from files of any size.
     """
     declared = schema
     if index_column:
@@ -46,6 +50,9 @@ def scan_csv(
         )
         .csv(path)
     )
+    if one_line:
+        texts = {f.name: unescape_lines(F.col(f"`{f.name}`")) for f in schema.fields if isinstance(f.dataType, T.StringType)}
+        df = df.withColumns(texts) if texts else df
     return df.drop("_row_index") if index_column else df
 
 

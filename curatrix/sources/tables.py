@@ -24,7 +24,9 @@ def scan_sql(
 ) -> DataFrame:
     """SQL over `{name}` frames with `:name` parameters.
 
-    Values are bound as literals, never spliced into the text.
+    Values are bound as literals, never spliced into the text. The name of a table or
+    column is a parameter inside `IDENTIFIER(:name)`: it can only name something, and text
+    that is no name is refused.
     """
     return spark.sql(query, args=dict(args or {}), **dict(frames or {}))
 

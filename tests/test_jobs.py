@@ -279,10 +279,10 @@ def test_relevance_job(spark):
 
 
 def test_summary_job_column_order(spark):
-    given = from_records(spark, [("u", "t", "One. Two longer.", "s", "2024-01-05", "p"), ("v", "t", "none", "s", "x", "p")], schemas.ARTICLE_INPUT)
+    given = from_records(spark, [("u", "t", "One. Two longer.", "s", "2024-01-05", "p"), ("v", "t", "unended", "s", "x", "p"), ("w", "t", " \n", "s", "x", "p"), ("n", "t", None, "s", "x", "p")], schemas.ARTICLE_INPUT)
     out = articles.summaries(given, score="length", k=1)
     assert out.columns == list(articles.SUMMARY_COLUMNS)
-    assert {r.url: r.summary for r in out.collect()} == {"u": "•Two longer.", "v": None}
+    assert {r.url: r.summary for r in out.collect()} == {"u": "•Two longer.", "v": "•unended", "w": None, "n": None}
 
 
 # --- inventory -------------------------------------------------------------------------
@@ -352,8 +352,28 @@ def test_export_records_failures_and_goes_on(spark):
 
 
 def test_inventory_from_the_catalog(spark):
-    out = inventory_from_catalog(spark, "p")
-    assert out.schema.simpleString() == schemas.INVENTORY.simpleString() and out.count() >= 1
+    spark.sql("CREATE DATABASE IF NOT EXISTS listed")
+    spark.sql("CREATE DATABASE IF NOT EXISTS nothing")
+    try:
+        spark.range(3).write.mode("overwrite").saveAsTable("listed.first")
+        spark.range(0).write.mode("overwrite").saveAsTable("listed.empty")
+        spark.sql("CREATE VIEW listed.seen AS SELECT * FROM listed.first")
+        spark.range(3, 5).write.mode("append").saveAsTable("listed.first")
+        out = inventory_from_catalog(spark, "p")
+        assert out.schema.simpleString() == schemas.INVENTORY.simpleString()
+        found = {(r.dataset_id, r.table_id): r for r in out.collect()}
+        assert found["nothing", None].table_type is None
+        table, view, odd = (found["listed", n] for n in ("first", "seen", "empty"))
+        assert (table.table_type, view.table_type, odd.table_type) == ("TABLE", "VIEW", "TABLE")
+        assert view.created == view.modified and odd.created is not None
+        assert table.created.replace(microsecond=0) <= table.modified and table.modified > table.created
+        later = F.expr("current_timestamp() + INTERVAL 40 DAYS")
+        aged = {r.table_id: r for r in inventory.table_ages(out, later, "listed").collect()}
+        assert set(aged) == {"first", "seen", "empty"}
+        assert aged["first"].days_since_created in (39, 40) and "last modified" in aged["first"].message
+    finally:
+        spark.sql("DROP DATABASE listed CASCADE")
+        spark.sql("DROP DATABASE nothing CASCADE")
 
 
 # --- sources and sinks -----------------------------------------------------------------
@@ -391,13 +411,73 @@ def test_index_column_and_bad_types(spark, tmp_path):
         scan_csv(spark, str(tmp_path / "b.csv"), kind).collect()
 
 
-def test_overwriting_an_input_is_refused(spark):
+def test_a_frame_may_replace_what_it_reads(spark):
     path = write_table(spark.range(3), shared_dir(spark, "sink-test"))
-    with pytest.raises(ValueError, match="input"):
-        write_table(scan_table(spark, path).filter("id > 0"), path)
-    assert scan_table(spark, path).count() == 3
+    write_table(scan_table(spark, path).filter("id > 0"), path)
+    assert rows(scan_table(spark, path)) == [(1,), (2,)]
     write_table(spark.range(2), path)
     assert scan_table(spark, path).count() == 2
+    write_table(spark.range(7, 8), path, mode="append")
+    assert rows(scan_table(spark, path)) == [(0,), (1,), (7,)]
+    with pytest.raises(Exception, match="DIVIDE|zero"):
+        write_table(scan_table(spark, path).selectExpr("1 div (id - 7) AS id"), path)
+    assert rows(scan_table(spark, path)) == [(0,), (1,), (7,)]
+
+
+def test_a_table_may_replace_itself(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS sinks")
+    try:
+        write_table(spark.range(3), "sinks.t")
+        write_table(scan_table(spark, "sinks.t").filter("id > 0"), "sinks.t")
+        write_table(spark.range(9, 10), "sinks.t", mode="append")
+        assert rows(scan_table(spark, "sinks.t")) == [(1,), (2,), (9,)]
+    finally:
+        spark.sql("DROP DATABASE sinks CASCADE")
+
+
+def part_sizes(path):
+    import glob
+    import os
+
+    return [os.path.getsize(f) for f in glob.glob(f"{path}/part-*")]
+
+
+@pytest.mark.parametrize("one_line", [False, True])
+def test_csv_files_are_bounded_in_bytes(spark, one_line):
+    kind = schemas.struct(k=schemas.TEXT, v=schemas.TEXT)
+    data = [(str(n), f'line "{n}"\nand \\n more, é' * (n % 7)) for n in range(900)]
+    data += [("long", "x\n" * 30_000), ("half", "y" * 2_500)]
+    path = shared_dir(spark, "csv-bounded")
+    header = len("k,v\n")
+    write_csv(from_records(spark, data, kind).repartition(3), path, max_bytes=4_000, one_line=one_line)
+    sizes = sorted(part_sizes(path))
+    assert sizes[-1] > 60_000 and sizes[-2] <= 4_000 + header and len(sizes) > 10
+    back = scan_csv(spark, path, kind, multi_line=not one_line, one_line=one_line)
+    assert rows(back) == sorted((k, v or None) for k, v in data)
+    write_csv(from_records(spark, data, kind).repartition(3), path)
+    assert len(part_sizes(path)) <= 3 and scan_csv(spark, path, kind, multi_line=True).count() == len(data)
+    write_csv(from_records(spark, [], kind), path)
+    assert scan_csv(spark, path, kind).count() == 0
+
+
+def test_line_escapes_come_back(spark):
+    from curatrix.functions.text import escape_lines, unescape_lines
+
+    texts = ["", "a\nb", "\\n", "\\\n", "\r\n\\r\\\\", "\x00\x01\\n", "\x00", "plain", "\\\\n\n"]
+    given = spark.createDataFrame([(t,) for t in texts], "t string")
+    out = given.select("t", escape_lines(F.col("t")).alias("e")).select("t", "e", unescape_lines(F.col("e")).alias("b")).collect()
+    assert all(r.t == r.b and "\n" not in r.e and "\r" not in r.e for r in out)
+
+
+def test_names_are_parameters_too(spark):
+    spark.range(3).createOrReplaceTempView("named_rows")
+    sql = "SELECT IDENTIFIER(:column) AS v FROM IDENTIFIER(:table) WHERE id > :least"
+    out = scan_sql(spark, sql, args={"table": "named_rows", "column": "id", "least": 0})
+    assert rows(out) == [(1,), (2,)]
+    for hostile in ("named_rows; DROP VIEW named_rows", "named_rows WHERE 1 = 1", "(SELECT 1)"):
+        with pytest.raises(Exception, match="PARSE_SYNTAX_ERROR"):
+            scan_sql(spark, sql, args={"table": hostile, "column": "id", "least": 0})
+    assert spark.table("named_rows").count() == 3
 
 
 def test_empty_records_keep_their_columns(spark):
