@@ -24,7 +24,8 @@ _SHARE, _OF = 80, 100
 _ALONE = 3  # sets of at most so many tokens are only similar to their equals
 _TOKENS = 1 << 20  # worked on at once
 _SHAPE = ("band", "own_skip", "next_skip")
-_SKETCH = 64  # buckets of a set's sketch
+_FOLDED = 16  # 64-bit words of the sketch that every set has
+_WIDEST = 64  # and at most of a wide one
 
 
 @lru_cache(maxsize=1)
@@ -176,20 +177,72 @@ def index_shape(owner: np.ndarray, token: np.ndarray, sizes_: np.ndarray) -> tup
     return tuple(out)
 
 
-def sketches(owner: np.ndarray, token: np.ndarray, count: int) -> np.ndarray:
-    """Tokens of each set by bucket. Two sets differ in at least as many tokens as their sketches."""
-    place = owner * _SKETCH + (token >> np.uint64(58)).astype(np.int64)
-    counts = np.bincount(place, minlength=count * _SKETCH).reshape(count, _SKETCH)
-    return np.minimum(counts, np.iinfo(np.int16).max).astype(np.int16)
+def sketch_words(size: np.ndarray) -> np.ndarray:
+    """Words of the sketch of a set: four bits a token, as a power of two within bounds."""
+    words = 1 << np.ceil(np.log2(np.maximum(size, 1) / 16)).astype(np.int64).clip(0, 40)
+    return np.clip(words, _FOLDED, _WIDEST)
+
+
+def sketches(owner: np.ndarray, token: np.ndarray, sizes_: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Bitmaps of each set: whether the number of its tokens in a bucket is odd.
+
+    Two sets differ in at least as many tokens as their bitmaps of one width in bits. A
+    bitmap folds to half its width by the exclusive or of its halves. Returns that of
+    `_FOLDED` words, and the whole one where it is wider (else without words).
+    """
+    words = sketch_words(sizes_)
+    folded = np.zeros((len(sizes_), _FOLDED), np.int64)
+    wide: list[np.ndarray] = [np.zeros(0, np.int64)] * len(sizes_)
+    for width in np.unique(words).tolist():
+        bits = 64 * width
+        for some in np.array_split(rows := np.flatnonzero(words == width), -(-len(rows) * bits // (1 << 22)) or 1):
+            place = np.full(len(sizes_), -1)
+            place[some] = np.arange(len(some))
+            mine = place[owner]
+            inside = mine >= 0
+            at = mine[inside] * bits + (token[inside] & np.uint64(bits - 1)).astype(np.int64)
+            odd = (np.bincount(at, minlength=len(some) * bits) & 1).astype(np.uint8)
+            whole = np.packbits(odd, bitorder="little").view(np.int64).reshape(len(some), width)
+            if width > _FOLDED:
+                for row, own in zip(some.tolist(), whole, strict=True):
+                    wide[row] = own
+            while whole.shape[1] > _FOLDED:
+                half = whole.shape[1] // 2
+                whole = whole[:, :half] ^ whole[:, half:]
+            folded[some] = whole
+    return folded, wide
+
+
+def _bits(words: Column) -> Column:
+    return F.aggregate(words, F.lit(0), lambda total, w: total + F.bit_count(w))
+
+
+def _narrowed(wide: Column, size: Column) -> Column:
+    """A wide bitmap folded once if it is wider than `size` words; similar sets need no more."""
+    half = F.floor(F.size(wide) / 2).cast("int")
+    folded = F.zip_with(F.slice(wide, 1, half), F.slice(wide, half + 1, half), lambda a, b: a.bitwiseXOR(b))
+    return F.when(F.size(wide) > size, folded).otherwise(wide)
 
 
 def may_be_similar(a: str, b: str) -> Column:
-    """Whether sizes and sketches of two columns `n` and `sketch` allow the similarity."""
+    """Whether sizes and bitmaps of two sides, by the suffix of their columns, allow the similarity."""
     n_a, n_b = F.col(f"n_{a}"), F.col(f"n_{b}")
-    apart = F.aggregate(
-        F.zip_with(f"sketch_{a}", f"sketch_{b}", lambda x, y: F.abs(x.cast("int") - y.cast("int"))), F.lit(0), lambda t, d: t + d
+    apart = F.lit(0)
+    for i in range(_FOLDED):
+        apart = apart + F.bit_count(F.col(f"s{i}_{a}").bitwiseXOR(F.col(f"s{i}_{b}")))
+    wide_a, wide_b = F.col(f"wide_{a}"), F.col(f"wide_{b}")
+    size = F.least(F.size(wide_a), F.size(wide_b))
+    far = F.zip_with(_narrowed(wide_a, size), _narrowed(wide_b, size), lambda x, y: x.bitwiseXOR(y))
+    # The folded bitmaps are compared first; the wide ones only of pairs that they leave.
+    return (
+        (_OF * n_a >= _SHARE * n_b)
+        & (_OF * n_b >= _SHARE * n_a)
+        & (9 * apart <= n_a + n_b)
+        & ((size == 0) | (9 * _bits(far) <= n_a + n_b))
     )
-    return (_OF * n_a >= _SHARE * n_b) & (_OF * n_b >= _SHARE * n_a) & (9 * apart <= n_a + n_b)
+
+
+_SKETCH = [f"s{i}" for i in range(_FOLDED)] + ["wide"]
 
 
 def without_dearest(keys: DataFrame, sets: DataFrame) -> DataFrame:
@@ -243,14 +296,12 @@ def set_table(docs: DataFrame) -> DataFrame:
             one, two = _digests(owner, token, batch.num_rows)
             shapes = [index_shape(*part) for _, part in _portions(owner, token, count)]
             shape = [np.concatenate(c) for c in zip(*shapes, strict=True)]
-            flat = pa.array(sketches(owner, token, batch.num_rows).ravel())
-            sketch = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * _SKETCH, pa.int32()), flat)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *map(pa.array, (count, one, two, *shape)), sketch],
-                names=["id", "n", "one", "two", *_SHAPE, "sketch"],
-            )
-
-    fields = ", ".join(f"{c} long" for c in ("id", "n", "one", "two", *_SHAPE)) + ", sketch array<smallint>"
+            folded, wide = sketches(owner, token, count)
+            columns = [*map(pa.array, (count, one, two, *shape, *folded.T)), pa.array(wide, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["id", "n", "one", "two", *_SHAPE, *_SKETCH])
+
+    numbers = ("id", "n", "one", "two", *_SHAPE, *_SKETCH[:-1])
+    fields = ", ".join(f"{c} long" for c in numbers) + ", wide array<long>"
     return docs.select("id", "text").mapInArrow(measure, fields)
 
 
@@ -337,7 +388,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
     4. Keys whose nodes are still apart are compared across the components: every pair that
        is not joined yet, so that no link between components is missed.
 
-    Sizes and sketches, which bound the difference of two sets from below, keep most pairs
+    Sizes and bitmaps, which bound the difference of two sets from below, keep most pairs
     of unlike nodes from being made at all.
     """
     bounded_batches(docs.sparkSession)
@@ -354,7 +405,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
     size = table.where("id is not null and n > 0")
     keys = written(candidate_keys(known, wanted, parts, partitions), "keys")
     keys = written(without_dearest(keys, size), "keys")
-    about = size.select(F.col("id").alias("_id"), "n", "sketch").distinct()  # an id may name several texts
+    about = size.select(F.col("id").alias("_id"), "n", *_SKETCH).distinct()  # an id may name several texts
     heads = keys.groupBy("key").agg(F.min("id").alias("a"))
     common = keys.join(heads, "key").where("id <> a").groupBy(F.col("id").alias("b"), "a").agg(F.count(F.lit(1)).alias("keys"))
     closest = common.groupBy("b").agg(F.max_by("a", F.struct("keys", -F.col("a"))).alias("a"))
@@ -368,7 +419,7 @@ def similar_components(docs: DataFrame) -> DataFrame:
     others, members = (
         open_keys.select(
             F.col("key").alias(f"key_{e}"), F.col("main").alias(f"main_{e}"), F.col("id").alias(e),
-            F.col("component").alias(f"c{e}"), F.col("n").alias(f"n_{e}"), F.col("sketch").alias(f"sketch_{e}"),
+            F.col("component").alias(f"c{e}"), *(F.col(c).alias(f"{c}_{e}") for c in ("n", *_SKETCH)),
         )
         for e in "xy"
     )

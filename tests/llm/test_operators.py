@@ -216,11 +216,31 @@ def test_similar_sets_share_more_keys_than_they_skip(spark):
                 low = int(band[1] < band[0])
                 assert shared > max(next_[low], own[1 - low])
             skipped += int(own.max() > 1)
-            first, second = jaccard.sketches(owner, token, 2).astype(int)
-            assert 9 * np.abs(first - second).sum() <= sizes.sum()
     assert skipped > 50
 
 
+def test_bitmaps_keep_similar_pairs_and_stop_unlike_ones(spark):
+    rng = np.random.default_rng(14)
+    rows, wanted = [], []
+    sketch_type = ", ".join(f"{c}_{e} {'array<long>' if c == 'wide' else 'long'}" for e in "xy" for c in jaccard._SKETCH)
+    for size in (4, 9, 60, 250, 257, 300, 520, 900, 1500, 3000, 4000):
+        for share in (1.0, 0.95, 0.81, 0.7, 0.5, 0.0):
+            a = rng.integers(0, 1 << 63, size, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+            common = int(np.ceil(2 * size * share / (1 + share)))  # of two sets of one size
+            b = np.concatenate([a[:common], rng.integers(0, 1 << 63, size - common, dtype=np.uint64)])
+            sets = [np.sort(a), np.sort(b[rng.integers(0, 1 + size // 40) :])]
+            sizes = np.asarray([len(s) for s in sets])
+            both = len(np.intersect1d(*sets))
+            folded, wide = jaccard.sketches(np.repeat([0, 1], sizes), np.concatenate(sets), sizes)
+            assert [len(w) for w in wide] == [w if w > 16 else 0 for w in jaccard.sketch_words(sizes)]
+            rows.append((*(v for k in (0, 1) for v in (*folded[k].tolist(), wide[k].tolist())), *sizes.tolist(), len(wanted)))
+            wanted.append((share, 100 * both >= 80 * (sizes.sum() - both)))
+    pairs = spark.createDataFrame(rows, f"{sketch_type}, n_x long, n_y long, pair int")
+    found = {r["pair"] for r in pairs.where(jaccard.may_be_similar("x", "y")).collect()}
+    assert found >= {k for k, (_, similar) in enumerate(wanted) if similar}
+    assert not [k for k, (share, similar) in enumerate(wanted) if share <= 0.5 and k in found and rows[k][-3] > 20]
+
+
 def test_shingles_equal_brute_force(messy):
     texts = [(t or "").encode() for _, t in messy]
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
