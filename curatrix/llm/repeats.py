@@ -19,6 +19,7 @@ from curatrix.llm.suffixes import LENGTH, SPAN, STEP, buckets26, buckets50, refi
 _ENTRIES = "part int, settled boolean, ids binary, digests binary, owners binary, starts binary, counts binary, keys binary, bytes binary"
 _HELD = 1 << 18  # windows compared at once within a batch
 _SHARE = 1 << 19  # windows of a part compared at once
+_TOGETHER = 20_000  # buckets of documents that are sent to one part for one first document
 _MARKS = "id long, digest long, spans binary"
 
 
@@ -110,23 +111,37 @@ def _span_rows(
         yield int(ids[who]), int(digests[who]), _pack_spans(start[a:b], end[a:b])
 
 
+def _homes(shared: DataFrame, parts: int) -> DataFrame:
+    """`key`, its `home` and in how many `ways` its windows are dealt.
+
+    Keys with the same first document meet in one part, so a document meets few parts
+    beside each older one that it shares passages with. What many documents share with
+    one first document is dealt over several parts by key, and a single key that many
+    have by the identifier of the whole window; equal windows always meet.
+    """
+    firsts = written(shared.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")), "firsts")
+    total = firsts.groupBy("first").agg(F.sum("n").alias("all"))
+    salt = F.pmod(F.xxhash64("key"), F.ceil(F.col("all") / _TOGETHER))
+    home = F.pmod(F.xxhash64("first", salt), F.lit(parts)).cast("int")
+    return firsts.join(total, "first").select("key", home.alias("home"), F.ceil(F.col("n") / _TOGETHER).alias("ways"))
+
+
 def _entry_rows(
     ids: np.ndarray, digests: np.ndarray, data: np.ndarray, owner: np.ndarray, key: np.ndarray,
-    place: np.ndarray, base: np.ndarray, parts: int,
+    place: np.ndarray, home: np.ndarray, base: np.ndarray, parts: int,
 ) -> Iterator[tuple]:
-    """Rows of windows to compare, each stretch with its bytes, by the part of its key."""
+    """Rows of windows to compare, each stretch with its bytes, by their part."""
     order = np.argsort(place, kind="stable")
-    owner, key, place = owner[order], key[order], place[order]
+    owner, key, place, home = owner[order], key[order], place[order], home[order]
     new = np.ones(len(place), bool)
-    new[1:] = (place[1:] != place[:-1] + 1) | (owner[1:] != owner[:-1]) | (key[1:] != key[:-1])
+    new[1:] = (place[1:] != place[:-1] + 1) | (owner[1:] != owner[:-1]) | (key[1:] != key[:-1]) | (home[1:] != home[:-1])
     heads = np.flatnonzero(new)
     count = np.diff(np.append(heads, len(place)))
     pieces = -(-count // SPAN)  # a count travels as one byte
     nth = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
     at = np.repeat(place[heads], pieces) + nth * SPAN
     count = np.minimum(np.repeat(count, pieces) - nth * SPAN, SPAN)
-    owner, key = np.repeat(owner[heads], pieces), np.repeat(key[heads], pieces)
-    home = (((cut(key) >> np.uint64(15)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
+    owner, key, home = (np.repeat(c[heads], pieces) for c in (owner, key, home))
     order = np.argsort(home, kind="stable")
     bounds = np.searchsorted(home[order], np.arange(parts + 1))
     for part in range(parts):
@@ -154,7 +169,12 @@ def _refined(texts: DataFrame, shared: DataFrame, parts: int) -> DataFrame:
 
     Those that one has are settled there: their spans pass through as marks.
     """
-    kept = shared.groupBy("id").agg(F.collect_list("key").alias("keys")).withColumnRenamed("id", "_id")
+    entry = F.struct("key", "home", "ways")
+    kept = (
+        shared.join(_homes(shared, parts), "key")
+        .groupBy(F.col("id").alias("_id"))
+        .agg(F.collect_list(entry).alias("keys"))
+    )
     joined = texts.join(kept, F.col("id") == F.col("_id"), "left").select("id", "digest", "text", "keys")
 
     def refine_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,9 +182,12 @@ def _refined(texts: DataFrame, shared: DataFrame, parts: int) -> DataFrame:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             digests = batch.column(1).to_numpy(zero_copy_only=False)
             data, offsets = utf8(batch.column(2))
-            wanted = np.unique(batch.column(3).flatten().to_numpy(zero_copy_only=False)).astype(np.uint64)
-            if not len(wanted):
+            entries = batch.column(3).flatten()
+            if not len(entries):
                 continue
+            known, first = np.unique(entries.field("key").to_numpy(zero_copy_only=False), return_index=True)
+            wanted = known.astype(np.uint64)
+            home, ways = (entries.field(f).to_numpy(zero_copy_only=False)[first] for f in ("home", "ways"))
             found: list[tuple[np.ndarray, ...]] = []
             held = 0
             for part in stretches(data, offsets):
@@ -173,7 +196,9 @@ def _refined(texts: DataFrame, shared: DataFrame, parts: int) -> DataFrame:
                 chosen = np.flatnonzero(wanted[at] == short)
                 if len(chosen):
                     place, nth, window = part.windows(chosen)
-                    found.append((part.owner[chosen][nth], part.key[chosen][nth], place, window))
+                    which = at[chosen][nth]
+                    way = (refine(window, part.key[chosen][nth]) >> np.uint64(33)).astype(np.int64) % ways[which]
+                    found.append((part.owner[chosen][nth], part.key[chosen][nth], place, window, (home[which] + way) % parts))
                     held += len(place)
                 if held >= _HELD:
                     yield from settle(ids, digests, data, offsets, found)
@@ -184,9 +209,10 @@ def _refined(texts: DataFrame, shared: DataFrame, parts: int) -> DataFrame:
     def settle(
         ids: np.ndarray, digests: np.ndarray, data: np.ndarray, offsets: np.ndarray, found: list[tuple[np.ndarray, ...]]
     ) -> Iterator[pa.RecordBatch]:
-        owner, key, place, window = (np.concatenate(c) for c in zip(*found, strict=True))
+        owner, key, place, window, home = (np.concatenate(c) for c in zip(*found, strict=True))
         known = _later(ids[owner], refine(window, key))
-        rows = list(_entry_rows(ids, digests, data, owner[~known], key[~known], place[~known], offsets, parts))
+        sent = (c[~known] for c in (owner, key, place, home))
+        rows = list(_entry_rows(ids, digests, data, *sent, offsets, parts))
         if known.any():
             marks = _mark_rows(ids, digests, owner[known], place[known] - offsets[owner[known]])
             rows += [(i % parts, True, *m, b"", b"", b"", b"") for i, m in enumerate(_as_columns(marks))]
@@ -217,8 +243,8 @@ def _marks(entries: DataFrame, partitions: int) -> DataFrame:
                 else:
                     held.setdefault(row[0], []).append(row[2:])
             yield from _mark_batch(out)
-        for part in list(held):
-            yield from _mark_batch(list(_compare_part(held.pop(part))))
+        found = [_compare_part(held.pop(part)) for part in list(held)]
+        yield from _mark_batch(list(_joined_marks([f for f in found if len(f[0])])))
 
     return entries.repartition(partitions, "part").mapInArrow(compare, _MARKS)
 
@@ -231,7 +257,17 @@ def _mark_batch(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _compare_part(rows: list[tuple]) -> Iterator[tuple]:
+def _joined_marks(found: list[tuple[np.ndarray, ...]]) -> Iterator[tuple]:
+    """One row for each text of the spans that the parts of a task have found in it."""
+    if not found:
+        return
+    ids, digests, start, end = (np.concatenate(c) for c in zip(*found, strict=True))
+    texts, owner = np.unique(np.column_stack([ids, digests]), axis=0, return_inverse=True)
+    yield from _span_rows(texts[:, 0], texts[:, 1], *_merge(owner.ravel(), start, end))
+
+
+def _compare_part(rows: list[tuple]) -> tuple[np.ndarray, ...]:
+    """Id, digest, start and end of the spans of the part's texts that an older text has too."""
     ids, digests, start, count, key, data = [], [], [], [], [], []
     for who, digest, owners, starts, counts, keys, text in rows:
         n = len(counts)
@@ -269,8 +305,8 @@ def _compare_part(rows: list[tuple]) -> Iterator[tuple]:
         nth, step = stretch(index)
         later = _later(ids[nth], bucket[index])
         spans.append(_window_spans(owner[nth[later]], (start[nth] + step)[later]))
-    merged = _merge(*(np.concatenate(c) for c in zip(*spans, strict=True)))
-    yield from _span_rows(texts[:, 0], texts[:, 1], *merged)
+    who, first, last = _merge(*(np.concatenate(c) for c in zip(*spans, strict=True)))
+    return texts[who, 0], texts[who, 1], first, last
 
 
 def _apply(texts: DataFrame, marks: DataFrame, with_text: bool) -> DataFrame:
@@ -355,7 +391,7 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
         keepers.select("keeper", F.col("digest").alias("own")).hint("shuffle_merge"),
         (F.col("id") == F.col("keeper")) & (F.xxhash64("text").bitwiseXOR(F.col("own")) == 0),
     ).select("id", F.col("own").alias("digest"), "text")
-    shared = shared_keys(_first_buckets(texts, parts), partitions)
+    shared = written(shared_keys(_first_buckets(texts, parts), partitions), "shared")
     marks = _marks(_refined(texts, shared, parts), partitions)
     found = _apply(texts, marks, with_text).dropDuplicates(["id", "digest"])
     out = (

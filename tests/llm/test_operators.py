@@ -116,6 +116,19 @@ def test_repeats_equal_brute_force(frames, messy):
     assert repeats.remove_repeats(none).count() == 0
 
 
+def test_repeats_of_keys_dealt_over_parts(spark, messy, monkeypatch):
+    """First documents and keys that many share are dealt by key and by window."""
+    rng = random.Random(12)
+    line = "Printed on recycled paper 26"  # makes one bucket, with other text around it
+    rows = messy + [(7000 + i, words(rng, 12) + line + words(rng, 12) + ("tail " * 9 if i % 3 else "")) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    columns = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    want = sorted(brute.repeats(rows), key=repr)
+    for together in (2, 40):
+        monkeypatch.setattr(repeats, "_TOGETHER", together)
+        assert sorted_rows(repeats.remove_repeats(docs), *columns) == want
+
+
 @pytest.mark.parametrize(
     "rows",
     [
