@@ -10,6 +10,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from curatrix.llm.common import written
+
 # Public licence notices and the opening passages of licence texts.
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
@@ -106,9 +108,12 @@ def markers(templates=TEMPLATES, threshold: float = THRESHOLD) -> list[str]:
 
 
 def words_of(text: Column) -> Column:
-    """Words of normalised text: lower case, everything but ASCII letters and digits a gap."""
-    clean = F.trim(F.regexp_replace(F.lower(text), r"[^a-z0-9]+", " "))
-    return F.when(clean == "", F.array().cast("array<string>")).otherwise(F.split(clean, " "))
+    """Words of normalised text: A to Z in lower case, everything but ASCII letters and digits a gap.
+
+    Lower case comes last, when only ASCII is left, which the JVM does byte by byte.
+    """
+    clean = F.lower(F.regexp_replace(text, r"[^A-Za-z0-9]+", " "))
+    return F.array_remove(F.split(clean, " "), "")
 
 
 def bigrams_of(words: Column) -> Column:
@@ -119,7 +124,29 @@ def bigrams_of(words: Column) -> Column:
     return F.array_distinct(F.filter(pairs, lambda p: p.isNotNull()))
 
 
-def _passages(docs: DataFrame, templates, threshold: float) -> DataFrame:
+def _candidates(docs: DataFrame, templates, threshold: float) -> DataFrame:
+    """`doc_id`, `text` and `hits` of the texts that may name a licence, each text split once.
+
+    `hits` are the places (`at`) and bigrams that some template has too. A match of a unit
+    or a passage holds a marker word, and `threshold / (2 - threshold)` of a template's
+    bigrams at least; few texts have as many of any template.
+    """
+    words = docs.select("doc_id", "text", words_of(F.col("text")).alias("w")).where(
+        F.arrays_overlap("w", F.array(*map(F.lit, markers(templates, threshold))))
+    )
+    pairs = F.zip_with("w", F.slice("w", 2, F.greatest(F.size("w"), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))
+    lists = [template_bigrams(text) for _, text in templates]
+    known = sorted({b for bigrams in lists for b in bigrams})
+    found = F.transform(pairs, lambda b, n: F.when(b.isin(known), F.struct(n.alias("at"), b.alias("bigram"))))
+    hits = words.select("doc_id", "text", F.filter(found, lambda x: x.isNotNull()).alias("hits"))
+    least = threshold / (2 - threshold)
+    table = F.array(*(F.array(*map(F.lit, bigrams)) for bigrams in lists))
+    named = hits.withColumn("own", F.array_distinct("hits.bigram")).where(F.size("own") > 0)
+    enough = F.exists(table, lambda t: F.size(F.array_intersect("own", t)) >= least * F.size(t))
+    return written(named.where(enough).select("doc_id", "text", "hits"), "licences")
+
+
+def _passages(texts: DataFrame, templates, threshold: float) -> DataFrame:
     """Passages anywhere in a text that name a licence: `doc_id`, `licence`, `unit`, `dice`.
 
     A passage is as many words as the template has; line breaks do not count. Where as
@@ -127,18 +154,13 @@ def _passages(docs: DataFrame, templates, threshold: float) -> DataFrame:
     it is their Dice coefficient. Hits of a text are grouped by two neighbouring blocks
     of the template's length, so a group stays small and every passage lies in one.
     """
-    spark = docs.sparkSession
+    spark = texts.sparkSession
     rows = [
         (n, licence, bigram, len(template_bigrams(text)), len(template_words(text)) - 1)
         for n, (licence, text) in enumerate(templates) for bigram in template_bigrams(text)
     ]
     wanted = spark.createDataFrame(rows, "t int, licence string, bigram string, size int, span int")
-    words = docs.select("doc_id", F.xxhash64("text").alias("unit"), words_of(F.col("text")).alias("w"))
-    pairs = F.zip_with("w", F.slice("w", 2, F.greatest(F.size("w"), F.lit(1))), lambda a, b: F.concat(a, F.lit(" "), b))
-    known = sorted({row[2] for row in rows})
-    # Only bigrams of templates become rows.
-    found = F.transform(pairs, lambda b, n: F.when(b.isin(known), F.struct(n.alias("at"), b.alias("bigram"))))
-    hits = words.select("doc_id", "unit", F.inline(F.filter(found, lambda x: x.isNotNull()))).join(F.broadcast(wanted), "bigram")
+    hits = texts.select("doc_id", F.xxhash64("text").alias("unit"), F.inline("hits")).join(F.broadcast(wanted), "bigram")
     block = F.floor(F.col("at") / F.col("span"))
     groups = (
         hits.withColumn("block", F.explode(F.array(block, block - 1)))
@@ -167,7 +189,8 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, ope
     name none; repeated rows and rows that share an id are one document; a null id is an
     id of its own; other columns are not read; an empty table gives an empty result.
 
-    Texts without any of the words that every match holds are left before they are split.
+    Each text is split into words once; the few that have enough bigrams of any template
+    (`_candidates`) are written, and only these are looked into by line and passage.
     """
     table = F.array(
         *(
@@ -178,22 +201,14 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, ope
             for name, text in templates
         )
     )
-    words = markers((*templates, *openings), threshold)
-
-    def may_match(text: Column) -> Column:
-        found = F.lit(False)
-        for word in words:
-            found = found | text.contains(word)
-        return found
-
-    # Each step of a unit is bound once: what a lambda's argument holds is not worked out again.
-    texts = F.filter(F.array_distinct(F.concat(F.split("text", "\n"), F.array("text"))), lambda u: may_match(F.lower(u)))
-    split_ = F.transform(texts, lambda u: F.struct(F.xxhash64(u).alias("unit"), words_of(u).alias("w")))
-    paired = F.transform(split_, lambda s: F.struct(s["unit"].alias("unit"), bigrams_of(s["w"]).alias("b")))
+    texts = _candidates(docs, (*templates, *openings), threshold)
+    marked = F.array(*map(F.lit, markers(templates, threshold)))
+    lines = F.array_distinct(F.concat(F.split("text", "\n"), F.array("text")))
+    split_ = texts.select("doc_id", F.explode(lines).alias("unit"))
+    split_ = split_.select("doc_id", F.xxhash64("unit").alias("unit"), words_of(F.col("unit")).alias("w"))
     units = (
-        docs.where(may_match(F.lower("text")))
-        .select("doc_id", F.explode(paired).alias("u"))
-        .select("doc_id", F.col("u.unit").alias("unit"), F.col("u.b").alias("b"))
+        split_.where(F.arrays_overlap("w", marked))
+        .select("doc_id", "unit", bigrams_of(F.col("w")).alias("b"))
         .where(F.size("b") > 0)
     )
     low, high = threshold / (2 - threshold), (2 - threshold) / threshold
@@ -207,7 +222,7 @@ def scan(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, ope
     )
     found = units.select("doc_id", "unit", F.explode(F.filter(compared, lambda c: c["dice"] >= threshold)).alias("m"))
     named = found.select("doc_id", F.col("m.licence").alias("licence"), "unit", F.col("m.dice").alias("dice"))
-    passages = _passages(docs.where(may_match(F.lower("text"))), (*templates, *openings), threshold)
+    passages = _passages(texts, (*templates, *openings), threshold)
     both = named.withColumn("own", F.lit(True)).unionByName(passages.withColumn("own", F.lit(False)))
     own = F.when(F.col("own"), F.col("dice"))
     return (
