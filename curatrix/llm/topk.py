@@ -57,7 +57,7 @@ def _partials(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
 def _local_lists(table: DataFrame, queries, k: int) -> DataFrame:
     """Phase 1: the best partial scores of each list within each task, with whole scores."""
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, matrix = queries.value
+        ids, matrix, _ = queries.value
         best: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for who, rows in _rows(batches, matrix.shape[1]):
             partial = _partials(matrix, rows)
@@ -71,21 +71,23 @@ def _local_lists(table: DataFrame, queries, k: int) -> DataFrame:
                 other = who[at] != ids[query]
                 best.append((query[other], who[at][other], total[query[other], at[other]]))
             if sum(len(b[0]) for b in best) > 1 << 18:
-                best = [_largest(*map(np.concatenate, zip(*best, strict=True)), k)]
+                best = [_largest(*_different(*map(np.concatenate, zip(*best, strict=True))), k)]
         if best:
-            query, who, score = _largest(*map(np.concatenate, zip(*best, strict=True)), k)
+            query, who, score = _largest(*_different(*map(np.concatenate, zip(*best, strict=True))), k)
             yield _scores(ids[query], who, score)
 
     return table.mapInArrow(gather, "query_id long, vec_id long, score long")
 
 
+def _different(query: np.ndarray, who: np.ndarray, score: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Each entry once: a candidate may stand in several lists."""
+    return tuple(np.unique(np.stack([query, who, score]), axis=1))
+
+
 def _largest(query: np.ndarray, who: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
-    """The `k` best different candidates of each query; ties go to the smaller id."""
+    """The `k` best candidates of each query; ties go to the smaller id."""
     order = np.lexsort((who, -score, query))
     query, who, score = query[order], who[order], score[order]
-    new = np.ones(len(query), bool)
-    new[1:] = (query[1:] != query[:-1]) | (who[1:] != who[:-1]) | (score[1:] != score[:-1])
-    query, who, score = query[new], who[new], score[new]
     heads = np.flatnonzero(np.concatenate([[True], query[1:] != query[:-1]])) if len(query) else np.zeros(0, int)
     rank = np.arange(len(query)) - np.repeat(heads, np.diff(np.append(heads, len(query))))
     return query[rank < k], who[rank < k], score[rank < k]
@@ -110,7 +112,7 @@ def _resolved(table: DataFrame, queries, cutoffs, k: int) -> DataFrame:
     only scores that reach the cutoff leave the task, at most `k` for each query.
     """
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, matrix = queries.value
+        ids, matrix, times = queries.value
         cutoff = cutoffs.value
         held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         for who, rows in _rows(batches, matrix.shape[1]):
@@ -126,14 +128,16 @@ def _resolved(table: DataFrame, queries, cutoffs, k: int) -> DataFrame:
         if held:
             query, who, score = _largest(*map(np.concatenate, zip(*held, strict=True)), k)
             if len(query):
-                yield _scores(ids[query], who, score)
+                # A query row that is repeated has each of its scores as often, up to the rank asked for.
+                copies = np.repeat(np.arange(len(query)), np.minimum(times[query], k))
+                yield _scores(ids[query][copies], who[copies], score[copies])
 
     return table.mapInArrow(resolve, "query_id long, vec_id long, score long")
 
 
 def _ranked(scores: DataFrame, k: int) -> DataFrame:
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return scores.distinct().withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return scores.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def top_k(table: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
@@ -141,9 +145,9 @@ def top_k(table: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
 
     Both frames have `id` and `v` (see `scaled`). Returns `query_id`, `rank` (from 1),
     `vec_id` and `score`; ties go to the smaller id, and a query with fewer candidates
-    gets all. A candidate has another id than the query. Of a repeated row the best score
-    counts once; ids that name several queries are asked by the vector that is smallest.
-    Vectors of different lengths are compared as if the shorter ended in zeros. Empty
+    gets all. A candidate has another id than the query. Every row counts: a repeated
+    candidate can take several ranks, and an id that names several query rows has the best
+    of all their scores, each as often as its row. Vectors of different lengths are compared as if the shorter ended in zeros. Empty
     tables give an empty result.
 
     The components are parted into four lists. Queries are asked in blocks of bounded
@@ -151,11 +155,11 @@ def top_k(table: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
     """
     spark = table.sparkSession
     bounded_batches(spark)
-    queries = queries.groupBy("id").agg(F.min("v").alias("v"))
+    queries = queries.groupBy("id", "v").agg(F.count(F.lit(1)).alias("times"))
     blocks = max(1, -(-queries.count() // QUERY_BLOCK))
     out = None
     for i in range(blocks):
-        rows = queries.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == i).orderBy("id").collect()
+        rows = queries.where(F.pmod(F.xxhash64("id", "v"), F.lit(blocks)) == i).orderBy("id", "v").collect()
         if not rows:
             continue
         ids = np.asarray([r["id"] for r in rows], np.int64)
@@ -163,8 +167,10 @@ def top_k(table: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
         matrix = np.zeros((len(rows), max(width, LISTS)), np.int64)
         for row, r in zip(matrix, rows, strict=True):
             row[: len(r["v"])] = r["v"]
-        shared = spark.sparkContext.broadcast((ids, matrix))
-        gathered = _ranked(_local_lists(table, shared, k), k).groupBy("query_id").agg(
+        times = np.asarray([r["times"] for r in rows], np.int64)
+        shared = spark.sparkContext.broadcast((ids, matrix, times))
+        # Entries of one id may come from several of its rows; each counts once, which keeps the cutoff safe.
+        gathered = _ranked(_local_lists(table, shared, k).distinct(), k).groupBy("query_id").agg(
             F.min("score").alias("cutoff"), F.count(F.lit(1)).alias("n")
         )
         low = np.iinfo(np.int64).min // 2

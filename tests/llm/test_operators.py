@@ -496,16 +496,17 @@ def test_top_k_equals_brute_force(spark):
     rows = [(i, [float(v) for v in rng.normal(size=12)]) for i in range(300)]
     rows += [(400 + i, [0.5] * 12) for i in range(12)]  # ties
     rows += [(500, None), (501, [1.0, None]), (502, [float("nan")] * 12), (503, [float("inf")]), (504, [2.0, 1.0]), (None, [1.0]), (450, rows[3][1])]
+    rows += [(7, [3.0] * 12)] * 3 + [rows[50]] * 2 + [(100, [1.5] * 12)]  # repeated rows, and ids of several rows
     frame = spark.createDataFrame([(*r, *_EXTRA) for r in rows], f"vec_id long, embedding array<float>, {CLASHING}").repartition(4)
     table = topk.scaled(frame)
     got = sorted(tuple(r) for r in topk.top_k(table, table.where("id % 50 = 0")).collect())
-    good = {}
+    good = []
     for who, v in rows:
         if who is not None and v is not None and all(x is not None and np.isfinite(x) for x in v):
-            good[who] = np.floor(256 * np.pad(np.asarray(v, np.float32).astype(float), (0, 12 - len(v)))).astype(int)
+            good.append((who, np.floor(256 * np.pad(np.asarray(v, np.float32).astype(float), (0, 12 - len(v)))).astype(int)))
     want = []
-    for q in [i for i in good if i % 50 == 0]:
-        scores = sorted((-int(good[q] @ good[c]), c) for c in good if c != q)[:5]
+    for q in {who for who, _ in good if who % 50 == 0}:
+        scores = sorted((-int(v @ w), c) for who, v in good if who == q for c, w in good if c != q)[:5]
         want += [(q, n, c, -s) for n, (s, c) in enumerate(scores, 1)]
     assert got == sorted(want)
     few = table.where("id < 3")
