@@ -6,8 +6,8 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401 - `pa.compute` is used in tasks
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -112,18 +112,20 @@ def _span_rows(
 
 
 def _homes(shared: DataFrame, parts: int) -> DataFrame:
-    """`key`, its `home` and in how many `ways` its windows are dealt.
+    """`key` and `deal`: its home, and how many ways its windows are dealt, times `parts`.
 
     Keys with the same first document meet in one part, so a document meets few parts
     beside each older one that it shares passages with. What many documents share with
     one first document is dealt over several parts by key, and a single key that many
     have by the identifier of the whole window; equal windows always meet.
     """
-    firsts = written(shared.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")), "firsts")
+    firsts = shared.groupBy("key").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
     total = firsts.groupBy("first").agg(F.sum("n").alias("all"))
     salt = F.pmod(F.xxhash64("key"), F.ceil(F.col("all") / _TOGETHER))
-    home = F.pmod(F.xxhash64("first", salt), F.lit(parts)).cast("int")
-    return firsts.join(total, "first").select("key", home.alias("home"), F.ceil(F.col("n") / _TOGETHER).alias("ways"))
+    home = F.pmod(F.xxhash64("first", salt), F.lit(parts))
+    ways = F.ceil(F.col("n") / _TOGETHER)
+    # One number for both: arrays of numbers are packed closer than arrays of structs.
+    return firsts.join(total, "first").select("key", (ways * parts + home).alias("deal"))
 
 
 def _entry_rows(
@@ -169,25 +171,24 @@ def _refined(texts: DataFrame, shared: DataFrame, parts: int) -> DataFrame:
 
     Those that one has are settled there: their spans pass through as marks.
     """
-    entry = F.struct("key", "home", "ways")
     kept = (
         shared.join(_homes(shared, parts), "key")
         .groupBy(F.col("id").alias("_id"))
-        .agg(F.collect_list(entry).alias("keys"))
+        .agg(F.collect_list("key").alias("keys"), F.collect_list("deal").alias("deals"))
     )
-    joined = texts.join(kept, F.col("id") == F.col("_id"), "left").select("id", "digest", "text", "keys")
+    joined = texts.join(kept, F.col("id") == F.col("_id"), "left").select("id", "digest", "text", "keys", "deals")
 
     def refine_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             digests = batch.column(1).to_numpy(zero_copy_only=False)
             data, offsets = utf8(batch.column(2))
-            entries = batch.column(3).flatten()
-            if not len(entries):
+            keys, deals = (batch.column(i).flatten().to_numpy(zero_copy_only=False) for i in (3, 4))
+            if not len(keys):
                 continue
-            known, first = np.unique(entries.field("key").to_numpy(zero_copy_only=False), return_index=True)
+            known, first = np.unique(keys, return_index=True)
             wanted = known.astype(np.uint64)
-            home, ways = (entries.field(f).to_numpy(zero_copy_only=False)[first] for f in ("home", "ways"))
+            ways, home = np.divmod(deals[first], parts)
             found: list[tuple[np.ndarray, ...]] = []
             held = 0
             for part in stretches(data, offsets):
@@ -309,11 +310,26 @@ def _compare_part(rows: list[tuple]) -> tuple[np.ndarray, ...]:
     return texts[who, 0], texts[who, 1], first, last
 
 
-def _apply(texts: DataFrame, marks: DataFrame, with_text: bool) -> DataFrame:
-    """What is left of each text with a mark."""
+def _unpacked(spans) -> tuple[np.ndarray, np.ndarray]:
+    """Merged starts and ends of several packed spans of one text."""
+    start, end = map(np.concatenate, zip(*map(_unpack_spans, spans), strict=True))
+    _, start, end = _merge(np.zeros(len(start), np.int64), start, end)
+    return start, end
+
+
+def _without(text: bytes, start: np.ndarray, end: np.ndarray) -> bytes:
+    left, at = [], 0
+    for a, b in zip(start.tolist(), end.tolist(), strict=True):
+        left.append(text[at:a])
+        at = b
+    return b"".join([*left, text[at:]])
+
+
+def _apply(texts: DataFrame, marks: DataFrame) -> DataFrame:
+    """What the cuts take from each text with a mark, and the digest of what is left."""
     by_id = marks.groupBy("id").agg(F.collect_list(F.struct("digest", "spans")).alias("spans"))
     joined = texts.join(by_id.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left")
-    schema = "id long, digest long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
+    schema = "id long, digest long, n_removed long, n_spans long, kept_sha256 string"
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -321,69 +337,37 @@ def _apply(texts: DataFrame, marks: DataFrame, with_text: bool) -> DataFrame:
             texts_ = batch.column(2)
             for i, spans in enumerate(batch.column(3)):
                 who, digest = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
-                own = [s for s in spans.as_py() or () if s["digest"] == digest]
-                if not own:
-                    continue
-                start, end = map(np.concatenate, zip(*(_unpack_spans(s["spans"]) for s in own), strict=True))
-                _, start, end = _merge(np.zeros(len(start), np.int64), start, end)
-                text = texts_[i].as_py().encode()
-                left, at = [], 0
-                for a, b in zip(start.tolist(), end.tolist(), strict=True):
-                    left.append(text[at:a])
-                    at = b
-                left = b"".join([*left, text[at:]])
-                row = (who, digest, len(text) - len(left), len(start), hashlib.sha256(left).hexdigest())
-                rows.append((*row, left) if with_text else row)
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string(), *[pa.binary()] * with_text]
-            names = [f.split()[0] for f in schema.split(", ")]
+                own = [s["spans"] for s in spans.as_py() or () if s["digest"] == digest]
+                if own:
+                    start, end = _unpacked(own)
+                    text = texts_[i].as_py().encode()
+                    left = _without(text, start, end)
+                    rows.append((who, digest, len(text) - len(left), len(start), hashlib.sha256(left).hexdigest()))
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=names
+                [pa.array([r[k] for r in rows], t) for k, t in enumerate(types)], names=[f.split()[0] for f in schema.split(", ")]
             )
 
     return joined.select("id", "digest", "text", "spans").mapInArrow(remove, schema)
 
 
-def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
-    """Remove every byte of a 50-byte string that also starts in a document of a smaller id.
+def _digest(text: F.Column) -> F.Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
 
-    Returns one row per input row: `doc_id`, `n_bytes`, `n_removed`, `n_spans` (maximal
-    removed runs), `kept_sha256` and, if asked for, `kept` (the bytes left, which may end
-    inside a character). Null texts count as empty. A row without an id keeps all its
-    bytes and removes none elsewhere. Rows of one id remove nothing from each other, and
-    each gets its own result, also if repeated. Columns other than `doc_id` and `text`
-    are not read; an empty table gives an empty result.
 
-    1. Of exact copies only the one with the smallest id is looked into; the others lose
-       every byte (if there are 50).
-    2. The key of a 50-byte window is its smallest 26-byte bucket. Keys that only one
-       document has are final buckets of one and are left.
-    3. The windows of the other buckets are refined to 50 bytes by the identifiers of
-       later offsets, first within a batch of documents, then, with the bytes of what is
-       not settled there, over all documents.
-    4. The spans are merged for each document and cut out.
-
-    The texts are shuffled once, by id; each step that reads them again reuses that
-    shuffle.
-    """
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    id_type = docs.schema["doc_id"].dataType
+def _found(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The texts that are looked into, the marks found in them, and the keeper of each set of copies."""
+    bounded_batches(docs.sparkSession)
     text = F.coalesce(F.col("text"), F.lit(""))
-    base = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.xxhash64(text).alias("digest"),
-        F.xxhash64(F.lit("second"), text).alias("second"),
-        F.octet_length(text).cast("long").alias("n_bytes"),
-        F.sha2(text, 256).alias("sha256"),
-    )
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts, partitions = sizes(total)
     keepers = (
-        base.where(f"doc_id is not null and n_bytes >= {LENGTH}")
+        _measured(docs)
+        .where(f"doc_id is not null and n_bytes >= {LENGTH}")
         .groupBy("digest", "second", "n_bytes")
         .agg(F.min("doc_id").alias("keeper"))
     )
-    by_id = docs.select(F.col("doc_id").cast("long").alias("id"), "text").where(
+    by_id = docs.select(F.col("doc_id").cast("long").alias("id"), text.alias("text")).where(
         f"doc_id is not null and octet_length(text) >= {LENGTH}"
     ).repartition(partitions, "id")
     # The exclusive or keeps the digest out of the join's keys, so the texts stay dealt by id.
@@ -392,8 +376,48 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
         (F.col("id") == F.col("keeper")) & (F.xxhash64("text").bitwiseXOR(F.col("own")) == 0),
     ).select("id", F.col("own").alias("digest"), "text")
     shared = written(shared_keys(_first_buckets(texts, parts), partitions), "shared")
-    marks = _marks(_refined(texts, shared, parts), partitions)
-    found = _apply(texts, marks, with_text).dropDuplicates(["id", "digest"])
+    return texts, _marks(_refined(texts, shared, parts), partitions), keepers
+
+
+def _measured(docs: DataFrame, *more: str) -> DataFrame:
+    """Id, two digests and size of every text, which counts as empty if null, and columns `more`."""
+    text = F.coalesce(F.col("text"), F.lit(""))
+    return docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        _digest(F.col("text")).alias("digest"),
+        F.xxhash64(F.lit("second"), text).alias("second"),
+        F.octet_length(text).cast("long").alias("n_bytes"),
+        *more,
+    )
+
+
+def remove_repeats(docs: DataFrame) -> DataFrame:
+    """Remove every byte of a 50-byte string that also starts in a document of a smaller id.
+
+    Returns one row per input row: `doc_id`, `n_bytes`, `n_removed`, `n_spans` (maximal
+    removed runs) and `kept_sha256`. Null texts count as empty. A row without an id keeps
+    all its bytes and removes none elsewhere. Rows of one id remove nothing from each
+    other, and each gets its own result, also if repeated. Columns other than `doc_id` and
+    `text` are not read; an empty table gives an empty result. For the texts see
+    `cut_repeats`.
+
+    1. Of exact copies only the one with the smallest id is looked into; the others lose
+       every byte (if there are 50).
+    2. The key of a 50-byte window is its smallest 26-byte bucket. Keys that only one
+       document has are final buckets of one and are left.
+    3. The windows of the other buckets are refined to 50 bytes by the identifiers of
+       later offsets, first within a batch of documents, then, with the bytes of what is
+       not settled there, over all documents.
+    4. The spans are merged for each document and cut out.
+
+    The texts are shuffled once, by id; each step that reads them again reuses that
+    shuffle.
+    """
+    id_type = docs.schema["doc_id"].dataType
+    texts, marks, keepers = _found(docs)
+    found = _apply(texts, marks).dropDuplicates(["id", "digest"])
+    sha256 = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
+    base = _measured(docs.select("doc_id", "text", sha256.alias("sha256")), "sha256")
     out = (
         base.join(keepers, ["digest", "second", "n_bytes"], "left")
         .join(
@@ -403,16 +427,13 @@ def remove_repeats(docs: DataFrame, with_text: bool = False) -> DataFrame:
         )
     )
     copy = F.col("doc_id") > F.col("keeper")
-    columns = [
+    return out.select(
         F.col("doc_id").cast(id_type).alias("doc_id"),
         "n_bytes",
         F.when(copy, F.col("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).cast("long").alias("n_removed"),
         F.when(copy, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
         F.when(copy, F.sha2(F.lit(""), 256)).otherwise(F.coalesce("kept_sha256", "sha256")).alias("kept_sha256"),
-    ]
-    if with_text:
-        columns += [F.when(copy, F.lit(b"")).otherwise(F.col("kept")).alias("kept"), "digest"]
-    return out.select(*columns)
+    )
 
 
 def cut_repeats(docs: DataFrame) -> DataFrame:
@@ -420,31 +441,38 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
 
     `n_chars`, if there, follows the text. What is left of a character that was cut is
     dropped. A row of which nothing is left goes; rows that were empty stay. Only texts
-    with something cut out are shuffled again.
+    with something cut out are shuffled again, to meet their spans.
     """
-    found = written(
-        remove_repeats(docs, with_text=True)
-        .where("n_removed > 0")
-        .select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "kept")
-        .dropDuplicates(["_id", "_digest"]),
-        "cut",
+    _, marks, keepers = _found(docs)
+    spans = written(
+        marks.groupBy(F.col("id").alias("_id"), F.col("digest").alias("_digest")).agg(F.collect_list("spans").alias("_spans")), "spans"
     )
-    changed = wanted_map(found.select("_id"))
-    same = choose(docs, changed, inside=False)
-    rest = choose(docs, changed).join(
-        found, (F.col("doc_id") == F.col("_id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("_digest")), "left"
+    copies = written(
+        _measured(docs).join(keepers, ["digest", "second", "n_bytes"]).where("doc_id > keeper")
+        .select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest")).distinct(),
+        "copies",
     )
-    text = F.when(F.col("_id").isNull(), F.col("text")).otherwise(_valid_text("kept"))
-    cut_ = rest.withColumn("text", text).where(F.col("_id").isNull() | (F.length("text") > 0))
-    if "n_chars" in docs.columns:
-        size = F.length("text").cast(docs.schema["n_chars"].dataType)
-        cut_ = cut_.withColumn("n_chars", F.when(F.col("_id").isNull(), F.col("n_chars")).otherwise(size))
-    return same.unionByName(cut_.select(docs.columns))
+    changed = wanted_map(spans.select("_id").union(copies.select("_id")))
+    own = (F.col("doc_id") == F.col("_id")) & (_digest(F.col("text")) == F.col("_digest"))
+    rest = choose(docs, changed).join(copies, own, "left_anti").join(spans, own, "left")
+    text_at, names = docs.columns.index("text"), docs.columns
+    chars = docs.schema["n_chars"].dataType if "n_chars" in names else None
 
-
-def _valid_text(column: str) -> F.Column:
-    @F.pandas_udf("string")
-    def decode(values: pd.Series) -> pd.Series:
-        return values.map(lambda b: None if b is None else bytes(b).decode("utf-8", "ignore"))
-
-    return decode(F.col(column))
+    def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, left = batch.column(text_at).to_pylist(), []
+            for text, own_spans in zip(texts, batch.column(len(names)).to_pylist(), strict=True):
+                cut_ = text if own_spans is None else _without(text.encode(), *_unpacked(own_spans)).decode("utf-8", "ignore")
+                left.append(cut_)
+            columns = [batch.column(i) for i in range(len(names))]
+            columns[text_at] = pa.array(left, batch.schema.field(text_at).type)
+            is_cut = np.asarray([a is not b for a, b in zip(texts, left, strict=True)], bool)
+            if chars is not None:
+                at = names.index("n_chars")
+                counted = pa.array([len(t or "") for t in left]).cast(columns[at].type)
+                columns[at] = pa.compute.if_else(pa.array(is_cut), counted, columns[at])
+            keep = [not c or bool(t) for c, t in zip(is_cut.tolist(), left, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array(keep, pa.bool_()))
+
+    cut_rows = rest.select(*[F.col(f"`{n}`") for n in names], "_spans").mapInArrow(cut_out, docs.schema)
+    return choose(docs, changed, inside=False).unionByName(cut_rows)
