@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from bisect import bisect_right
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
@@ -18,6 +19,9 @@ from pyspark.sql import functions as F
 from curatrix.llm.common import bounded_batches, strings, written
 
 CAPACITY = 2048
+DRAWS = 16  # patterns tried for each length
+MOST_DRAWN = 5  # partners drawn for a pattern
+MOST_DOCUMENTS = 8  # lengths of a pattern
 
 # Words of these characters are classed alike by every Unicode version.
 _LATIN = re.compile(r"[\n -~¡-ɏ]*")
@@ -148,79 +152,92 @@ def pieces(
     return docs.select(id_col, text_col).mapInArrow(cut, schema)
 
 
-def candidate_patterns(lengths: np.ndarray, weights: np.ndarray, capacity: int) -> list[tuple[int, ...]]:
-    """Multisets of one to four lengths that fill a sequence, or come closest.
+def candidate_patterns(lengths: np.ndarray, weights: np.ndarray, capacity: int, draws: int = DRAWS) -> list[tuple[int, ...]]:
+    """Multisets of a few lengths that fill a sequence exactly.
 
-    `lengths` ascend. The number of patterns is bounded by a constant times the number of
-    distinct lengths, whatever the number of documents.
+    `lengths` ascend. For each of them `draws` patterns are started with up to five partners
+    drawn from the histogram, so that all lengths take part as often as they occur, and
+    closed with the longest that fits. The number of patterns is bounded by `draws` times
+    the number of distinct lengths, whatever the number of documents.
     """
-    def closest(room: int) -> int | None:
-        at = np.searchsorted(lengths, room, side="right") - 1
-        return int(lengths[at]) if at >= 0 else None
-
-    share = np.cumsum(weights) / weights.sum()
-    seeds = {int(lengths[min(np.searchsorted(share, s), len(lengths) - 1)]) for s in np.linspace(0.02, 0.98, 33)}
+    rng = np.random.default_rng(len(lengths))
+    below = np.cumsum(weights.astype(float))
+    sorted_lengths = lengths.tolist()
     found: set[tuple[int, ...]] = set()
-    for length in map(int, lengths):
-        found.add((length,))
-        if other := closest(capacity - length):
-            found.add(tuple(sorted((length, other), reverse=True)))
-        for seed in seeds:
-            room = capacity - length - seed
-            if room > 0 and (other := closest(room)):
-                found.add(tuple(sorted((length, seed, other), reverse=True)))
-                half = room // 2
-                if (third := closest(half)) and (fourth := closest(room - third)):
-                    found.add(tuple(sorted((length, seed, third, fourth), reverse=True)))
+    for length in sorted_lengths:
+        for draw, luck in enumerate(rng.random((draws, MOST_DRAWN)).tolist()):
+            pattern, room = [length], capacity - length
+            for part in luck[: draw % (MOST_DRAWN + 1)]:
+                if not (n := bisect_right(sorted_lengths, room)):
+                    break
+                at = min(int(np.searchsorted(below, part * below[n - 1], side="right")), n - 1)
+                pattern.append(sorted_lengths[at])
+                room -= sorted_lengths[at]
+            while room and len(pattern) < MOST_DOCUMENTS and (n := bisect_right(sorted_lengths, room)):
+                pattern.append(sorted_lengths[n - 1])
+                room -= sorted_lengths[n - 1]
+            if not room:
+                found.add(tuple(sorted(pattern, reverse=True)))
     return sorted(found)
 
 
-def fit_counts(patterns: list[tuple[int, ...]], wanted: np.ndarray, rounds: int = 400) -> np.ndarray:
+def fit_counts(patterns: list[tuple[int, ...]], wanted: np.ndarray, sweeps: int = 6) -> np.ndarray:
     """Non-negative least squares: repeats of each pattern whose lengths add up to `wanted`.
 
-    Accelerated projected gradient steps; `wanted` has the count of every length.
+    Coordinate descent: one repeat after another takes its best value given the others. So
+    few patterns carry most of the histogram, with repeats well above 1. `wanted` has the
+    count of every length.
+    """
+    rng = np.random.default_rng(len(patterns))
+    left = wanted.astype(float).tolist()
+    needs = [tuple(Counter(pattern).items()) for pattern in patterns]
+    sizes = [sum(n * n for _, n in need) for need in needs]
+    repeats = [0.0] * len(patterns)
+    for _ in range(sweeps):
+        for i in rng.permutation(len(patterns)).tolist():
+            need = needs[i]
+            new = max(0.0, repeats[i] + sum(n * left[length] for length, n in need) / sizes[i])
+            if change := new - repeats[i]:
+                repeats[i] = new
+                for length, n in need:
+                    left[length] -= n * change
+    return np.asarray(repeats)
+
+
+def fitted_patterns(counts: np.ndarray, capacity: int = CAPACITY, rounds: int = 8) -> list[tuple[tuple[int, ...], int]]:
+    """Patterns and whole repeats that `counts`, by length, has room for.
+
+    Repeats are rounded so that their sums stay what was fitted, and cut to what is there.
+    What that leaves is fitted again, until a round places less than a hundredth.
     """
-    width = max(map(len, patterns))
-    places = np.full((len(patterns), width), len(wanted), np.int64)
-    for i, pattern in enumerate(patterns):
-        places[i, : len(pattern)] = pattern
-    scale = max(float(wanted.max()), 1.0)
-    target = np.append(wanted / scale, 0.0)
-    flat = places.ravel()
-
-    def made(x: np.ndarray) -> np.ndarray:
-        out = np.bincount(flat, np.repeat(x, width), minlength=len(target))
-        out[-1] = 0.0
-        return out
-
-    def back(residual: np.ndarray) -> np.ndarray:
-        residual[-1] = 0.0
-        return residual[places].sum(axis=1)
-
-    probe = np.ones(len(patterns))
-    for _ in range(30):  # the step length: the largest eigenvalue by power iteration
-        probe = back(made(probe))
-        norm = np.linalg.norm(probe)
-        probe /= norm
-    step = 1.0 / (1.05 * norm)
-    x = y = np.zeros(len(patterns))
-    t = 1.0
+    left, total = counts.copy(), int(counts.sum())
+    out: list[tuple[tuple[int, ...], int]] = []
     for _ in range(rounds):
-        new = np.maximum(0.0, y - step * back(made(y) - target))
-        t_new = (1 + (1 + 4 * t * t) ** 0.5) / 2
-        y = new + (t - 1) / t_new * (new - x)
-        x, t = new, t_new
-    return x * scale
+        lengths = np.flatnonzero(left)
+        patterns = candidate_patterns(lengths, left[lengths], capacity) if len(lengths) else []
+        if not patterns:
+            break
+        repeats, carry, before = fit_counts(patterns, left), 0.5, int(left.sum())
+        for i in np.argsort(-repeats, kind="stable").tolist():
+            carry += repeats[i]
+            times, carry = int(carry), carry % 1
+            need = Counter(patterns[i])
+            if times := min(times, *(int(left[length]) // n for length, n in need.items())):
+                out.append((patterns[i], times))
+                for length, n in need.items():
+                    left[length] -= n * times
+        if before - int(left.sum()) < 0.01 * total:
+            break
+    return out
 
 
 def plan_sequences(counts: dict[int, int], capacity: int = CAPACITY) -> list[tuple[int, int, int, int, int]]:
     """Places for every piece: rows of length, first rank, repeats, first sequence, offset.
 
     The pieces of a length with ranks `first rank .. + repeats - 1` go to consecutive
-    sequences from `first sequence`, at `offset`. Fitted repeats are rounded down and
-    never exceed what is there; the rest is packed by repeating the fullest pattern that
-    the largest length left can start, until nothing is left. The number of rows depends
-    on the number of distinct lengths only.
+    sequences from `first sequence`, at `offset`. What the fitted patterns leave is packed
+    by repeating the fullest pattern that the largest length left can start, until nothing
+    is left. The number of rows depends on the number of distinct lengths only.
     """
     left = np.zeros(capacity + 1, np.int64)
     for length, count in counts.items():
@@ -241,18 +258,8 @@ def plan_sequences(counts: dict[int, int], capacity: int = CAPACITY) -> list[tup
 
     if left[capacity]:
         place((capacity,), int(left[capacity]))
-    lengths = np.flatnonzero(left)
-    if len(lengths):
-        patterns = candidate_patterns(lengths, left[lengths], capacity)
-        repeats = np.floor(fit_counts(patterns, left.astype(float)) + 1e-6).astype(np.int64)
-        # Full patterns first: rounding then takes from those that waste room.
-        for i in sorted(np.flatnonzero(repeats), key=lambda i: (sum(patterns[i]) - capacity) * -1):
-            pattern, need = patterns[i], Counter(patterns[i])
-            if sum(pattern) < capacity:
-                continue  # what leaves room is better packed with the residuals
-            fits = min(int(left[length]) // n for length, n in need.items())
-            if times := min(int(repeats[i]), fits):
-                place(pattern, times)
+    for pattern, times in fitted_patterns(left, capacity):
+        place(pattern, times)
     while left.any():
         free_count = left.copy()
         largest = int(np.flatnonzero(free_count)[-1])

@@ -488,6 +488,21 @@ def test_plans_fill_sequences(n):
     assert len(filled) <= max(1, 1.02 * sum(k * v for k, v in counts.items()) / 2048 + 1)
 
 
+@pytest.mark.parametrize("n", [800, 8_000, 200_000])
+def test_fitted_patterns_place_most_pieces(n):
+    rng = np.random.default_rng(n)
+    counts = np.bincount(np.minimum(rng.lognormal(6, 1, n).astype(int) + 1, 2047), minlength=2049)
+    found = packing.fitted_patterns(counts)
+    used = np.zeros(2049, np.int64)
+    for pattern, times in found:
+        assert sum(pattern) == 2048 and len(pattern) <= packing.MOST_DOCUMENTS and times > 0
+        np.add.at(used, list(pattern), times)
+    assert (used <= counts).all() and used.sum() >= 0.9 * n
+    plan = packing.plan_sequences({k: int(v) for k, v in enumerate(counts) if v})
+    sequences = max(row[3] + row[2] for row in plan)
+    assert sequences <= 1.002 * (counts * np.arange(2049)).sum() / 2048 + 1
+
+
 # -- top-k ----------------------------------------------------------------------------
 
 
