@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 from curatrix.llm.common import bounded_batches, strings
 from curatrix.llm.suffixes import grams8, refine
 
-GRAM = 10  # bytes of a q-gram
-RATE = 0.07  # edits for each byte of an item
+GRAM = 6  # bytes of a q-gram
+RATE = 0.1  # edits for each byte of an item
+WORD = 12  # edits at least, as for one long word, where the lemma's bound allows them
 BLOCK_BYTES = 1 << 20  # of benchmark text searched for at once
 _SLICE = 1 << 20  # bytes of documents worked on at once
 _TABLE_BITS = 21
@@ -26,8 +27,9 @@ def normalise(text: str | None) -> bytes:
 
 
 def _grams(data: np.ndarray) -> np.ndarray:
-    first = grams8(data)
-    return refine(first[: -(GRAM - 8)], first[GRAM - 8 :]) if len(first) > GRAM - 8 else first[:0]
+    """A digest of the `GRAM` bytes from each place where there are as many."""
+    wide = grams8(np.concatenate([data, np.zeros(8 - GRAM, np.uint8)])) if len(data) >= GRAM else np.zeros(0, np.uint64)
+    return refine(wide & np.uint64((1 << 8 * GRAM) - 1), np.zeros(1, np.uint64))
 
 
 @dataclass
@@ -47,14 +49,16 @@ class Index:
 
 
 def build_index(items: list[tuple[object, bytes]], rate: float = RATE) -> Index:
-    """Index of items; those shorter than a gram match nothing and are left out.
+    """Index of items; those shorter than a gram have none (see `short_matches`).
 
     A match of `n` bytes with `k` edits shares at least `n - GRAM + 1 - k * GRAM` grams.
-    Where the rate allows more edits than keep this above zero, the budget is lowered.
+    Where the rate, or one long word, allows more edits than keep this above zero, the
+    budget is lowered.
     """
     items = [(i, t) for i, t in items if len(t) >= GRAM]
     sizes = np.asarray([len(t) for _, t in items], np.int64)
-    edits = np.minimum((sizes * rate).astype(np.int64), np.maximum(0, (sizes - GRAM) // GRAM))
+    wanted = np.maximum(WORD if rate else 0, (sizes * rate).astype(np.int64))
+    edits = np.minimum(wanted, np.maximum(0, (sizes - GRAM) // GRAM))
     least = np.maximum(1, sizes - GRAM + 1 - edits * GRAM)
     grams = [_grams(np.frombuffer(t, np.uint8)) for _, t in items]
     if not grams:
@@ -158,6 +162,17 @@ def matches(index: Index, texts: list[bytes]) -> Iterator[tuple[int, int, int, i
         row = last
 
 
+def short_matches(items: list[tuple[object, bytes]], texts: list[bytes]) -> Iterator[tuple[int, object, int, int]]:
+    """Text, item id, edits (none) and end of items shorter than a gram, found as whole words."""
+    short = [(i, t) for i, t in items if 0 < len(t) < GRAM]
+    for who, text in enumerate(texts if short else ()):
+        padded = b" %s " % text
+        for item, word in short:
+            at = padded.find(b" %s " % word)
+            if at >= 0:
+                yield who, item, 0, at + len(word)
+
+
 def _blocks(benchmark: DataFrame) -> Iterator[list[tuple[object, bytes]]]:
     """The items in blocks of about `BLOCK_BYTES`, each small enough for every task."""
     items = benchmark.select("item_id", "text").where("text is not null")
@@ -173,9 +188,11 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) ->
 
     Returns `doc_id`, `item_id`, `n_edits` and `match_end` (in the normalised text), one
     row for each pair of a document row and an item. Texts are compared in lower case
-    with single spaces, byte by byte, whole. Null and empty texts hold nothing; null,
-    empty and very short items (under 10 bytes) are in nothing; repeated rows are
-    reported each; other columns are not read; either table may be empty.
+    with single spaces, byte by byte, whole. An item may have `rate` edits a byte, or as
+    many as one long word has, as far as the q-gram lemma's bound stays above zero; items
+    under 6 bytes are looked for as whole words, without edits. Null and empty texts hold
+    nothing; null and empty items are in nothing; repeated rows of documents are reported
+    each, repeated items once; other columns are not read; either table may be empty.
 
     The benchmark is searched for in blocks of bounded size, each against all documents,
     and nothing is shuffled.
@@ -191,13 +208,15 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) ->
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = build_index(shared.value, rate)
             for batch in batches:
-                found = list(matches(index, [normalise(t) for t in strings(batch.column(1))]))
+                texts = [normalise(t) for t in strings(batch.column(1))]
+                found = [(who, index.ids[item], edits, end) for who, item, edits, end in matches(index, texts)]
+                found += short_matches(shared.value, texts)
                 if found:
                     who, item, edits, end = zip(*found, strict=True)
                     yield pa.RecordBatch.from_arrays(
                         [
                             batch.column(0).take(pa.array(who)),
-                            pa.array([index.ids[i] for i in item]),
+                            pa.array(item, pa.int64() if isinstance(item[0], int) else None),
                             pa.array(edits, pa.int32()),
                             pa.array(end, pa.int64()),
                         ],
@@ -224,6 +243,7 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RA
                 texts = [normalise(t) for t in strings(batch.column(batch.schema.get_field_index("text")))]
                 bad = np.zeros(len(texts), bool)
                 bad[[m[0] for m in matches(index, texts)]] = True
+                bad[[m[0] for m in short_matches(shared.value, texts)]] = True
                 yield batch.filter(pa.array(~bad))
 
         docs = docs.mapInArrow(keep, docs.schema)

@@ -313,12 +313,52 @@ def test_contaminations_and_their_edges(spark, frames):
     )
     items = spark.createDataFrame([(7, "What is the capital of France?"), (8, None), (9, ""), (10, "short")], "item_id long, text string")
     assert sorted_rows(decontamination.contaminations(docs, items), "doc_id", "item_id", "n_edits") == [(1, 7, 0), (None, 7, 0)]
+    tiny = spark.createDataFrame([(10, "x"), (11, "ance"), (12, "of  FRANCE?"), (12, "of  FRANCE?"), (13, "y")], "item_id long, text string")
+    assert sorted_rows(decontamination.contaminations(docs, tiny), "doc_id", "item_id", "match_end") == [
+        (1, 10, 1), (1, 12, 32), (1, 13, 34), (None, 12, 30),
+    ]
+    long = spark.createDataFrame([(1, "word " * 300_000 + "what is the capital of france?")], "doc_id long, text string")
+    assert sorted_rows(decontamination.contaminations(long, items), "item_id", "n_edits") == [(7, 0)]
     assert sorted_rows(decontamination.without_contaminated(docs, items), "doc_id") == [(2,), (3,)]
     assert decontamination.contaminations(docs, items.limit(0)).count() == 0
     assert decontamination.without_contaminated(docs, items.limit(0)).count() == 4
     assert decontamination.contaminations(frames[1], items).count() == 0
 
 
+def test_light_edits_of_the_given_items_are_found():
+    """Exact, one long word replaced, one dropped, two short ones replaced; clean texts stay."""
+    import pyarrow.parquet as pq
+
+    rng = random.Random(7)
+    table = pq.read_table("/root/testdata/sf0.01/benchmark.parquet").to_pylist()
+    items = [(r["item_id"], decontamination.normalise(r["text"])) for r in table]
+    index = decontamination.build_index(items)
+    filler = lambda: words(rng, 40).encode()
+
+    def changed(text, kind):
+        parts = text.split(b" ")
+        by_size = sorted(range(len(parts)), key=lambda k: len(parts[k]))
+        if kind == "replaced":
+            parts[by_size[-1]] = b"qzxjkvwb"
+        elif kind == "dropped":
+            del parts[rng.randrange(len(parts))]
+        elif kind == "two":
+            for k in by_size[: 2]:
+                parts[k] = b"zq"
+        return b" ".join(parts)
+
+    for kind in ("exact", "replaced", "dropped", "two"):
+        texts = [b" ".join([filler(), changed(t, kind), filler()]) for _, t in items]
+        found = {who for who, item, _, _ in decontamination.matches(index, texts) if who == item}
+        assert len(found) >= 0.95 * len(items), (kind, len(found))
+    shuffled = []
+    for _, t in items:
+        parts = t.split(b" ")
+        rng.shuffle(parts)
+        shuffled.append(b" ".join(parts))
+    assert not list(decontamination.matches(index, shuffled))
+
+
 # -- licences -------------------------------------------------------------------------
 
 
