@@ -153,6 +153,16 @@ def hash_of(text: str) -> int:
     return zlib.crc32(text.encode())
 
 
+def least_contexts(n_toxic: int) -> int:
+    """Different words that must stand before a word in toxic texts to make it typical of them.
+
+    Two for a handful of toxic texts, five from forty of them on, and a hundredth of
+    their number where that is more. Rarer words are not learned; a text whose only toxic
+    words are rarer scores by what else is in it.
+    """
+    return max(2, min(5, n_toxic // 8), math.ceil(0.01 * n_toxic))
+
+
 def _expand(raw: np.ndarray, sizes: tuple[float, float]) -> np.ndarray:
     """Calibration features: steps of the best gain and of the sum of the three best.
 
@@ -174,17 +184,18 @@ def fit(
 ) -> Model:
     """Train both dictionaries and calibrate on a bounded sample of labelled rows.
 
-    Words typical of a class are those seen after many different words in its texts. The
-    ordinary dictionary is trained again with the ordinary words that the toxic one
-    compresses better. The driver gets at most `2 * max_words` words with two counts
-    each, and four numbers for each of at most `max_docs` texts.
+    At most `max_docs` labelled texts are read. Words typical of a class are those seen
+    after many different words in its texts (see `least_contexts`; without such words
+    every score is the base rate). The ordinary dictionary is trained again with the
+    ordinary words that the toxic one compresses better. The driver gets at most
+    `2 * max_words` words with two counts each, and four numbers for each text read.
     """
     rows = training_rows(docs, labels, max_docs).persist()
     sizes = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     n_toxic, n_ordinary = sizes.get(1, 0), sizes.get(0, 0)
     base = (n_toxic + 1) / (n_toxic + n_ordinary + 2)
     contexts = word_contexts(rows).persist()
-    least = max(5, math.ceil(0.01 * n_toxic))
+    least = least_contexts(n_toxic)
     rate = (n_toxic + 1) / (n_ordinary + 1)
     typical = (
         contexts.where((F.col("toxic") >= least) & (F.col("toxic") > 10 * rate * (F.col("ordinary") + 0.5)))
