@@ -51,10 +51,15 @@ def _expand(x: np.ndarray) -> np.ndarray:
     return np.column_stack([x, x**2])
 
 
+def held_out(doc_id: str) -> Column:
+    """Rows whose labels are never learned from, so that scores can be judged on them."""
+    return F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2
+
+
 def fit(docs: DataFrame, labels: DataFrame, max_docs: int = 12_000) -> tuple[np.ndarray | None, float]:
     """Weights of a logistic regression and the base rate, from at most `max_docs` labelled texts."""
     picked = (
-        labels.where("quality is not null and doc_id is not null")
+        labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
         .groupBy("doc_id")
         .agg(F.max("quality").cast("int").alias("quality"))
         .orderBy(F.xxhash64("doc_id"), "doc_id")
@@ -108,24 +113,30 @@ def _strength(groups: DataFrame, mean: Column, prior: Column) -> float:
     return float(np.clip(1 / between - 1, 1.0, 1e6)) if between > 1e-6 else 1e6
 
 
-def posteriors(scored: DataFrame) -> tuple[DataFrame, float]:
-    """Rate of good documents of each path, shrunk to its host, itself shrunk to all; and that of all.
+def site_sums(scored: DataFrame) -> DataFrame:
+    """Documents and summed probabilities of each path, and of its host.
 
     Grouped sums only: a hot host is added up before it is shuffled.
     """
     paths = written(scored.groupBy("host", "path").agg(F.count(F.lit(1)).alias("n"), F.sum("p_text").alias("good")), "paths")
-    whole = paths.agg(F.sum("n").alias("n"), F.sum("good").alias("good")).first()
+    hosts = paths.groupBy(F.col("host").alias("_host")).agg(F.sum("n").alias("host_n"), F.sum("good").alias("host_good"))
+    return written(paths.join(hosts, F.col("host").eqNullSafe(F.col("_host"))).drop("_host"), "sites")
+
+
+def shrunk(good: Column, n: Column, prior: Column, strength: float) -> Column:
+    """Posterior mean of a rate with a beta prior that weighs as much as `strength` documents."""
+    return (good + strength * prior) / (n + strength)
+
+
+def priors(sites: DataFrame) -> tuple[float, float, float]:
+    """The rate of all documents, and the strengths of the priors of hosts and of paths."""
+    whole = sites.agg(F.sum("n").alias("n"), F.sum("good").alias("good")).first()
     rate = float(np.clip((whole["good"] or 0.0) / whole["n"], 1e-6, 1 - 1e-6)) if whole["n"] else 0.5
-    hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+    hosts = sites.groupBy("host").agg(F.first("host_n").alias("n"), F.first("host_good").alias("good"))
     strong = _strength(hosts, F.col("good") / F.col("n"), F.lit(rate))
-    hosts = hosts.select("host", ((F.col("good") + strong * rate) / (F.col("n") + strong)).alias("host_rate"))
-    hosts = hosts.withColumnRenamed("host", "_host")
-    joined = paths.join(hosts, F.col("host").eqNullSafe(F.col("_host"))).drop("_host")
-    near = _strength(joined, F.col("good") / F.col("n"), F.col("host_rate"))
-    return joined.select(
-        "host", "path", "host_rate",
-        ((F.col("good") + near * F.col("host_rate")) / (F.col("n") + near)).alias("path_rate"),
-    ), rate
+    of_host = shrunk(F.col("host_good"), F.col("host_n"), F.lit(rate), strong)
+    near = _strength(sites, F.col("good") / F.col("n"), of_host)
+    return rate, strong, near
 
 
 def classify(
@@ -133,13 +144,15 @@ def classify(
 ) -> DataFrame:
     """Quality of every document from its text and the site it comes from.
 
-    Returns `doc_id`, `p_text` (classifier), `host_rate`, `path_rate` (posteriors of the
-    site), `score` (all together) and `keep` (score of at least `threshold`), one row per
-    input row. The classifier's odds over the base rate are evidence; the path's posterior
-    is the prior. A path with few documents takes its host's rate, a host with few the
-    overall one. Null texts count as empty; null hosts and paths are sites of their own;
-    repeated rows count each; labels may repeat, be null or name unknown documents;
-    without usable labels every text has the base rate. Empty tables give empty results.
+    Returns `doc_id`, `held_out`, `p_text` (classifier), `host_rate` and `path_rate` (posteriors
+    of the site), `prior`, `score` (all together) and `keep` (score of at least `threshold`),
+    one row per input row. The classifier's odds over the base rate are evidence; the prior
+    is the posterior of the document's path from all its other documents, so its own
+    evidence counts once. A path with few documents takes its host's rate, a host with few
+    the overall one. Labels are learned only from rows that are not held out. Null texts
+    count as empty; null hosts and paths are sites of their own; repeated rows count each;
+    labels may repeat, be null or name unknown documents; without usable labels every text
+    has the base rate. Empty tables give empty results.
     """
     bounded_batches(docs.sparkSession)
     sites = docs.select(
@@ -148,16 +161,28 @@ def classify(
     )
     weights, base = fit(docs, labels, **fit_options)
     scored = written(evidence(sites, weights, base), "evidence")
-    rates, _ = posteriors(scored)
-    rates = rates.withColumnRenamed("host", "_host").withColumnRenamed("path", "_path")
+    sums = site_sums(scored)
+    rate, strong, near = priors(sums)
+    sums = sums.withColumnRenamed("host", "_host").withColumnRenamed("path", "_path")
     joined = scored.join(
-        rates, F.col("host").eqNullSafe(F.col("_host")) & F.col("path").eqNullSafe(F.col("_path")), "left"
+        sums, F.col("host").eqNullSafe(F.col("_host")) & F.col("path").eqNullSafe(F.col("_path")), "left"
     )
 
     def odds(p: Column) -> Column:
         inside = F.least(F.greatest(p, F.lit(1e-9)), F.lit(1 - 1e-9))
         return F.log(inside / (1 - inside))
 
-    score = 1 / (1 + F.exp(-(odds(F.col("p_text")) - odds(F.lit(base)) + odds(F.col("path_rate")))))
-    rows = joined.select("doc_id", "p_text", "host_rate", "path_rate", score.alias("score"))
+    def posteriors(own: Column, one: int) -> tuple[Column, Column]:
+        """Rates of host and path, without `one` document of probability `own`."""
+        of_host = shrunk(F.col("host_good") - own, F.col("host_n") - one, F.lit(rate), strong)
+        return of_host, shrunk(F.col("good") - own, F.col("n") - one, of_host, near)
+
+    host_rate, path_rate = posteriors(F.lit(0.0), 0)
+    _, prior = posteriors(F.col("p_text"), 1)
+    score = 1 / (1 + F.exp(-(odds(F.col("p_text")) - odds(F.lit(base)) + odds(F.col("prior")))))
+    rows = joined.select(
+        "doc_id", F.coalesce(held_out("doc_id"), F.lit(False)).alias("held_out"), "p_text",
+        host_rate.alias("host_rate"), path_rate.alias("path_rate"), prior.alias("prior"),
+    )
+    rows = rows.withColumn("score", score)
     return rows.withColumn("keep", F.col("score") >= threshold)

@@ -154,3 +154,38 @@ def edited(rows):
         new = text[: len(text) - half] + follower[:half]
         out.append((who, len(text), hashlib.sha256(new.encode()).hexdigest(), text, new, follower))
     return out
+
+
+def site_posteriors(rows):
+    """(host rate, path rate, prior without the row itself) of each (host, path, probability)."""
+    from collections import defaultdict
+
+    def sums(key):
+        out = defaultdict(lambda: [0, 0.0])
+        for row in rows:
+            out[key(row)][0] += 1
+            out[key(row)][1] += row[2]
+        return out
+
+    def strength(groups):
+        seen = sum(n * (good / n - prior) ** 2 for n, good, prior in groups)
+        chance = sum(prior * (1 - prior) for _, _, prior in groups)
+        scale = sum(n * prior * (1 - prior) for n, _, prior in groups)
+        between = (seen - chance) / scale
+        return min(max(1 / between - 1, 1.0), 1e6) if between > 1e-6 else 1e6
+
+    hosts, paths = sums(lambda r: r[0]), sums(lambda r: r[:2])
+    rate = sum(r[2] for r in rows) / len(rows)
+    strong = strength([(n, good, rate) for n, good in hosts.values()])
+
+    def host_rate(host, own=0.0, one=0):
+        n, good = hosts[host]
+        return (good - own + strong * rate) / (n - one + strong)
+
+    near = strength([(n, good, host_rate(host)) for (host, _), (n, good) in paths.items()])
+
+    def path_rate(host, path, own=0.0, one=0):
+        n, good = paths[host, path]
+        return (good - own + near * host_rate(host, own, one)) / (n - one + near)
+
+    return [(host_rate(h), path_rate(h, p), path_rate(h, p, own, 1)) for h, p, own in rows]

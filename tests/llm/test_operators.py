@@ -625,7 +625,14 @@ def test_quality_shrinks_sparse_sites(spark):
     rows = quality.classify(docs, labels, "host", "path").collect()
     assert len(rows) == 604 and all(0 <= r["score"] <= 1 for r in rows)
     truth = {r["doc_id"]: r["quality"] for r in labels.where("quality is not null").collect()}
-    assert np.mean([r["keep"] == bool(truth[r["doc_id"]]) for r in rows if r["doc_id"] in truth and r["doc_id"] < 600]) > 0.97
+    held = [r for r in rows if r["held_out"] and r["doc_id"] in truth and r["doc_id"] < 600]
+    assert len(held) > 100 and np.mean([r["keep"] == bool(truth[r["doc_id"]]) for r in held]) > 0.97
+    sites = {r["doc_id"]: (r["host"], r["path"]) for r in docs.collect()}
+    plain = brute.site_posteriors([(*sites[r["doc_id"]], r["p_text"]) for r in rows])
+    for r, (of_host, of_path, prior) in zip(rows, plain, strict=True):
+        assert np.allclose([r["host_rate"], r["path_rate"], r["prior"]], [of_host, of_path, prior], rtol=1e-6)
+        if r["host_rate"] not in (0, 1) and r["prior"] != r["path_rate"]:
+            assert (r["prior"] < r["path_rate"]) == (r["p_text"] > r["path_rate"])  # its own evidence is left out
     by_id = {r["doc_id"]: r for r in rows}
     assert by_id[0]["host_rate"] < 0.4 < 0.7 < by_id[1]["host_rate"]
     assert by_id[0]["host_rate"] < by_id[1000]["path_rate"] < by_id[1]["host_rate"]  # one document: near the overall rate
