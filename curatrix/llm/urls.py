@@ -63,17 +63,14 @@ def buckets(host: F.Column, path: F.Column, count: int = BUCKETS) -> F.Column:
     """Distinct buckets of the character n-grams of host and path, each with its marks."""
     def of(text: F.Column, mark: str) -> F.Column:
         marked = F.concat(F.lit(mark), text, F.lit(mark))
-        parts = [
-            F.when(
-                F.length(marked) >= n,
-                F.transform(
-                    F.sequence(F.lit(1), F.greatest(F.length(marked) - n + 1, F.lit(1))),
-                    lambda i, n=n: F.pmod(F.xxhash64(F.substring(marked, i, F.lit(n))), F.lit(count)).cast("int"),
-                ),
-            ).otherwise(F.array().cast("array<int>"))
-            for n in GRAMS
-        ]
-        return F.concat(*parts)
+
+        def grams(n: int) -> F.Column:
+            # A second parameter of the function would get the element's place.
+            one = lambda i: F.pmod(F.xxhash64(F.substring(marked, i, F.lit(n))), F.lit(count)).cast("int")
+            starts = F.sequence(F.lit(1), F.greatest(F.length(marked) - n + 1, F.lit(1)))
+            return F.when(F.length(marked) >= n, F.transform(starts, one)).otherwise(F.array().cast("array<int>"))
+
+        return F.concat(*map(grams, GRAMS))
 
     return F.array_distinct(F.concat(of(host, "^"), of(path, "|")))
 
