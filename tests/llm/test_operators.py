@@ -607,6 +607,61 @@ def test_url_classifier_learns(spark):
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
 
 
+def plain_url_scores(urls_, labelled):
+    """Gradient steps in plain numbers; bucket -1 is the constant."""
+    import math
+
+    import xxhash
+
+    def buckets(url):
+        at = url.find("://")
+        rest = url[at + 3 :] if at >= 0 else ""
+        host = rest.replace("?", "/").replace("#", "/").split("/")[0]
+        path = rest[len(host) :].split("?")[0].split("#")[0]
+        host = host.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+        out = set()
+        for text in (f"^{host}^", f"|{path}|"):
+            for n in urls.GRAMS:
+                for i in range(len(text) - n + 1):
+                    h = xxhash.xxh64(text[i : i + n].encode(), seed=42).intdigest()
+                    out.add((h - (1 << 64) if h >> 63 else h) % urls.BUCKETS)
+        return out
+
+    def logit(f, w, b):
+        return sum(w[k] for k in f) / max(1, len(f)) ** 0.5 + b
+
+    rows = [(buckets(u), y) for u, y in labelled.items()]
+    n, positive = len(rows), sum(y for _, y in rows)
+    w, b = [0.0] * urls.BUCKETS, math.log(positive / (n - positive))
+    moves, push = [0.0] * urls.BUCKETS, 0.0
+    for _ in range(urls.STEPS):
+        gradient, constant = [0.0] * urls.BUCKETS, 0.0
+        for f, y in rows:
+            error = y - 1 / (1 + math.exp(-logit(f, w, b)))
+            constant += error
+            for k in f:
+                gradient[k] += error / max(1, len(f)) ** 0.5
+        moves = [urls.MOMENTUM * m + urls.RATE * g / n for m, g in zip(moves, gradient, strict=True)]
+        push = urls.MOMENTUM * push + urls.RATE * constant / n
+        w, b = [x + m for x, m in zip(w, moves, strict=True)], b + push
+    return [1 / (1 + math.exp(-logit(buckets(u), w, b))) for u in urls_]
+
+
+def test_url_scores_equal_plain_steps(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet").select("page_id", "url").collect()
+    long = "http://" + "sub." * 3000 + "example.org/" + "x/" * 20_000
+    rows = [(r["page_id"], r["url"]) for r in pages] + [(-1, long), (-2, "://"), (-3, "HTTP://É.example.COM/fr?x")]
+    rng = random.Random(4)
+    labelled = {url: int("example.net" in url or rng.random() < 0.1) for _, url in rows[: len(rows) // 2]}
+    frame = spark.createDataFrame(rows, "page_id long, url string")
+    table = spark.createDataFrame(list(labelled.items()), "url string, blocked int")
+    found = {r["page_id"]: r for r in urls.judge(frame, table).collect()}
+    for (who, _), score in zip(rows, plain_url_scores([u for _, u in rows], labelled), strict=True):
+        assert abs(found[who]["score"] - score) < 1e-5
+        if found[who]["rule"] is None:
+            assert found[who]["verdict"] == ("block" if found[who]["score"] >= 0.5 else "allow")
+
+
 # -- quality --------------------------------------------------------------------------
 
 
