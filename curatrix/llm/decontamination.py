@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from curatrix.llm.common import bounded_batches, strings
 from curatrix.llm.suffixes import grams8, refine
 
-GRAM = 6  # bytes of a q-gram
+GRAM = 8  # bytes of a q-gram
+SHARED = 6  # a match shares grams for one in so many bytes of its item at least
 RATE = 0.1  # edits for each byte of an item
 WORD = 12  # edits at least, as for one long word, where the lemma's bound allows them
 BLOCK_BYTES = 1 << 20  # of benchmark text searched for at once
@@ -28,8 +29,7 @@ def normalise(text: str | None) -> bytes:
 
 def _grams(data: np.ndarray) -> np.ndarray:
     """A digest of the `GRAM` bytes from each place where there are as many."""
-    wide = grams8(np.concatenate([data, np.zeros(8 - GRAM, np.uint8)])) if len(data) >= GRAM else np.zeros(0, np.uint64)
-    return refine(wide & np.uint64((1 << 8 * GRAM) - 1), np.zeros(1, np.uint64))
+    return refine(grams8(data), np.zeros(1, np.uint64))
 
 
 @dataclass
@@ -52,13 +52,13 @@ def build_index(items: list[tuple[object, bytes]], rate: float = RATE) -> Index:
     """Index of items; those shorter than a gram have none (see `short_matches`).
 
     A match of `n` bytes with `k` edits shares at least `n - GRAM + 1 - k * GRAM` grams.
-    Where the rate, or one long word, allows more edits than keep this above zero, the
-    budget is lowered.
+    Where the rate, or one long word, allows more edits than keep this above `n / SHARED`,
+    the budget is lowered, so that few chance pairs are aligned.
     """
     items = [(i, t) for i, t in items if len(t) >= GRAM]
     sizes = np.asarray([len(t) for _, t in items], np.int64)
     wanted = np.maximum(WORD if rate else 0, (sizes * rate).astype(np.int64))
-    edits = np.minimum(wanted, np.maximum(0, (sizes - GRAM) // GRAM))
+    edits = np.minimum(wanted, np.maximum(0, (sizes - GRAM + 1 - np.maximum(1, sizes // SHARED)) // GRAM))
     least = np.maximum(1, sizes - GRAM + 1 - edits * GRAM)
     grams = [_grams(np.frombuffer(t, np.uint8)) for _, t in items]
     if not grams:
@@ -189,8 +189,8 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) ->
     Returns `doc_id`, `item_id`, `n_edits` and `match_end` (in the normalised text), one
     row for each pair of a document row and an item. Texts are compared in lower case
     with single spaces, byte by byte, whole. An item may have `rate` edits a byte, or as
-    many as one long word has, as far as the q-gram lemma's bound stays above zero; items
-    under 6 bytes are looked for as whole words, without edits. Null and empty texts hold
+    many as one long word has, as far as the q-gram lemma's bound keeps a sixth of its grams; items
+    under 8 bytes are looked for as whole words, without edits. Null and empty texts hold
     nothing; null and empty items are in nothing; repeated rows of documents are reported
     each, repeated items once; other columns are not read; either table may be empty.
 
