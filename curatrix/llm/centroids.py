@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import bounded_batches, written
+from curatrix.llm.common import bounded_batches, giving_back, written
 
 PIVOTS = 5
 _MOST = 1 << 27  # largest size of a component: squared distances then stay inside a long
@@ -113,6 +113,7 @@ def _sums(table: DataFrame, state, width: int) -> DataFrame:
 
     Each task adds up its own rows, so a cluster of any size gives it `width + 2` rows.
     """
+    @giving_back
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         centres, tops = state.value
         total = np.zeros((len(centres), width + 2), np.int64)
@@ -175,6 +176,7 @@ def cluster(
     _in_range(centres)
     simplex = Simplex(centres, pivots)
 
+    @giving_back
     def project(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = _block(batch, 1, width)
@@ -210,6 +212,7 @@ def cluster(
     inertia = [int(row[-2]) for row in last]
     digests = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in centres.tolist()]
 
+    @giving_back
     def tell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         points, tops = state.value
         for ids, rows, apexes in _batches(batches, width, tops.shape[1]):

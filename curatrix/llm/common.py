@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +32,32 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+@functools.cache
+def _libc() -> ctypes.CDLL | None:
+    try:
+        return ctypes.CDLL("libc.so.6")
+    except OSError:
+        return None
+
+
+def giving_back(step: Callable) -> Callable:
+    """A step over Arrow batches whose worker returns its free memory when a task ends.
+
+    Workers are used again, and would otherwise keep the most that any earlier step took
+    beside what the next one needs.
+    """
+    @functools.wraps(step)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from step(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if (libc := _libc()) is not None and hasattr(libc, "malloc_trim"):
+                libc.malloc_trim(0)
+
+    return run
+
+
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts end to end, and the `len + 1` offsets; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

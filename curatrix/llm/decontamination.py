@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import bounded_batches, strings
+from curatrix.llm.common import bounded_batches, giving_back, strings
 from curatrix.llm.suffixes import grams8, refine
 
 GRAM = 8  # bytes of a q-gram
@@ -205,6 +205,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) ->
     for items in _blocks(benchmark):
         shared = docs.sparkSession.sparkContext.broadcast(items)
 
+        @giving_back
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = build_index(shared.value, rate)
             for batch in batches:
@@ -237,6 +238,7 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = RA
     for items in _blocks(benchmark):
         shared = docs.sparkSession.sparkContext.broadcast(items)
 
+        @giving_back
         def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             index = build_index(shared.value, rate)
             for batch in batches:

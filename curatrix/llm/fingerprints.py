@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import bounded_batches, strings
+from curatrix.llm.common import bounded_batches, giving_back, strings
 
 WIDE = 8  # 64-bit words of a paragraph's digest, summed modulo 2^64: they decide equality
 LANES = 256  # signed counts of a paragraph's windows, summed modulo 2^32: they tell likeness
@@ -107,6 +107,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     bounded_batches(docs.sparkSession)
 
+    @giving_back
     def mapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [text_of(vector(text.encode())) for text in strings(batch.column(1))]
@@ -127,6 +128,7 @@ def changed(known: DataFrame, changes: DataFrame, id_col: str = "doc_id") -> Dat
     places = WIDE + LANES
     bounded_batches(known.sparkSession)
 
+    @giving_back
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, Vector] = {}
         for batch in batches:
@@ -255,6 +257,7 @@ def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
     names = ["id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
 
+    @giving_back
     def follow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: tuple | None = None  # a row that waits for the one that follows it
         out: list[tuple] = []

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from curatrix.llm.common import giving_back
+
 _BITS = 26
 
 
@@ -45,6 +47,7 @@ def is_wanted(wanted, ids: pa.Array) -> np.ndarray:
 
 def choose(docs: DataFrame, wanted, id_col: str = "doc_id", inside: bool = True) -> DataFrame:
     """The rows whose id the map lets through, or the others; columns stay as they are."""
+    @giving_back
     def filtered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             through = is_wanted(wanted, batch.column(batch.schema.get_field_index(id_col)))

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import bounded_batches, utf8, written
+from curatrix.llm.common import bounded_batches, giving_back, utf8, written
 from curatrix.llm.graph import components
 from curatrix.llm.idmap import choose, is_wanted, wanted_map
 from curatrix.llm.sharing import KEY_BITS, SCHEMA, Blocks, shared_keys, sizes
@@ -22,7 +22,7 @@ from curatrix.llm.suffixes import refine
 # (a + b) * (1 - 0.8) / (1 + 0.8) = (a + b) / 9 tokens.
 _SHARE, _OF = 80, 100
 _ALONE = 3  # sets of at most so many tokens are only similar to their equals
-_TOKENS = 1 << 20  # worked on at once
+_TOKENS = 1 << 19  # worked on at once
 _SHAPE = ("band", "own_skip", "next_skip")
 _FOLDED = 16  # 64-bit words of the sketch that every set has
 _WIDEST = 64  # and at most of a wide one
@@ -195,7 +195,7 @@ def sketches(owner: np.ndarray, token: np.ndarray, sizes_: np.ndarray) -> tuple[
     wide: list[np.ndarray] = [np.zeros(0, np.int64)] * len(sizes_)
     for width in np.unique(words).tolist():
         bits = 64 * width
-        for some in np.array_split(rows := np.flatnonzero(words == width), -(-len(rows) * bits // (1 << 22)) or 1):
+        for some in np.array_split(rows := np.flatnonzero(words == width), -(-len(rows) * bits // (1 << 21)) or 1):
             place = np.full(len(sizes_), -1)
             place[some] = np.arange(len(some))
             mine = place[owner]
@@ -290,6 +290,7 @@ def _digests(owner: np.ndarray, token: np.ndarray, count: int) -> tuple[np.ndarr
 
 def set_table(docs: DataFrame) -> DataFrame:
     """`id`, size, digests and index shape of the shingle set of every text."""
+    @giving_back
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             owner, token, count = _sets_in(batch, 1)
@@ -320,6 +321,7 @@ def _portions(
 
 def candidate_keys(docs: DataFrame, wanted, parts: int, partitions: int) -> DataFrame:
     """`id`, `key` of every wanted set for the keys that several sets have."""
+    @giving_back
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = Blocks(parts)
         for batch in batches:
@@ -353,6 +355,7 @@ def verified(docs: DataFrame, pairs: DataFrame, tag: str) -> DataFrame:
     )
     second = dealt.join(texts, F.col("b") == F.col("id")).select("a", "deal", "b", F.col("text").alias("text_b"))
 
+    @giving_back
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             who_a, token_a, n_a = _sets_in(batch, 2)

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import bounded_batches, strings, written
+from curatrix.llm.common import bounded_batches, giving_back, strings, written
 
 CAPACITY = 2048
 DRAWS = 16  # patterns tried for each length
@@ -109,6 +109,7 @@ def pieces(
     schema = f"id {id_type}, piece int, start long, length int, ids_crc32 long, slice int, nth long"
     schema += ", ids array<long>" * with_ids
 
+    @giving_back
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _text_ids(json_path, ranks_path)
         task = TaskContext.get()
@@ -331,6 +332,7 @@ def pack(
     ranked = ranked.drop("slice", "nth", "before")
     names = [c for c in ranked.columns if c != "rank"]
 
+    @giving_back
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             length = batch.column(batch.schema.get_field_index("length")).to_numpy(zero_copy_only=False)

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import bounded_batches, logistic, strings, written
+from curatrix.llm.common import bounded_batches, giving_back, logistic, strings, written
 
 FEATURES = ("size", "variety", "repeated", "upper", "marks", "bars", "digits", "word_length")
 
@@ -36,6 +36,7 @@ def text_features(text: str) -> tuple[float, ...]:
 
 
 def _measured(rows: DataFrame, key: str, key_type: str) -> DataFrame:
+    @giving_back
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x = np.asarray([text_features(t) for t in strings(batch.column(1))]).reshape(-1, len(FEATURES))
@@ -79,6 +80,7 @@ def evidence(docs: DataFrame, weights: np.ndarray | None, base: float) -> DataFr
     """`doc_id`, `host`, `path` and `p_text`, the classifier's probability that a text is good."""
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
 
+    @giving_back
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if weights is None:

@@ -11,7 +11,7 @@ import pyarrow.compute  # noqa: F401 - `pa.compute` is used in tasks
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import bounded_batches, utf8, written
+from curatrix.llm.common import bounded_batches, giving_back, utf8, written
 from curatrix.llm.idmap import choose, wanted_map
 from curatrix.llm.sharing import SCHEMA, Blocks, cut, shared_keys, sizes, unpack_ids, unpack_keys
 from curatrix.llm.suffixes import LENGTH, SPAN, STEP, buckets26, buckets50, refine, stretches
@@ -25,6 +25,7 @@ _MARKS = "id long, digest long, spans binary"
 
 def _first_buckets(texts: DataFrame, parts: int) -> DataFrame:
     """The initial buckets: the keys of all windows of every text."""
+    @giving_back
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blocks = Blocks(parts)
         for batch in batches:
@@ -178,6 +179,7 @@ def _refined(texts: DataFrame, shared: DataFrame, parts: int) -> DataFrame:
     )
     joined = texts.join(kept, F.col("id") == F.col("_id"), "left").select("id", "digest", "text", "keys", "deals")
 
+    @giving_back
     def refine_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -234,6 +236,7 @@ def _as_columns(marks: Iterator[tuple]) -> Iterator[tuple[bytes, bytes, bytes]]:
 
 def _marks(entries: DataFrame, partitions: int) -> DataFrame:
     """Spans of each text that a text of a smaller id also has."""
+    @giving_back
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple]] = {}
         for batch in batches:
@@ -331,6 +334,7 @@ def _apply(texts: DataFrame, marks: DataFrame) -> DataFrame:
     joined = texts.join(by_id.withColumnRenamed("id", "_id"), F.col("id") == F.col("_id"), "left")
     schema = "id long, digest long, n_removed long, n_spans long, kept_sha256 string"
 
+    @giving_back
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
@@ -458,6 +462,7 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     text_at, names = docs.columns.index("text"), docs.columns
     chars = docs.schema["n_chars"].dataType if "n_chars" in names else None
 
+    @giving_back
     def cut_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, left = batch.column(text_at).to_pylist(), []

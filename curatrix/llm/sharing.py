@@ -13,6 +13,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from curatrix.llm.common import giving_back
+
 BLOCK_KEYS = 1 << 19
 KEY_BITS = 47  # of a key that travel; equal keys stay equal, a rare false match is harmless
 SCHEMA = "part int, settled boolean, ids binary, owners binary, keys binary"
@@ -129,6 +131,7 @@ def _shared_of_part(blocks: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.nda
 
 def shared_keys(blocks: DataFrame, partitions: int) -> DataFrame:
     """`id`, `key` of the keys that several documents have, each pair at least once."""
+    @giving_back
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         found: list[tuple[np.ndarray, np.ndarray]] = []

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from curatrix.llm.common import bounded_batches, strings, utf8
+from curatrix.llm.common import bounded_batches, giving_back, strings, utf8
 
 # A word end, one space and a word start, all ASCII: no token of either library spans it.
 _SAFE = re.compile(r"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
@@ -92,6 +92,7 @@ def token_counts(
     bounded_batches(docs.sparkSession)
     id_type = docs.schema[id_col].dataType
 
+    @giving_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lengths, keep_space = _counter(model_path)
         for batch in batches:

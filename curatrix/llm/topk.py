@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import bounded_batches
+from curatrix.llm.common import bounded_batches, giving_back
 
 LISTS = 4  # groups of components; each gives a list of partial scores
 QUERY_BLOCK = 1024  # queries looked for at once
@@ -56,6 +56,7 @@ def _partials(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 def _local_lists(table: DataFrame, queries, k: int) -> DataFrame:
     """Phase 1: the best partial scores of each list within each task, with whole scores."""
+    @giving_back
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, matrix, _ = queries.value
         best: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -111,6 +112,7 @@ def _resolved(table: DataFrame, queries, cutoffs, k: int) -> DataFrame:
     belongs to the result is left out. Those let through get their whole scores, and
     only scores that reach the cutoff leave the task, at most `k` for each query.
     """
+    @giving_back
     def resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, matrix, times = queries.value
         cutoff = cutoffs.value

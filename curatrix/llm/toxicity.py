@@ -13,7 +13,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import bounded_batches, logistic, strings
+from curatrix.llm.common import bounded_batches, giving_back, logistic, strings
 
 _WORD = re.compile(r"\w+")
 _REPEATS = 3  # a window below zstandard's smallest gain would not be compressed at all
@@ -123,6 +123,7 @@ def word_contexts(rows: DataFrame) -> DataFrame:
 
     Copies of one text add nothing, so its rare words do not look typical of its class.
     """
+    @giving_back
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: set[tuple[str, str, int]] = set()
@@ -237,6 +238,7 @@ def fit(
 
 def _features(rows: DataFrame, model: Model, key_field: str) -> DataFrame:
     """Key (first column) and compression features of each text (second column)."""
+    @giving_back
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = Windows(model.toxic, model.ordinary, model.key)
         for batch in batches:
@@ -273,6 +275,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
     bounded_batches(docs.sparkSession)
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
+    @giving_back
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = _windows(model)
         for batch in batches:
@@ -302,6 +305,7 @@ def without_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, **
     bounded_batches(docs.sparkSession)
     model = fit(docs, labels, **fit_options)
 
+    @giving_back
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = _windows(model)
         for batch in batches:

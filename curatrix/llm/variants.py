@@ -13,7 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curatrix.llm.common import bounded_batches, strings, written
+from curatrix.llm.common import bounded_batches, giving_back, strings, written
 
 TERMINATOR = "\x00"  # marks a word's end; no word may hold it
 _RUN = re.compile("[a-zÀ-ÿ]+")
@@ -62,6 +62,7 @@ def word_counts(
     """
     bounded_batches(docs.sparkSession)
 
+    @giving_back
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: Counter = Counter()
         for batch in batches:
