@@ -25,6 +25,9 @@ DATASET_WHITELIST = (
 DATASET_WHITELIST_PREFIXES = ("product_index",)
 
 
+_CLEAN = [("dataset", "none"), ("table", "All passing")]  # lines of a level without failures
+
+
 @dataclass(frozen=True)
 class Conventions:
     """Allowed prefixes, and names the audit skips; empty tuples skip nothing."""
@@ -42,10 +45,11 @@ def _skipped(c: Column, names: Sequence[str], prefixes: Sequence[str]) -> Column
     return exact | starts_with_any(c, prefixes)
 
 
-def naming_failures(inventory: DataFrame, rules: Conventions = Conventions()) -> DataFrame:
+def naming_failures(inventory: DataFrame, rules: Conventions = Conventions(), by: Sequence[str] = ()) -> DataFrame:
     """`(level, item)` for each dataset and table that breaks a convention.
 
-    A skipped dataset takes all its tables with it.
+    A skipped dataset takes all its tables with it. Columns `by`, such as the project, are
+    kept before them.
     """
     dataset, table = F.col("dataset_id"), F.col("table_id")
     checked = inventory.filter(
@@ -53,27 +57,37 @@ def naming_failures(inventory: DataFrame, rules: Conventions = Conventions()) ->
     )
     datasets = (
         checked.filter(~starts_with_any(dataset, rules.dataset_prefixes))
-        .select(F.lit("dataset").alias("level"), dataset.alias("item"))
+        .select(*by, F.lit("dataset").alias("level"), dataset.alias("item"))
         .distinct()
     )
     tables = checked.filter(
         table.isNotNull()
         & ~_skipped(table, rules.skip_tables, rules.skip_table_prefixes)
         & ~starts_with_any(table, rules.table_prefixes)
-    ).select(F.lit("table").alias("level"), F.concat_ws(".", dataset, table).alias("item"))
+    ).select(*by, F.lit("table").alias("level"), F.concat_ws(".", dataset, table).alias("item"))
     return datasets.unionByName(tables)
 
 
-def naming_report(inventory: DataFrame, rules: Conventions = Conventions()) -> DataFrame:
+def naming_report(inventory: DataFrame, rules: Conventions = Conventions(), by: Sequence[str] = ()) -> DataFrame:
     """Sorted report lines; a level without failures says so in one line.
 
-    The report stays one row per line, so its length is not bound by a task.
+    With `by` each of its values, as each project, has a report of its own, also one
+    without a failure. The report stays one row per line, so its length is not bound by a
+    task.
     """
-    failures = naming_failures(settle(inventory, "inventory"), rules)
-    clean = inventory.sparkSession.createDataFrame(
-        [("dataset", "none"), ("table", "All passing")], "level string, item string"
-    ).join(failures.select("level").distinct(), "level", "left_anti")
+    inventory = settle(inventory, "inventory")
+    failures = naming_failures(inventory, rules, by)
+    empty = inventory.sparkSession.createDataFrame(_CLEAN, "level string, item string")
+    if by:
+        empty = inventory.select(*by).distinct().select(
+            *by, F.inline(F.array(*(F.struct(F.lit(n).alias("level"), F.lit(i).alias("item")) for n, i in _CLEAN)))
+        )
+    failing = failures.select(*(F.col(c).alias(f"_{c}") for c in (*by, "level"))).distinct()
+    same = F.lit(True)
+    for c in (*by, "level"):  # a null project is one as any other
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    clean = empty.join(failing, same, "left_anti")
     lines = failures.withColumn("line", F.concat(F.lit("\n"), "item")).unionByName(
         clean.withColumn("line", F.col("item"))
     )
-    return lines.orderBy("level", "item")
+    return lines.orderBy(*by, "level", "item")

@@ -13,10 +13,13 @@ from curatrix.sources.inventory import inventory as checked_inventory
 
 
 def naming_audit(
-    inventory: DataFrame, rules: Conventions = Conventions(), now: Column | None = None
+    inventory: DataFrame, rules: Conventions = Conventions(), now: Column | None = None, by_project: bool = False
 ) -> DataFrame:
-    """The naming report, with the clock time of `now` on every line when it is given."""
-    report = naming_report(checked_inventory(inventory), rules)
+    """The naming report, with the clock time of `now` on every line when it is given.
+
+    `by_project` gives each project of the inventory its own report and names it on every line.
+    """
+    report = naming_report(checked_inventory(inventory), rules, ("project",) if by_project else ())
     return report if now is None else report.withColumn("time", clock_text(now))
 
 

@@ -493,7 +493,7 @@ def suffix_cases(t: Tables) -> DataFrame:
 
 # --- inventory -------------------------------------------------------------------------
 
-def order_inventory(t: Tables) -> DataFrame:
+def order_inventory(t: Tables, project: Column | None = None) -> DataFrame:
     """One table per order; datasets follow status and priority."""
     prefix = (
         F.when(F.col("o_orderstatus") == "F", "raw_")
@@ -513,7 +513,7 @@ def order_inventory(t: Tables) -> DataFrame:
     )
     created = F.col("o_orderdate").cast("timestamp")
     return t.orders.select(
-        F.lit("test").alias("project"),
+        (F.lit("test") if project is None else project).alias("project"),
         dataset.alias("dataset_id"),
         table.alias("table_id"),
         F.when(F.col("o_orderpriority") == "5-LOW", "VIEW").otherwise("TABLE").alias("table_type"),

@@ -325,6 +325,26 @@ def job_naming_audit(t):
     return inventory.naming_audit(i.order_inventory(t))
 
 
+@query(
+    "job_naming_by_project",
+    f"""{NAMING_SQL.replace("SELECT * FROM inventory", "SELECT *, 'p-' || (o_key % 50) AS project FROM inventory")
+                   .replace("SELECT DISTINCT 'dataset' AS level", "SELECT DISTINCT project, 'dataset' AS level")
+                   .replace("SELECT 'table',", "SELECT project, 'table',")
+                   .replace("SELECT CASE WHEN o_orderpriority = '1-URGENT'", "SELECT o_custkey AS o_key, CASE WHEN o_orderpriority = '1-URGENT'")},
+        projects AS (SELECT DISTINCT 'p-' || (o_custkey % 50) AS project FROM orders)
+        SELECT project, level, item, chr(10) || item AS line FROM failed
+        UNION ALL SELECT project, 'dataset', 'none', 'none' FROM projects
+        WHERE project NOT IN (SELECT project FROM failed WHERE level = 'dataset')
+        UNION ALL SELECT project, 'table', 'All passing', 'All passing' FROM projects
+        WHERE project NOT IN (SELECT project FROM failed WHERE level = 'table')""",
+)
+def job_naming_by_project(t):
+    """A report for each of many projects, some without a failure."""
+    project = F.concat(F.lit("p-"), F.col("o_custkey") % 50)
+    listed = i.order_inventory(t, project)
+    return inventory.naming_audit(listed, by_project=True)
+
+
 @query(
     "job_table_age",
     f"""WITH {i.INVENTORY_SQL},

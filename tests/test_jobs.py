@@ -310,6 +310,17 @@ def test_naming_audit_with_and_without_whitelists(spark):
     assert [(r.level, r.line) for r in fine] == [("dataset", "none"), ("table", "All passing")]
 
 
+def test_naming_audit_by_project(spark):
+    given = [("a", "raw_x", "banking_x"), ("b", "misc", "x"), ("b", "misc", "omni_y"), ("c", "raw_x", "x"), (None, "raw_x", "x")]
+    listed_ = from_records(spark, [(p, d, t, "TABLE", NOW, NOW) for p, d, t in given], schemas.INVENTORY)
+    out = inventory.naming_audit(listed_, by_project=True).collect()
+    assert {(r.project, r.level, r.item) for r in out} == {
+        ("a", "dataset", "none"), ("a", "table", "All passing"), ("b", "dataset", "misc"), ("b", "table", "misc.x"),
+        ("c", "dataset", "none"), ("c", "table", "raw_x.x"), (None, "dataset", "none"), (None, "table", "raw_x.x"),
+    }
+    assert [r.project for r in out] == sorted((r.project for r in out), key=lambda p: p or "")
+
+
 def test_audit_time_and_stamped_path(spark):
     out = inventory.naming_audit(listed(spark, ("raw_x", "banking_x")), now=F.lit(NOW)).collect()
     assert {r.time for r in out} == {"12:00 PM"}
