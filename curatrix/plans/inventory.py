@@ -42,5 +42,5 @@ def table_ages(inventory: DataFrame, now: Column, dataset: str | None = None, mi
     )
 
 
-def export(inventory: DataFrame, load, root: str, fmt: str = "parquet") -> DataFrame:
-    return export_tables(checked_inventory(inventory), load, root, fmt)
+def export(inventory: DataFrame, load, root: str, fmt: str = "parquet", max_bytes: int | None = None) -> DataFrame:
+    return export_tables(checked_inventory(inventory), load, root, fmt, max_bytes=max_bytes)

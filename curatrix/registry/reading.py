@@ -213,6 +213,31 @@ def inventory_scan(t):
     )
 
 
+SHARD_BYTES = 1 << 20
+
+
+@query(
+    "export_shards",
+    """SELECT 'given.' || t AS table, n AS n_rows, n AS n_read, 'done' AS status, true AS bounded FROM (
+           SELECT 'documents' AS t, count(*) AS n FROM documents UNION ALL SELECT 'orders', count(*) FROM orders
+           UNION ALL SELECT 'lineitem', count(*) FROM lineitem)""",
+)
+def export_shards(t):
+    """Tables exported in shards of bounded size, read back and measured."""
+    names = ("documents", "orders", "lineitem")
+    listed = given_tables_inventory(t, "given").filter(F.col("table_id").isin(*names))
+    load = lambda spark, dataset, table: getattr(t, table)
+    root = shared_dir(t.spark, "shards")
+    manifest = export_tables(listed, load, root, max_bytes=SHARD_BYTES)
+    files = t.spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true").load(root)
+    name = F.regexp_extract("path", "/([^/]+)/part-", 1)
+    largest = files.groupBy(name.alias("name")).agg(F.max("length").alias("largest"))
+    counts = [t.spark.read.parquet(f"{root}/given/{n}").select(F.lit(f"given.{n}").alias("read")) for n in names]
+    read = counts[0].union(counts[1]).union(counts[2]).groupBy("read").agg(F.count(F.lit(1)).alias("n_read"))
+    joined = manifest.join(read, F.col("table") == F.col("read")).join(largest, F.col("table") == F.concat(F.lit("given."), "name"))
+    return joined.select("table", "n_rows", "n_read", "status", (F.col("largest") <= SHARD_BYTES).alias("bounded"))
+
+
 def live_inventory(t):
     """The catalog's inventory while the given tables are registered in it, and a view."""
     name = f"curatrix_{uuid.uuid4().hex[:12]}"

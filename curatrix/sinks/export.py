@@ -8,6 +8,9 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from curatrix.session import forget
+from curatrix.sinks.tables import bounded_parts
+
 MANIFEST = "table string, path string, n_rows bigint, status string, error string"
 
 
@@ -27,6 +30,7 @@ def export_tables(
     fmt: str = "parquet",
     rows_per_file: int = 10_000_000,
     at_once: int = 4,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Write each base table to `<root>/<dataset>/<table>` and return a manifest.
 
@@ -34,6 +38,10 @@ def export_tables(
     `at_once` of them run side by side. Rows are counted as they are written. A failed
     table is recorded with its whole error and the run goes on. `fmt="avro"` needs the
     external Avro module on the class path.
+
+    A table is sharded into files of at most `rows_per_file` rows. With `max_bytes` files
+    are bounded in bytes too: a row counts with the size of its JSON text, which the
+    columnar and binary formats stay below.
     """
     spark = inventory.sparkSession
 
@@ -45,9 +53,15 @@ def export_tables(
         relative = f"{entry.dataset_id}/{entry.table_id}"
         counted = Observation()
         try:
-            rows = load(spark, entry.dataset_id, entry.table_id).observe(counted, F.count(F.lit(1)).alias("n"))
+            rows, measured = load(spark, entry.dataset_id, entry.table_id), None
+            if max_bytes is not None:
+                text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns]))
+                rows, measured = bounded_parts(rows, F.octet_length(text), max_bytes, "export-rows")
+            rows = rows.observe(counted, F.count(F.lit(1)).alias("n"))
             writer = rows.write.mode("overwrite").format(fmt).option("maxRecordsPerFile", rows_per_file)
             writer.save(f"{root.rstrip('/')}/{relative}")
+            if measured is not None:
+                forget(measured)
             return name, relative, counted.get["n"], "done", None
         except Exception as failure:  # noqa: BLE001 - recorded per table
             return name, relative, None, "failed", str(failure)

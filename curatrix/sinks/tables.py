@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -73,25 +73,19 @@ def _text_row(df: DataFrame, one_line: bool) -> DataFrame:
     return df.select(*columns)
 
 
-def write_csv(df: DataFrame, path: str, max_bytes: int = 128 << 20, one_line: bool = False) -> str:
-    """CSV folder with a header, in files of at most `max_bytes`; array columns become JSON text.
+def bounded_parts(rows: DataFrame, size: Column, max_bytes: int, tag: str) -> tuple[DataFrame, DataFrame]:
+    """The rows, each part of at most `max_bytes` in a partition of its own, and the frame to `forget` after.
 
-    Lines are measured as they will be written. Where a task's rows stay within the bound
-    they make one file. Else they are dealt to files by their running size, and a line of
-    more than half the bound gets a file of its own; only a single line can be longer
-    than the bound. `one_line` escapes line breaks in values, so that
-    readers can split a file (see `scan_csv`).
+    `size` are the bytes that a row takes. A task's rows make one part where they stay
+    within the bound. Else they are dealt to parts by their running size, and a row of
+    more than half the bound gets a part of its own; only a single row can exceed it.
     """
-    flat = _text_row(df, one_line)
-    names = [F.col(f"`{c}`") for c in flat.columns]
-    # The JVM's own writer measures the line; two bytes for its end.
-    options = {k: v for k, v in CSV_OPTIONS.items() if k != "header"}
-    size = (F.octet_length(F.to_csv(F.struct(*[c.cast("string") for c in names]), options)) + 2).cast("long")
+    columns = [F.col(f"`{c}`") for c in rows.columns]
     measured = materialise(
-        flat.withColumn("_size", size)
+        rows.withColumn("_size", size.cast("long"))
         .withColumn("_task", F.spark_partition_id())
         .withColumn("_at", F.monotonically_increasing_id()),
-        "csv-rows",
+        tag,
     )
     half = max(1, max_bytes // 2)
     large = F.col("_size") > half
@@ -100,13 +94,13 @@ def write_csv(df: DataFrame, path: str, max_bytes: int = 128 << 20, one_line: bo
         F.coalesce(F.sum(F.when(~large, F.col("_size"))), F.lit(0)).alias("small"),
         F.count_if(large).alias("n_large"),
     )
-    files, first = [], 0
+    parts, first = [], 0
     for t in sums.orderBy("_task").collect():  # three numbers for each task that wrote rows
         whole = t["all"] <= max_bytes
         n_small = 1 if whole else t["small"] // half + 1
-        files.append((t["_task"], first, first + n_small, whole))
+        parts.append((t["_task"], first, first + n_small, whole))
         first += n_small + (0 if whole else t["n_large"])
-    numbers = df.sparkSession.createDataFrame(files, "_task int, _first int, _first_large int, _whole boolean")
+    numbers = rows.sparkSession.createDataFrame(parts, "_task int, _first int, _first_large int, _whole boolean")
     alone = large & ~F.col("_whole")
     before = Window.partitionBy("_task").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     running = F.coalesce(F.sum(F.when(~alone, F.col("_size")).otherwise(0)).over(before), F.lit(0))
@@ -116,8 +110,21 @@ def write_csv(df: DataFrame, path: str, max_bytes: int = 128 << 20, one_line: bo
         .when(large, F.col("_first_large") + n_before)
         .otherwise(F.col("_first") + F.floor(running / half))
     )
-    dealt = measured.join(F.broadcast(numbers), "_task").withColumn("_file", number.cast("int"))
-    rows = dealt.repartitionById(max(1, first), "_file").sortWithinPartitions("_at")
-    rows.select(*names).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    dealt = measured.join(F.broadcast(numbers), "_task").withColumn("_part", number.cast("int"))
+    return dealt.repartitionById(max(1, first), "_part").sortWithinPartitions("_at").select(*columns), measured
+
+
+def write_csv(df: DataFrame, path: str, max_bytes: int = 128 << 20, one_line: bool = False) -> str:
+    """CSV folder with a header, in files of at most `max_bytes`; array columns become JSON text.
+
+    Lines are measured as they will be written (see `bounded_parts`). `one_line` escapes
+    line breaks in values, so that readers can split a file (see `scan_csv`).
+    """
+    flat = _text_row(df, one_line)
+    # The JVM's own writer measures the line; two bytes for its end.
+    options = {k: v for k, v in CSV_OPTIONS.items() if k != "header"}
+    line = F.to_csv(F.struct(*[F.col(f"`{c}`").cast("string") for c in flat.columns]), options)
+    rows, measured = bounded_parts(flat, F.octet_length(line) + 2, max_bytes, "csv-rows")
+    rows.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
     forget(measured)
     return path

@@ -362,6 +362,17 @@ def test_export_records_failures_and_goes_on(spark):
     assert spark.read.parquet(f"{root}/d/z").count() == 3
 
 
+def test_export_in_shards_of_bounded_size(spark):
+    root = shared_dir(spark, "shards-test")
+    wide = spark.range(400).select("id", F.concat(*[F.md5(F.concat("id", F.lit(str(n)))) for n in range(40)]).alias("v"))
+    one = wide.limit(1).select(F.lit(-1).alias("id"), F.array_join(F.transform(F.sequence(F.lit(1), F.lit(4000)), lambda i: F.md5(i.cast("string"))), "").alias("v"))
+    manifest = inventory.export(listed(spark, ("d", "t")), lambda s, d, t: wide.repartition(2).unionByName(one), root, max_bytes=100_000)
+    assert [(r.status, r.n_rows) for r in manifest.collect()] == [("done", 401)]
+    sizes = sorted(part_sizes(f"{root}/d/t"))
+    assert len(sizes) >= 7 and sizes[-2] <= 100_000 < sizes[-1]  # one row alone is larger
+    assert spark.read.parquet(f"{root}/d/t").select("id").distinct().count() == 401
+
+
 def test_inventory_from_the_catalog(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS listed")
     spark.sql("CREATE DATABASE IF NOT EXISTS nothing")
