@@ -48,6 +48,7 @@ ARTICLES = struct(
     url=TEXT,
     concepts=T.ArrayType(struct(uri=TEXT)),
 )
+# The columns of the outlet table, in its order.
 OUTLETS = struct(
     domain_name_root=TEXT,
     domain_name=TEXT,

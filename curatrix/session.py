@@ -50,18 +50,22 @@ def _local_root() -> str:
     return root
 
 
+def _root(spark: SparkSession) -> str:
+    root = spark.conf.get("spark.checkpoint.dir", "")
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        root = _local_root()
+    return root
+
+
 def shared_dir(spark: SparkSession, tag: str) -> str:
     """A fresh path below the folder the cluster names in `spark.checkpoint.dir`.
 
     Without that setting only a local master gets a temporary folder, because a
     machine-local path is not visible to the executors of a cluster.
     """
-    root = spark.conf.get("spark.checkpoint.dir", "")
-    if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = _local_root()
-    return os.path.join(root, f"{spark.sparkContext.applicationId}-{tag}-{uuid.uuid4().hex[:12]}")
+    return os.path.join(_root(spark), f"{spark.sparkContext.applicationId}-{tag}-{uuid.uuid4().hex[:12]}")
 
 
 def materialise(df: DataFrame, tag: str) -> DataFrame:
@@ -86,6 +90,19 @@ def forget(stored: DataFrame) -> None:
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def forget_all(spark: SparkSession) -> int:
+    """Remove every intermediate table that this application has left; returns how many.
+
+    For the end of a job, when none of its frames is read any more.
+    """
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(os.path.join(_root(spark), f"{spark.sparkContext.applicationId}-*"))
+    files = pattern.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [status.getPath() for status in files.globStatus(pattern) or ()]
+    for path in found:
+        files.delete(path, True)
+    return len(found)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = 200_000, max_bytes: int = 32 << 20) -> DataFrame:
     """Mark `df` for broadcast only after its rows and bytes were measured.
 

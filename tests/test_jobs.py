@@ -491,6 +491,17 @@ def test_line_escapes_come_back(spark):
     assert all(r.t == r.b and "\n" not in r.e and "\r" not in r.e for r in out)
 
 
+def test_intermediate_tables_are_forgotten(spark, tmp_path, monkeypatch):
+    from curatrix import session
+
+    monkeypatch.setattr(session, "_local_root", lambda: str(tmp_path))
+    first, second = session.materialise(spark.range(3), "a"), session.materialise(spark.range(4), "b")
+    (tmp_path / "other-application").mkdir()
+    session.forget(first)
+    assert second.count() == 4 and len(list(tmp_path.iterdir())) == 2
+    assert session.forget_all(spark) == 1 and [p.name for p in tmp_path.iterdir()] == ["other-application"]
+
+
 def test_names_are_parameters_too(spark):
     spark.range(3).createOrReplaceTempView("named_rows")
     sql = "SELECT IDENTIFIER(:column) AS v FROM IDENTIFIER(:table) WHERE id > :least"
