@@ -494,7 +494,7 @@ def test_line_escapes_come_back(spark):
 def test_intermediate_tables_are_forgotten(spark, tmp_path, monkeypatch):
     from curatrix import session
 
-    monkeypatch.setattr(session, "_local_root", lambda: str(tmp_path))
+    monkeypatch.setattr(session, "_root", lambda _: str(tmp_path))
     first, second = session.materialise(spark.range(3), "a"), session.materialise(spark.range(4), "b")
     (tmp_path / "other-application").mkdir()
     session.forget(first)
