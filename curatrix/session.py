@@ -127,19 +127,22 @@ def settle(df: DataFrame, tag: str) -> DataFrame:
     return df if _is_scan(df) else materialise(df, tag)
 
 
+# A table beyond this has splits enough; dealing it out anew would cost more than it gives.
+SPREAD_BYTES = 1 << 30
+
+
 def spread(df: DataFrame) -> DataFrame:
-    """Give a CPU-heavy step over a small scan at least one partition per core.
+    """Give a CPU-heavy step over a small scan one partition per core.
 
-    Only frames that come straight from storage are looked at: how their files will be
-    split follows from sizes that are known before anything runs. A large scan has more
-    splits than cores and is left alone.
+    A small file may be one split, whatever it costs to work on. Only frames that come
+    straight from storage are looked at, and their size is known before anything runs.
     """
     if not _is_scan(df):
         return df
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     split = df.sparkSession._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    return df.repartition(cores) if size < cores * split else df
+    return df.repartition(cores) if size < min(SPREAD_BYTES, cores * split) else df
 
 
 def _is_scan(df: DataFrame) -> bool:
