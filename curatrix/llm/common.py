@@ -14,7 +14,7 @@ from curatrix.session import materialise
 
 # An Arrow batch holds whole texts; these bounds keep a worker's batch small.
 BATCH_ROWS = 1_000
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 2 << 20
 
 
 def bounded_batches(spark: SparkSession) -> None:
