@@ -112,7 +112,8 @@ def banded_distance(pattern: bytes, text: bytes, diagonal: int, width: int, edit
     """Fewest edits that turn `pattern` into a part of `text`, and the place where it ends.
 
     Only diagonals from `edits` before the band to `edits` behind it are filled: one row
-    of the matrix for each byte of the pattern, all diagonals of the row at once.
+    of the matrix for each byte of the pattern, all diagonals of the row at once. Beyond
+    `edits` the distance is only known to be more.
     """
     n, span = len(pattern), 2 * width + 2 * edits + 1
     first = diagonal - edits
@@ -128,6 +129,8 @@ def banded_distance(pattern: bytes, text: bytes, diagonal: int, width: int, edit
         new = row + (room[i : i + span] != byte)
         new[:-1] = np.minimum(new[:-1], row[1:] + 1)
         row = np.minimum.accumulate(new - steps) + steps
+        if i % 16 == 15 and row.min() > edits:
+            return edits + 1, 0  # costs never fall from row to row
     ends = first + steps + n
     row = np.where((ends >= 0) & (ends <= len(text)), row, n + span)
     best = int(np.argmin(row))
