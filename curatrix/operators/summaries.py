@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from curatrix.functions.arrays import empty_strings
 from curatrix.functions.text import contains_term
-from curatrix.session import broadcast_if_small, materialise, spread
+from curatrix.session import materialise, spread
 
 # An end mark ends a sentence before white space, with the quotes that close it, and not
 # after a single letter, so decimals and initials stay whole. The mark is found first; what
@@ -17,7 +17,7 @@ from curatrix.session import broadcast_if_small, materialise, spread
 _END = r"""([.!?](?<=(?:[A-Za-zÀ-ÿ]{2}|[^A-Za-zÀ-ÿ\s])[.!?])[.!?]*["')\]]*)[ \t]+"""
 CUE_BOOST = 20_000_000
 
-# Bounds of a table of word weights that every task holds.
+# Bounds of the table of word weights that every task holds.
 HELD_WORDS = 1_000_000
 HELD_BYTES = 64 << 20
 
@@ -48,31 +48,58 @@ def word_weights(texts: DataFrame, text: str) -> DataFrame:
         .select(F.explode(F.array_distinct(words(F.col(text)))).alias("word"))
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("n"))
-        .select("word", F.round(F.ln(F.lit(n_texts) / F.col("n")) * 1_000_000).cast("long").alias("weight"))
+        .select("word", "n", F.round(F.ln(F.lit(n_texts) / F.col("n")) * 1_000_000).cast("long").alias("weight"))
     )
 
 
+def _step(n: Column) -> Column:
+    """Quarters of an octave: numbers of texts that are held or not held together."""
+    return F.floor(F.log2(n) * 4).cast("int")
+
+
+def held_from(weights: DataFrame, max_rows: int, max_bytes: int) -> int:
+    """The least step of which all words, with those of more texts, stay within the bounds."""
+    sizes = (
+        weights.groupBy(_step(F.col("n")).alias("step"))
+        .agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length("word") + 32).alias("bytes"))
+        .orderBy(F.desc("step"))
+        .collect()  # four numbers for each doubling of a word's texts
+    )
+    n_rows = n_bytes = 0
+    least = sizes[0]["step"] + 1 if sizes else 0
+    for size in sizes:
+        n_rows, n_bytes = n_rows + size["rows"], n_bytes + size["bytes"]
+        if n_rows > max_rows or n_bytes > max_bytes:
+            break
+        least = size["step"]
+    return least
+
+
 def rarity_scores(numbered: DataFrame, text: str, cues: Sequence[str] = ()) -> DataFrame:
     """`_row`, `position` and `score`: summed weight of a sentence's words, repeats included, and boosts.
 
-    Weights that are few enough travel to the texts, and only numbers are shuffled. Beyond
-    that hot words are added up per sentence before they meet their weights, and a join
-    partition that stays hot is split.
+    The weights of the words that most texts have, as many as the bounds allow, travel to
+    the texts and are added up there. Only the other words, each of few texts, are
+    shuffled to meet their weights. All else that is shuffled are numbers.
     """
     weights = materialise(word_weights(numbered, text), "weights")
-    held = broadcast_if_small(weights, HELD_WORDS, HELD_BYTES)
+    least = held_from(weights, HELD_WORDS, HELD_BYTES)
+    step = _step(F.col("n"))
+    held = F.broadcast(weights.filter(step >= least).select("word", "weight"))
     found = numbered.select("_row", F.posexplode(sentences(F.col(text))).alias("position", "sentence"))
-    used = found.select(
+    # Two steps, so a sentence's cues are looked for once and not for each of its words.
+    found = found.select(
         "_row", "position", boosted(F.lit(0).cast("long"), F.col("sentence"), cues).alias("boost"),
-        F.explode(words(F.col("sentence"))).alias("word"),
+        words(F.col("sentence")).alias("words"),
     )
-    if held is weights:
-        used = used.groupBy("_row", "position", "boost", "word").agg(F.count(F.lit(1)).alias("n"))
-    else:
-        used = used.withColumn("n", F.lit(1))
-    weighed = used.join(held, "word", "left")
-    total = F.sum(F.col("n") * F.coalesce("weight", F.lit(0)))
-    return weighed.groupBy("_row", "position").agg((total + F.first("boost")).alias("score"))
+    used = found.select("_row", "position", "boost", F.explode("words").alias("word"))
+    weighed = used.join(held, "word", "left").select("_row", "position", "boost", F.coalesce("weight", F.lit(0)).alias("weight"))
+    if not weights.filter(step < least).isEmpty():
+        # Every sentence has its row and its boost above.
+        others = used.join(held, "word", "left_anti").select("_row", "position", "word")
+        rare = others.join(weights.filter(step < least).select("word", "weight"), "word")
+        weighed = weighed.unionByName(rare.select("_row", "position", F.lit(0).cast("long").alias("boost"), "weight"))
+    return weighed.groupBy("_row", "position").agg((F.sum("weight") + F.max("boost")).alias("score"))
 
 
 def _bullet(sentence: Column) -> Column:

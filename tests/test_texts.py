@@ -270,3 +270,33 @@ def test_sentences_are_whole(spark):
     assert given.select(sentences(F.col("body")).alias("s")).first().s == [
         "Revenue rose 3.5% to $1.5bn in the U.S. market.", 'It said "no!"', "Then?", "Ok.", "A heading", "and an open end",
     ]
+
+
+def test_only_rare_words_are_shuffled_to_their_weights(spark, monkeypatch):
+    """With few words held, the others meet their weights by word; the scores stay the same."""
+    from collections import Counter
+    from math import log
+
+    from curatrix.operators import summaries
+
+    texts = {n: f"The one of {'x' * (n % 5)} the many. Rare{n} of of.\nNo{n // 2} word{n // 7} the" for n in range(40)}
+    texts |= {40: None, 41: "", 42: "the the the rare1"}
+    found = Counter(w for t in texts.values() if t is not None for w in set(t.lower().split(" ")))
+    weight = {w: round(log(42 / n) * 1_000_000) for w, n in found.items()}
+    expected = {
+        (k, p): sum(weight.get(w, 0) for w in s.lower().split(" ")) + 20_000_000 * ("many" in s)
+        for k, t in texts.items()
+        for p, s in enumerate(x for x in (t or "").replace(". ", ".\n").split("\n") if x)
+    }
+    numbered = spark.createDataFrame(list(texts.items()), "_row long, body string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for n_held in (0, 3, 12, 1_000):
+            monkeypatch.setattr(summaries, "HELD_WORDS", n_held)
+            scores = summaries.rarity_scores(numbered, "body", ["many"])
+            assert {(r["_row"], r.position): r.score for r in scores.collect()} == expected
+            plan = scores._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastHashJoin" in plan and ("SortMergeJoin" in plan) == (n_held < 1_000)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
