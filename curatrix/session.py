@@ -8,6 +8,7 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,14 +69,14 @@ def shared_dir(spark: SparkSession, tag: str) -> str:
     return os.path.join(_root(spark), f"{spark.sparkContext.applicationId}-{tag}-{uuid.uuid4().hex[:12]}")
 
 
-def materialise(df: DataFrame, tag: str) -> DataFrame:
-    """Write `df` to the shared folder and read it back.
+def materialise(df: DataFrame, tag: str, by: Sequence[str] = ()) -> DataFrame:
+    """Write `df` to the shared folder and read it back, in a folder for each value of `by`.
 
     Later stages then restart from the written table when an executor is lost,
     and every reader sees the same rows in the same slices. See `forget`.
     """
     path = shared_dir(df.sparkSession, tag)
-    df.write.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
     stored = df.sparkSession.read.schema(df.schema).parquet(path)
     stored._stored_at = path
     return stored
@@ -85,9 +86,13 @@ def forget(stored: DataFrame) -> None:
     """Remove what `materialise` wrote for this frame, once nothing reads it any more."""
     path = getattr(stored, "_stored_at", None)
     if path is not None:
-        spark = stored.sparkSession
-        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+        remove(stored.sparkSession, path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def forget_all(spark: SparkSession) -> int:

@@ -8,8 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from curatrix.session import forget
-from curatrix.sinks.tables import bounded_parts
+from curatrix.sinks.tables import write_bounded
 
 MANIFEST = "table string, path string, n_rows bigint, status string, error string"
 
@@ -51,17 +50,16 @@ def export_tables(
             note = f"{name} is a {entry.table_type}, not a base table"
             return name, None, None, "skipped", note
         relative = f"{entry.dataset_id}/{entry.table_id}"
-        counted = Observation()
+        path = f"{root.rstrip('/')}/{relative}"
         try:
-            rows, measured = load(spark, entry.dataset_id, entry.table_id), None
+            rows = load(spark, entry.dataset_id, entry.table_id)
             if max_bytes is not None:
                 text = F.to_json(F.struct(*[F.col(f"`{c}`") for c in rows.columns]))
-                rows, measured = bounded_parts(rows, F.octet_length(text), max_bytes, "export-rows")
+                n_rows = write_bounded(rows, F.octet_length(text), max_bytes, path, fmt, rows_per_file=rows_per_file)
+                return name, relative, n_rows, "done", None
+            counted = Observation()
             rows = rows.observe(counted, F.count(F.lit(1)).alias("n"))
-            writer = rows.write.mode("overwrite").format(fmt).option("maxRecordsPerFile", rows_per_file)
-            writer.save(f"{root.rstrip('/')}/{relative}")
-            if measured is not None:
-                forget(measured)
+            rows.write.mode("overwrite").format(fmt).option("maxRecordsPerFile", rows_per_file).save(path)
             return name, relative, counted.get["n"], "done", None
         except Exception as failure:  # noqa: BLE001 - recorded per table
             return name, relative, None, "failed", str(failure)

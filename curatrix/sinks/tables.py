@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 from datetime import datetime
+from types import MappingProxyType
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from curatrix.functions.arrays import list_text
 from curatrix.functions.text import escape_lines
-from curatrix.session import forget, materialise
+from curatrix.session import forget, materialise, remove
 from curatrix.sources.files import CSV_OPTIONS
 
 
@@ -73,58 +75,75 @@ def _text_row(df: DataFrame, one_line: bool) -> DataFrame:
     return df.select(*columns)
 
 
-def bounded_parts(rows: DataFrame, size: Column, max_bytes: int, tag: str) -> tuple[DataFrame, DataFrame]:
-    """The rows, each part of at most `max_bytes` in a partition of its own, and the frame to `forget` after.
-
-    `size` are the bytes that a row takes. A task's rows make one part where they stay
-    within the bound. Else they are dealt to parts by their running size, and a row of
-    more than half the bound gets a part of its own; only a single row can exceed it.
+def write_bounded(
+    rows: DataFrame,
+    size: Column,
+    max_bytes: int,
+    path: str,
+    fmt: str,
+    options: Mapping[str, str] = MappingProxyType({}),
+    rows_per_file: int = 1 << 40,
+) -> int:
+    """Replace a folder by files of at most `max_bytes` and `rows_per_file` rows; returns the number of rows.
+
+    `size` are the bytes that a row takes. A task's rows make one file where they stay
+    within the bound. The others are written by size: rows of which two, four, eight, ...
+    always fit into a file are written together, so many to a file, and a row of more than
+    half the bound gets a file of its own; only a single row can exceed it. A task writes
+    file after file, so tasks follow the bytes and not the number of files, and no row is
+    shuffled for it. A write that fails leaves no files.
     """
+    spark = rows.sparkSession
     columns = [F.col(f"`{c}`") for c in rows.columns]
+    size = F.coalesce(size.cast("long"), F.lit(0))
+    fit = F.greatest(F.floor(F.lit(max_bytes) / F.greatest("_size", F.lit(1))), F.lit(1))
     measured = materialise(
-        rows.withColumn("_size", size.cast("long"))
+        rows.withColumn("_size", size)
         .withColumn("_task", F.spark_partition_id())
-        .withColumn("_at", F.monotonically_increasing_id()),
-        tag,
-    )
-    half = max(1, max_bytes // 2)
-    large = F.col("_size") > half
-    sums = measured.groupBy("_task").agg(
-        F.sum("_size").alias("all"),
-        F.coalesce(F.sum(F.when(~large, F.col("_size"))), F.lit(0)).alias("small"),
-        F.count_if(large).alias("n_large"),
-    )
-    parts, first = [], 0
-    for t in sums.orderBy("_task").collect():  # three numbers for each task that wrote rows
-        whole = t["all"] <= max_bytes
-        n_small = 1 if whole else t["small"] // half + 1
-        parts.append((t["_task"], first, first + n_small, whole))
-        first += n_small + (0 if whole else t["n_large"])
-    numbers = rows.sparkSession.createDataFrame(parts, "_task int, _first int, _first_large int, _whole boolean")
-    alone = large & ~F.col("_whole")
-    before = Window.partitionBy("_task").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    running = F.coalesce(F.sum(F.when(~alone, F.col("_size")).otherwise(0)).over(before), F.lit(0))
-    n_before = F.coalesce(F.sum(alone.cast("int")).over(before), F.lit(0))
-    number = (
-        F.when(F.col("_whole"), F.col("_first"))
-        .when(large, F.col("_first_large") + n_before)
-        .otherwise(F.col("_first") + F.floor(running / half))
+        .withColumn("_at", F.monotonically_increasing_id())
+        .withColumn("_doublings", F.length(F.bin(fit)) - 1)
+        .sortWithinPartitions("_doublings", "_at"),
+        "bounded-rows",
+        by=["_doublings"],
     )
-    dealt = measured.join(F.broadcast(numbers), "_task").withColumn("_part", number.cast("int"))
-    return dealt.repartitionById(max(1, first), "_part").sortWithinPartitions("_at").select(*columns), measured
+    n_rows, mode = 0, "overwrite"
+
+    def save(part: DataFrame, most: int) -> None:
+        nonlocal n_rows, mode
+        counted = Observation()
+        part = part.select(*columns).observe(counted, F.count(F.lit(1)).alias("n"))
+        part.write.mode(mode).format(fmt).options(**options).option("maxRecordsPerFile", most).save(path)
+        n_rows, mode = n_rows + counted.get["n"], "append"
+
+    # One number for each task that wrote rows.
+    sums = measured.groupBy("_task").agg(F.sum("_size").alias("all")).filter(F.col("all") <= max_bytes)
+    tasks = [(t["_task"], n) for n, t in enumerate(sums.select("_task").orderBy("_task").collect())]
+    whole = F.broadcast(spark.createDataFrame(tasks, "_task int, _file int"))
+    others = measured.join(whole, "_task", "left_anti") if tasks else measured
+    doublings = sorted(r["_doublings"] for r in others.select("_doublings").distinct().collect())
+    try:
+        if tasks or not doublings:
+            parts = measured.join(whole, "_task").repartitionById(max(1, len(tasks)), "_file")
+            save(parts.sortWithinPartitions("_at"), rows_per_file)
+        for n in doublings:
+            save(others.filter(F.col("_doublings") == n), min(rows_per_file, 1 << n))
+    except Exception:
+        remove(spark, path)
+        raise
+    finally:
+        forget(measured)
+    return n_rows
 
 
 def write_csv(df: DataFrame, path: str, max_bytes: int = 128 << 20, one_line: bool = False) -> str:
     """CSV folder with a header, in files of at most `max_bytes`; array columns become JSON text.
 
-    Lines are measured as they will be written (see `bounded_parts`). `one_line` escapes
+    Lines are measured as they will be written (see `write_bounded`). `one_line` escapes
     line breaks in values, so that readers can split a file (see `scan_csv`).
     """
     flat = _text_row(df, one_line)
     # The JVM's own writer measures the line; two bytes for its end.
     options = {k: v for k, v in CSV_OPTIONS.items() if k != "header"}
     line = F.to_csv(F.struct(*[F.col(f"`{c}`").cast("string") for c in flat.columns]), options)
-    rows, measured = bounded_parts(flat, F.octet_length(line) + 2, max_bytes, "csv-rows")
-    rows.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
-    forget(measured)
+    write_bounded(flat, F.octet_length(line) + 2, max_bytes, path, "csv", CSV_OPTIONS)
     return path

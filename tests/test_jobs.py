@@ -373,6 +373,32 @@ def test_export_in_shards_of_bounded_size(spark):
     assert spark.read.parquet(f"{root}/d/t").select("id").distinct().count() == 401
 
 
+def test_one_task_writes_many_shards(spark):
+    root = shared_dir(spark, "many-shards-test")
+    digits = F.array_join(F.transform(F.sequence(F.lit(1), F.col("id") % 90 + 1), lambda i: F.md5(i.cast("string"))), "")
+    mixed = spark.range(0, 3_000, numPartitions=2).select("id", F.when(F.col("id") % 7 > 0, digits).alias("v"))
+    mixed = mixed.unionByName(spark.range(-5, 0, numPartitions=1).select("id", F.lit("few").alias("v")))
+    (shards,) = inventory.export(listed(spark, ("d", "t")), lambda s, d, t: mixed, root, max_bytes=20_000).collect()
+    assert (shards.status, shards.n_rows) == ("done", 3_005)
+    back = spark.read.parquet(f"{root}/d/t")
+    assert back.exceptAll(mixed).isEmpty() and mixed.exceptAll(back).isEmpty()
+    # The rows of a shard stay within the bound as JSON text too, and a small task is one shard.
+    text = F.octet_length(F.to_json(F.struct("id", "v")))
+    found = back.groupBy(F.input_file_name().alias("file")).agg(F.sum(text).alias("n"), F.collect_set("v").alias("v")).collect()
+    assert max(r.n for r in found) <= 20_000 and ["few"] in [r.v for r in found]
+    assert len(found) > 200 and len({r.file.rsplit("-c", 1)[0] for r in found}) < 60
+
+
+def test_a_failed_sharded_export_leaves_no_files(spark):
+    root = shared_dir(spark, "failed-shards-test")
+    rows_ = spark.range(2_000).withColumn("v", F.repeat(F.lit("x"), (F.col("id") % 900).cast("int")))
+    failing = lambda s, d, t: rows_.filter(F.assert_true(F.col("id") < 1_999).isNull())
+    (out,) = inventory.export(listed(spark, ("d", "t")), failing, root, max_bytes=5_000).collect()
+    assert out.status == "failed" and out.error
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(f"{root}/d/t")
+
+
 def test_inventory_from_the_catalog(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS listed")
     spark.sql("CREATE DATABASE IF NOT EXISTS nothing")
