@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,8 +17,7 @@ from curatrix.llm.common import bounded_batches, giving_back, logistic, strings
 
 _WORD = re.compile(r"\w+")
 _REPEATS = 3  # a window below zstandard's smallest gain would not be compressed at all
-_CACHED = 600_000
-_CACHE: dict[str, dict[str, float]] = {}
+_CACHED = 120_000  # words in each of the two halves of a worker's cache
 
 
 def _parameters() -> zstandard.ZstdCompressionParameters:
@@ -68,6 +67,36 @@ class Model:
     sizes: tuple[float, float] = (0.0, 0.0)  # log sizes between which the calibration was seen
 
 
+class Gains:
+    """Gains of the words seen last, for one model at a time.
+
+    Words are entered in the newer half. When that is full it becomes the older one, whose
+    words move on when they are met again, so frequent words stay. A worker serves many
+    tasks and models; what it holds for another model is dropped.
+    """
+
+    def __init__(self) -> None:
+        self.forget()
+
+    def forget(self, key: str = "") -> None:
+        self.key, self.newer, self.older = key, {}, {}
+
+    def of(self, words: set[str], gain: Callable[[str], float]) -> list[float]:
+        if len(self.newer) > _CACHED:
+            self.newer, self.older = {}, self.newer
+        newer, older, gains = self.newer, self.older, []
+        for word in words:
+            value = newer.get(word)
+            if value is None:
+                value = older.get(word)
+                newer[word] = value = gain(word) if value is None else value
+            gains.append(value)
+        return gains
+
+
+_GAINS = Gains()
+
+
 class Windows:
     """Compression gain of the windows of a text: one window for each different word.
 
@@ -77,7 +106,7 @@ class Windows:
 
     def __init__(self, toxic: bytes, ordinary: bytes, key: str) -> None:
         self.toxic, self.ordinary = _compressor(toxic), _compressor(ordinary)
-        self.known = _CACHE.setdefault(key, {})
+        self.key = key
 
     def gain(self, word: str) -> float:
         window = (f" {word}" * _REPEATS + " ").encode()
@@ -88,13 +117,9 @@ class Windows:
         words = set(_WORD.findall(text.lower()))
         if not words:
             return 0.0, 0.0, 0.0
-        known = self.known
-        if len(known) > _CACHED:
-            known.clear()
-        for word in words:
-            if word not in known:
-                known[word] = self.gain(word)
-        gains = sorted(map(known.__getitem__, words), reverse=True)
+        if _GAINS.key != self.key:
+            _GAINS.forget(self.key)
+        gains = sorted(_GAINS.of(words, self.gain), reverse=True)
         best = gains[:3]
         return best[0], sum(best), math.log1p(len(gains))
 
@@ -222,7 +247,7 @@ def fit(
         if turn < rounds - 1:
             windows = Windows(toxic_dictionary, ordinary_dictionary, f"fit-{turn}")
             hard += [w for w in ordinary if w not in own and windows.gain(w) >= 2]
-    _CACHE.clear()
+    _GAINS.forget()
     key = f"{hash_of(toxic_dictionary.hex())}-{hash_of(ordinary_dictionary.hex())}"
     model = Model(toxic_dictionary, ordinary_dictionary, (), base, key)
     sample = _features(rows.select("toxic", "text"), model, "toxic int").collect()

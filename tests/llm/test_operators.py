@@ -461,6 +461,22 @@ def test_toxicity_does_not_read_held_out_labels(labelled):
     )
 
 
+def test_toxicity_holds_few_words_of_one_model(monkeypatch):
+    """Workers serve many tasks and models; what they hold does not add up."""
+    monkeypatch.setattr(toxicity, "_CACHED", 40)
+    rng = random.Random(3)
+    texts = [f"common {words(rng, 8)} often" for _ in range(200)]
+    for key in ("one", "two"):
+        windows = toxicity.Windows(b"w1 w2 w3 w4 w5 common " * 3, f"{key} often w6 w7 w8 w9 ".encode() * 3, key)
+        for text in texts:
+            gains = sorted((windows.gain(w) for w in set(text.split())), reverse=True)
+            assert windows.features(text)[:2] == (gains[0], sum(gains[:3]))
+            held = toxicity._GAINS
+            assert held.key == key and len(held.newer) + len(held.older) <= 2 * (40 + 10)
+    assert "common" in held.newer or "common" in held.older
+    held.forget()
+
+
 def test_toxicity_without_labels_or_rows(labelled):
     docs, labels = labelled
     assert {r["score"] for r in toxicity.classify(docs, labels.limit(0)).collect()} == {0.5}
